@@ -39,26 +39,32 @@ RECORD = (
 
 def _matrix_tensors(column: pa.Array):
     """Row-major values, keys and shapes of a matrix column."""
-    values, keys, shapes = [], [], []
-    for matrix in column.to_pylist():
-        rows, cols = matrix["numRows"], matrix["numCols"]
-        entries = np.array(matrix["values"], np.float64)
-        shapes.append((rows, cols))
-        if matrix["type"] == 1:
-            grid = entries.reshape((rows, cols) if matrix["isTransposed"] else (cols, rows))
-            values.append((grid if matrix["isTransposed"] else grid.T).ravel())
-            keys.append(np.empty(0, np.int64))
-        else:
-            pointers = np.array(matrix["colPtrs"], np.int64)
-            major = np.repeat(np.arange(len(pointers) - 1), np.diff(pointers))
-            minor = np.array(matrix["rowIndices"], np.int64)
-            row, col = (major, minor) if matrix["isTransposed"] else (minor, major)
-            values.append(entries)
-            keys.append(row * cols + col)
-    counts = np.array([len(v) for v in values], np.int64)
-    key_counts = np.array([len(k) for k in keys], np.int64)
-    return (np.concatenate(values), counts, np.concatenate(keys), key_counts,
-            np.array(shapes, np.int64).ravel(), np.full(len(shapes), 2, np.int64))
+
+    def number(name: str) -> np.ndarray:
+        return column.field(name).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    rows, cols, transposed = number("numRows"), number("numCols"), number("isTransposed").astype(bool)
+    sparse = number("type") == 0
+    values, counts = vectors.list_parts(column.field("values"))
+    within = np.arange(len(values)) - np.repeat(vectors.starts_of(counts), counts)
+    # Dense entries held column by column move to their place row by row.
+    turned = np.repeat(~sparse & ~transposed, counts)
+    height, width = np.repeat(rows, counts)[turned], np.repeat(cols, counts)[turned]
+    place = within[turned]
+    source = np.arange(len(values))
+    source[turned] += (place % width) * height + place // width - place
+    # Sparse entries carry their minor index; how many lie between two pointers gives the major one.
+    pointers, pointer_counts = vectors.list_parts(column.field("colPtrs"))
+    minor, key_counts = vectors.list_parts(column.field("rowIndices"))
+    steps = np.diff(pointers, append=0).astype(np.int64)
+    last = np.cumsum(pointer_counts)[pointer_counts > 0] - 1
+    steps[last] = 0
+    position = np.arange(len(pointers)) - np.repeat(vectors.starts_of(pointer_counts), pointer_counts)
+    major = np.repeat(position, steps)
+    by_row = np.repeat(transposed, key_counts)
+    keys = np.where(by_row, major, minor) * np.repeat(cols, key_counts) + np.where(by_row, minor, major)
+    shapes = np.column_stack([rows, cols]).ravel()
+    return values[source], counts, keys, key_counts, shapes, np.full(len(rows), 2, np.int64)
 
 
 def _vector_tensors(column: pa.Array):
@@ -210,6 +216,26 @@ def parse_record(body: Column) -> Column:
     return _parse(body)
 
 
+def _offsets(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+
+
+def read_tensor(body: Column, name: str = "values", side: str = "features") -> Column:
+    """One float32 tensor of a record as ``struct<values, keys, shape>``; null where it is missing."""
+    wanted = [(side, name)]
+
+    @F.arrow_udf(_tensor_type(T.FloatType()))
+    def read(bodies: pa.Array) -> pa.Array:
+        (batch,) = wire.decode_tensors(*_bytes_of(bodies), wanted)
+        lists = [
+            pa.ListArray.from_arrays(pa.array(_offsets(part.counts)), pa.array(part.flat().astype(kind)))
+            for part, kind in ((batch.values, np.float32), (batch.keys, np.int64), (batch.shapes, np.int64))
+        ]
+        return pa.StructArray.from_arrays(lists, names=["values", "keys", "shape"], mask=pa.array(~batch.present))
+
+    return read(body)
+
+
 def _check_field(field: T.StructField) -> None:
     if not isinstance(field.dataType, (T.DoubleType, VectorUDT)):
         raise ValueError(f"column {field.name} must be a double or a vector")
@@ -219,38 +245,37 @@ def tensor_column(batch: wire.TensorBatch, wanted: T.DataType, name: str) -> pa.
     """Tensors as the declared type: a double needs one value, a vector any number above none."""
     if not batch.present.all():
         raise ValueError(f"record has no entry {name}")
-    if len(batch.counts) and (batch.counts == 0).any():
+    if (batch.values.counts == 0).any():
         raise ValueError(f"entry {name} holds no values")
-    values = batch.values()
     if isinstance(wanted, T.DoubleType):
-        if (batch.counts != 1).any():
+        if (batch.values.counts != 1).any():
             raise ValueError(f"entry {name} holds more than one value")
-        return pa.array(values)
+        return pa.array(batch.values.flat())
     return vector_column(batch)
 
 
 def vector_column(batch: wire.TensorBatch) -> pa.StructArray:
     """Tensors as vectors; keys make a row sparse, and its shape must then be one number."""
-    sparse = batch.key_counts > 0
-    if (batch.shape_counts[sparse] != 1).any():
+    counts, key_counts, shape_counts = batch.values.counts, batch.keys.counts, batch.shapes.counts
+    sparse = key_counts > 0
+    if (shape_counts[sparse] != 1).any():
         raise ValueError("a sparse tensor needs a shape of one number to be a vector")
-    if (batch.key_counts[sparse] != batch.counts[sparse]).any():
+    if (key_counts[sparse] != counts[sparse]).any():
         raise ValueError("as many keys as values expected")
-    counts, values = batch.counts, batch.values()
-    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+    # A record without values but with a size is an empty sparse vector.
+    sparse = sparse | ((counts == 0) & (shape_counts == 1))
     sizes = np.zeros(len(counts), np.int64)
-    shape_starts = vectors.starts_of(batch.shape_counts)
-    shapes = batch.shapes()
-    sizes[sparse] = shapes[shape_starts[sparse]]
-    index_offsets = pa.array(np.concatenate(([0], np.cumsum(batch.key_counts))).astype(np.int32))
-    keys = pa.array(batch.keys().astype(np.int32))
-    index_lists = pa.ListArray.from_arrays(index_offsets, keys, mask=pa.array(~sparse))
+    sizes[sparse] = batch.shapes.flat()[vectors.starts_of(shape_counts)[sparse]]
+    offsets = pa.array(_offsets(counts))
+    values = pa.array(batch.values.flat())
+    keys = pa.array(batch.keys.flat().astype(np.int32))
+    index_lists = pa.ListArray.from_arrays(pa.array(_offsets(key_counts)), keys, mask=pa.array(~sparse))
     return pa.StructArray.from_arrays(
         [
             pa.array(np.where(sparse, 0, 1).astype(np.int8)),
             pa.array(sizes.astype(np.int32), mask=~sparse),
             index_lists.cast(vectors.VECTOR_ARROW.field("indices").type),
-            pa.ListArray.from_arrays(offsets, pa.array(values)).cast(vectors.VECTOR_ARROW.field("values").type),
+            pa.ListArray.from_arrays(offsets, values).cast(vectors.VECTOR_ARROW.field("values").type),
         ],
         fields=list(vectors.VECTOR_ARROW),
     )

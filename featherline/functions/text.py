@@ -1,8 +1,12 @@
-"""LibSVM and CSV text as column expressions; these stay inside the JVM."""
+"""LibSVM and CSV text: encoding as expressions inside the JVM, LibSVM decoding over Arrow batches."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.functions import vectors
 
@@ -11,6 +15,9 @@ TEXT_LIBSVM = "text/x-libsvm"
 TEXT_CSV = "text/csv"
 RECORDS = "application/x-recordio-protobuf"
 
+REAL = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|Infinity)$"
+INTEGER = r"^[+-]?\d{1,18}$"
+
 
 def libsvm_line(features: Column, label: Column | None = None) -> Column:
     """``label index:value ...`` with 1-based indices and a newline.
@@ -41,6 +48,40 @@ def without_zeros(entries: Column) -> Column:
     return F.filter(entries, lambda e: e["value"] != 0)
 
 
+def _numbers(texts: pa.Array, pattern: str, kind: pa.DataType) -> tuple[np.ndarray, np.ndarray]:
+    """Parsed numbers (0 where malformed) and which texts were well-formed."""
+    good = pc.fill_null(pc.match_substring_regex(texts, pattern), False)
+    numbers = pc.if_else(good, texts, pa.scalar("0")).cast(kind)
+    return numbers.to_numpy(zero_copy_only=False), good.to_numpy(zero_copy_only=False)
+
+
+def libsvm_batch(lines: pa.Array, dim: int) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Labels, sparse vectors and which lines are well-formed, for an Arrow column of lines."""
+    tokens = pc.split_pattern(pc.fill_null(lines, ""), " ")
+    per_line = tokens.value_lengths().to_numpy(zero_copy_only=False)
+    flat = tokens.flatten()
+    owner = np.repeat(np.arange(len(lines)), per_line)
+    head = np.zeros(len(flat), bool)
+    head[vectors.starts_of(per_line)] = True
+    labels, good = _numbers(flat.filter(pa.array(head)), REAL, pa.float64())
+    entry = ~head & pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    pairs, owner = flat.filter(pa.array(entry)), owner[entry]
+    parts = pc.split_pattern(pairs, ":", max_splits=1)
+    whole = pc.equal(parts.value_lengths(), 2)
+    parts = pc.if_else(whole, parts, pa.scalar(["", ""], parts.type))
+    index, index_good = _numbers(pc.list_element(parts, 0), INTEGER, pa.int64())
+    value, value_good = _numbers(pc.list_element(parts, 1), REAL, pa.float64())
+    index = index - 1
+    fine = index_good & value_good & (index >= 0) & (index < dim)
+    # Within a line, each index must be above the one before.
+    fine[1:] &= (owner[1:] != owner[:-1]) | (index[1:] > index[:-1])
+    good &= np.bincount(owner, weights=~fine, minlength=len(lines)) == 0
+    kept = good[owner]
+    counts = np.bincount(owner[kept], minlength=len(lines))
+    column = vectors.sparse_column(np.full(len(lines), dim), counts, index[kept], value[kept])
+    return pa.array(labels, mask=~good), column, good
+
+
 def parse_libsvm(lines: DataFrame, dim: int, line: str = "value", mode: str = "FAILFAST",
                  label: str = "label", features: str = "features", bad_row: str = "bad_row") -> DataFrame:
     """Replace a text column of LibSVM lines by a label and a sparse vector of size ``dim``.
@@ -52,47 +93,27 @@ def parse_libsvm(lines: DataFrame, dim: int, line: str = "value", mode: str = "F
         raise ValueError("vector dimension must not be negative")
     if mode not in ("FAILFAST", "PERMISSIVE"):
         raise ValueError(f"unknown mode {mode}")
-    tokens = F.split(F.col(line), " ", -1)
-    pairs = F.transform(
-        F.filter(F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda t: t != ""),
-        lambda t: F.split(t, ":", -1),
-    )
+    strict = mode == "FAILFAST"
+    schema = T.StructType().add("label", T.DoubleType()).add("features", VectorUDT()).add("good", T.BooleanType())
+
+    @F.arrow_udf(schema)
+    def parse(column: pa.Array) -> pa.Array:
+        labels, features, good = libsvm_batch(column, dim)
+        if strict and not good.all():
+            raise ValueError(f"malformed line: {column[int(np.argmin(good))].as_py()!r}")
+        return pa.StructArray.from_arrays([labels, features, pa.array(good)], names=schema.fieldNames())
+
     rest = [c for c in lines.columns if c not in (line, label, features, bad_row)]
-    parsed = lines.select(
-        *rest,
-        F.col(line).alias("_line"),
-        tokens[0].try_cast("double").alias("_label"),
-        F.transform(pairs, lambda p: F.get(p, F.lit(0)).try_cast("int") - 1).alias("_indices"),
-        F.transform(pairs, lambda p: F.get(p, F.lit(1)).try_cast("double")).alias("_values"),
-    )
-    indices = F.col("_indices")
-    in_range = F.forall(indices, lambda i: F.coalesce((i >= 0) & (i < dim), F.lit(False)))
-    ascending = F.forall(
-        F.sequence(F.lit(1), F.greatest(F.size(indices), F.lit(1))),
-        lambda k: (k >= F.size(indices)) | (F.get(indices, k) > F.get(indices, k - 1)),
-    )
-    numeric = F.forall(F.col("_values"), lambda v: v.isNotNull())
-    good = F.coalesce(F.col("_label").isNotNull() & in_range & numeric & ascending, F.lit(False))
-    vector = vectors.from_struct(F.lit(dim), F.col("_ok_indices"), F.col("_ok_values"))
-    empty_int, empty_double = F.array().cast("array<int>"), F.array().cast("array<double>")
-    if mode == "FAILFAST":
-        checked = parsed.select(
-            *rest,
-            F.when(good, F.col("_label")).otherwise(F.raise_error(F.concat(F.lit("malformed line: "), "_line")))
-            .alias(label),
-            indices.alias("_ok_indices"),
-            F.col("_values").alias("_ok_values"),
-        )
-        return checked.filter(F.col(label).isNotNull()).select(*rest, label, vector.alias(features))
-    flagged = parsed.select(*rest, "_line", "_label", "_indices", "_values", good.alias("_good")).select(
-        *rest,
-        F.when(F.col("_good"), F.col("_label")).alias(label),
-        "_good",
-        F.when(F.col("_good"), F.col("_indices")).otherwise(empty_int).alias("_ok_indices"),
-        F.when(F.col("_good"), F.col("_values")).otherwise(empty_double).alias("_ok_values"),
-        F.when(~F.col("_good"), F.col("_line")).alias(bad_row),
+    parsed = lines.select(*rest, F.col(line).alias("_line"), parse(F.col(line)).alias("_parsed"))
+    good = F.col("_parsed.good")
+    columns = [*rest, F.col("_parsed.label").alias(label)]
+    if strict:
+        return parsed.select(*columns, F.col("_parsed.features").alias(features))
+    return parsed.select(
+        *columns,
+        F.when(good, F.col("_parsed.features")).alias(features),
+        F.when(~good, F.col("_line")).alias(bad_row),
     )
-    return flagged.select(*rest, label, F.when(F.col("_good"), vector).alias(features), bad_row)
 
 
 def csv_numbers(responses: DataFrame, body: str = "body", prediction: str = "prediction") -> DataFrame:

@@ -183,6 +183,7 @@ def frame_spans(data: np.ndarray, partial: bool = False) -> tuple[np.ndarray, np
     starts: list[np.ndarray] = []
     lengths: list[np.ndarray] = []
     position, end = 0, len(data)
+    previous, probe = -1, 1
     while end - position >= 8:
         magic, size = struct.unpack_from("<Ii", data, position)
         if magic != MAGIC:
@@ -193,13 +194,18 @@ def frame_spans(data: np.ndarray, partial: bool = False) -> tuple[np.ndarray, np
         whole = (end - position) // stride
         if not whole:
             break
-        # Frames of one length often follow each other: take the whole run at once.
-        heads = data[position : position + whole * stride].reshape(whole, stride)[:, :8]
-        differing = np.flatnonzero((heads != heads[0]).any(axis=1))
-        run = int(differing[0]) if len(differing) else whole
+        # Frames of one length often follow each other. While they do, look ever further ahead.
+        probe = min(probe * 4, 1 << 16) if size == previous else 1
+        run = min(whole, probe)
+        if run > 1:
+            heads = data[position : position + run * stride].reshape(run, stride)[:, :8]
+            differing = np.flatnonzero((heads != heads[0]).any(axis=1))
+            if len(differing):
+                run = int(differing[0])
         starts.append(position + 8 + stride * np.arange(run, dtype=np.int64))
         lengths.append(np.full(run, size, np.int64))
         position += run * stride
+        previous = size
     if not partial and position != end:
         raise ValueError("truncated frame")
     if not starts:
@@ -270,40 +276,39 @@ def record_entries(data: bytes) -> dict:
     return found
 
 
+class Lists:
+    """A list per row, put together from blocks of rows whose lists are equally long."""
+
+    def __init__(self, rows: int, dtype):
+        self.counts = np.zeros(rows, np.int64)
+        self.dtype = dtype
+        self._blocks: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def put(self, rows: np.ndarray, block: np.ndarray) -> None:
+        self.counts[rows] = block.shape[1]
+        if block.shape[1]:
+            self._blocks.append((rows, block))
+
+    def flat(self) -> np.ndarray:
+        out = np.empty(int(self.counts.sum()), self.dtype)
+        begins = np.concatenate(([0], np.cumsum(self.counts)[:-1])).astype(np.int64)
+        for rows, block in self._blocks:
+            out[begins[rows][:, None] + np.arange(block.shape[1])] = block
+        return out
+
+
 class TensorBatch:
-    """One float32 tensor per row: flat values, keys and shapes with their counts per row."""
+    """One float32 tensor per row, where there is one."""
 
     def __init__(self, rows: int):
-        self.counts = np.zeros(rows, np.int64)
-        self.key_counts = np.zeros(rows, np.int64)
-        self.shape_counts = np.zeros(rows, np.int64)
         self.present = np.zeros(rows, bool)
-        self._pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.values, self.keys, self.shapes = Lists(rows, np.float64), Lists(rows, np.int64), Lists(rows, np.int64)
 
     def put(self, rows: np.ndarray, values: np.ndarray, keys: np.ndarray, shape: np.ndarray) -> None:
-        """2-d values, keys and shapes, one line per row."""
         self.present[rows] = True
-        self.counts[rows], self.key_counts[rows], self.shape_counts[rows] = (
-            values.shape[1], keys.shape[1], shape.shape[1])
-        self._pieces.append((rows, values, keys, shape))
-
-    def _flat(self, which: int, counts: np.ndarray, dtype) -> np.ndarray:
-        out = np.empty(int(counts.sum()), dtype)
-        begins = np.concatenate(([0], np.cumsum(counts)[:-1])).astype(np.int64)
-        for piece in self._pieces:
-            block = piece[1 + which]
-            if block.shape[1]:
-                out[begins[piece[0]][:, None] + np.arange(block.shape[1])] = block
-        return out
-
-    def values(self) -> np.ndarray:
-        return self._flat(0, self.counts, np.float64)
-
-    def keys(self) -> np.ndarray:
-        return self._flat(1, self.key_counts, np.int64)
-
-    def shapes(self) -> np.ndarray:
-        return self._flat(2, self.shape_counts, np.int64)
+        self.values.put(rows, values)
+        self.keys.put(rows, keys)
+        self.shapes.put(rows, shape)
 
 
 def _numbers_2d(block: np.ndarray) -> np.ndarray | None:
@@ -350,24 +355,28 @@ def _block_tensor(block: np.ndarray, spans: dict) -> tuple | None:
 
 
 def decode_tensors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
-                   wanted: list[tuple[str, str]]) -> list[TensorBatch]:
+                   wanted: list[tuple[str, str]], uids: Lists | None = None) -> list[TensorBatch]:
     """Float32 tensors of records, for each wanted (``features`` or ``label``, name).
 
     Records of one length usually differ only in tensor contents. One of them is read as a
     template; the others that agree with it outside the tensors are decoded as a block. Where
     templates match too little, records are read one by one. The first entry of a name wins.
+    ``uids`` collects the bytes of the records' identifiers.
     """
     batches = [TensorBatch(len(starts)) for _ in wanted]
 
-    def put(rows: np.ndarray, tensors: list) -> None:
+    def put(rows: np.ndarray, block: np.ndarray, tensors: list, entries: dict) -> None:
         for batch, tensor in zip(batches, tensors):
             if tensor is not None:
                 batch.put(rows, *tensor)
+        if uids is not None and entries["uid"]:
+            uids.put(rows, block[:, slice(*entries["uid"])])
 
     def put_singly(rows: np.ndarray, block: np.ndarray) -> None:
-        for row, line in zip(rows, block):
-            found, _ = _find(line.tobytes(), wanted)
-            put(np.array([row]), [f and _block_tensor(line[None, :], f) for f in found])
+        for at, row in enumerate(rows):
+            line = block[at : at + 1]
+            found, entries = _find(line.tobytes(), wanted)
+            put(np.array([row]), line, [f and _block_tensor(line, f) for f in found], entries)
 
     order = np.argsort(lengths, kind="stable")
     sizes, first = np.unique(lengths[order], return_index=True)
@@ -391,6 +400,6 @@ def decode_tensors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
             if any(spans and tensor is None for spans, tensor in zip(found, tensors)):
                 put_singly(rows[alike], block[alike])
             else:
-                put(rows[alike], tensors)
+                put(rows[alike], block[alike], tensors, entries)
             rows, block = rows[~alike], block[~alike]
     return batches

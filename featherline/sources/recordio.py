@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.ml.linalg import VectorUDT
@@ -242,28 +243,27 @@ class RecordReader(DataSourceReader):
         if self.layout == "records":
             rows = [records.parse_body(data[s : s + n].tobytes()) for s, n in zip(starts, lengths)]
             return pa.RecordBatch.from_struct_array(pa.array(rows, records.record_arrow_type()))
-        features, label = wire.decode_tensors(data, starts, lengths, [("features", "values"), ("label", "values")])
+        uids = wire.Lists(len(starts), np.uint8)
+        features, label = wire.decode_tensors(
+            data, starts, lengths, [("features", "values"), ("label", "values")], uids if self.uid else None)
         columns = {self.features: lambda: records.vector_column(features), self.label: lambda: _labels(label)}
         if self.uid:
-            columns[self.uid] = lambda: _uids(data, starts, lengths)
+            columns[self.uid] = lambda: _texts(uids)
         return pa.RecordBatch.from_arrays([columns[n]() for n in self.schema.fieldNames()], names=self.schema.fieldNames())
 
 
 def _labels(batch: wire.TensorBatch) -> pa.Array:
-    if (batch.counts[batch.present] != 1).any():
+    if (batch.values.counts[batch.present] != 1).any():
         raise ValueError("a label must hold one value")
-    numbers = np.zeros(len(batch.counts))
-    numbers[batch.present] = batch.values()
+    numbers = np.zeros(len(batch.present))
+    numbers[batch.present] = batch.values.flat()
     return pa.array(numbers, mask=~batch.present)
 
 
-def _uids(data, starts, lengths) -> pa.Array:
-    found = []
-    for start, length in zip(starts, lengths):
-        raw = data[start : start + length].tobytes()
-        span = wire.record_entries(raw)["uid"]
-        found.append(raw[slice(*span)].decode() if span else None)
-    return pa.array(found, pa.string())
+def _texts(lists: wire.Lists) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(lists.counts))).astype(np.int32)
+    texts = pa.Array.from_buffers(pa.string(), len(lists.counts), [None, pa.py_buffer(offsets), pa.py_buffer(lists.flat())])
+    return pc.if_else(pa.array(lists.counts > 0), texts, pa.scalar(None, pa.string()))
 
 
 class RecordSource(DataSource):
