@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
@@ -159,6 +159,9 @@ class BoostedModel(TableModel):
         objective = self.facts["objective"]
         names = {n: scratch_name(n) for n in ("prediction", "probability", "raw")}
         stage = self.stages["boosted"].copy()
+        if isinstance(stage, OneVsRestModel):
+            # It reads its models' raw scores under their own names.
+            stage.models = [m.copy().setRawPredictionCol(names["raw"]) for m in stage.models]
         stage.setFeaturesCol(self.getOrDefault("featuresCol")).setPredictionCol(names["prediction"])
         if hasattr(stage, "setProbabilityCol"):
             stage.setProbabilityCol(names["probability"])

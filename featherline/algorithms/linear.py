@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -179,6 +179,9 @@ class LinearModelBase(TableModel):
             df = self.stages["scaler"].setInputCol(features).setOutputCol(source).transform(df)
         names = {n: scratch_name(n) for n in ("prediction", "probability", "rawPrediction")}
         stage = stage.copy()
+        if isinstance(stage, OneVsRestModel):
+            # It reads its models' raw scores under their own names.
+            stage.models = [m.copy().setRawPredictionCol(names["rawPrediction"]) for m in stage.models]
         stage.setFeaturesCol(source)
         stage.setPredictionCol(names["prediction"])
         if hasattr(stage, "setProbabilityCol"):
@@ -277,8 +280,8 @@ class RegressorTable(LinearParams):
             if self.setting("l1"):
                 raise ValueError("the Huber loss has no absolute penalty")
             # Spark counts the turning point in units of the estimated deviation, above 1.
-            fitted = stage.setLoss("huber").setEpsilon(max(1.0001, self.setting("huber_delta"))).setRegParam(
-                self.setting("wd")).fit(slim)
+            fitted = stage._set(loss="huber", epsilon=max(1.0001, self.setting("huber_delta")),
+                                regParam=self.setting("wd")).fit(slim)
         elif loss in ("absolute_loss", "quantile_loss", "eps_insensitive_squared_loss", "eps_insensitive_absolute_loss"):
             fitted = self._reweighted(slim, stage.setRegParam(self._penalty()["regParam"]).setElasticNetParam(
                 self._penalty()["elasticNetParam"]), loss, scale)
@@ -311,7 +314,7 @@ class RegressorTable(LinearParams):
         table = df.persist()
         try:
             model = stage.copy().fit(table)
-            last = float("inf")
+            last = None
             for _ in range(self.setting("epochs")):
                 model = model.copy()
                 model.setPredictionCol(name)
@@ -326,7 +329,8 @@ class RegressorTable(LinearParams):
                 else:
                     cost = losses.insensitive_squared(F.col(label), F.col(name), slack)
                 mean_cost, mean_error = scored.agg(F.avg(cost), F.avg(F.abs(error))).first()
-                if not mean_error or last - mean_cost <= self.setting("early_stopping_tolerance") * abs(last) * 1e-3:
+                gained = last is None or last - mean_cost > self.setting("early_stopping_tolerance") * abs(last)
+                if not mean_error or not gained:
                     break
                 last = mean_cost
                 floor = FLOOR * mean_error

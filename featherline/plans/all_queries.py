@@ -1,3 +1,3 @@
 """Importing this registers every query."""
 
-from featherline.plans import encoding, quality  # noqa: F401
+from featherline.plans import encoding, models, quality, streams  # noqa: F401

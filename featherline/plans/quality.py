@@ -257,13 +257,18 @@ def rank_pairs(spark, folder):
                         F.round(F.col("score_high") - F.col("score_low"), 6).alias("difference"))
 
 
-def per_measure(name, digits, names=MEASURES):
-    return ", ".join(f"round({name}({c}), {digits}) AS {name}_{c}" for c in names)
+def digits_of(name, column):
+    """Digits at which a mean of two-decimal numbers is never halfway, and few for large ones."""
+    return 4 if name != "avg" else 3 if column == "l_extendedprice" else 8
+
+
+def per_measure(name, names=MEASURES):
+    return ", ".join(f"round({name}({c}), {digits_of(name, c)}) AS {name}_{c}" for c in names)
 
 
 @query("scaler_moments", f"""
-    SELECT count(*) AS n_rows, {per_measure('avg', 6)}, {per_measure('stddev_samp', 4)},
-        round(avg({'l_extendedprice'} / 100), 4) AS label_mean, round(stddev_samp(l_extendedprice / 100), 4) AS label_std
+    SELECT count(*) AS n_rows, {per_measure('avg')}, {per_measure('stddev_samp')},
+        round(avg(l_extendedprice / 100), 4) AS label_mean, round(stddev_samp(l_extendedprice / 100), 4) AS label_std
     FROM lineitem""")
 def scaler_moments(spark, folder):
     df = table(spark, folder, "lineitem").select(
@@ -273,13 +278,13 @@ def scaler_moments(spark, folder):
 
 
 def spread(summary, names):
-    columns = [F.round(vectors.to_array("mean")[i], 6).alias(f"avg_{c}") for i, c in enumerate(names)]
+    columns = [F.round(vectors.to_array("mean")[i], digits_of("avg", c)).alias(f"avg_{c}") for i, c in enumerate(names)]
     columns += [F.round(vectors.to_array("std")[i], 4).alias(f"stddev_samp_{c}") for i, c in enumerate(names)]
     return summary.select("n_rows", *columns, *[c for c in ("label_mean", "label_std") if c in summary.columns])
 
 
 @query("scaler_sample", f"""
-    SELECT count(*) AS n_rows, {per_measure('avg', 6, ('value',))}, {per_measure('stddev_samp', 4, ('value',))} FROM (
+    SELECT count(*) AS n_rows, {per_measure('avg', ('value',))}, {per_measure('stddev_samp', ('value',))} FROM (
         SELECT value FROM events ORDER BY md5(event_id::VARCHAR), event_id LIMIT 500)""")
 def scaler_sample(spark, folder):
     """Moments over a hash-ordered sample: the sample size is the operator's parameter."""

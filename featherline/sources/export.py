@@ -34,7 +34,7 @@ def export(df: DataFrame, path: str, fmt: str = "recordio", options: Mapping[str
         chosen = chosen.repartition(shards)
     if fmt == "recordio" and mode is None:
         # Data sources written in Python know append and overwrite only.
-        if _exists(path):
+        if exists(path):
             raise FileExistsError(path)
         mode = "append"
     writer = chosen.write.format(fmt).options(**dict(options or {}))
@@ -42,7 +42,7 @@ def export(df: DataFrame, path: str, fmt: str = "recordio", options: Mapping[str
     (writer.mode(mode) if mode else writer).save(path)
 
 
-def _exists(path: str) -> bool:
+def exists(path: str) -> bool:
     store, inner = files.open_store(path)
     return store.get_file_info(inner).type.name != "NotFound"
 
