@@ -18,8 +18,9 @@ from featherline.operators.sampling import hash_sample
 
 LOSSES = ("logistic", "squared_loss", "absolute_loss", "hinge_loss", "eps_insensitive_squared_loss",
           "eps_insensitive_absolute_loss", "quantile_loss", "huber_loss", "softmax_loss", "auto")
-# The least residual that robust losses divide by, relative to the mean absolute residual.
-FLOOR = 1e-6
+# Smoothing of absolute losses: the width's factor per round, its least share of the mean residual, the
+# least curvature in it, and the relative change of coefficients that ends the rounds.
+SHRINK, NARROWEST, FLATTEST, SETTLED = 0.6, 0.02, 2.5e-4, 1e-7
 
 
 class LinearParams(TableEstimator):
@@ -305,47 +306,46 @@ class RegressorTable(LinearParams):
     def _reweighted(self, df: DataFrame, stage: LinearRegression, loss: str, scale: float):
         """Minimise a robust loss by weighted least squares, each time around the last fit.
 
-        Every round is one pass over the same table; only coefficients carry over.
+        The kinks of the absolute losses are smoothed over a width that shrinks every round, and a
+        round is a Newton step. The squared loss with slack pulls labels in to the edge of the
+        slack. Every round is one training pass over the same table; only coefficients carry over.
         """
         label, features = self.getOrDefault("labelCol"), self.getOrDefault("featuresCol")
-        level = self.setting("quantile") if loss == "quantile_loss" else 0.5
-        slack = self.setting("loss_insensitivity") / scale
         name, weight, target = (scratch_name(n) for n in ("fit", "weight", "target"))
+        level = F.lit(self.setting("quantile") if loss == "quantile_loss" else 0.5)
+        slack = self.setting("loss_insensitivity") / scale
         table = df.persist()
         try:
-            model = stage.copy().fit(table)
-            last = None
-            for _ in range(self.setting("epochs")):
-                model = model.copy()
-                model.setPredictionCol(name)
-                scored = model.transform(table)
-                error = F.col(label) - F.col(name)
-                if loss == "quantile_loss":
-                    cost = losses.quantile(F.col(label), F.col(name), level)
-                elif loss == "absolute_loss":
-                    cost = losses.absolute(F.col(label), F.col(name))
-                elif loss == "eps_insensitive_absolute_loss":
-                    cost = losses.insensitive_absolute(F.col(label), F.col(name), slack)
+            model = stage.copy().fit(table).setPredictionCol(name)
+            error = F.col(label) - F.col(name)
+            spread = model.transform(table).agg(F.avg(F.abs(error))).first()[0]
+            width = spread
+            for _ in range(self.setting("epochs") if spread else 0):
+
+                def step(distance: Column) -> Column:
+                    return 1 / (1 + F.exp(-distance / width))
+
+                if loss == "eps_insensitive_squared_loss":
+                    pulled = F.col(label) - F.signum(error) * slack
+                    columns = {target: F.when(F.abs(error) > slack, pulled).otherwise(F.col(name)), weight: F.lit(1.0)}
                 else:
-                    cost = losses.insensitive_squared(F.col(label), F.col(name), slack)
-                mean_cost, mean_error = scored.agg(F.avg(cost), F.avg(F.abs(error))).first()
-                gained = last is None or last - mean_cost > self.setting("early_stopping_tolerance") * abs(last)
-                if not mean_error or not gained:
+                    if loss == "eps_insensitive_absolute_loss":
+                        above, below = step(error - slack), step(-error - slack)
+                        slope, curve = above - below, above * (1 - above) + below * (1 - below)
+                    else:
+                        below = step(-error)
+                        slope, curve = level - below, below * (1 - below)
+                    curve = F.greatest(curve, F.lit(FLATTEST)) / width
+                    columns = {target: F.col(name) + slope / curve, weight: curve}
+                again = model.transform(table).withColumns(columns).select(features, target, weight)
+                moved = stage.copy().setLabelCol(target).setWeightCol(weight).fit(again).setPredictionCol(name)
+                change = moved.coefficients.toArray() - model.coefficients.toArray()
+                size = abs(moved.coefficients.toArray()).sum() + abs(moved.intercept)
+                still = abs(change).sum() + abs(moved.intercept - model.intercept) <= SETTLED * size
+                model, settled = moved, still and width <= NARROWEST * spread
+                width = max(width * SHRINK, NARROWEST * spread)
+                if settled:
                     break
-                last = mean_cost
-                floor = FLOOR * mean_error
-                beyond = F.abs(error) > slack
-                pulled = F.when(beyond, F.col(label) - F.signum(error) * slack).otherwise(F.col(name))
-                if loss in ("quantile_loss", "absolute_loss"):
-                    side = F.when(error >= 0, F.lit(level)).otherwise(F.lit(1 - level))
-                    columns = {target: F.col(label), weight: side / F.greatest(F.abs(error), F.lit(floor))}
-                elif loss == "eps_insensitive_absolute_loss":
-                    away = F.greatest(F.abs(error) - slack, F.lit(floor))
-                    columns = {target: pulled, weight: F.when(beyond, 1 / away).otherwise(F.lit(1.0 / mean_error * 1e-3))}
-                else:
-                    columns = {target: pulled, weight: F.lit(1.0)}
-                again = scored.withColumns(columns).select(features, target, weight)
-                model = stage.copy().setLabelCol(target).setWeightCol(weight).fit(again)
         finally:
             table.unpersist()
         return model

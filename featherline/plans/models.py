@@ -192,8 +192,7 @@ def quantile_fit(spark, folder):
     df = one_hot(table(spark, folder, "lineitem").withColumn("label", F.col("l_extendedprice") / 1000), "l_returnflag", ("label",))
     parts = []
     for loss, level in (("quantile_loss", 0.8), ("absolute_loss", 0.5)):
-        trainer = linear.RegressorTable(feature_dim=3, loss=loss, quantile=level, use_bias=False, epochs=15,
-                                        early_stopping_tolerance=1e-4)
+        trainer = linear.RegressorTable(feature_dim=3, loss=loss, quantile=level, use_bias=False)
         scored = trainer.fit(df).transform(df).groupBy("l_returnflag").agg(
             F.avg("score").alias("score"), F.percentile("label", level).alias("exact"))
         parts.append(scored.select(F.lit(loss).alias("loss"), "l_returnflag",
@@ -216,7 +215,7 @@ def robust_fit(spark, folder):
     }
     result = None
     for loss, cost in own.items():
-        trainer = linear.RegressorTable(feature_dim=2, loss=loss, loss_insensitivity=5.0, huber_delta=1.35, epochs=30)
+        trainer = linear.RegressorTable(feature_dim=2, loss=loss, loss_insensitivity=5.0, huber_delta=1.35)
         scored = trainer.fit(df).transform(df).withColumnRenamed("score", "own")
         both = plain.transform(scored)
         part = both.agg(
