@@ -39,11 +39,13 @@ class TableEstimator(Estimator, Wired, DefaultParamsReadable, DefaultParamsWrita
     trainingColumns = declare("trainingColumns", "columns to train on and export; all when empty", TypeConverters.toListString)
     exportPath = declare("exportPath", "where to write the training table first", text)
     exportFormat = declare("exportFormat", "format of the export: recordio, libsvm or parquet", text)
+    checkRows = declare("checkRows", "whether all rows are checked before training", TypeConverters.toBoolean)
     keepExport = declare("keepExport", "whether the export stays after training", TypeConverters.toBoolean)
 
     def __init__(self, **params: Any) -> None:
         super().__init__()
-        self._setDefault(featuresCol="features", labelCol="label", keepInput=True, exportFormat="recordio", keepExport=False)
+        self._setDefault(featuresCol="features", labelCol="label", keepInput=True, exportFormat="recordio", keepExport=False,
+                         checkRows=True)
         self._preset()
         self._set(**params)
 
@@ -63,7 +65,8 @@ class TableEstimator(Estimator, Wired, DefaultParamsReadable, DefaultParamsWrita
         if self.isDefined("trainingColumns"):
             df = tables.project(df, self.getOrDefault("trainingColumns"))
         self.transformSchema(df.schema)
-        self._check_rows(df)
+        if self.getOrDefault("checkRows"):
+            self._check_rows(df)
         path = self.getOrDefault("exportPath") if self.isDefined("exportPath") else None
         if path is None:
             model = self._train(df)

@@ -117,7 +117,7 @@ class BoostedTable(TableEstimator):
             family = FAMILIES[objective]
             # The variance power and the log link (link power 0) of a Tweedie model have their own names.
             link = {"variancePower": self.setting("tweedie_variance_power"), "linkPower": 0.0} if family == "tweedie" else {"link": "log"}
-            stage = self._linear(GeneralizedLinearRegression, None, family=family, **link, **penalty)
+            stage = self._linear(GeneralizedLinearRegression, None, family=family, tol=1e-9, **link, **penalty)
         else:
             return self._ranker(slim, penalty)
         model = BoostedModel()

@@ -141,9 +141,10 @@ class BinaryClassifierTable(LinearParams):
         model.facts.update(score="score", label="predicted_label", threshold=0.0 if isinstance(stage, LinearSVC) else 0.5)
         criterion = self.setting("binary_classifier_model_selection_criteria")
         if criterion not in ("cross_entropy_loss", "loss_function"):
-            scored = model._scored(df.select(features, label)).select(label, "_score")
+            scored = model._scored(df.select(features, label))
             sweep = curves.threshold_sweep(scored, label, "_score", self.setting("f_beta"),
-                                           self.setting("num_calibration_samples"), [F.xxhash64("_score", label)])
+                                           self.setting("num_calibration_samples"),
+                                           [F.xxhash64(F.unwrap_udt(features), label)])
             best = curves.best_threshold(sweep, criterion, self.setting("target_recall"),
                                          self.setting("target_precision")).first()
             if best is not None:

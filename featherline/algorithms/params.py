@@ -107,7 +107,7 @@ class HyperParams(Params):
     required: ClassVar[tuple[str, ...]] = ()
     # Params that say where columns and files are, not how to train.
     wiring: ClassVar[tuple[str, ...]] = ("featuresCol", "labelCol", "keepInput", "trainingColumns", "exportPath",
-                                         "exportFormat", "keepExport")
+                                         "exportFormat", "keepExport", "checkRows")
 
     def __init_subclass__(cls, **kwargs: Any) -> None:
         super().__init_subclass__(**kwargs)

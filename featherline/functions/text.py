@@ -119,7 +119,7 @@ def parse_libsvm(lines: DataFrame, dim: int, line: str = "value", mode: str = "F
 def csv_numbers(responses: DataFrame, body: str = "body", prediction: str = "prediction") -> DataFrame:
     """One row per number of a comma-separated body, with its position; a bad number fails."""
     rest = [c for c in responses.columns if c != body]
-    cells = F.split(F.trim(F.col(body)), ",", -1)
+    cells = F.split(F.btrim(F.col(body), F.lit(" \t\r\n")), ",", -1)
     exploded = responses.select(*rest, F.posexplode(cells).alias("position", "_cell"))
     value = F.col("_cell").try_cast("double")
     strict = F.when(value.isNull(), F.raise_error(F.concat(F.lit("not a number: "), "_cell"))).otherwise(value)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from featherline.operators import metrics
 from featherline.operators.ordered import TASK_ROWS, running
@@ -25,14 +25,14 @@ def by_score(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", beta: float = 1.0,
-                    max_rows: int | None = None, key: Sequence[str] = (), task_rows: int = TASK_ROWS) -> DataFrame:
+                    max_rows: int | None = None, key: Sequence[str | Column] = (), task_rows: int = TASK_ROWS) -> DataFrame:
     """Metrics of ``score >= threshold`` for every distinct score, optionally over a hash sample."""
     if max_rows is not None:
         df = hash_sample(df, max_rows, *key)
     counted = by_score(df, label, score)
-    positives, negatives = counted.agg(F.sum("positives"), F.sum("negatives")).first()
+    scores, positives, negatives = counted.agg(F.count(F.lit(1)), F.sum("positives"), F.sum("negatives")).first()
     above = running(counted, [], [F.col("threshold").desc()],
-                    {"tp": F.col("positives"), "fp": F.col("negatives")}, task_rows)
+                    {"tp": F.col("positives"), "fp": F.col("negatives")}, task_rows, (scores, scores))
     counts = above.select(
         "threshold", "tp", "fp", (F.lit(positives or 0) - F.col("tp")).alias("fn"),
         (F.lit(negatives or 0) - F.col("fp")).alias("tn"))

@@ -20,14 +20,15 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column],
-            task_rows: int = TASK_ROWS) -> DataFrame:
+            task_rows: int = TASK_ROWS, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Add the running sum of each of ``totals`` within ``by``, in ``order``, the row itself included.
 
     ``by`` and ``order`` together should tell rows apart. When every group fits a task this is a
     window. Otherwise rows are range-partitioned on both, so that a large group spreads over many
-    tasks; each adds what the earlier ranges of its group sum to.
+    tasks; each adds what the earlier ranges of its group sum to. ``sizes`` gives the rows in all and
+    of the largest group, where the caller knows them.
     """
-    rows, most = largest_group(df, by)
+    rows, most = sizes or largest_group(df, by)
     if most <= task_rows:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})

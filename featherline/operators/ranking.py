@@ -7,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featherline.operators.ordered import TASK_ROWS, running
+from featherline.operators.ordered import TASK_ROWS, largest_group, running
+from featherline.operators.tables import join_table
 
 
 def parse_metric(text: str) -> tuple[str, int | None, bool]:
@@ -26,9 +27,10 @@ def per_query(df: DataFrame, query: str, label: str, score: str, key: str, cut:
     """
     one = F.lit(1)
     slim = df.select(query, F.col(label).cast("double").alias("_label"), F.col(score).alias("_score"), key)
+    sizes = largest_group(slim, [query])
     ranked = running(slim, [query], [F.col("_score").desc(), F.col(key)],
-                     {"_rank": one, "_hits": (F.col("_label") > 0).cast("int")}, task_rows)
-    ranked = running(ranked, [query], [F.col("_label").desc(), F.col(key)], {"_ideal": one}, task_rows)
+                     {"_rank": one, "_hits": (F.col("_label") > 0).cast("int")}, task_rows, sizes)
+    ranked = running(ranked, [query], [F.col("_label").desc(), F.col(key)], {"_ideal": one}, task_rows, sizes)
 
     def gain(rank: str) -> Column:
         value = (F.pow(F.lit(2.0), F.col("_label")) - 1) / F.log2(F.col(rank) + 1.0)
@@ -68,11 +70,11 @@ def training_pairs(df: DataFrame, query: str, label: str, key: str, columns: Seq
     digest = F.md5(F.concat_ws("|", F.col(query).cast("string"), F.col(key).cast("string")))
     spin = F.conv(F.substring(digest, 9, 8), 16, 10).cast("long")
     slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    # Pools per query from its size, counted with partial sums; the table has a row per query.
+    # Pools per query from its size, counted with partial sums.
     sizes = df.groupBy(query).agg(F.ceil(F.count(F.lit(1)) / pool_rows).alias("_pools"))
     hashed = df.select(query, key, label, *[c for c in columns if c not in (query, key, label)],
                        digest.alias("_digest"), spin.alias("_spin"), slot.alias("_slot"))
-    pooled = hashed.join(sizes, query).withColumn("_pool", F.col("_slot") % F.col("_pools"))
+    pooled = join_table(hashed, sizes, [query]).withColumn("_pool", F.col("_slot") % F.col("_pools"))
     window = Window.partitionBy(query, "_pool").orderBy(label, "_digest", key)
     by_label = Window.partitionBy(query, "_pool").orderBy(label)
     numbered = pooled.withColumns({

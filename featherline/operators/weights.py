@@ -8,9 +8,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from featherline.operators.sampling import hash_sample
-
-# Classes a weight table may hold to be sent to every task.
-BROADCAST_CLASSES = 1_000_000
+from featherline.operators.tables import join_table
 
 
 def moments(df: DataFrame, features: str = "features", label: str | None = None,
@@ -30,16 +28,12 @@ def moments(df: DataFrame, features: str = "features", label: str | None = None,
         "n_rows", F.col("_summary.mean").alias("mean"), F.col("_summary.std").alias("std"), *extra)
 
 
-def _class_table(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
+    """One row per class: its size, and the weight that gives all classes the same total."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total, classes = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     weight = F.lit(float(total or 0)) / (F.lit(float(classes)) * F.col("n"))
-    return counts.withColumn("weight", weight), classes
-
-
-def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """One row per class: its size, and the weight that gives all classes the same total."""
-    return _class_table(df, label)[0]
+    return counts.withColumn("weight", weight)
 
 
 def positive_weight(df: DataFrame, label: str = "label", multiplier: float | str = 1.0) -> float:
@@ -55,13 +49,9 @@ def positive_weight_column(label: Column, weight: float) -> Column:
 
 
 def with_class_weights(df: DataFrame, label: str = "label", weight: str = "weight") -> DataFrame:
-    """Each row with its class's weight.
-
-    The class table goes to every task up to a bound; beyond it, the join shuffles on the class.
-    """
-    table, classes = _class_table(df, label)
-    table = table.select(label, F.col("weight").alias(weight))
-    return df.join(F.broadcast(table) if classes <= BROADCAST_CLASSES else table, label)
+    """Each row with its class's weight."""
+    table = class_weights(df, label).select(label, F.col("weight").alias(weight))
+    return join_table(df, table, [label])
 
 
 def neg_over_pos(df: DataFrame, label: str = "label") -> DataFrame:

@@ -96,17 +96,15 @@ def libsvm_permissive(spark, folder):
     )
 
 
-@query("csv_predictions", """
-    SELECT l_orderkey, position::INTEGER AS position, value AS prediction FROM (
-        SELECT l_orderkey, unnest(range(len(v))) AS position, unnest(v) AS value FROM (
-            SELECT l_orderkey, list(l_quantity ORDER BY l_quantity) AS v FROM lineitem GROUP BY l_orderkey))""")
+@query("csv_predictions", f"""
+    SELECT {KEYED}, position::INTEGER AS position, value AS prediction FROM (
+        SELECT {KEYED}, unnest(range(4)) AS position, unnest([l_quantity, l_extendedprice, l_discount, l_tax]) AS value
+        FROM lineitem)""")
 def csv_predictions(spark, folder):
-    bodies = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list("l_quantity")).alias("numbers"))
-    made = bodies.select("l_orderkey", F.concat(F.array_join(F.col("numbers").cast("array<string>"), ","), F.lit(" \n"))
-                         .alias("body"))
-    trimmed = made.withColumn("body", F.regexp_replace("body", r"\s+$", ""))
-    return text.csv_numbers(trimmed)
+    """Response bodies of four numbers, split into one row per number."""
+    names = KEYED.split(", ")
+    bodies = lines(spark, folder, *names).select(*names, F.concat(F.lit("  "), text.csv_line(F.col("features"))).alias("body"))
+    return text.csv_numbers(bodies)
 
 
 @query("drop_zeros", f"""

