@@ -42,7 +42,7 @@ def nearest(features: Column, centers: np.ndarray) -> Column:
         columns = [pa.array(np.concatenate(c) if c else np.empty(0)) for c in (distances, clusters)]
         return pa.StructArray.from_arrays(columns, names=["distance", "cluster"])
 
-    return find(features)
+    return find(vectors.lean(features))
 
 
 def project(features: Column, components: np.ndarray, mean: np.ndarray | None = None) -> Column:
@@ -56,4 +56,4 @@ def project(features: Column, components: np.ndarray, mean: np.ndarray | None =
         matrix = np.concatenate(blocks) if blocks else np.empty((0, components.shape[1]))
         return vectors.dense_column(matrix if shift is None else matrix - shift)
 
-    return find(features)
+    return find(vectors.lean(features))

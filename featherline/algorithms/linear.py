@@ -71,16 +71,20 @@ class LinearParams(TableEstimator):
                 "maxIter": self.setting("epochs"), "tol": self.setting("early_stopping_tolerance"),
                 "fitIntercept": self.setting("use_bias") == "True"}
 
-    def _scaled(self, df: DataFrame):
+    def _scaler_rows(self, df: DataFrame) -> DataFrame:
+        """The rows that moments are estimated on, as many as asked for."""
+        features, label = self.getOrDefault("featuresCol"), self.getOrDefault("labelCol")
+        return hash_sample(df.select(features, label), self.setting("num_point_for_scaler"),
+                           F.xxhash64(F.unwrap_udt(features), label))
+
+    def _scaled(self, df: DataFrame, sample: DataFrame | None = None):
         """Scale and center as asked, by a stage that scoring repeats; none when Spark's trainers do it."""
         if self.setting("unbias_data") != "True":
             return df, None
         features, name = self.getOrDefault("featuresCol"), scratch_name("scaled")
         stage = StandardScaler(inputCol=features, outputCol=name, withMean=True,
                                withStd=self.setting("normalize_data") == "True")
-        sample = hash_sample(df.select(features), self.setting("num_point_for_scaler"),
-                             F.xxhash64(F.unwrap_udt(features)))
-        fitted = stage.fit(sample)
+        fitted = stage.fit(self._scaler_rows(df) if sample is None else sample)
         return fitted.transform(df).drop(features).withColumnRenamed(name, features), fitted
 
     def _candidates(self) -> list[dict]:
@@ -269,8 +273,13 @@ class RegressorTable(LinearParams):
 
     def _train(self, df: DataFrame) -> RegressorModel:
         features, label = self.getOrDefault("featuresCol"), self.getOrDefault("labelCol")
-        slim, scaler = self._scaled(df.select(features, label))
-        center, scale = self._label_moments(slim, label)
+        slim = df.select(features, label)
+        label_moments = "True" in (self.setting("unbias_label"), self.setting("normalize_label"))
+        sample = self._scaler_rows(slim).persist() if label_moments or self.setting("unbias_data") == "True" else None
+        slim, scaler = self._scaled(slim, sample)
+        center, scale = self._label_moments(sample, label) if label_moments else (0.0, 1.0)
+        if sample is not None:
+            sample.unpersist()
         if (center, scale) != (0.0, 1.0):
             slim = slim.withColumn(label, (F.col(label) - center) / scale)
         loss = self.setting("loss")
@@ -295,12 +304,8 @@ class RegressorTable(LinearParams):
         model.facts.update(score="score", center=center, scale=scale)
         return model
 
-    def _label_moments(self, df: DataFrame, label: str) -> tuple[float, float]:
+    def _label_moments(self, sample: DataFrame, label: str) -> tuple[float, float]:
         unbias, normalize = self.setting("unbias_label") == "True", self.setting("normalize_label") == "True"
-        if not (unbias or normalize):
-            return 0.0, 1.0
-        sample = hash_sample(df, self.setting("num_point_for_scaler"),
-                             F.xxhash64(F.unwrap_udt(self.getOrDefault("featuresCol")), label))
         mean, deviation = sample.agg(F.avg(label), F.stddev_samp(label)).first()
         return (mean if unbias else 0.0), (deviation if normalize and deviation else 1.0)
 

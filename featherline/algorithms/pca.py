@@ -16,6 +16,7 @@ from pyspark.ml.linalg import VectorUDT
 from featherline.algorithms import geometry
 from featherline.algorithms.base import TableEstimator, TableModel
 from featherline.algorithms.params import choice, declare, flag, whole
+from featherline.functions import vectors
 
 # Passes that sharpen a random sketch.
 POWER_PASSES = 2
@@ -96,7 +97,7 @@ def apply_gram(df: DataFrame, basis: np.ndarray, mean: np.ndarray | None) -> np.
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(width)), pa.array(list(total), pa.list_(pa.float64()))], names=["row", "part"])
 
-    parts = df.select("x").mapInArrow(add, "row long, part array<double>")
+    parts = df.select(vectors.lean(F.col("x")).alias("x")).mapInArrow(add, "row long, part array<double>")
     sums = parts.groupBy("row").agg(*[F.sum(F.col("part")[j]).alias(f"c{j}") for j in range(columns)])
     table = sums.orderBy("row").toArrow()
     return np.column_stack([table.column(f"c{j}").to_numpy() for j in range(columns)])

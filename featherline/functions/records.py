@@ -108,9 +108,10 @@ def _encode_labeled(features: pa.Array, label: pa.Array) -> pa.Array:
     return wire.binary_array(encode_batch(features, label))
 
 
-def record_bytes(features: Column, label: Column | None = None) -> Column:
-    """One record per row. Values are narrowed to 32 bits; sparse vectors keep keys and size."""
-    return _encode_features(features) if label is None else _encode_labeled(features, label.cast("double"))
+def record_bytes(features: Column, label: Column | None = None, matrix: bool = False) -> Column:
+    """One record per row of vectors (or matrices). Values are narrowed to 32 bits; sparse ones keep keys and size."""
+    raw = vectors.lean_matrix(features) if matrix else vectors.lean(features)
+    return _encode_features(raw) if label is None else _encode_labeled(raw, label.cast("double"))
 
 
 def _little_endian(number: Column) -> Column:
@@ -305,4 +306,6 @@ def decode_outputs(body: Column, schema: T.StructType, keys: Sequence[str] | Non
 
 
 def is_features_type(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (VectorUDT, MatrixUDT))
+    """Vectors, matrices, or vectors as lean structs."""
+    lean = isinstance(data_type, T.StructType) and data_type.fieldNames() == vectors.LEAN.fieldNames()
+    return lean or isinstance(data_type, (VectorUDT, MatrixUDT))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Arrow layout of Spark's vector type: type 0 is sparse, 1 is dense.
 VECTOR_ARROW = pa.struct(
@@ -40,6 +41,55 @@ def vector_size(features: Column) -> Column:
     return F.when(raw["type"] == 0, raw["size"]).otherwise(F.size(raw["values"]))
 
 
+def lean(features: Column) -> Column:
+    """A vector column as a plain struct without null fields, to be handed to Python tasks.
+
+    Spark's Arrow writer goes back over the whole batch for every null list, and a dense vector has
+    one; empty lists cost nothing. The numpy readers here take either form.
+    """
+    raw = F.unwrap_udt(features)
+    fields = F.struct(
+        raw["type"].alias("type"),
+        F.coalesce(raw["size"], F.lit(0)).alias("size"),
+        F.coalesce(raw["indices"], F.array().cast("array<int>")).alias("indices"),
+        raw["values"].alias("values"),
+    )
+    return F.when(features.isNotNull(), fields)
+
+
+def lean_matrix(features: Column) -> Column:
+    """The same for a matrix column."""
+    raw = F.unwrap_udt(features)
+    empty = F.array().cast("array<int>")
+    fields = F.struct(
+        *[raw[name].alias(name) for name in ("type", "numRows", "numCols")],
+        F.coalesce(raw["colPtrs"], empty).alias("colPtrs"),
+        F.coalesce(raw["rowIndices"], empty).alias("rowIndices"),
+        *[raw[name].alias(name) for name in ("values", "isTransposed")],
+    )
+    return F.when(features.isNotNull(), fields)
+
+
+LEAN = (
+    T.StructType()
+    .add("type", T.ByteType())
+    .add("size", T.IntegerType())
+    .add("indices", T.ArrayType(T.IntegerType()))
+    .add("values", T.ArrayType(T.DoubleType()))
+)
+
+
+def full(column: pa.StructArray) -> pa.StructArray:
+    """A lean column in the layout of vectors again, with nulls where dense rows have no indices."""
+    dense = pc.equal(column.field("type"), 1)
+    size = pc.if_else(dense, pa.scalar(None, pa.int32()), column.field("size"))
+    indices = column.field("indices")
+    indices = pc.if_else(dense, pa.scalar(None, indices.type), indices).cast(VECTOR_ARROW.field("indices").type)
+    values = column.field("values").cast(VECTOR_ARROW.field("values").type)
+    return pa.StructArray.from_arrays([column.field("type"), size, indices, values], fields=list(VECTOR_ARROW),
+                                      mask=column.is_null())
+
+
 def float32(column: Column) -> Column:
     """The value after a trip through 32 bits."""
     return column.cast("float").cast("double")

@@ -7,9 +7,12 @@ from typing import Any, Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from featherline.functions import vectors
+
 MAX_BYTES = 5242880
 MAX_RECORDS = 2147483647
 
@@ -193,7 +196,10 @@ def score_payloads(df: DataFrame, encoder: Encoder, decoder: Decoder, score: Cal
     if taken:
         raise ValueError(f"prediction columns already in the input: {taken}")
     kept = df.columns if keep_input else []
-    encoded = df.select(*kept, encoder.encode().cast("binary").alias("_body"))
+    # Vectors travel to the tasks and back in their lean form.
+    lean = {c for c in kept if isinstance(df.schema[c].dataType, VectorUDT)}
+    passed = [vectors.lean(F.col(c)).alias(c) if c in lean else F.col(c) for c in kept]
+    encoded = df.select(*passed, encoder.encode().cast("binary").alias("_body"))
     result = T.StructType([*[df.schema[c] for c in kept], *decoder.schema])
     decode = decoder.decode
     arrow = to_arrow_schema(result)
@@ -204,7 +210,8 @@ def score_payloads(df: DataFrame, encoder: Encoder, decoder: Decoder, score: Cal
         if answer.num_rows != rows.num_rows:
             raise ValueError(f"{rows.num_rows} rows were sent but {answer.num_rows} came back")
         answers = [answer.column(answer.schema.get_field_index(n)) for n in answer_fields]
-        columns = [rows.column(i) for i in range(len(kept))] + answers
+        inputs = [vectors.full(rows.column(i)) if c in lean else rows.column(i) for i, c in enumerate(kept)]
+        columns = inputs + answers
         return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

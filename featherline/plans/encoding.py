@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from featherline.functions import keys, records, text, vectors
 from featherline.operators import codecs, packing, tables
-from featherline.plans.registry import query, table
+from featherline.plans.registry import query, spread, table
 from featherline.sources import export
 from featherline.workspace import new_path
 
@@ -18,7 +18,7 @@ MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 def lines(spark, folder, *columns) -> DataFrame:
     """Lineitem rows with their four measures as a vector and a label from the return flag."""
     label = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         *columns, label.alias("label"), vectors.vector_of(*MEASURES).alias("features"))
 
 
@@ -162,11 +162,11 @@ def recordio_matrix(spark, folder):
     # A 2 x 2 matrix held column by column; the wire order is row by row.
     matrix = as_matrix(F.struct(
         F.lit(1).cast("tinyint").alias("type"), F.lit(2).alias("numRows"), F.lit(2).alias("numCols"),
-        F.lit(None).cast("array<int>").alias("colPtrs"), F.lit(None).cast("array<int>").alias("rowIndices"),
+        F.array().cast("array<int>").alias("colPtrs"), F.array().cast("array<int>").alias("rowIndices"),
         F.array("l_quantity", "l_discount", "l_extendedprice", "l_tax").alias("values"),
         F.lit(False).alias("isTransposed")))
-    body = records.frame(records.record_bytes(matrix))
-    framed = table(spark, folder, "lineitem").select(
+    body = records.frame(records.record_bytes(matrix, matrix=True))
+    framed = spread(table(spark, folder, "lineitem")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_key"), body.alias("payload"))
     parsed = records.unframe(framed, "payload").select("row_key", records.read_tensor(F.col("body")).alias("t"))
     values = [F.col("t")["values"][i].cast("double").alias(n) for i, n in enumerate(("v11", "v12", "v21", "v22"))]
@@ -311,10 +311,10 @@ def greedy_sql(max_bytes: int, shards: int) -> str:
     SELECT lang, shard, batch_id, count(*) AS n_rows, sum(bytes)::BIGINT AS n_bytes FROM filled GROUP BY ALL"""
 
 
-@query("pack_bytes", greedy_sql(100000, 4))
+@query("pack_bytes", greedy_sql(200000, 4))
 def pack_bytes(spark, folder):
     packed = packing.pack_groups(table(spark, folder, "documents"), ["lang"], ["doc_id"], "text",
-                                 max_bytes=100000, shards=F.col("doc_id") % 4)
+                                 max_bytes=200000, shards=F.col("doc_id") % 4)
     return packed.select("lang", "shard", "batch_id", "n_rows", F.octet_length("payload").cast("bigint").alias("n_bytes"))
 
 
@@ -363,7 +363,7 @@ def custom_decoder(spark, folder):
     response = F.concat(
         named_tensor("score", vectors.vector_of("l_quantity")),
         named_tensor("projection", vectors.vector_of("l_quantity", "l_extendedprice")))
-    made = table(spark, folder, "lineitem").select(*names, records.frame(response).alias("payload"))
+    made = spread(table(spark, folder, "lineitem")).select(*names, records.frame(response).alias("payload"))
     decoded = records.unframe(made, "payload").select(
         *names, records.decode_outputs(F.col("body"), schema, ["score", "projection"]).alias("out"))
     pair = vectors.to_array(F.col("out.pair"))

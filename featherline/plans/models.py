@@ -15,7 +15,7 @@ from featherline.functions import vectors
 from featherline.operators import codecs, losses, metrics, tables
 from featherline.plans.encoding import KEYED
 from featherline.plans.quality import relevance, rounded
-from featherline.plans.registry import query, table
+from featherline.plans.registry import query, spread, table
 from featherline.sources import export
 from featherline.workspace import new_path
 
@@ -102,7 +102,7 @@ def kmeans_surplus(spark, folder):
 
 def two_columns(spark, folder) -> DataFrame:
     """Quantity and price in units of their deviation, the price twice as wide."""
-    lineitem = table(spark, folder, "lineitem")
+    lineitem = spread(table(spark, folder, "lineitem"))
     q, p = lineitem.agg(F.stddev_samp("l_quantity"), F.stddev_samp("l_extendedprice")).first()
     return lineitem.select(*KEYED.split(", "), vectors.vector_of(
         F.col("l_quantity") / q, 2 * F.col("l_extendedprice") / p).alias("features"))
@@ -175,7 +175,7 @@ def linreg_fit(spark, folder):
         FROM lineitem)""")
 def linreg_scaled(spark, folder):
     """Centered and scaled features and label, undone in the score."""
-    df = table(spark, folder, "lineitem").select(
+    df = spread(table(spark, folder, "lineitem")).select(
         *KEYED.split(", "), vectors.vector_of("l_quantity").alias("features"), (F.col("l_extendedprice") / 1000).alias("label"))
     trainer = linear.RegressorTable(feature_dim=1, unbias_data=True, normalize_label=True, unbias_label=True,
                                     early_stopping_tolerance=1e-12)
@@ -470,7 +470,7 @@ def model_select(spark, folder):
 def custom_algorithm(spark, folder):
     """A user's own algorithm: a mean learned by a Spark job, a scorer of CSV payloads, the CSV decoder."""
     names = KEYED.split(", ")
-    df = table(spark, folder, "lineitem").select(
+    df = spread(table(spark, folder, "lineitem")).select(
         *names, F.col("l_extendedprice").alias("label"), vectors.vector_of("l_quantity").alias("features"))
 
     def fit(training: DataFrame, params: dict[str, str]):

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featherline.functions import keys
+from featherline.functions import keys, vectors
 from featherline.operators.tables import project
 from featherline.sources import files
 
@@ -30,6 +31,8 @@ def export(df: DataFrame, path: str, fmt: str = "recordio", options: Mapping[str
     if distribution not in (SHARDED, REPLICATED):
         raise ValueError(f"unknown distribution {distribution}")
     chosen = project(df, columns)
+    if fmt == "recordio":
+        chosen = lean_features(chosen, dict(options or {}))
     if shards and distribution == SHARDED:
         chosen = chosen.repartition(shards)
     if fmt == "recordio" and mode is None:
@@ -42,6 +45,14 @@ def export(df: DataFrame, path: str, fmt: str = "recordio", options: Mapping[str
     (writer.mode(mode) if mode else writer).save(path)
 
 
+def lean_features(df: DataFrame, options: Mapping[str, str]) -> DataFrame:
+    """The features column in the form that reaches tasks fastest."""
+    name = options.get("featuresColumnName", "features")
+    if name in df.columns and isinstance(df.schema[name].dataType, VectorUDT):
+        return df.withColumn(name, vectors.lean(F.col(name)))
+    return df
+
+
 def exists(path: str) -> bool:
     store, inner = files.open_store(path)
     return store.get_file_info(inner).type.name != "NotFound"

@@ -35,7 +35,8 @@ from featherline.sources import files
 SUFFIX = ".pbr"
 FILE_BYTES = 256 << 20
 READ_BYTES = 8 << 20
-PARTITION_BYTES = 128 << 20
+# Small files are read together up to this size.
+PARTITION_BYTES = 8 << 20
 STAGING = "_staging"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from featherline.sources import recordio
+from featherline.sources.export import lean_features
 
 
 def score_stream(model: Any, stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **trigger: Any) -> StreamingQuery:
@@ -20,5 +21,5 @@ def write_records(stream: DataFrame, path: str, checkpoint: str, options: dict[s
                   **trigger: Any) -> StreamingQuery:
     """Write a stream of feature rows as framed records; a replayed batch replaces its files."""
     recordio.register(stream.sparkSession)
-    writer = stream.writeStream.format("recordio").options(**(options or {}), path=path)
+    writer = lean_features(stream, options or {}).writeStream.format("recordio").options(**(options or {}), path=path)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -11,7 +11,8 @@ from featherline.operators import codecs
 @pytest.fixture(scope="module")
 def blobs(spark):
     rng = np.random.default_rng(0)
-    rows = [(i, float(i % 3), Vectors.dense(rng.normal(loc=10 * (i % 3), size=4))) for i in range(300)]
+    centers = np.array([[10.0, 0, 0, 0], [0, 20.0, 0, 0], [0, 0, 35.0, 0]])
+    rows = [(i, float(i % 3), Vectors.dense(rng.normal(loc=centers[i % 3]))) for i in range(300)]
     return spark.createDataFrame(rows, ["id", "label", "features"]).persist()
 
 

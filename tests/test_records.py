@@ -2,7 +2,7 @@ import struct
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import DenseMatrix, SparseMatrix, Vectors, VectorUDT
+from pyspark.ml.linalg import DenseMatrix, MatrixUDT, SparseMatrix, Vectors, VectorUDT
 from pyspark.sql import functions as F, types as T
 
 from featherline.functions import records, vectors, wire
@@ -12,7 +12,8 @@ SPARSE = Vectors.sparse(100, list(range(1, 100, 10)), [float(i) for i in range(1
 
 
 def parsed(df, *columns):
-    body = records.record_bytes(*[F.col(c) for c in columns])
+    matrix = df.schema["features"].dataType == MatrixUDT()
+    body = records.record_bytes(*[F.col(c) for c in columns], matrix=matrix)
     return df.select(records.parse_record(body).alias("r")).first()["r"]
 
 
