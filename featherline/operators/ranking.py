@@ -61,29 +61,29 @@ def training_pairs(df: DataFrame, query: str, label: str, key: str, columns: Seq
     """One less relevant partner per row, from the same query.
 
     Each query is split by hash into pools of about ``pool_rows`` rows, so a query of any size is
-    many small groups. In a pool, rows are numbered by label and hash; a row with ``k`` rows of lower label
-    below it takes the one its hash points at. The result has a row per pair: ``query``, the two
+    many small groups. ``key`` must tell rows apart. In a pool, rows are ordered by label and hash; a
+    row with ``k`` rows of lower label takes the one of them its hash points at. The rows are shuffled once: pools are
+    numbered, gathered and paired by the same partitioning. The result has a row per pair: ``query``, the two
     keys and, for each of ``columns``, its values as ``<name>_high`` and ``<name>_low``.
     """
     if pool_rows < 2:
         raise ValueError("a pool needs at least 2 rows")
     digest = F.md5(F.concat_ws("|", F.col(query).cast("string"), F.col(key).cast("string")))
-    spin = F.conv(F.substring(digest, 9, 8), 16, 10).cast("long")
-    slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    number = {name: F.conv(F.substring(digest, at, 8), 16, 10).cast("long") for name, at in (("_slot", 1), ("_spin", 9))}
     # Pools per query from its size, counted with partial sums.
     sizes = df.groupBy(query).agg(F.ceil(F.count(F.lit(1)) / pool_rows).alias("_pools"))
-    hashed = df.select(query, key, label, *[c for c in columns if c not in (query, key, label)],
-                       digest.alias("_digest"), spin.alias("_spin"), slot.alias("_slot"))
+    taken = F.struct(F.col(key).alias("key"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    hashed = df.select(query, F.col(label).alias("_label"), taken.alias("_row"), digest.alias("_digest"),
+                       number["_slot"].alias("_slot"), number["_spin"].alias("_spin"))
     pooled = join_table(hashed, sizes, [query]).withColumn("_pool", F.col("_slot") % F.col("_pools"))
-    window = Window.partitionBy(query, "_pool").orderBy(label, "_digest", key)
-    by_label = Window.partitionBy(query, "_pool").orderBy(label)
-    numbered = pooled.withColumns({
-        "_place": F.row_number().over(window),
-        "_lower": (F.rank().over(by_label) - 1),
-    })
-    seekers = numbered.filter(F.col("_lower") > 0).select(
-        query, "_pool", F.col(key).alias(f"{key}_high"), (F.col("_spin") % F.col("_lower") + 1).alias("_place"),
-        *[F.col(c).alias(f"{c}_high") for c in columns])
-    partners = numbered.select(
-        query, "_pool", "_place", F.col(key).alias(f"{key}_low"), *[F.col(c).alias(f"{c}_low") for c in columns])
-    return seekers.join(partners, [query, "_pool", "_place"]).drop("_pool", "_place")
+    lower = F.rank().over(Window.partitionBy(query, "_pool").orderBy("_label")) - 1
+    member = F.struct("_label", "_digest", F.col("_row.key").alias("key"), "_lower", "_spin", "_row")
+    pools = pooled.withColumn("_lower", lower).groupBy(query, "_pool").agg(F.sort_array(F.collect_list(member)).alias("_rows"))
+    rows = F.col("_rows")
+    pairs = F.transform(
+        F.filter(rows, lambda r: r["_lower"] > 0),
+        lambda r: F.struct(r["_row"].alias("high"), F.get(rows, (r["_spin"] % r["_lower"]).cast("int"))["_row"].alias("low")))
+    exploded = pools.select(query, F.explode(pairs).alias("_pair"))
+    sides = [F.col(f"_pair.{side}.key").alias(f"{key}_{side}") for side in ("high", "low")]
+    sides += [F.col(f"_pair.{side}.c{i}").alias(f"{c}_{side}") for i, c in enumerate(columns) for side in ("high", "low")]
+    return exploded.select(query, *sides)

@@ -14,8 +14,8 @@ from featherline.sources import files
 
 MANIFEST_SUFFIX = ".manifest.txt"
 # Ways to lay out an export for its readers (fixed values).
-SHARDED = "ShardedByS3Key"
-REPLICATED = "FullyReplicated"
+SHARDED = "sharded"
+REPLICATED = "replicated"
 
 
 def export(df: DataFrame, path: str, fmt: str = "recordio", options: Mapping[str, str] | None = None,
