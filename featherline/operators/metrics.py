@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from featherline.operators import losses
@@ -47,6 +49,14 @@ def binary_metrics(df: DataFrame, label: str = "label", score: str = "score", th
     return rates(confusion(df, label, F.col(score) > threshold), beta)
 
 
+def errors_at(df: DataFrame, thresholds: Sequence[float], label: str = "label", score: str = "score") -> DataFrame:
+    """``error@t`` for each threshold: one pass with a sum per threshold."""
+    wrong = [((F.col(score) > t) != (F.col(label) == 1)).cast("double") for t in thresholds]
+    sums = df.agg(*[F.avg(w).alias(f"e{i}") for i, w in enumerate(wrong)])
+    rows = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"e{i}").alias("error")) for i, t in enumerate(thresholds)])
+    return sums.select(F.inline(rows))
+
+
 def multiclass_metrics(df: DataFrame, label: str = "label", predicted: str = "predicted_label") -> DataFrame:
     wrong = F.avg(F.when(F.col(label) == F.col(predicted), 0.0).otherwise(1.0))
     return df.agg((1 - wrong).alias("accuracy"), wrong.alias("merror"))

@@ -179,6 +179,23 @@ def as_matrix(raw):
     return F.arrow_udf(lambda column: column, MatrixUDT())(raw)
 
 
+@query("narrowed", f"SELECT {KEYED}, l_extendedprice::FLOAT::DOUBLE AS price, l_tax::FLOAT::DOUBLE AS tax FROM lineitem")
+def narrowed(spark, folder):
+    """Values after a trip through 32 bits."""
+    return table(spark, folder, "lineitem").select(
+        *KEYED.split(", "), vectors.float32(F.col("l_extendedprice")).alias("price"), vectors.float32(F.col("l_tax")).alias("tax"))
+
+
+@query("bound_columns", f"""
+    SELECT CAST({LABEL_SQL} AS DOUBLE) AS label, l_quantity AS x1, l_extendedprice AS x2, l_discount AS x3, l_tax AS x4
+    FROM lineitem""")
+def bound_columns(spark, folder):
+    """A table with columns of other names, bound to label and features."""
+    renamed = lines(spark, folder, "l_orderkey").withColumnsRenamed({"label": "returned", "features": "measures"})
+    x = vectors.to_array("features")
+    return tables.bind(renamed, "measures", "returned").select("label", *[x[i].alias(f"x{i + 1}") for i in range(4)])
+
+
 @query("recordio_sizes", f"""
     SELECT {KEYED}, 52 AS record_bytes, 60 AS frame_bytes FROM lineitem""")
 def recordio_sizes(spark, folder):
@@ -231,9 +248,8 @@ def manifest(spark, folder):
     files = export.listing(spark, path).agg(
         F.count(F.lit(1)).alias("n_files"), (F.min("length") > 0).alias("sizes_known"))
     rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
-    one = F.lit(1).alias("one")
-    joined = files.select("*", one).join(described.select("*", one), "one").join(rows.select("*", one), "one")
-    return joined.select("n_files", "n_entries", "starts_with_prefix", "sizes_known", "n_rows")
+    together = files.unionByName(described, True).unionByName(rows, True)
+    return together.agg(*[F.max(c).alias(c) for c in together.columns])
 
 
 @query("shard_export", "SELECT 6::BIGINT AS n_shards, count(*) AS n_rows, true AS balanced FROM events")

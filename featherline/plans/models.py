@@ -443,10 +443,10 @@ def run_registry(spark, folder):
         registry.fit(kmeans.KMeansTable(k=3, feature_dim=63), df, root, "broken", {"owner": "tests"})
     except ValueError:
         pass
-    scored = registry.attach("good").transform(df).agg(F.count(F.lit(1)).alias("scored"))
+    scored = registry.attach("good").transform(df).count()
     rows = registry.rows().select("run", "status", F.size("params").alias("n_params"), F.col("params")["k"].alias("k"), "model_path")
-    return rows.join(F.broadcast(scored)).select(
-        "run", "status", "n_params", "k", (F.col("model_path").isNotNull() & (F.col("scored") > 0)).alias("attachable"))
+    return rows.select(
+        "run", "status", "n_params", "k", (F.col("model_path").isNotNull() & F.lit(scored > 0)).alias("attachable"))
 
 
 @query("model_select", "SELECT 4::BIGINT AS n_candidates, true AS best_chosen, count(*) AS n_rows FROM lineitem")

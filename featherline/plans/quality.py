@@ -50,9 +50,8 @@ def clf_metrics(spark, folder):
     FROM ({LABELLED}), (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS t) GROUP BY t""")
 def error_at(spark, folder):
     """``error@t`` for three thresholds, in one pass."""
-    scored = labelled(spark, folder).withColumn("threshold", F.explode(F.array(*map(F.lit, (0.25, 0.5, 0.75)))))
-    wrong = (F.col("score") > F.col("threshold")) != (F.col("label") == 1)
-    return scored.groupBy("threshold").agg(F.round(F.avg(wrong.cast("double")), 6).alias("error"))
+    found = metrics.errors_at(labelled(spark, folder), (0.25, 0.5, 0.75))
+    return found.select("threshold", F.round("error", 6).alias("error"))
 
 
 def class_scores(spark, folder):

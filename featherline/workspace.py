@@ -18,9 +18,12 @@ def shared_root(spark: SparkSession) -> str:
     A temporary folder is used only for a local master, where every task runs on this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
+    if root:
+        # A path without a scheme means the default file system, for Spark and for Arrow alike.
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        plain = ":" not in root.split("/")[0] and not default.startswith("file:")
+        return (default.rstrip("/") + root if plain else root).rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
