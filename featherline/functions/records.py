@@ -140,14 +140,19 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @F.arrow_udf(T.ArrayType(T.BinaryType()))
 def _split(payloads: pa.Array) -> pa.Array:
+    # Payloads lie end to end in the batch, so their frames are found in one go; each payload must
+    # then begin where a frame begins.
     data, starts, lengths = _bytes_of(payloads)
-    bodies, counts = [], []
-    for start, length in zip(starts, lengths):
-        begin, size, _ = wire.frame_spans(data[start : start + length])
-        bodies += [data[start + b : start + b + s].tobytes() for b, s in zip(begin, size)]
-        counts.append(len(begin))
-    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(bodies, pa.binary()))
+    first = int(starts[0]) if len(starts) else 0
+    stop = int(starts[-1] + lengths[-1]) if len(starts) else 0
+    begin, size, _ = wire.frame_spans(data[first:stop])
+    filled = lengths > 0
+    heads = begin + first - 8
+    at = np.searchsorted(heads, starts)
+    if not np.isin(starts[filled], heads).all():
+        raise ValueError("truncated frame")
+    offsets = pa.array(np.append(at, len(heads)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, wire.binary_array(wire.gather(data, begin + first, size)))
 
 
 def split_frames(payload: Column) -> Column:

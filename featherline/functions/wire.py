@@ -213,6 +213,14 @@ def frame_spans(data: np.ndarray, partial: bool = False) -> tuple[np.ndarray, np
     return np.concatenate(starts), np.concatenate(lengths), position
 
 
+def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Ragged:
+    """The given spans of ``data``, end to end."""
+    if len(lengths) and (lengths == lengths[0]).all():
+        return Ragged(data[starts[:, None] + np.arange(int(lengths[0]))].ravel(), lengths)
+    before = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+    return Ragged(data[np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)], lengths)
+
+
 def _varint(data: bytes, position: int) -> tuple[int, int]:
     number = shift = 0
     while True:

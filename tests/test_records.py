@@ -238,3 +238,15 @@ def test_uniform_frames_are_one_run():
     assert starts.tolist() == [8, 20, 32, 44, 56] and end == len(data)
     with pytest.raises(ValueError):
         wire.frame_spans(data[:-2])
+
+
+def test_payloads_of_several_frames(spark):
+    frame = lambda b: struct.pack("<Ii", wire.MAGIC, len(b)) + b + b"\0" * (-len(b) % 4)
+    payloads = [[b"aa", b"bbbb"], [], [b"c"], [b"", b"dd", b"e" * 9]]
+    df = spark.createDataFrame([(i, b"".join(map(frame, p))) for i, p in enumerate(payloads)], "i int, p binary").coalesce(1)
+    rows = df.select("i", records.split_frames(F.col("p")).alias("b")).orderBy("i").collect()
+    assert [[bytes(b) for b in r["b"]] for r in rows] == payloads
+    # The first payload's last frame claims bytes of the next payload.
+    cut = spark.createDataFrame([(frame(b"x" * 40)[:-8],), (frame(b"yyyy"),)], "p binary").coalesce(1)
+    with pytest.raises(Exception, match="truncated|magic"):
+        cut.select(records.split_frames(F.col("p"))).collect()
