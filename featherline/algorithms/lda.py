@@ -36,7 +36,7 @@ class LDATable(TableEstimator):
                             docConcentration=[self.setting("alpha0") / k] * k if k > 1 else [self.setting("alpha0")])
                 fitted = stage.fit(slim)
                 perplexity = fitted.logPerplexity(slim) if self.setting("max_restarts") > 1 else 0.0
-                if perplexity < lowest:
+                if best is None or perplexity < lowest:
                     best, lowest = fitted, perplexity
         finally:
             slim.unpersist()

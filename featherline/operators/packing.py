@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from featherline.functions import vectors
+from featherline.operators.ordered import running
 
 MAX_BYTES = 5242880
 MAX_RECORDS = 2147483647
@@ -157,15 +158,21 @@ def pack_partitions(df: DataFrame, body: str = "body", max_bytes: int = MAX_BYTE
 
 def pack_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], body: str = "body",
                 max_bytes: int = MAX_BYTES, max_records: int = MAX_RECORDS,
-                shards: Column | None = None) -> DataFrame:
+                shards: Column | None = None, shard_rows: int | None = None) -> DataFrame:
     """Fill payloads within groups, in the given order.
 
-    A payload is filled row after row, so one group and shard is one task's stream. ``shards``
-    (any expression over a row, for example a hash of its key) splits large groups; it becomes the
-    ``shard`` column of the result. Rows stream through in sorted order and only the open payload
-    is in memory.
+    A payload is filled row after row, so one group and shard is one task's stream; rows stream
+    through in sorted order and only the open payload is in memory. Large groups are split, and the
+    result then has a ``shard`` column: by ``shards``, any expression over a row such as a hash of its key,
+    in one shuffle; or into stretches of ``shard_rows`` rows that follow the order, which numbers the
+    rows first. For that, the order should tell rows apart.
     """
     require_bounds(max_bytes, max_records)
+    if shard_rows is not None:
+        if shards is not None or shard_rows < 1:
+            raise ValueError("either shards or a positive shard_rows")
+        df = running(df.select(*group, *order, body), group, [F.col(c) for c in order], {"_row": F.lit(1)})
+        shards = F.floor((F.col("_row") - 1) / shard_rows)
     names = [*group, "shard"] if shards is not None else list(group)
     columns = [F.col(c) for c in group] + ([shards.alias("shard")] if shards is not None else [])
     extra = [F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)]

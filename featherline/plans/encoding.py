@@ -311,12 +311,12 @@ def uri_split(spark, folder):
         keys.is_object_uri(uri).alias("is_object"))
 
 
-def greedy_sql(max_bytes: int, shards: int) -> str:
+def greedy_sql(max_bytes: int, shard: str) -> str:
     """Greedy filling as a recursion that steps through every group row by row."""
     return f"""
-    WITH RECURSIVE rows AS (
-        SELECT lang, (doc_id % {shards})::BIGINT AS shard, strlen(text)::BIGINT AS bytes,
-            row_number() OVER (PARTITION BY lang, doc_id % {shards} ORDER BY doc_id) AS rn FROM documents),
+    WITH RECURSIVE sharded AS (
+        SELECT lang, doc_id, strlen(text)::BIGINT AS bytes, ({shard})::BIGINT AS shard FROM documents),
+    rows AS (SELECT lang, shard, bytes, row_number() OVER (PARTITION BY lang, shard ORDER BY doc_id) AS rn FROM sharded),
     filled AS (
         SELECT lang, shard, rn, bytes, 0::BIGINT AS batch_id, bytes AS used FROM rows WHERE rn = 1
         UNION ALL
@@ -327,7 +327,15 @@ def greedy_sql(max_bytes: int, shards: int) -> str:
     SELECT lang, shard, batch_id, count(*) AS n_rows, sum(bytes)::BIGINT AS n_bytes FROM filled GROUP BY ALL"""
 
 
-@query("pack_bytes", greedy_sql(200000, 4))
+@query("pack_ranges", greedy_sql(200000, "(row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 150"))
+def pack_ranges(spark, folder):
+    """Groups split into stretches of 150 rows that follow the order."""
+    packed = packing.pack_groups(table(spark, folder, "documents"), ["lang"], ["doc_id"], "text",
+                                 max_bytes=200000, shard_rows=150)
+    return packed.select("lang", "shard", "batch_id", "n_rows", "n_bytes")
+
+
+@query("pack_bytes", greedy_sql(200000, "doc_id % 4"))
 def pack_bytes(spark, folder):
     packed = packing.pack_groups(table(spark, folder, "documents"), ["lang"], ["doc_id"], "text",
                                  max_bytes=200000, shards=F.col("doc_id") % 4)

@@ -206,3 +206,13 @@ def test_projection_of_sparse_rows(spark):
 def test_vector_helpers(spark):
     df = spark.createDataFrame([(5, [1, 3], [1.0, 2.0])], "n int, i array<int>, v array<double>")
     assert df.select(vectors.from_struct(F.col("n"), F.col("i"), F.col("v"))).first()[0] == Vectors.sparse(5, [1, 3], [1.0, 2.0])
+
+
+def test_unfitted_chain_is_saved(spark, blobs, tmp_path):
+    from pyspark.ml import Pipeline
+    path = str(tmp_path / "chain")
+    Pipeline(stages=[pca.PCATable(num_components=2, feature_dim=4), kmeans.KMeansTable(
+        k=3, feature_dim=2, featuresCol="projection", eval_metrics="ssd")]).write().save(path)
+    loaded = Pipeline.load(path)
+    assert loaded.getStages()[1].getOrDefault("eval_metrics") == ["ssd"]
+    assert loaded.fit(blobs).transform(blobs).select("closest_cluster").distinct().count() == 3
