@@ -9,14 +9,15 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, Lin
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.algorithms.base import TableEstimator, TableModel, scratch_name
-from featherline.algorithms.params import choice, declare, listed, real, text, whole
+from featherline.algorithms.params import choice, declare, matching, real, text, whole
 from featherline.functions import vectors
+from featherline.operators.evaluation import evaluate
 from featherline.operators.ranking import training_pairs
 
 OBJECTIVES = ("reg:linear", "reg:logistic", "binary:logistic", "binary:logistraw", "count:poisson", "multi:softmax",
               "multi:softprob", "rank:pairwise", "reg:gamma", "reg:tweedie")
-METRICS = ("rmse", "mae", "logloss", "error", "error@t", "merror", "mlogloss", "auc", "ndcg", "map", "ndcg@n", "map@n",
-           "ndcg-", "ndcg@n-", "map-", "map@n-")
+# Names of metrics (fixed values); a number may stand for t and n.
+METRICS = r"rmse|mae|logloss|merror|mlogloss|auc|error(@(t|\d*\.?\d+))?|(ndcg|map)(@(n|\d+))?-?"
 BINARY = ("reg:logistic", "binary:logistic", "binary:logistraw")
 MULTI = ("multi:softmax", "multi:softprob")
 # Distribution of each count or positive objective (fixed values).
@@ -53,7 +54,7 @@ class BoostedTable(TableEstimator):
     objective = declare("objective", "what to learn",
                         choice(*OBJECTIVES, either={"binary:logitraw": "binary:logistraw"}))
     num_class = declare("num_class", "number of classes", whole(1))
-    eval_metric = declare("eval_metric", "metrics to report", listed(*METRICS))
+    eval_metric = declare("eval_metric", "metrics to report", matching(METRICS))
     seed = declare("seed", "random seed", whole())
     feature_dim = declare("feature_dim", "size of the vectors, checked when given", whole(1))
     queryCol = declare("queryCol", "query of a row, for ranking", text)
@@ -66,6 +67,12 @@ class BoostedTable(TableEstimator):
             return 2
         return self.getOrDefault("num_class") if objective in MULTI and self.isDefined("num_class") else None
 
+    def evaluate(self, model: BoostedModel, df: DataFrame) -> dict[str, float]:
+        """The metrics of ``eval_metric`` on a table."""
+        names = self.setting("eval_metric") or []
+        columns = {name: self.getOrDefault(f"{name}Col") for name in ("query", "key") if self.isDefined(f"{name}Col")}
+        return evaluate(model.transform(df), names, self.getOrDefault("labelCol"), model.facts["prediction"], **columns)
+
     def transformSchema(self, schema: T.StructType) -> T.StructType:
         if self.setting("booster") == "dart":
             raise ValueError("dropout of trees is not available")

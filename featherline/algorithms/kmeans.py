@@ -10,6 +10,7 @@ from featherline.algorithms import geometry
 from featherline.algorithms.base import TableEstimator, TableModel
 from featherline.algorithms.params import choice, declare, listed, real, whole, words_or
 from featherline.functions import vectors
+from featherline.operators.evaluation import evaluate
 
 # Spark's names of the ways to start (fixed values).
 INIT_MODES = {"random": "random", "kmeans++": "k-means||"}
@@ -71,6 +72,11 @@ class KMeansTable(TableEstimator):
         return KMeansTableModel.of(np.array(fitted.clusterCenters()))
 
 
+    def evaluate(self, model: KMeansTableModel, df: DataFrame) -> dict[str, float]:
+        """The losses of ``eval_metrics`` on a table."""
+        return evaluate(model.transform(df), self.setting("eval_metrics"), prediction=model.facts["distance"])
+
+
 class KMeansTableModel(TableModel):
     """Appends the closest center's number and its Euclidean distance."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from typing import Any, ClassVar
 
@@ -93,6 +94,19 @@ def listed(*options: str) -> Callable[[Any], list[str]]:
     return convert
 
 
+def matching(pattern: str) -> Callable[[Any], list[str]]:
+    """A list, or comma-separated text, of words of a pattern."""
+
+    def convert(value: Any) -> list[str]:
+        items = [v.strip() for v in value.strip("[]").split(",")] if isinstance(value, str) else list(value)
+        for item in items:
+            if not re.fullmatch(pattern, item):
+                raise _reject(item, f"words like {pattern}")
+        return items
+
+    return convert
+
+
 def text(value: Any) -> str:
     if not isinstance(value, str):
         raise _reject(value, "text")

@@ -39,18 +39,22 @@ class RunTable:
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
     def fit(self, estimator: Any, df: DataFrame, model_root: str, run: str | None = None,
-            params: dict[str, str] | None = None) -> tuple[str, Any]:
-        """Train, save the model below ``model_root``, and record how it went."""
+            params: dict[str, str] | None = None, validation: DataFrame | None = None) -> tuple[str, Any]:
+        """Train, save the model below ``model_root``, and record how it went.
+
+        With a ``validation`` table, the estimator's own metrics on it are recorded too.
+        """
         run = run or f"run-{uuid.uuid4().hex[:12]}"
         values = estimator.hyperparameters(params)
         try:
             model = estimator.fit(df)
             path = f"{model_root.rstrip('/')}/{run}"
             model.write().save(path)
+            metrics = estimator.evaluate(model, validation) if validation is not None else None
         except Exception:
             self.record(run, FAILED, values)
             raise
-        self.record(run, COMPLETED, values, path)
+        self.record(run, COMPLETED, values, path, metrics)
         return run, model
 
     def attach(self, run: str) -> Any:

@@ -28,7 +28,7 @@ ESTIMATORS = {
     linear.MulticlassClassifierTable: {"num_classes": [3, 1000000], "accuracy_top_k": [1]},
     factorization.FactorizationBinaryTable: {"num_factors": [1], "factors_wd": [0]},
     boosted.BoostedTable: {"num_round": [1], "eta": [0, 1], "subsample": [1], "objective": ["reg:linear", "binary:logitraw"],
-                           "tweedie_variance_power": [1.5], "lambda": [2.0], "eval_metric": ["auc,map@n-"]},
+                           "tweedie_variance_power": [1.5], "lambda": [2.0], "eval_metric": ["auc,map@n-", "ndcg@5-,error@0.3"]},
 }
 REJECTED = {
     kmeans.KMeansTable: {"k": [1, 2.5, "x"], "feature_dim": [0], "init_method": ["other"], "local_lloyd_tol": [-0.1, 1.1],
@@ -216,3 +216,20 @@ def test_unfitted_chain_is_saved(spark, blobs, tmp_path):
     loaded = Pipeline.load(path)
     assert loaded.getStages()[1].getOrDefault("eval_metrics") == ["ssd"]
     assert loaded.fit(blobs).transform(blobs).select("closest_cluster").distinct().count() == 3
+
+
+def test_recorded_metrics(spark, blobs, tmp_path):
+    table = runs.RunTable(spark, str(tmp_path / "runs"))
+    table.fit(kmeans.KMeansTable(k=3, feature_dim=4, eval_metrics="msd,ssd"), blobs, str(tmp_path / "m"), "a", validation=blobs)
+    losses = table.rows().first()["metrics"]
+    assert losses["ssd"] == pytest.approx(300 * losses["msd"])
+    binary = blobs.withColumn("label", (F.col("label") == 1).cast("double"))
+    estimator = boosted.BoostedTable(num_round=2, max_depth=2, objective="binary:logistic", queryCol="id3", keyCol="id",
+                                     eval_metric=["auc", "logloss", "error", "error@0.9", "ndcg@5", "map-", "rmse"])
+    queried = binary.withColumn("id3", F.col("id") % 4)
+    found = estimator.evaluate(estimator.fit(queried), queried)
+    assert list(found) == estimator.getEvalMetric() and found["auc"] == 1.0 and found["ndcg@5"] == 1.0 and found["error"] == 0.0
+    classes = boosted.BoostedTable(num_round=2, max_depth=2, objective="multi:softprob", num_class=3, eval_metric="mlogloss")
+    assert 0 < classes.evaluate(classes.fit(blobs), blobs)["mlogloss"] < 1.0
+    with pytest.raises(ValueError, match="query"):
+        boosted.evaluate(queried.withColumn("prediction", F.lit(1.0)), ["ndcg"])
