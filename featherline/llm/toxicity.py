@@ -17,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from featherline.llm.labelled import MAX_ROWS, fit_in_task, remainder, sample, scored
+from featherline.llm.labelled import fit_in_task, remainder, sample, scored
 from featherline.llm.spans import LOWER, PLAIN_WORDS, Hashes, mix, pieces, text_buffer, words
 
 BITS = 20
-ALPHA, BETA, L1, L2, EPOCHS = 0.1, 1.0, 0.6, 1.0, 3
+ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 4.0, 1.0, 4
+#: Labelled rows that the fit reads at most.
+MAX_ROWS = 30_000
 
 
 def feature_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
