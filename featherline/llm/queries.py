@@ -7,10 +7,13 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from featherline.llm.hamming import near_duplicates
 from featherline.llm.labelled import remainder
+from featherline.llm.licenses import scan
 from featherline.llm.mixing import mix
 from featherline.llm.quality import quality
 from featherline.llm.toxicity import toxicity
+from featherline.llm.vptree import nearest
 from featherline.workspace import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +34,11 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return prepared
 
 
+@query
+def op4_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"), 0.95)
+
+
 @query
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scores = toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=["doc_id"])
@@ -47,6 +55,17 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan(table(spark, folder, "documents"), keep=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(table(spark, folder, "documents"), keep=["doc_id"])
