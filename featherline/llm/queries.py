@@ -12,6 +12,7 @@ from featherline.llm.labelled import remainder
 from featherline.llm.licenses import scan
 from featherline.llm.mixing import mix
 from featherline.llm.quality import quality
+from featherline.llm.rtree import jaccard_join
 from featherline.llm.toxicity import toxicity
 from featherline.llm.vptree import nearest
 from featherline.workspace import ship_package
@@ -70,3 +71,8 @@ def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(table(spark, folder, "documents"))
