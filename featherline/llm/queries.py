@@ -13,6 +13,7 @@ from featherline.llm.licenses import scan
 from featherline.llm.mixing import mix
 from featherline.llm.quality import quality
 from featherline.llm.rtree import jaccard_join
+from featherline.llm.suffixes import repeated_windows
 from featherline.llm.toxicity import toxicity
 from featherline.llm.vptree import nearest
 from featherline.workspace import ship_package
@@ -35,6 +36,11 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return prepared
 
 
+@query
+def op2_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_windows(table(spark, folder, "documents")).drop("kept")
+
+
 @query
 def op4_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"), 0.95)
