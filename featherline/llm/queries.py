@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from featherline.llm.bpe import encode
 from featherline.llm.hamming import near_duplicates
 from featherline.llm.labelled import remainder
 from featherline.llm.licenses import scan
@@ -41,6 +42,12 @@ def op2_windows(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_windows(table(spark, folder, "documents")).drop("kept")
 
 
+@query
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = encode(table(spark, folder, "documents"), keep=["doc_id"])
+    return tokens.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query
 def op4_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"), 0.95)
