@@ -37,7 +37,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from featherline.llm.spans import text_buffer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 4_000_000, 256
+BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 8_000_000, 250
+#: A character that stands for no byte, and more than any rank.
+EDGE, NONE = "\u0100", 1 << 22
 
 
 @cache
@@ -91,47 +93,57 @@ def _bound(value: Column, use) -> Column:
 
 
 def merge_fold(word: Column, vocabulary: Vocabulary) -> Column:
-    """Where the tokens of ``word`` begin (from 1), and the place after its end, as array<int>."""
-    length = F.length(word)
-    nothing = F.array().cast("array<int>")
+    """Where the tokens of ``word`` begin, as array<int>: an edge, the tokens, another edge, and the end.
+
+    ``word`` stands between two ``EDGE`` characters, which no piece has, so nothing merges with them. The
+    fold's state has an integer for every token: 256 times the rank of it joined with the next (``NONE`` if
+    that has no rank), plus its place. The least integer is then the merge to do next, the first of equals.
+    """
+
+    def state(begin: Column, end: Column) -> Column:
+        return F.coalesce(vocabulary.rank(F.substring(word, begin, end - begin)), F.lit(NONE)) * 256 + begin
 
-    def joined(begin: Column, end: Column) -> Column:
-        return vocabulary.rank(F.substring(word, begin, end - begin))
+    length = F.length(word)
+    start = F.concat(F.transform(F.sequence(F.lit(1), length - 1), lambda i: state(i, i + 2)),
+                     F.array(length + NONE * 256, length + 1 + NONE * 256))
 
-    places = F.sequence(F.lit(1), length + 1)
-    # levels[i] is the rank of the tokens i and i + 1 joined, null without one.
-    levels = F.transform(F.sequence(F.lit(1), length - 1), lambda i: joined(i, i + 2))
-    start = F.struct(places.alias("places"), levels.alias("levels"))
+    def step(held: Column, _: Column) -> Column:
+        def place(k: Column) -> Column:
+            return F.get(held, k).bitwiseAND(F.lit(255))
 
-    def step(state: Column, _: Column) -> Column:
-        places, levels = state["places"], state["levels"]
+        def merge(least: Column) -> Column:
+            def at(k: Column) -> Column:  # the tokens k and k + 1 become one
+                end = place(k + 1)
+                changed = F.array(state(place(k - 2), end), state(least.bitwiseAND(F.lit(255)), place(k + 2)))
+                return F.concat(F.slice(held, F.lit(1), k - 2), changed, F.slice(held, k + 2, F.lit(256)))
 
-        def merge(at: Column) -> Column:  # tokens at and at + 1 become one
-            begin, end, n = F.get(places, at - 1), F.get(places, at + 1), F.size(levels)
-            left = F.concat(F.slice(places, F.lit(1), at), F.slice(places, at + 2, n))
-            before = F.when(at > 1, F.array(joined(F.get(places, at - 2), end))).otherwise(nothing)
-            after = F.when(at < n, F.array(joined(begin, F.get(places, at + 2)))).otherwise(nothing)
-            ranked = F.concat(F.slice(levels, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(levels, at + 2, n))
-            return F.when(at.isNull(), state).otherwise(F.struct(left.alias("places"), ranked.alias("levels")))
+            return F.when(least >= NONE * 256, held).otherwise(_bound(F.array_position(held, least).cast("int"), at))
 
-        return _bound(F.array_position(levels, F.array_min(levels)).cast("int"), merge)
+        return _bound(F.array_min(held), merge)
 
-    return F.aggregate(F.sequence(F.lit(2), length), start, step)["places"]
+    return F.transform(F.aggregate(F.sequence(F.lit(4), length), start, step), lambda x: x.bitwiseAND(F.lit(255)))
 
 
 def encoded(word: Column, vocabulary: Vocabulary) -> Column:
     """Struct of the decimal ids, each followed by a comma, their number, and the decoded bytes of a word."""
-    whole = vocabulary.rank(word)
 
-    def ids_of_places(places: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(places) - 2),
-            lambda i: vocabulary.rank(F.substring(word, F.get(places, i), F.get(places, i + 1) - F.get(places, i))))
+    def ids_of_places(framed: Column) -> Column:
+        def ids(places: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(1), F.size(places) - 3),
+                lambda i: vocabulary.rank(F.substring(framed, F.get(places, i), F.get(places, i + 1) - F.get(places, i))))
+
+        return _bound(merge_fold(framed, vocabulary), ids)
+
+    def told(held: Column) -> Column:
+        return F.struct(F.concat(F.array_join(held, ","), F.lit(",")).alias("ids"), F.size(held).alias("n"),
+                        F.encode(F.array_join(F.transform(held, vocabulary.piece), ""), "ISO-8859-1").alias("bytes"))
+
+    def found(whole: Column) -> Column:
+        framed = F.concat(F.lit(EDGE), word, F.lit(EDGE))
+        return _bound(F.when(whole.isNotNull(), F.array(whole)).otherwise(_bound(framed, ids_of_places)), told)
 
-    ids = F.when(whole.isNotNull() | (F.length(word) < 2), F.array(whole)).otherwise(_bound(merge_fold(word, vocabulary), ids_of_places))
-    return _bound(ids, lambda held: F.struct(
-        F.concat(F.array_join(held, ","), F.lit(",")).alias("ids"), F.size(held).alias("n"),
-        F.encode(F.array_join(F.transform(held, vocabulary.piece), ""), "ISO-8859-1").alias("bytes")))
+    return _bound(vocabulary.rank(word), found)
 
 
 def merged(word: bytes, rank: dict[bytes, int]) -> list[int]:

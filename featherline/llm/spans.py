@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at a time; a longer text is one piece.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 SPACE_SEPARATED = np.ones(256, bool)
 SPACE_SEPARATED[[0x20, *range(0x09, 0x0E)]] = False
@@ -58,17 +58,28 @@ class Powers:
 _POWERS: dict[int, Powers] = {}
 
 
+def powers(seed: int, n: int) -> Powers:
+    if seed not in _POWERS:
+        _POWERS[seed] = Powers(seed)
+    _POWERS[seed].reach(n)
+    return _POWERS[seed]
+
+
+def row_hashes(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Hash of the k bytes at every place of every row of a matrix of bytes."""
+    held, width = powers(seed, rows.shape[1]), rows.shape[1]
+    sums = np.zeros((len(rows), width + 1), np.uint64)
+    np.cumsum(held.values[rows] * held.up[:width], axis=1, out=sums[:, 1:])
+    return mix((sums[:, k:] - sums[:, :-k]) * held.down[: width + 1 - k])
+
+
 class Hashes:
     """Hashes of any byte range of ``data``; equal ranges have equal hashes in every buffer and process."""
 
     def __init__(self, data: np.ndarray, seed: int = 1):
-        if seed not in _POWERS:
-            _POWERS[seed] = Powers(seed)
-        powers = _POWERS[seed]
-        powers.reach(len(data))
-        self.powers = powers
+        self.powers = powers(seed, len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(powers.values[data] * powers.up[: len(data)], out=self.sums[1:])
+        np.cumsum(self.powers.values[data] * self.powers.up[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         found = (self.sums[end] - self.sums[start]) * self.powers.down[start]

@@ -32,9 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from featherline.llm.spans import Hashes, mix, text_buffer
+from featherline.llm.spans import Hashes, mix, row_hashes, text_buffer
 
-WINDOW, GRAM, BLOCK_BYTES, PIECE = 50, 16, 16 << 20, 2 << 20
+WINDOW, GRAM, BLOCK_BYTES, PIECE = 50, 16, 8 << 20, 512 << 10
 _SPAN = WINDOW - GRAM + 1  # grams of a window
 _LAST = np.iinfo(np.int64).max
 #: Packed rows of pass one: gram, run (two hashes), least document.
@@ -167,16 +167,13 @@ def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bounds = np.append(np.flatnonzero(new), len(packed))
     first = 0
     while first < len(bounds) - 1:  # some groups at a time, to hold few windows at once
-        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + 50_000, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + 10_000, "right")) - 1)
         rows = slice(bounds[first], bounds[last])
         some = packed[rows]
-        flat = np.ascontiguousarray(some["bytes"]).ravel()
-        one, two = Hashes(flat, 11), Hashes(flat, 12)
         count = some["windows"].astype(np.int64)
         of = np.repeat(np.arange(len(some)), count)
         place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-        at = of * LONGEST + place
-        h, g = one.of(at, at + WINDOW), two.of(at, at + WINDOW)
+        h, g = (row_hashes(some["bytes"], WINDOW, seed)[of, place] for seed in (11, 12))
         document = some["least"][of]
         ranked = np.lexsort((document, g, h))
         again = np.ones(len(ranked), bool)
