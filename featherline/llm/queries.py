@@ -17,6 +17,7 @@ from featherline.llm.rtree import jaccard_join
 from featherline.llm.suffixes import repeated_windows
 from featherline.llm.toxicity import toxicity
 from featherline.llm.vptree import nearest
+from featherline.llm.warc import derivatives, responses
 from featherline.workspace import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,9 +38,17 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return prepared
 
 
+@query
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    made = derivatives(responses(table(spark, folder, "pages"), "2024-01-01T00:00:00Z"))
+    return made.select(F.col("source.page_id").alias("page_id"), F.col("source.record_id").alias("refers_to"), "warc_type", "record_id", "content_type",
+                       "headers", "block")
+
+
 @query
 def op2_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_windows(table(spark, folder, "documents")).drop("kept")
+    found = repeated_windows(table(spark, folder, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 @query

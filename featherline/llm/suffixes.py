@@ -210,13 +210,15 @@ def _block_runs(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray,
         yield first, data, offsets, runs_of(data, offsets)
 
 
-def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row of ``doc_id, text``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the kept bytes.
+def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int = BLOCK_BYTES,
+                     keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (doc_id alone by default) as struct ``row`` with ``n_bytes, n_removed, n_spans, kept_sha256``, ``kept``.
 
-    ``kept`` is null with ``digest_only``.
+    The digest is that of the remaining bytes; ``kept`` is their text without what is left of characters
+    that a cut went through, or null with ``digest_only``.
     """
     spark = docs.sparkSession
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    read = docs.select(F.struct(*[docs[c] for c in keep or ["doc_id"]]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -254,7 +256,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
 
     def judge(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.table({name: pa.array([], kind) for name, kind in result})
+            return pa.table({"row": table.column("row"), **{name: pa.array([], kind) for name, kind in result}})
         ids, (told, masked) = documents(table), _told(answers)
         found: dict[str, list] = {name: [] for name, _ in result}
         # Runs that this block alone holds are no answer: within it, the least document counts.
@@ -289,20 +291,22 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
             for k in range(len(offsets) - 1):
                 a, b = offsets[k], offsets[k + 1]
                 kept = data[a:b][~gone[a:b]].tobytes() if removed[b] > removed[a] else data[a:b].tobytes()
-                found["doc_id"].append(table.column("doc_id")[first + k].as_py())
                 found["n_bytes"].append(int(b - a))
                 found["n_removed"].append(int(removed[b] - removed[a]))
                 found["n_spans"].append(int(spans[b] - spans[a]))
                 found["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                found["kept"].append(None if digest_only else kept)
-        return pa.table({name: pa.array(found[name], kind) for name, kind in result})
+                found["kept"].append(None if digest_only else kept.decode("utf-8", "ignore"))
+        return pa.table({"row": table.column("row"), **{name: pa.array(found[name], kind) for name, kind in result}})
 
-    result = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-              ("kept_sha256", pa.string()), ("kept", pa.binary())]
+    result = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+              ("kept_sha256", pa.string()), ("kept", pa.string())]
     packed_rows = "part int, block long, packed binary"
+    schema = read.select("row").schema
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "string")):
+        schema = schema.add(name, kind)
     first = dealt.groupBy("block").applyInArrow(send_runs, packed_rows).repartition(parts, "part").select("block", "packed").mapInArrow(
         _first_pass, "block long, packed binary")
     second = dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_windows, packed_rows).repartition(parts, "part").select(
         "block", "packed").mapInArrow(_second_pass, "block long, packed binary")
     return dealt.groupBy("block").cogroup(first.union(second).groupBy("block")).applyInArrow(
-        judge, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        judge, schema)
