@@ -246,7 +246,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     """Spanning links ``a, b`` (set hashes) within the groups ``id, component``, compared shingle by shingle."""
     asked = written(classes.join(groups, F.col("s1") == F.col("id")).select(F.col("rep").alias("_rep"), "component", "s1", "s2", "n"), "asked")
     placed = _cut(asked, "component", F.col("n"), PART_SHINGLES)
-    texts = asked.select("_rep", "s1", "s2").join(
+    texts = asked.select("_rep", "s1", "s2").hint("merge").join(
         docs.select(F.col("doc_id").cast("long").alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")), F.col("_rep") == F.col("_doc"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +307,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     named = facts.select("s1", F.explode("names").alias("name"))
     shared = written(named.groupBy("name").agg(F.min("s1").alias("least"), F.max("s1").alias("most")).where("least < most").select(
         F.col("name").alias("_name"), "least"), "shared-names")
-    edges = named.join(shared, F.col("name") == F.col("_name")).select(F.col("s1").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    # Merged at every size: no table here has a bound that would let it be broadcast.
+    edges = named.join(shared.hint("merge"), F.col("name") == F.col("_name")).select(F.col("s1").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
     near = components(_candidates(classes, components(edges)))
     links = written(_verified(docs, classes, near), "shingle-links")
     linked = components(links)
