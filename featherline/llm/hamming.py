@@ -79,10 +79,10 @@ def linked(x: np.ndarray, y: np.ndarray, ux: np.ndarray, uy: np.ndarray, thresho
     return found
 
 
-def _few(begin: np.ndarray, size: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every pair of rows within the groups of at most ``FEW`` rows."""
-    rows = np.flatnonzero(small)
-    few = size[size <= FEW]
+def _few(size: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of rows within those groups that are ``small``."""
+    rows = np.flatnonzero(np.repeat(small, size))
+    few = size[small]
     first, second = pairs(np.cumsum(few) - few, len(rows))
     return rows[first], rows[second]
 
@@ -136,8 +136,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
             u = unit(x)
             begin = starts(table, keys)
             size = np.diff(np.append(begin, len(ids)))
-            small = np.repeat(size <= FEW, size)
-            first, second = _few(begin, size, small)
+            first, second = _few(size, size <= FEW)
             near = np.einsum("ij,ij->i", u[first], u[second])
             good = near >= threshold
             unsure = np.abs(near - threshold) < 1e-9

@@ -34,19 +34,21 @@ NAMES = (
     ("x11", "x11", r"(?:the )?x11"), ("isc", "isc", r"(?:the )?isc"),
     ("apache-2", "apache", r"(?:the )?apache(?: software)?(?: license)?(?: version)? 2(?: 0)?"),
     ("apache-1.1", "apache", r"(?:the )?apache(?: software)?(?: license)?(?: version)? 1 1"),
-    ("bsd-2", "bsd", r"(?:the )?(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd)"),
+    ("bsd-2", "bsd", r"(?:the )?(?:simplified bsd|bsd 2 clause|2 clause bsd)"), ("bsd-2", "freebsd", r"(?:the )?freebsd"),
     ("bsd-3", "bsd", r"(?:the )?(?:new bsd|revised bsd|modified bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4", "bsd", r"(?:the )?(?:original bsd|bsd 4 clause|4 clause bsd)"), ("0bsd", "0bsd", r"(?:the )?0bsd"),
-    ("gpl-1", "gpl", r"(?:the )?(?:gnu )?gpl ?(?:version |v )?v?1(?: 0)?(?: only| or later)?"),
-    ("gpl-2", "gpl", r"(?:the )?(?:gnu )?gpl ?(?:version |v )?v?2(?: 0)?(?: only| or later)?"),
-    ("gpl-3", "gpl", r"(?:the )?(?:gnu )?gpl ?(?:version |v )?v?3(?: 0)?(?: only| or later)?"),
+    ("gpl-1", "gpl", r"(?:the )?(?:gnu )?gpl (?:version |v )?v?1(?: 0)?(?: only| or later)?"),
+    ("gpl-2", "gpl", r"(?:the )?(?:gnu )?gpl (?:version |v )?v?2(?: 0)?(?: only| or later)?"),
+    ("gpl-3", "gpl", r"(?:the )?(?:gnu )?gpl (?:version |v )?v?3(?: 0)?(?: only| or later)?"),
     ("gpl-2", "gnu", r"(?:the )?gnu general public(?: license)? (?:version |v )2(?: 0)?"),
     ("gpl-3", "gnu", r"(?:the )?gnu general public(?: license)? (?:version |v )3(?: 0)?"),
     ("gpl", "gnu", r"(?:the )?gnu general public"), ("gpl", "gpl", r"(?:the )?(?:gnu )?gpl"),
-    ("lgpl-2.1", "lgpl", r"(?:the )?(?:gnu )?lgpl ?(?:version |v )?v?2 1(?: only| or later)?"),
-    ("lgpl-3", "lgpl", r"(?:the )?(?:gnu )?lgpl ?(?:version |v )?v?3(?: 0)?(?: only| or later)?"),
+    ("lgpl-2.1", "lgpl", r"(?:the )?(?:gnu )?lgpl (?:version |v )?v?2 1(?: only| or later)?"),
+    ("lgpl-3", "lgpl", r"(?:the )?(?:gnu )?lgpl (?:version |v )?v?3(?: 0)?(?: only| or later)?"),
+    ("gpl-2", "gplv2", r"(?:the )?(?:gnu )?gplv2(?: only| or later)?"), ("gpl-3", "gplv3", r"(?:the )?(?:gnu )?gplv3(?: only| or later)?"),
+    ("lgpl-3", "lgplv3", r"(?:the )?(?:gnu )?lgplv3(?: only| or later)?"), ("agpl-3", "agplv3", r"(?:the )?(?:gnu )?agplv3(?: only| or later)?"),
     ("lgpl", "gnu", r"(?:the )?gnu (?:lesser|library) general public"), ("lgpl", "lgpl", r"(?:the )?(?:gnu )?lgpl"),
-    ("agpl-3", "agpl", r"(?:the )?(?:gnu )?agpl ?(?:version |v )?v?3(?: 0)?(?: only| or later)?"),
+    ("agpl-3", "agpl", r"(?:the )?(?:gnu )?agpl (?:version |v )?v?3(?: 0)?(?: only| or later)?"),
     ("agpl", "gnu", r"(?:the )?gnu affero general public"), ("gfdl", "gnu", r"(?:the )?gnu free documentation"),
     ("mpl-1.1", "mozilla", r"(?:the )?mozilla public(?: license)?(?: version)? 1 1"),
     ("mpl-2", "mozilla", r"(?:the )?mozilla public(?: license)?(?: version)? 2(?: 0)?"), ("mpl-2", "mpl", r"(?:the )?mpl 2 0"),
@@ -61,11 +63,11 @@ NAMES = (
     ("psf-2", "python", r"(?:the )?python(?: software foundation)?(?: license)?(?: version)? 2(?: 0)?"),
     ("php-3", "php", r"(?:the )?php(?: license)?(?: version)? 3(?: 01| 0)?"), ("ruby", "ruby", r"(?:the )?ruby"),
     ("openssl", "openssl", r"(?:the )?openssl"), ("curl", "curl", r"(?:the )?curl"), ("ncsa", "ncsa", r"(?:the )?(?:university of illinois )?ncsa"),
-    ("postgresql", "postgresql", r"(?:the )?postgresql"), ("eupl-1.2", "eupl", r"(?:the )?eupl(?: version| v)? ?1 2"),
+    ("postgresql", "postgresql", r"(?:the )?postgresql"), ("eupl-1.2", "eupl", r"(?:the )?eupl(?: version| v)? 1 2"),
     ("eupl-1.2", "european", r"(?:the )?european union public"), ("ms-pl", "microsoft", r"(?:the )?microsoft public"),
     ("ms-rl", "microsoft", r"(?:the )?microsoft reciprocal"), ("upl-1", "universal", r"(?:the )?universal permissive"),
     ("ofl-1.1", "ofl", r"(?:the )?(?:sil )?ofl(?: version)? 1 1"), ("ofl-1.1", "sil", r"(?:the )?sil open font"),
-    ("sspl-1", "sspl", r"(?:the )?sspl(?: version| v)? ?1"), ("sspl-1", "side", r"(?:the )?server side public"),
+    ("sspl-1", "sspl", r"(?:the )?sspl(?: version| v)? v?1"), ("sspl-1", "side", r"(?:the )?server side public"),
     ("busl-1.1", "business", r"(?:the )?business source(?: license)? 1 1"), ("elastic-2", "elastic", r"(?:the )?elastic(?: license)? 2(?: 0)?"),
     ("odbl-1", "odbl", r"(?:the )?odbl"), ("odbl-1", "database", r"(?:the )?open database"), ("afl-3", "academic", r"(?:the )?academic free"),
     ("osl-3", "open", r"(?:the )?open software"), ("ecl-2", "educational", r"(?:the )?educational community"),
@@ -79,7 +81,7 @@ MENTIONS = (
 #: Creative Commons terms: label, words after the family name.
 CC_TERMS = (("cc-by", "by", "attribution"), ("cc-by-sa", "by sa", "attribution share ?alike"), ("cc-by-nc", "by nc", "attribution non ?commercial"),
             ("cc-by-nd", "by nd", "attribution no ?deriv(?:ative)?s?"), ("cc-by-nc-sa", "by nc sa", "attribution non ?commercial share ?alike"),
-            ("cc-by-nc-nd", "by nc nd", "attribution non ?commercial no ?deriv(?:ative)?s?"), ("cc0", "0", "zero"))
+            ("cc-by-nc-nd", "by nc nd", "attribution non ?commercial no ?deriv(?:ative)?s?"), ("cc0", "zero", "zero"))
 #: label, gate, priority, relevance, expression: sentences of the licenses themselves.
 SENTENCES = (
     ("mit", "charge", 75, 0.9, r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -89,6 +91,7 @@ SENTENCES = (
     ("public-domain", "domain", 60, 0.7, r"(?:released|dedicated|placed) (?:to|in|into) the public domain"),
     ("zlib", "warranty", 75, 0.85, r"provided as is without any express or implied warranty"),
     ("unlicense", "unencumbered", 75, 0.95, r"free and unencumbered software released into the public domain"),
+    ("cc0", "cc0", 72, 0.95, r"cc0(?: 1 0)?"),
     ("proprietary", "reserved", 40, 0.4, r"all rights reserved"),
 )
 BASE_PRIORITY, BASE_RELEVANCE = 100, 1.0
@@ -111,7 +114,7 @@ def _rules() -> tuple[Rule, ...]:
     for k, (label, short, long) in enumerate(CC_TERMS):
         extra = len(short.split())
         found += [Rule(label, "cc", 70 + extra, 0.9, rf"cc {short}(?: [1-4] [05])?"), Rule(label, "creative", 70 + extra, 0.95, rf"creative commons {long}"),
-                  Rule(label, "creativecommons", 85 + extra, 1.0, rf"creativecommons org (?:licenses|publicdomain) {short if label != 'cc0' else 'zero'}")]
+                  Rule(label, "creativecommons", 85 + extra, 1.0, rf"creativecommons org (?:licenses|publicdomain) {short}")]
     found += [Rule(*s) for s in SENTENCES]
     return tuple(found)
 

@@ -101,6 +101,17 @@ def names_of(found: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.nd
     return names[order], rows[order]
 
 
+def digests(found: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every row's set, as signed integers; zero for an empty one."""
+    s1, s2 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+    filled = np.flatnonzero(size)
+    if len(filled):
+        first = (np.cumsum(size) - size)[filled]
+        s1[filled] = mix(np.add.reduceat(mix(found + np.uint64(3)), first) + size[filled].astype(np.uint64))
+        s2[filled] = mix(np.add.reduceat(mix(found ^ np.uint64(0x5555555555555555)), first))
+    return s1.view(np.int64), s2.view(np.int64)
+
+
 def may_link(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Whether ``shared`` shingles are enough for two sets of ``total`` shingles together."""
     return (100 + PERCENT) * shared >= PERCENT * total
@@ -175,17 +186,12 @@ def _facts(docs: DataFrame) -> DataFrame:
                 found, at, n = sets_of(piece.column("_text"))
                 size = np.bincount(at, minlength=n)
                 names, rows = names_of(found, at, size)
-                begin = np.flatnonzero(size)
-                spots = np.cumsum(size) - size
-                s1, s2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                if len(begin):
-                    s1[begin] = mix(np.add.reduceat(mix(found + np.uint64(3)), spots[begin]) + size[begin].astype(np.uint64))
-                    s2[begin] = mix(np.add.reduceat(mix(found ^ np.uint64(0x5555555555555555)), spots[begin]))
+                s1, s2 = digests(found, size)
                 group = (mix(found + np.uint64(5)) % np.uint64(GROUPS)).astype(np.int64)
                 points = np.bincount(at * GROUPS + group, minlength=n * GROUPS).astype(np.int32).reshape(n, GROUPS)
                 bounds = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    piece.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                    piece.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(s1), pa.array(s2),
                     pa.array([p.tobytes() for p in points], pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(names.view(np.int64)))],
                     names=["doc_id", "n", "s1", "s2", "point", "names"])
 
@@ -254,15 +260,15 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
             for piece in pieces(batch, "_text"):
                 found, at, n = sets_of(piece.column("_text"))
                 bounds = np.searchsorted(at, np.arange(n + 1))
-                yield pa.RecordBatch.from_arrays([
-                    piece.column("s1"), piece.column("s2"), pa.array([found[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:])], pa.binary())],
-                    names=["_s1", "_s2", "held"])
+                s1, s2 = digests(found, np.diff(bounds))
+                # An id that several texts share comes with each of them.
+                meant = (s1 == piece.column("s1").to_numpy()) & (s2 == piece.column("s2").to_numpy())
+                held = [found[bounds[k]:bounds[k + 1]].tobytes() for k in np.flatnonzero(meant)]
+                yield pa.RecordBatch.from_arrays([pa.array(s1[meant]), pa.array(s2[meant]), pa.array(held, pa.binary())], names=["_s1", "_s2", "held"])
 
-    sets = texts.select("s1", "s2", "_text").mapInArrow(shingled, "_s1 long, _s2 long, held binary")
+    sets = texts.select("s1", "s2", "_text").mapInArrow(shingled, "_s1 long, _s2 long, held binary").dropDuplicates(["_s1", "_s2"])
     keys = ["component", "a", "b"]
-    # An id that several texts share comes with each of them; the size tells which one the class is.
-    rows = placed.join(sets, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")) & (F.octet_length("held") == F.col("n") * 8)).select(
-        *keys, "mine", "s1", "n", "held")
+    rows = placed.join(sets, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))).select(*keys, "mine", "s1", "n", "held")
     blocks = rows.repartition(*keys).sortWithinPartitions(*keys, "s1")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from featherline.llm.groups import starts, whole_groups
 from featherline.llm.spans import Hashes, mix, row_hashes, text_buffer
 
-WINDOW, GRAM, BLOCK_BYTES, PIECE = 50, 16, 8 << 20, 512 << 10
+WINDOW, GRAM, BLOCK_BYTES, PIECE, PARTS_PER_PARTITION = 50, 16, 8 << 20, 512 << 10, 4
 _SPAN = WINDOW - GRAM + 1  # grams of a window
 _LAST = np.iinfo(np.int64).max
 #: Packed rows of pass one: gram, run (two hashes), least document.
@@ -107,11 +108,14 @@ def _dealt(packed: np.ndarray, block: int, parts: int) -> dict[str, pa.Array]:
             "packed": pa.array([packed[bounds[p]:bounds[p + 1]].tobytes() for p in filled], pa.binary())}
 
 
-def _open(batch: pa.RecordBatch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
-    """All packed rows of a batch and the block that each came from."""
-    data, offsets = text_buffer(batch.column("packed"))
-    packed = np.frombuffer(data.tobytes(), kind)
-    return packed, np.repeat(batch.column("block").to_numpy(), np.diff(offsets) // kind.itemsize)
+def _parts(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The packed rows of each part and the block that each came from; batches come in the order of parts."""
+    for table in whole_groups(batches, ["part"], 1):
+        first = starts(table, ["part"])
+        for a, b in zip(first, np.append(first[1:], table.num_rows)):
+            some = table.slice(a, b - a)
+            data, offsets = text_buffer(some.column("packed"))
+            yield data.view(kind), np.repeat(some.column("block").to_numpy(), np.diff(offsets) // kind.itemsize)
 
 
 def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
@@ -124,18 +128,8 @@ def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
         names=["block", "packed"])
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
-    held = [_open(b, kind) for b in batches if b.num_rows]
-    if not held:
-        return np.zeros(0, kind), np.zeros(0, np.int64)
-    return np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-
-
-def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_pass(packed: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     """Order (gram, run) of one part; answer every block about runs that others hold or differ from."""
-    packed, block = _gathered(batches, RUN)
-    if not len(packed):
-        return
     order = np.lexsort((packed["least"], packed["run"], packed["gram"]))
     packed, block = packed[order], block[order]
     new_gram = np.ones(len(packed), bool)
@@ -152,14 +146,11 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tell = holder | (copies > 1)
     answer = np.zeros(int(tell.sum()), ANSWER)
     answer["run"], answer["least"], answer["open"] = packed["run"][tell], least[tell], holder[tell]
-    yield _answers(block[tell], answer)
+    return _answers(block[tell], answer)
 
 
-def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _second_pass(packed: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     """Order the windows of one part; answer which windows of a run's least document start in a smaller one."""
-    packed, block = _gathered(batches, CONTEXT)
-    if not len(packed):
-        return
     masks = np.zeros(len(packed), np.uint64)
     order = np.argsort(packed["gram"], kind="stable")
     packed, block = packed[order], block[order]
@@ -186,7 +177,7 @@ def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     answer = np.zeros(int(some.sum()), ANSWER)
     answer["run"], answer["least"], answer["mask"] = packed["run"][some], packed["least"][some], masks[some]
     answer["open"] = 2
-    yield _answers(block[some], answer)
+    return _answers(block[some], answer)
 
 
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +212,8 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
     read = docs.select(F.struct(*[docs[c] for c in keep or ["doc_id"]]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = PARTS_PER_PARTITION * partitions
     dealt = read.withColumn("block", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(blocks)))
 
     def documents(table: pa.Table) -> np.ndarray:
@@ -304,9 +296,15 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
     schema = read.select("row").schema
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "string")):
         schema = schema.add(name, kind)
-    first = dealt.groupBy("block").applyInArrow(send_runs, packed_rows).repartition(parts, "part").select("block", "packed").mapInArrow(
-        _first_pass, "block long, packed binary")
-    second = dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_windows, packed_rows).repartition(parts, "part").select(
-        "block", "packed").mapInArrow(_second_pass, "block long, packed binary")
+
+    def ordered(rows: DataFrame, kind: np.dtype, judge_part) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for packed, block in _parts(batches, kind):
+                yield judge_part(packed, block)
+
+        return rows.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(run, "block long, packed binary")
+
+    first = ordered(dealt.groupBy("block").applyInArrow(send_runs, packed_rows), RUN, _first_pass)
+    second = ordered(dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_windows, packed_rows), CONTEXT, _second_pass)
     return dealt.groupBy("block").cogroup(first.union(second).groupBy("block")).applyInArrow(
         judge, schema)
