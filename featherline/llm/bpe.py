@@ -1,8 +1,9 @@
 """Byte-level BPE: Spark higher-order functions fold ranked merges over the distinct words of a block.
 
 1. ``regexp_extract_all`` cuts every whole text into the pieces of the tokenizer's pattern.
-2. A task packs consecutive texts into blocks of about ``BLOCK_WORDS`` pieces: the block's distinct words, once
-   each, and where each text uses them.
+2. Words are counted over all texts. The most frequent, ``FREQUENT_WORDS`` at most, are encoded once and their tokens
+   broadcast: a bounded table, as no word in it is over ``FOLD_BYTES`` long. A task packs consecutive texts into
+   blocks of about ``BLOCK_WORDS`` pieces: the block's other distinct words, once each, and where each text uses which.
 3. Higher-order functions encode the distinct words. A word that has a rank is one token. For any other
    word, :func:`merge_fold` starts from its bytes and, one merge a step, joins the neighbours of the lowest rank, the
    first of equals, until no two neighbours have one. Ranks come from a literal map from byte strings (as
@@ -10,8 +11,8 @@
    entry by entry. Decoding concatenates the binary pieces of a literal array.
 4. A task puts the tokens of every text together again.
 
-Nothing is shuffled, so the work follows the input, every block is bounded and a lost task is only
-run again. The fold is quadratic in a word's bytes: each step copies its arrays. Words over
+Only word counts are shuffled, so the work follows the input, every block is bounded and a lost task is
+only run again. The fold is quadratic in a word's bytes: each step copies its arrays. Words over
 ``FOLD_BYTES`` bytes, which natural text hardly has, are merged in the task by the same rule with a heap instead.
 
 A null or empty text has no tokens. Equal texts get equal tokens. Other columns, whatever their names,
@@ -35,9 +36,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.llm.spans import text_buffer
+from featherline.workspace import written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 8_000_000, 250
+BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 1_000_000, 250
+#: Words whose tokens every task gets.
+FREQUENT_WORDS = 400_000
 #: A character that stands for no byte, and more than any rank.
 EDGE, NONE = "\u0100", 1 << 22
 
@@ -177,27 +181,51 @@ def merged(word: bytes, rank: dict[bytes, int]) -> list[int]:
     return [rank[word[begin[i]:end[i]]] for i in range(n) if alive[i]]
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks: their rows, pieces of each row, which of the distinct words every piece is, and those words."""
-    for batch in batches:
-        column = batch.column("_pieces")
-        offsets = column.offsets.to_numpy().astype(np.int64)
-        first = 0
-        while first < batch.num_rows:
-            last = int(np.searchsorted(offsets, offsets[first] + BLOCK_WORDS, "right")) - 1
-            last = min(max(last, first + 1), batch.num_rows)
-            some = column.values.slice(offsets[first], offsets[last] - offsets[first]).dictionary_encode()
-            held = batch.column("row").slice(first, last - first)
-            yield pa.RecordBatch.from_arrays([
-                pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
-                pa.array([np.diff(offsets[first:last + 1]).tobytes()], pa.binary()),
-                pa.array([some.indices.to_numpy().astype(np.int32).tobytes()], pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(some.dictionary)], pa.int32()), some.dictionary.cast(pa.binary()))],
-                names=["rows", "counts", "places", "words"])
-            first = last
-
-
-def _unpack(batch: pa.RecordBatch, path: str, digest_only: bool) -> pa.RecordBatch:
+def _pieces(docs: DataFrame, pattern: str) -> Column:
+    return F.regexp_extract_all(F.coalesce(docs["text"], F.lit("")), F.lit("(?U)" + pattern), F.lit(0)).alias("_pieces")
+
+
+def _distinct(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, np.ndarray, pa.DictionaryArray]]:
+    """(first row, row after the last, pieces of each row, pieces as a dictionary) of about ``limit`` pieces."""
+    column = batch.column("_pieces")
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    first = 0
+    while first < batch.num_rows:
+        last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
+        last = min(max(last, first + 1), batch.num_rows)
+        yield first, last, np.diff(offsets[first:last + 1]), column.values.slice(offsets[first], offsets[last] - offsets[first]).dictionary_encode()
+        first = last
+
+
+def _encoded_rows(words: DataFrame, path: str) -> DataFrame:
+    """``word`` with the struct ``tokens``, by the fold."""
+    return words.select("word", _bound(literals(path), lambda held: _bound(
+        F.decode(F.col("word").cast("binary"), "ISO-8859-1"), lambda c: encoded(c, Vocabulary(held)))).alias("tokens"))
+
+
+def _frequent(docs: DataFrame, path: str, pattern: str, most: int) -> pa.Table:
+    """``word, ids, n, bytes`` of the words that occur most often, at most ``most`` of them, counted over all texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, _, some in _distinct(batch, BLOCK_WORDS):
+                times = np.bincount(some.indices.to_numpy(), minlength=len(some.dictionary))
+                yield pa.RecordBatch.from_arrays([some.dictionary, pa.array(times, pa.int64())], names=["word", "n"])
+
+    counted = docs.select(_pieces(docs, pattern)).mapInArrow(count, "word string, n long").where(F.octet_length("word") <= FOLD_BYTES)
+    totals = written(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn(
+        "step", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
+    held, least = 0, 1 << 20
+    for step, n in sorted(((r[0], r[1]) for r in totals.groupBy("step").count().collect()), reverse=True):
+        held += n
+        if held > most:
+            break
+        least = step
+    rows = _encoded_rows(totals.where(F.col("step") >= least), path)
+    return rows.select("word", "tokens.ids", "tokens.n", "tokens.bytes").toArrow()
+
+
+def _unpack(batch: pa.RecordBatch, frequent: pa.Table, path: str, digest_only: bool) -> pa.RecordBatch:
     """Rows of a block with their tokens."""
     rows = batch.column("rows").flatten()
     counts = np.frombuffer(batch.column("counts")[0].as_buffer(), np.int64)
@@ -206,19 +234,21 @@ def _unpack(batch: pa.RecordBatch, path: str, digest_only: bool) -> pa.RecordBat
     ids, number, spelled = (tokens.field(k) for k in range(3))
     if long.null_count < len(long):
         rank = ranks(path)
-        pieces = {r: w for w, r in rank.items()}
-        at = np.flatnonzero(long.is_valid().to_numpy(zero_copy_only=False))
-        found = [merged(long[int(k)].as_py(), rank) for k in at]
+        spelling = {r: w for w, r in rank.items()}
         mask = long.is_valid()
+        found = [merged(word.as_py(), rank) for word in long.filter(mask)]
         ids = pc.replace_with_mask(ids, mask, pa.array(["".join(f"{i}," for i in f) for f in found], ids.type))
         number = pc.replace_with_mask(number, mask, pa.array([len(f) for f in found], number.type))
-        spelled = pc.replace_with_mask(spelled, mask, pa.array([b"".join(pieces[i] for i in f) for f in found], spelled.type))
+        spelled = pc.replace_with_mask(spelled, mask, pa.array([b"".join(spelling[i] for i in f) for f in found], spelled.type))
+    ids, number, spelled = (pa.concat_arrays([held.cast(kind), own.cast(kind)]) for held, own, kind in (
+        (frequent[1], ids, pa.large_string()), (frequent[2], number, pa.int64()), (frequent[3], spelled, pa.large_binary())))
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    totals = np.concatenate([[0], np.cumsum(number.take(places).to_numpy().astype(np.int64))])
-    texts, at = text_buffer(ids.cast(pa.large_string()).take(places))
-    decoded, held_at = text_buffer(spelled.cast(pa.large_binary()).take(places))
-    texts, decoded = memoryview(texts), memoryview(decoded)
+    totals = np.concatenate([[0], np.cumsum(number.take(places).to_numpy())])
+    texts, at = text_buffer(ids.take(places))
+    texts = memoryview(texts)
     strings = [texts[at[a]:max(at[a], at[b] - 1)] for a, b in zip(bounds[:-1], bounds[1:])]
+    decoded, held_at = text_buffer(spelled.take(places))
+    decoded = memoryview(decoded)
     spellings = [decoded[held_at[a]:held_at[b]] for a, b in zip(bounds[:-1], bounds[1:])]
     none = [None] * len(rows)
     return pa.RecordBatch.from_arrays([
@@ -231,16 +261,36 @@ def _unpack(batch: pa.RecordBatch, path: str, digest_only: bool) -> pa.RecordBat
 
 
 def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN, digest_only: bool = True,
-           keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None, frequent_words: int = FREQUENT_WORDS) -> DataFrame:
     """The columns ``keep`` (all by default) as struct ``row`` with ``n_tokens, ids_sha256, decoded_sha256``.
 
     ``ids`` (decimal, joined by commas) and ``decoded`` bytes are null with ``digest_only``.
     """
-    read = docs.select(
-        F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"),
-        F.regexp_extract_all(F.coalesce(docs["text"], F.lit("")), F.lit("(?U)" + pattern), F.lit(0)).alias("_pieces"))
+    known = _frequent(docs, path, pattern, frequent_words)
+    # Words up to FOLD_BYTES, so many at most: a broadcast of bounded size.
+    columns = [known.column(k).combine_chunks() for k in range(4)]
+    shared = docs.sparkSession.sparkContext.broadcast([c.cast(pa.string()) if k == 0 else c for k, c in enumerate(columns)])
+    read = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"), _pieces(docs, pattern))
     row = read.schema["row"].dataType
-    packed = read.mapInArrow(_pack, T.StructType([
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks: rows, pieces of each row, which word every piece is, and the words that aren't frequent."""
+        frequent = shared.value[0]
+        for batch in batches:
+            for first, last, counts, some in _distinct(batch, BLOCK_WORDS):
+                held = batch.column("row").slice(first, last - first)
+                at = pc.index_in(some.dictionary, value_set=frequent)
+                rare = some.dictionary.filter(at.is_null())
+                new = at.is_null().to_numpy(zero_copy_only=False)
+                place = at.fill_null(0).to_numpy().astype(np.int32)
+                place[new] = len(frequent) + np.arange(len(rare), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
+                    pa.array([counts.tobytes()], pa.binary()), pa.array([place[some.indices.to_numpy()].tobytes()], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare.cast(pa.binary()))],
+                    names=["rows", "counts", "places", "words"])
+
+    packed = read.mapInArrow(pack, T.StructType([
         T.StructField("rows", T.ArrayType(row)), T.StructField("counts", T.BinaryType()), T.StructField("places", T.BinaryType()),
         T.StructField("words", T.ArrayType(T.BinaryType()))]))
     # The characters 0 to 255 stand for bytes; a long word is left to the task.
@@ -252,8 +302,9 @@ def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokeni
         schema = schema.add(name, kind)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
         for batch in batches:
             for k in range(batch.num_rows):
-                yield _unpack(batch.slice(k, 1), path, digest_only)
+                yield _unpack(batch.slice(k, 1), frequent, path, digest_only)
 
     return packed.select("rows", "counts", "places", tokens.alias("tokens"), long.alias("long")).mapInArrow(unpack, schema)
