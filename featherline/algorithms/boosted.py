@@ -16,8 +16,9 @@ from featherline.operators.ranking import training_pairs
 
 OBJECTIVES = ("reg:linear", "reg:logistic", "binary:logistic", "binary:logistraw", "count:poisson", "multi:softmax",
               "multi:softprob", "rank:pairwise", "reg:gamma", "reg:tweedie")
-# Names of metrics (fixed values); a number may stand for t and n.
-METRICS = r"rmse|mae|logloss|merror|mlogloss|auc|error(@(t|\d*\.?\d+))?|(ndcg|map)(@(n|\d+))?-?"
+# Names of metrics (fixed values). Some take a threshold or a cut after "@", rankings a "-" at the end.
+METRICS = ("rmse", "mae", "logloss", "error", "merror", "mlogloss", "auc", "ndcg", "map")
+SUFFIXES = {"error": r"(@\d*\.?\d+)?", "ndcg": r"(@\d+)?-?", "map": r"(@\d+)?-?"}
 BINARY = ("reg:logistic", "binary:logistic", "binary:logistraw")
 MULTI = ("multi:softmax", "multi:softprob")
 # Distribution of each count or positive objective (fixed values).
@@ -54,7 +55,7 @@ class BoostedTable(TableEstimator):
     objective = declare("objective", "what to learn",
                         choice(*OBJECTIVES, either={"binary:logitraw": "binary:logistraw"}))
     num_class = declare("num_class", "number of classes", whole(1))
-    eval_metric = declare("eval_metric", "metrics to report", matching(METRICS))
+    eval_metric = declare("eval_metric", "metrics to report", matching("|".join(name + SUFFIXES.get(name, "") for name in METRICS)))
     seed = declare("seed", "random seed", whole())
     feature_dim = declare("feature_dim", "size of the vectors, checked when given", whole(1))
     queryCol = declare("queryCol", "query of a row, for ranking", text)
@@ -76,6 +77,12 @@ class BoostedTable(TableEstimator):
     def transformSchema(self, schema: T.StructType) -> T.StructType:
         if self.setting("booster") == "dart":
             raise ValueError("dropout of trees is not available")
+        if not 0 < self.setting("eta"):
+            raise ValueError("eta must be above 0")
+        if self.setting("max_depth") > 30:
+            raise ValueError("trees are at most 30 deep")
+        if self.setting("max_bin") < 2:
+            raise ValueError("max_bin must be at least 2")
         if self.setting("objective") in MULTI and not self.isDefined("num_class"):
             raise ValueError("num_class is needed for several classes")
         if self.setting("objective") == "rank:pairwise" and not (self.isDefined("queryCol") and self.isDefined("keyCol")):
@@ -87,20 +94,22 @@ class BoostedTable(TableEstimator):
         share = self.setting("colsample_bytree") * self.setting("colsample_bylevel")
         stage = kind(
             featuresCol=self.getOrDefault("featuresCol"), labelCol=self.getOrDefault("labelCol"),
-            maxIter=self.getOrDefault("num_round"), maxDepth=min(self.setting("max_depth"), 30),
-            maxBins=max(self.setting("max_bin"), 2), stepSize=max(self.setting("eta"), 1e-12),
+            maxIter=self.getOrDefault("num_round"), maxDepth=self.setting("max_depth"),
+            maxBins=self.setting("max_bin"), stepSize=self.setting("eta"),
             minInfoGain=self.setting("gamma"), subsamplingRate=self.setting("subsample"),
             featureSubsetStrategy="all" if share == 1.0 else str(share), seed=self.setting("seed"))
         if self.setting("min_child_weight") > 1:
-            rows = df.count()
-            stage = stage.setMinWeightFractionPerNode(min(0.49, self.setting("min_child_weight") / max(rows, 1)))
+            total = df.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0] or 0
+            if 2 * self.setting("min_child_weight") >= total:
+                raise ValueError(f"no split leaves a weight of {self.setting('min_child_weight')} on both sides of {total}")
+            stage = stage.setMinWeightFractionPerNode(self.setting("min_child_weight") / total)
         if self.isDefined("validationCol"):
             stage = stage.setValidationIndicatorCol(self.getOrDefault("validationCol"))
         return stage.setWeightCol(weight) if weight else stage
 
     def _linear(self, kind: type, weight: str | None, **extra):
         stage = kind(featuresCol=self.getOrDefault("featuresCol"), labelCol=self.getOrDefault("labelCol"),
-                     maxIter=max(self.getOrDefault("num_round"), 25), **extra)
+                     maxIter=self.getOrDefault("num_round"), **extra)
         return stage.setWeightCol(weight) if weight else stage
 
     def _train(self, df: DataFrame) -> BoostedModel:
@@ -130,6 +139,8 @@ class BoostedTable(TableEstimator):
         model = BoostedModel()
         model.stages["boosted"] = stage.fit(slim)
         model.facts.update(prediction="prediction", objective=objective)
+        if objective in MULTI:
+            model.facts["classes"] = self.getOrDefault("num_class")
         return model
 
     def _ranker(self, df: DataFrame, penalty: dict) -> BoostedModel:
@@ -144,7 +155,7 @@ class BoostedTable(TableEstimator):
             F.struct(better.alias("d"), F.lit(1.0).alias(label)), F.struct(worse.alias("d"), F.lit(0.0).alias(label)),
         )).alias("s")).select(array_to_vector("s.d").alias(features), f"s.{label}")
         stage = LogisticRegression(featuresCol=features, labelCol=label, fitIntercept=False,
-                                   maxIter=max(self.getOrDefault("num_round"), 25), **penalty)
+                                   maxIter=self.getOrDefault("num_round"), **penalty)
         model = BoostedModel()
         model.stages["boosted"] = stage.fit(both)
         model.facts.update(prediction="prediction", objective="rank:pairwise")
@@ -186,6 +197,8 @@ class BoostedModel(TableModel):
             steep = 2.0 if "GBT" in type(self.stages["boosted"].models[0]).__name__ else 1.0
             own = F.transform(vector_to_array(F.col(names["raw"])), lambda m: 1 / (1 + F.exp(-steep * m)))
             total = F.aggregate(own, F.lit(0.0), lambda acc, p: acc + p)
-            return array_to_vector(F.transform(own, lambda p: p / total))
+            # A class that no row has comes after all that were seen.
+            absent = F.greatest(F.lit(int(self.facts.get("classes", 0))) - F.size(own), F.lit(0))
+            return array_to_vector(F.concat(F.transform(own, lambda p: p / total), F.array_repeat(F.lit(0.0), absent)))
         return F.col(names["prediction"])
 

@@ -11,6 +11,10 @@ from featherline.algorithms.base import TableEstimator, TableModel, scratch_name
 from featherline.algorithms.params import choice, declare, real, whole
 
 
+# Steps of mini-batches that a fit may ask for.
+MOST_STEPS = 10_000
+
+
 class FactorizationParams(TableEstimator):
     labeled = True
     required = ("feature_dim", "predictor_type", "num_factors")
@@ -34,10 +38,16 @@ class FactorizationParams(TableEstimator):
             if self.isDefined("mini_batch_size"):
                 share = min(1.0, self.getOrDefault("mini_batch_size") / max(slim.count(), 1))
                 passes = max(1, round(passes / share))
+                # Every step of Spark's trainer reads the whole table to sample its rows.
+                if passes > MOST_STEPS:
+                    raise ValueError(f"{passes} steps, each a pass over the table: mini_batch_size is too small for it")
+            for name in ("linear_lr", "factors_init_sigma"):
+                if not self.setting(name) > 0:
+                    raise ValueError(f"{name} must be above 0")
             stage = kind(featuresCol=features, labelCol=label, factorSize=self.getOrDefault("num_factors"),
-                         maxIter=passes, stepSize=max(self.setting("linear_lr"), 1e-12),
-                         regParam=self.setting("factors_wd"), initStd=max(self.setting("factors_init_sigma"), 1e-12),
-                         miniBatchFraction=max(share, 1e-9), seed=self.setting("seed"))
+                         maxIter=passes, stepSize=self.setting("linear_lr"),
+                         regParam=self.setting("factors_wd"), initStd=self.setting("factors_init_sigma"),
+                         miniBatchFraction=share, seed=self.setting("seed"))
             return stage.fit(slim)
         finally:
             slim.unpersist()

@@ -19,7 +19,8 @@ INIT_MODES = {"random": "random", "kmeans++": "k-means||"}
 
 class KMeansTable(TableEstimator):
     """Clusters a feature table. ``extra_center_factor`` above 1 first finds that many times more
-    centers, then clusters those by their weights down to ``k``."""
+    centers in ``epochs`` passes, then clusters those by their weights down to ``k`` from starts of
+    ``local_lloyd_init_method``. ``init_method`` says where the first clustering of the rows starts."""
 
     required = ("k", "feature_dim", "mini_batch_size")
     assumed = {"init_method": "random", "local_lloyd_max_iter": 300, "local_lloyd_tol": 0.0001,
@@ -43,11 +44,12 @@ class KMeansTable(TableEstimator):
     def _preset(self) -> None:
         self._setDefault(mini_batch_size=5000)
 
-    def _lloyd(self, df: DataFrame, k: int, init: str, trials: int, weight: str | None = None) -> KMeansModel:
+    def _lloyd(self, df: DataFrame, k: int, init: str, trials: int, weight: str | None = None,
+               passes: int | None = None) -> KMeansModel:
         best = None
         for trial in range(trials):
             stage = KMeans(k=k, featuresCol=self.getOrDefault("featuresCol"), initMode=INIT_MODES[init],
-                           maxIter=self.setting("local_lloyd_max_iter"), tol=self.setting("local_lloyd_tol"),
+                           maxIter=self.setting("local_lloyd_max_iter") if passes is None else passes, tol=self.setting("local_lloyd_tol"),
                            seed=self.setting("seed") + trial)
             model = (stage.setWeightCol(weight) if weight else stage).fit(df)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
@@ -60,16 +62,16 @@ class KMeansTable(TableEstimator):
         count = self.setting("local_lloyd_num_trials")
         trials = 1 if count == "auto" else int(count)
         factor = self.setting("extra_center_factor")
-        k, init = self.getOrDefault("k"), self.setting("local_lloyd_init_method")
+        k, init = self.getOrDefault("k"), self.setting("init_method")
         if factor == "auto" or int(factor) == 1:
             fitted = self._lloyd(slim, k, init, trials)
         else:
-            surplus = self._lloyd(slim, k * int(factor), self.setting("init_method"), 1)
+            surplus = self._lloyd(slim, k * int(factor), init, 1, passes=self.setting("epochs"))
             rows = [(center.tolist(), float(size)) for center, size in
                     zip(surplus.clusterCenters(), surplus.summary.clusterSizes)]
             centers = df.sparkSession.createDataFrame(rows, "center array<double>, weight double").filter("weight > 0")
             fitted = self._lloyd(centers.select(vectors.from_array("center").alias(features), "weight"),
-                                 k, init, trials, "weight")
+                                 k, self.setting("local_lloyd_init_method"), trials, "weight")
         return KMeansTableModel.of(np.array(fitted.clusterCenters()))
 
 

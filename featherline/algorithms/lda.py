@@ -32,7 +32,7 @@ class LDATable(TableEstimator):
             best, lowest = None, float("inf")
             for restart in range(self.setting("max_restarts")):
                 stage = LDA(k=k, featuresCol=features, maxIter=self.setting("max_iterations"), optimizer="online",
-                            subsamplingRate=max(share, 1e-9), seed=self.setting("seed") + restart,
+                            subsamplingRate=share, seed=self.setting("seed") + restart,
                             docConcentration=[self.setting("alpha0") / k] * k if k > 1 else [self.setting("alpha0")])
                 fitted = stage.fit(slim)
                 perplexity = fitted.logPerplexity(slim) if self.setting("max_restarts") > 1 else 0.0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -16,6 +16,7 @@ from featherline.operators import curves, losses, weights
 from featherline.operators.curves import CRITERIA
 from featherline.operators.sampling import hash_sample
 
+# Names of losses (fixed values).
 LOSSES = ("logistic", "squared_loss", "absolute_loss", "hinge_loss", "eps_insensitive_squared_loss",
           "eps_insensitive_absolute_loss", "quantile_loss", "huber_loss", "softmax_loss", "auto")
 # Smoothing of absolute losses: the width's factor per round, its least share of the mean residual, the
@@ -31,7 +32,7 @@ class LinearParams(TableEstimator):
         "binary_classifier_model_selection_criteria": "accuracy", "balance_multiclass_weights": "False", "epochs": 10,
         "use_bias": "True", "num_models": "auto", "num_calibration_samples": 10000000, "loss": "auto", "wd": 0.0, "l1": 0.0,
         "normalize_data": "True", "normalize_label": "auto", "unbias_data": "auto", "unbias_label": "auto",
-        "num_point_for_scaler": 10000, "early_stopping_tolerance": 0.001, "margin": 1.0, "quantile": 0.5,
+        "early_stopping_tolerance": 0.001, "margin": 1.0, "quantile": 0.5,
         "loss_insensitivity": 0.01, "huber_delta": 1.0, "f_beta": 1.0, "seed": 0,
     }
 
@@ -50,7 +51,7 @@ class LinearParams(TableEstimator):
     normalize_label = declare("normalize_label", "whether to scale the label to unit deviation", flag_or_auto)
     unbias_data = declare("unbias_data", "whether to center features", flag_or_auto)
     unbias_label = declare("unbias_label", "whether to center the label", flag_or_auto)
-    num_point_for_scaler = declare("num_point_for_scaler", "rows to estimate moments on", whole(1))
+    num_point_for_scaler = declare("num_point_for_scaler", "rows to estimate moments on; all when unset", whole(1))
     early_stopping_tolerance = declare("early_stopping_tolerance", "relative gain below which to stop", real(0, above=True))
     margin = declare("margin", "margin of the hinge loss", real(0, above=True))
     quantile = declare("quantile", "level of the quantile loss", real(0, 1, above=True, below=True))
@@ -72,9 +73,11 @@ class LinearParams(TableEstimator):
                 "fitIntercept": self.setting("use_bias") == "True"}
 
     def _scaler_rows(self, df: DataFrame) -> DataFrame:
-        """The rows that moments are estimated on, as many as asked for."""
+        """The rows that moments are estimated on: all, or as many as asked for."""
         features, label = self.getOrDefault("featuresCol"), self.getOrDefault("labelCol")
-        return hash_sample(df.select(features, label), self.setting("num_point_for_scaler"),
+        if not self.isDefined("num_point_for_scaler"):
+            return df.select(features, label)
+        return hash_sample(df.select(features, label), self.getOrDefault("num_point_for_scaler"),
                            F.xxhash64(F.unwrap_udt(features), label))
 
     def _scaled(self, df: DataFrame, sample: DataFrame | None = None):
@@ -248,7 +251,7 @@ class MulticlassClassifierTable(LinearParams):
         model = MulticlassClassifierModel()
         model.stages.update({"scaler": scaler} if scaler else {})
         model.stages["linear"] = fitted
-        model.facts.update(score="score", label="predicted_label")
+        model.facts.update(score="score", label="predicted_label", classes=self.getOrDefault("num_classes"))
         return model
 
 
@@ -258,7 +261,11 @@ class MulticlassClassifierModel(LinearModelBase):
 
     def _finish(self, scored: DataFrame, stage, names: dict[str, str]) -> DataFrame:
         score = names["probability"] if hasattr(stage, "setProbabilityCol") else names["rawPrediction"]
-        return scored.withColumns({"_score": F.col(score), "_class": F.col(names["prediction"])})
+        # A class that no row has comes after all that were seen, and scores zero.
+        held = vector_to_array(F.col(score))
+        absent = F.greatest(F.lit(int(self.facts.get("classes", 0))) - F.size(held), F.lit(0))
+        whole = array_to_vector(F.concat(held, F.array_repeat(F.lit(0.0), absent)))
+        return scored.withColumns({"_score": whole, "_class": F.col(names["prediction"])})
 
     def predict(self, df: DataFrame):
         return self._scored(df), {self.facts["score"]: F.col("_score"), self.facts["label"]: F.col("_class")}
@@ -290,9 +297,7 @@ class RegressorTable(LinearParams):
         elif loss == "huber_loss":
             if self.setting("l1"):
                 raise ValueError("the Huber loss has no absolute penalty")
-            # Spark counts the turning point in units of the estimated deviation, above 1.
-            fitted = stage._set(loss="huber", epsilon=max(1.0001, self.setting("huber_delta")),
-                                regParam=self.setting("wd")).fit(slim)
+            fitted = self._reweighted(slim, stage.setRegParam(self.setting("wd")), loss, scale)
         elif loss in ("absolute_loss", "quantile_loss", "eps_insensitive_squared_loss", "eps_insensitive_absolute_loss"):
             fitted = self._reweighted(slim, stage.setRegParam(self._penalty()["regParam"]).setElasticNetParam(
                 self._penalty()["elasticNetParam"]), loss, scale)
@@ -314,12 +319,13 @@ class RegressorTable(LinearParams):
 
         The kinks of the absolute losses are smoothed over a width that shrinks every round, and a
         round is a Newton step. The squared loss with slack pulls labels in to the edge of the
-        slack. Every round is one training pass over the same table; only coefficients carry over.
+        slack. The Huber loss weighs a row by how far its error exceeds delta. Every round is one training pass over the same table; only coefficients carry over.
         """
         label, features = self.getOrDefault("labelCol"), self.getOrDefault("featuresCol")
         name, weight, target = (scratch_name(n) for n in ("fit", "weight", "target"))
         level = F.lit(self.setting("quantile") if loss == "quantile_loss" else 0.5)
-        slack = self.setting("loss_insensitivity") / scale
+        slack, delta = self.setting("loss_insensitivity") / scale, self.setting("huber_delta") / scale
+        smoothed = loss not in ("huber_loss", "eps_insensitive_squared_loss")
         table = df.persist()
         try:
             model = stage.copy().fit(table).setPredictionCol(name)
@@ -331,7 +337,9 @@ class RegressorTable(LinearParams):
                 def step(distance: Column) -> Column:
                     return 1 / (1 + F.exp(-distance / width))
 
-                if loss == "eps_insensitive_squared_loss":
+                if loss == "huber_loss":
+                    columns = {target: F.col(label), weight: F.least(F.lit(1.0), delta / F.greatest(F.abs(error), F.lit(1e-300)))}
+                elif loss == "eps_insensitive_squared_loss":
                     pulled = F.col(label) - F.signum(error) * slack
                     columns = {target: F.when(F.abs(error) > slack, pulled).otherwise(F.col(name)), weight: F.lit(1.0)}
                 else:
@@ -348,7 +356,7 @@ class RegressorTable(LinearParams):
                 change = moved.coefficients.toArray() - model.coefficients.toArray()
                 size = abs(moved.coefficients.toArray()).sum() + abs(moved.intercept)
                 still = abs(change).sum() + abs(moved.intercept - model.intercept) <= SETTLED * size
-                model, settled = moved, still and width <= NARROWEST * spread
+                model, settled = moved, still and (not smoothed or width <= NARROWEST * spread)
                 width = max(width * SHRINK, NARROWEST * spread)
                 if settled:
                     break

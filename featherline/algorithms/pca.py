@@ -6,10 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import PCA
 from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg import Vectors as OldVectors
-from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.ml.linalg import VectorUDT
 
@@ -20,6 +18,8 @@ from featherline.functions import vectors
 
 # Passes that sharpen a random sketch.
 POWER_PASSES = 2
+# Tasks in which triangular factors meet before the driver gets as many.
+MEETINGS = 16
 
 
 class PCATable(TableEstimator):
@@ -55,13 +55,10 @@ class PCATable(TableEstimator):
         elif mode == "regular" and centered:
             directions = PCA(k=k, inputCol="x", outputCol="y").fit(slim).pc.toArray()
         elif mode == "regular":
-            gram = _row_matrix(slim).computeGramianMatrix().toArray()
-            directions = np.linalg.eigh(gram)[1][:, ::-1][:, :k]
+            directions = np.linalg.eigh(apply_gram(slim, np.eye(width), None))[1][:, ::-1][:, :k]
         else:
-            if centered:
-                scaler = StandardScaler(withMean=True, withStd=False, inputCol="x", outputCol="c").fit(slim)
-                slim = scaler.transform(slim).select(F.col("c").alias("x"))
-            directions = _row_matrix(slim).computeSVD(k).V.toArray()
+            # All right singular vectors, so that rows of lower rank still have k directions.
+            directions = np.linalg.svd(triangle(slim, width, mean), full_matrices=True)[2].T[:, :k]
         return PCATableModel.of(fixed_signs(directions), mean)
 
     def _sketched(self, df: DataFrame, mean: np.ndarray | None, k: int, width: int) -> np.ndarray:
@@ -76,8 +73,26 @@ class PCATable(TableEstimator):
         return (basis @ turns)[:, ::-1][:, :k]
 
 
-def _row_matrix(df: DataFrame) -> RowMatrix:
-    return RowMatrix(df.rdd.map(lambda row: OldVectors.fromML(row["x"])))
+def triangle(df: DataFrame, width: int, mean: np.ndarray | None) -> np.ndarray:
+    """The triangular factor of the (centered) rows: tasks factor their rows, then factors meet in two steps."""
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, width))
+        for batch in batches:
+            for block in geometry._blocks(batch.column(0), width):
+                held = np.linalg.qr(np.vstack([held, block if mean is None else block - mean]), mode="r")
+        yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], names=["r"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, width))
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                held = np.linalg.qr(np.vstack([held, np.frombuffer(packed).reshape(-1, width)]), mode="r")
+        yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], names=["r"])
+
+    parts = df.select(vectors.lean(F.col("x")).alias("x")).mapInArrow(factor, "r binary").repartition(MEETINGS)
+    rows = parts.mapInArrow(join, "r binary").collect()
+    return np.linalg.qr(np.vstack([np.frombuffer(row["r"]).reshape(-1, width) for row in rows]), mode="r")
 
 
 def apply_gram(df: DataFrame, basis: np.ndarray, mean: np.ndarray | None) -> np.ndarray:

@@ -39,17 +39,23 @@ def owners(keys: DataFrame, prefixes: DataFrame, key: str = "key", prefix: str =
     return exploded.join(prefixes, exploded["_candidate"] == prefixes[prefix]).drop("_candidate")
 
 
+# Scheme, authority and path of a URI; an authority may hold underscores, which host names may not.
+URI = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)(?:/([^?#]*))?"
+
+
 def uri_bucket(uri: Column) -> Column:
-    return F.try_parse_url(uri, F.lit("HOST"))
+    return F.nullif(F.regexp_extract(uri, URI, 2), F.lit(""))
 
 
 def uri_key(uri: Column) -> Column:
-    return F.regexp_replace(F.try_parse_url(uri, F.lit("PATH")), "^/", "")
+    """The path without its first slash, percent signs decoded; a plus sign stays."""
+    raw = F.regexp_extract(uri, URI, 3)
+    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
 
 
 def is_object_uri(uri: Column) -> Column:
     """Whether the URI names an object in a bucket store, by its scheme."""
-    return F.coalesce(F.try_parse_url(uri, F.lit("PROTOCOL")).startswith("s3"), F.lit(False))
+    return F.coalesce(F.regexp_extract(uri, URI, 1).startswith("s3") & uri_bucket(uri).isNotNull(), F.lit(False))
 
 
 def split_object_uri(uri: Column) -> Column:

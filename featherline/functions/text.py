@@ -48,9 +48,10 @@ def without_zeros(entries: Column) -> Column:
     return F.filter(entries, lambda e: e["value"] != 0)
 
 
-def _numbers(texts: pa.Array, pattern: str, kind: pa.DataType) -> tuple[np.ndarray, np.ndarray]:
-    """Parsed numbers (0 where malformed) and which texts were well-formed."""
+def _numbers(texts: pa.Array, pattern: str, kind: pa.DataType, strip: str = "") -> tuple[np.ndarray, np.ndarray]:
+    """Parsed numbers (0 where malformed) and which texts were well-formed; ``strip`` may come first."""
     good = pc.fill_null(pc.match_substring_regex(texts, pattern), False)
+    texts = pc.utf8_ltrim(texts, strip) if strip else texts
     numbers = pc.if_else(good, texts, pa.scalar("0")).cast(kind)
     return numbers.to_numpy(zero_copy_only=False), good.to_numpy(zero_copy_only=False)
 
@@ -69,7 +70,7 @@ def libsvm_batch(lines: pa.Array, dim: int) -> tuple[pa.Array, pa.Array, np.ndar
     parts = pc.split_pattern(pairs, ":", max_splits=1)
     whole = pc.equal(parts.value_lengths(), 2)
     parts = pc.if_else(whole, parts, pa.scalar(["", ""], parts.type))
-    index, index_good = _numbers(pc.list_element(parts, 0), INTEGER, pa.int64())
+    index, index_good = _numbers(pc.list_element(parts, 0), INTEGER, pa.int64(), strip="+")
     value, value_good = _numbers(pc.list_element(parts, 1), REAL, pa.float64())
     index = index - 1
     fine = index_good & value_good & (index >= 0) & (index < dim)

@@ -17,9 +17,12 @@ CRITERIA = ("accuracy", "f1", "f_beta", "precision_at_target_recall", "recall_at
 
 
 def by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score; a score many rows share becomes one row."""
+    """Positives and negatives per distinct score; a score many rows share becomes one row.
+
+    A row without a score has no place among thresholds and is left out.
+    """
     is_one = F.col(label) == 1
-    counted = df.groupBy(F.col(score).alias("threshold")).agg(
+    counted = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(is_one).alias("positives"), F.count_if(~is_one).alias("negatives"))
     return written(counted, "scores")
 
@@ -54,8 +57,11 @@ def best_threshold(sweep: DataFrame, criterion: str = "accuracy", target_recall:
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "score", task_rows: int = TASK_ROWS) -> DataFrame:
-    """Area under the ROC curve by trapezoids; rows of equal score share one."""
+    """Area under the ROC curve by trapezoids; rows of equal score share one.
+
+    Null where one of the classes has no row.
+    """
     above = running(by_score(df, label, score), [], [F.col("threshold").desc()], {"tp": F.col("positives")}, task_rows)
     area = F.sum(F.col("negatives") * (F.col("tp") - F.col("positives") / 2))
     pairs = F.sum("positives").cast("double") * F.sum("negatives")
-    return above.agg((area / pairs).alias("auc"))
+    return above.agg(F.when(pairs > 0, area / pairs).alias("auc"))

@@ -45,8 +45,8 @@ def rates(counts: DataFrame, beta: float = 1.0) -> DataFrame:
 
 def binary_metrics(df: DataFrame, label: str = "label", score: str = "score", threshold: float = 0.5,
                    beta: float = 1.0) -> DataFrame:
-    """Metrics of the decision ``score > threshold``; ``error`` is then ``error@threshold``."""
-    return rates(confusion(df, label, F.col(score) > threshold), beta)
+    """Metrics of the decision ``score >= threshold``, which is how models and chosen thresholds decide."""
+    return rates(confusion(df, label, F.col(score) >= threshold), beta)
 
 
 def errors_at(df: DataFrame, thresholds: Sequence[float], label: str = "label", score: str = "score") -> DataFrame:

@@ -77,11 +77,10 @@ def require_valid(df: DataFrame, **arguments) -> None:
         raise ValueError(f"bad rows in the feature table: {bad}")
 
 
-def join_table(df: DataFrame, table: DataFrame, on: Sequence[str], bound: int = 1_000_000) -> DataFrame:
-    """Join a table of one row per key. It goes to every task when its rows, counted first, are at most
-    ``bound``; otherwise both sides shuffle and adaptive execution splits keys that are too large."""
-    small = table.limit(bound + 1).count() <= bound
-    return df.join(F.broadcast(table) if small else table, list(on))
+def join_table(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join a table of one row per key. Adaptive execution measures its bytes: a table below the session's
+    broadcast threshold goes to every task, otherwise both sides shuffle and keys that are too large are split."""
+    return df.join(table, list(on))
 
 
 def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:

@@ -15,7 +15,7 @@ from featherline.functions import vectors
 from featherline.operators import codecs, losses, metrics, tables
 from featherline.plans.encoding import KEYED
 from featherline.plans.quality import relevance, rounded
-from featherline.plans.registry import query, spread, table
+from featherline.plans.registry import query, table
 from featherline.sources import export
 from featherline.workspace import new_path
 
@@ -102,7 +102,7 @@ def kmeans_surplus(spark, folder):
 
 def two_columns(spark, folder) -> DataFrame:
     """Quantity and price in units of their deviation, the price twice as wide."""
-    lineitem = spread(table(spark, folder, "lineitem"))
+    lineitem = table(spark, folder, "lineitem")
     q, p = lineitem.agg(F.stddev_samp("l_quantity"), F.stddev_samp("l_extendedprice")).first()
     return lineitem.select(*KEYED.split(", "), vectors.vector_of(
         F.col("l_quantity") / q, 2 * F.col("l_extendedprice") / p).alias("features"))
@@ -142,19 +142,19 @@ def pca_variance(spark, folder):
     return spread.groupBy("i").agg(F.var_samp("x").alias("v")).agg(F.round(F.sum("v"), 6).alias("total_variance"))
 
 
-@query("lda_mix", "SELECT doc_id, 1.0::DOUBLE AS total, 4 AS n_topics FROM documents")
+@query("lda_mix", """
+    SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9_]') THEN 1.0 ELSE 0.0 END::DOUBLE AS total, 4 AS n_topics FROM documents""")
 def lda_mix(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     words = RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\W+").transform(docs)
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=300).fit(words)
+    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 24).fit(words)
     counted = counter.transform(words).select("doc_id", "features")
     trainer = lda.LDATable(num_topics=4, feature_dim=len(counter.vocabulary), mini_batch_size=5000, max_restarts=2,
                            max_iterations=5)
     mixture = vectors.to_array("topic_mixture")
     total = F.aggregate(mixture, F.lit(0.0), lambda acc, x: acc + x)
-    # A document without a known word has no mixture to speak of: its prior is used.
-    return trainer.fit(counted).transform(counted).select(
-        "doc_id", F.when(total == 0, 1.0).otherwise(F.round(total, 6)).alias("total"), F.size(mixture).alias("n_topics"))
+    # A document without a word has no mixture.
+    return trainer.fit(counted).transform(counted).select("doc_id", F.round(total, 6).alias("total"), F.size(mixture).alias("n_topics"))
 
 
 @query("linreg_fit", """
@@ -175,7 +175,7 @@ def linreg_fit(spark, folder):
         FROM lineitem)""")
 def linreg_scaled(spark, folder):
     """Centered and scaled features and label, undone in the score."""
-    df = spread(table(spark, folder, "lineitem")).select(
+    df = table(spark, folder, "lineitem").select(
         *KEYED.split(", "), vectors.vector_of("l_quantity").alias("features"), (F.col("l_extendedprice") / 1000).alias("label"))
     trainer = linear.RegressorTable(feature_dim=1, unbias_data=True, normalize_label=True, unbias_label=True,
                                     early_stopping_tolerance=1e-12)
@@ -470,7 +470,7 @@ def model_select(spark, folder):
 def custom_algorithm(spark, folder):
     """A user's own algorithm: a mean learned by a Spark job, a scorer of CSV payloads, the CSV decoder."""
     names = KEYED.split(", ")
-    df = spread(table(spark, folder, "lineitem")).select(
+    df = table(spark, folder, "lineitem").select(
         *names, F.col("l_extendedprice").alias("label"), vectors.vector_of("l_quantity").alias("features"))
 
     def fit(training: DataFrame, params: dict[str, str]):

@@ -38,8 +38,8 @@ RATES = """
 
 
 @query("clf_metrics", RATES.format(head="", counts=f"""
-    SELECT count(*) FILTER (label = 1 AND score > 0.6) AS tp, count(*) FILTER (label <> 1 AND score > 0.6) AS fp,
-        count(*) FILTER (label = 1 AND score <= 0.6) AS fn, count(*) FILTER (label <> 1 AND score <= 0.6) AS tn
+    SELECT count(*) FILTER (label = 1 AND score >= 0.6) AS tp, count(*) FILTER (label <> 1 AND score >= 0.6) AS fp,
+        count(*) FILTER (label = 1 AND score < 0.6) AS fn, count(*) FILTER (label <> 1 AND score < 0.6) AS tn
     FROM ({LABELLED})"""))
 def clf_metrics(spark, folder):
     return rounded(metrics.binary_metrics(labelled(spark, folder), threshold=0.6, beta=2.0))

@@ -20,12 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where the files are too few to keep them busy; large inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under ``name`` with the SQL that must give the same rows."""
 
