@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from featherline.operators import metrics
-from featherline.operators.ordered import TASK_ROWS, running
+from featherline.operators.ordered import running
 from featherline.operators.sampling import hash_sample
 from featherline.workspace import written
 
@@ -28,14 +28,14 @@ def by_score(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", beta: float = 1.0,
-                    max_rows: int | None = None, key: Sequence[str | Column] = (), task_rows: int = TASK_ROWS) -> DataFrame:
+                    max_rows: int | None = None, key: Sequence[str | Column] = (), ranges: int | None = None) -> DataFrame:
     """Metrics of ``score >= threshold`` for every distinct score, optionally over a hash sample."""
     if max_rows is not None:
         df = hash_sample(df, max_rows, *key)
     counted = by_score(df, label, score)
-    scores, positives, negatives = counted.agg(F.count(F.lit(1)), F.sum("positives"), F.sum("negatives")).first()
+    positives, negatives = counted.agg(F.sum("positives"), F.sum("negatives")).first()
     above = running(counted, [], [F.col("threshold").desc()],
-                    {"tp": F.col("positives"), "fp": F.col("negatives")}, task_rows, (scores, scores))
+                    {"tp": F.col("positives"), "fp": F.col("negatives")}, ranges)
     counts = above.select(
         "threshold", "tp", "fp", (F.lit(positives or 0) - F.col("tp")).alias("fn"),
         (F.lit(negatives or 0) - F.col("fp")).alias("tn"))
@@ -56,12 +56,12 @@ def best_threshold(sweep: DataFrame, criterion: str = "accuracy", target_recall:
     return allowed.orderBy(F.col(goal).desc(), F.col("threshold").desc()).limit(1)
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", task_rows: int = TASK_ROWS) -> DataFrame:
+def auc(df: DataFrame, label: str = "label", score: str = "score", ranges: int | None = None) -> DataFrame:
     """Area under the ROC curve by trapezoids; rows of equal score share one.
 
     Null where one of the classes has no row.
     """
-    above = running(by_score(df, label, score), [], [F.col("threshold").desc()], {"tp": F.col("positives")}, task_rows)
+    above = running(by_score(df, label, score), [], [F.col("threshold").desc()], {"tp": F.col("positives")}, ranges)
     area = F.sum(F.col("negatives") * (F.col("tp") - F.col("positives") / 2))
     pairs = F.sum("positives").cast("double") * F.sum("negatives")
     return above.agg(F.when(pairs > 0, area / pairs).alias("auc"))

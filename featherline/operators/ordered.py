@@ -1,4 +1,4 @@
-"""Running totals in an order, when a group may be too large for one task."""
+"""Running totals in an order, whatever the size of a group."""
 
 from __future__ import annotations
 
@@ -8,35 +8,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from featherline.workspace import written
 
-# Rows of one group that a single task may sort.
-TASK_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
-    """(rows in all, rows of the largest group), counted with partial sums before the shuffle."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    total, most = sizes.agg(F.sum("n"), F.max("n")).first()
-    return total or 0, most or 0
-
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column],
-            task_rows: int = TASK_ROWS, sizes: tuple[int, int] | None = None) -> DataFrame:
+            ranges: int | None = None) -> DataFrame:
     """Add the running sum of each of ``totals`` within ``by``, in ``order``, the row itself included.
 
-    ``by`` and ``order`` together should tell rows apart. When every group fits a task this is a
-    window. Otherwise rows are range-partitioned on both, so that a large group spreads over many
-    tasks; each adds what the earlier ranges of its group sum to. ``sizes`` gives the rows in all and
-    of the largest group, where the caller knows them.
+    ``by`` and ``order`` together should tell rows apart. Rows are range-partitioned on both, so a
+    group of any size spreads over tasks; each range adds what the earlier ranges of its group sum
+    to. Without a number of ``ranges`` there are as many as the session has shuffle partitions, less those
+    that adaptive execution joins because they hold few bytes.
     """
-    rows, most = sizes or largest_group(df, by)
-    if most <= task_rows:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})
-    parts = -(-rows // task_rows) * 2
+    keys = [*[F.col(c) for c in by], *order]
+    dealt = df.repartitionByRange(*keys) if ranges is None else df.repartitionByRange(ranges, *keys)
     # Range bounds are sampled, so the ranges are written down before they are used twice.
-    ranged = written(
-        df.repartitionByRange(parts, *[F.col(c) for c in by], *order).withColumn("_range", F.spark_partition_id()),
-        "ranges")
+    ranged = written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     sums = ranged.groupBy("_range", *by).agg(*[F.sum(v).alias(f"_before_{n}") for n, v in totals.items()])
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from featherline.operators.ordered import TASK_ROWS, largest_group, running
+from featherline.operators.ordered import running
 from featherline.operators.tables import join_table
 
 
@@ -20,27 +20,39 @@ def parse_metric(text: str) -> tuple[str, int | None, bool]:
 
 
 def per_query(df: DataFrame, query: str, label: str, score: str, key: str, cut: int | None = None,
-              empty_is_zero: bool = False, task_rows: int = TASK_ROWS) -> DataFrame:
+              empty_is_zero: bool = False, ranges: int | None = None) -> DataFrame:
     """NDCG and average precision of each query's list, ordered by score, then by ``key``.
 
-    Ranks are running counts, so a query with a third of all rows is ranked by many tasks.
+    Without a cut, ranks are running counts, so a query with a third of all rows is ranked by many tasks.
+    With one, only the first rows of a query in either order count, and tasks leave out the others
+    before the shuffle.
     """
     one = F.lit(1)
     slim = df.select(query, F.col(label).cast("double").alias("_label"), F.col(score).alias("_score"), key)
-    sizes = largest_group(slim, [query])
-    ranked = running(slim, [query], [F.col("_score").desc(), F.col(key)],
-                     {"_rank": one, "_hits": (F.col("_label") > 0).cast("int")}, task_rows, sizes)
-    ranked = running(ranked, [query], [F.col("_label").desc(), F.col(key)], {"_ideal": one}, task_rows, sizes)
+    by_score, by_label = [F.col("_score").desc(), F.col(key)], [F.col("_label").desc(), F.col(key)]
+    hit = (F.col("_label") > 0).cast("int")
 
     def gain(rank: str) -> Column:
-        value = (F.pow(F.lit(2.0), F.col("_label")) - 1) / F.log2(F.col(rank) + 1.0)
-        return F.sum(value if cut is None else F.when(F.col(rank) <= cut, value).otherwise(0.0))
-
-    counted = (F.col("_label") > 0) & (F.lit(True) if cut is None else F.col("_rank") <= cut)
-    sums = ranked.groupBy(query).agg(
-        F.count(one).alias("n_rows"), gain("_rank").alias("_dcg"), gain("_ideal").alias("_best"),
-        F.sum(F.when(counted, F.col("_hits") / F.col("_rank")).otherwise(0.0)).alias("_precision"),
-        F.sum((F.col("_label") > 0).cast("int")).alias("_positives"))
+        return F.sum((F.pow(F.lit(2.0), F.col("_label")) - 1) / F.log2(F.col(rank) + 1.0))
+
+    precision = F.sum(F.when(F.col("_label") > 0, F.col("_hits") / F.col("_rank")).otherwise(0.0)).alias("_precision")
+    counts = [F.count(one).alias("n_rows"), F.sum(hit).alias("_positives")]
+    if cut is None:
+        ranked = running(slim, [query], by_score, {"_rank": one, "_hits": hit}, ranges)
+        ranked = running(ranked, [query], by_label, {"_ideal": one}, ranges)
+        sums = ranked.groupBy(query).agg(*counts, gain("_rank").alias("_dcg"), gain("_ideal").alias("_best"), precision)
+    else:
+        def first(order: list[Column], rank: str) -> DataFrame:
+            return slim.withColumn(rank, F.row_number().over(Window.partitionBy(query).orderBy(*order))).where(F.col(rank) <= cut)
+
+        line = Window.partitionBy(query).orderBy("_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        top = first(by_score, "_rank").withColumn("_hits", F.sum(hit).over(line))
+        parts = [slim.groupBy(query).agg(*counts), top.groupBy(query).agg(gain("_rank").alias("_dcg"), precision),
+                 first(by_label, "_ideal").groupBy(query).agg(gain("_ideal").alias("_best"))]
+        sums = parts[0]
+        for k, part in enumerate(parts[1:]):
+            part = part.withColumnRenamed(query, f"_query{k}")
+            sums = sums.join(part, F.col(query).eqNullSafe(F.col(f"_query{k}"))).drop(f"_query{k}")
     empty = F.lit(0.0 if empty_is_zero else 1.0)
     return sums.select(
         query, "n_rows",
@@ -49,10 +61,10 @@ def per_query(df: DataFrame, query: str, label: str, score: str, key: str, cut:
 
 
 def ranking_metric(df: DataFrame, metric: str, query: str, label: str, score: str, key: str,
-                   task_rows: int = TASK_ROWS) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """Mean over queries of a metric such as ``ndcg``, ``map@10`` or ``ndcg@5-``."""
     name, cut, empty_is_zero = parse_metric(metric)
-    lists = per_query(df, query, label, score, key, cut, empty_is_zero, task_rows)
+    lists = per_query(df, query, label, score, key, cut, empty_is_zero, ranges)
     return lists.agg(F.avg(name).alias(metric))
 
 

@@ -157,8 +157,8 @@ def threshold_sweep(spark, folder):
 
 @query("threshold_sweep_ranges", RATES.format(head="threshold,", counts=SWEEP))
 def threshold_sweep_ranges(spark, folder):
-    """The same sweep in the way that serves more distinct scores than one task can sort."""
-    return rounded(curves.threshold_sweep(labelled(spark, folder), beta=2.0, task_rows=100), keep=("threshold",))
+    """The same sweep over a stated number of ranges."""
+    return rounded(curves.threshold_sweep(labelled(spark, folder), beta=2.0, ranges=7), keep=("threshold",))
 
 
 def best_sql(criterion, goal, where="true"):
@@ -224,9 +224,9 @@ def rank_metrics(spark, folder):
 
 @query("rank_metrics_at", rank_sql(10, 0))
 def rank_metrics_at(spark, folder):
-    """Cut at 10, lists without positives counting 0, ranked over ranges as a large query would be."""
+    """Cut at 10, lists without positives counting 0."""
     return rounded(ranking.per_query(
-        relevance(spark, folder), "lang", "relevance", "score", "doc_id", 10, True, task_rows=100))
+        relevance(spark, folder), "lang", "relevance", "score", "doc_id", 10, True))
 
 
 @query("rank_means", f"""

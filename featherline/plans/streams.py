@@ -11,7 +11,8 @@ from featherline.plans.models import ENTRIES, NEAREST, embedded, mean_centers
 from featherline.plans.registry import query, table
 from featherline.streaming.decayed import DecayedKMeans
 from featherline.streaming.scoring import score_stream, write_records
-from featherline.workspace import new_path
+from featherline.operators.ordered import running
+from featherline.workspace import new_path, written
 
 
 def streamed(spark, folder: str, name: str) -> DataFrame:
@@ -66,20 +67,29 @@ def decayed_sql() -> str:
     SELECT cluster::BIGINT AS cluster, (i - 1)::INTEGER AS position, round(c, 6) AS center, round(w, 6) AS weight FROM s{BATCHES}"""
 
 
+# Files of a batch; their number, not their size, is what a trigger of the stream counts.
+FILES = 4
+
+
+def feed(df: DataFrame, path: str, batches: int) -> None:
+    """Write ``vec_id, x`` in equal parts by rank of the key, ``FILES`` files each, as a feed would bring them."""
+    ranked = written(running(
+        df.select("vec_id", vectors.to_array("features").alias("x")), [], [F.col("vec_id")], {"rank": F.lit(1)}), "ranked")
+    rows = ranked.count()
+    sizes = [rows // batches + (1 if b < rows % batches else 0) for b in range(batches)]
+    bounds = [0, *np.cumsum(sizes).tolist()]
+    for low, high in zip(bounds, bounds[1:]):
+        part = ranked.filter((F.col("rank") > low) & (F.col("rank") <= high)).select("vec_id", "x")
+        part.repartition(FILES).write.mode("append").parquet(path)
+
+
 @query("stream_decay", decayed_sql())
 def stream_decay(spark, folder):
     """Three files of embeddings, one batch each, moving the label means."""
     df = embedded(spark, folder)
     source = new_path(spark, "arrivals")
-    # Equal parts in key order, as a feed would bring them: bounds by rank of the key.
-    keys = df.select("vec_id")
-    rows = keys.count()
-    sizes = [rows // BATCHES + (1 if b < rows % BATCHES else 0) for b in range(BATCHES)]
-    bounds = [0, *np.cumsum(sizes).tolist()]
-    for low, high in zip(bounds, bounds[1:]):
-        part = df.filter((F.col("vec_id") >= low) & (F.col("vec_id") < high)).select("vec_id", vectors.to_array("features").alias("x"))
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema("vec_id bigint, x array<double>").option("maxFilesPerTrigger", 1).parquet(source)
+    feed(df, source, BATCHES)
+    stream = spark.readStream.schema("vec_id bigint, x array<double>").option("maxFilesPerTrigger", FILES).parquet(source)
     learner = DecayedKMeans(spark, new_path(spark, "centers"), mean_centers(df), HALF_LIFE)
     learner.start(stream.select(vectors.from_array("x").alias("features")), new_path(spark, "progress")).awaitTermination()
     state = spark.read.parquet(learner._path(BATCHES - 1))

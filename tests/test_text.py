@@ -7,8 +7,8 @@ from featherline.functions import text
 from featherline.operators import codecs, tables
 from featherline.sources import export
 
-SPARSE = Vectors.sparse(100, [0, 10], [-100.0, 100.1])
-DENSE = Vectors.dense([10.0, -100.0, 2.0])
+SPARSE = Vectors.sparse(31, [4, 30], [0.75, -12.5])
+DENSE = Vectors.dense([3.5, 0.25, -8.0, 61.0])
 
 
 def one(spark, rows, names, column):
@@ -17,11 +17,11 @@ def one(spark, rows, names, column):
 
 def test_libsvm_lines(spark):
     line = text.libsvm_line(F.col("features"), F.col("label"))
-    assert one(spark, [(1.0, SPARSE)], ["label", "features"], line) == "1.0 1:-100.0 11:100.1\n"
-    assert one(spark, [(1.0, DENSE)], ["label", "features"], line) == "1.0 1:10.0 2:-100.0 3:2.0\n"
-    extra = [("Elizabeth", 1.0, SPARSE, "Crying")]
-    assert one(spark, extra, ["name", "label", "features", "favorite activity"], line) == "1.0 1:-100.0 11:100.1\n"
-    assert one(spark, [(SPARSE,)], ["features"], text.libsvm_line(F.col("features"))) == "0.0 1:-100.0 11:100.1\n"
+    assert one(spark, [(1.0, SPARSE)], ["label", "features"], line) == "1.0 5:0.75 31:-12.5\n"
+    assert one(spark, [(7.0, DENSE)], ["label", "features"], line) == "7.0 1:3.5 2:0.25 3:-8.0 4:61.0\n"
+    extra = [(19, 1.0, SPARSE, True)]
+    assert one(spark, extra, ["order id", "label", "features", "paid"], line) == "1.0 5:0.75 31:-12.5\n"
+    assert one(spark, [(SPARSE,)], ["features"], text.libsvm_line(F.col("features"))) == "0.0 5:0.75 31:-12.5\n"
 
 
 def test_dense_zeros_are_written(spark):
@@ -31,13 +31,13 @@ def test_dense_zeros_are_written(spark):
 
 def test_csv_line(spark):
     line = text.csv_line(F.col("features"))
-    assert one(spark, [(DENSE,)], ["features"], line) == "10.0,-100.0,2.0\n"
+    assert one(spark, [(DENSE,)], ["features"], line) == "3.5,0.25,-8.0,61.0\n"
     cells = one(spark, [(SPARSE,)], ["features"], line).strip().split(",")
-    assert len(cells) == 100 and cells[0] == "-100.0" and cells[10] == "100.1" and set(cells[11:]) == {"0.0"}
+    assert len(cells) == 31 and cells[4] == "0.75" and cells[30] == "-12.5" and set(cells[5:30]) == {"0.0"}
 
 
 def test_encode_equals_the_scanned_file(spark, tmp_path):
-    lines = ["1.0 1:-100.0 11:100.1", "0.0 3:2.5", "-1.0 2:1.0 55:7.0", "3.0 1:1.0"]
+    lines = ["2.0 6:0.5 19:-3.25", "0.0 88:4.0", "-5.0 7:1.5", "0.5"]
     path = tmp_path / "in.txt"
     path.write_text("\n".join(lines) + "\n")
     scanned = export.read_libsvm(spark, str(path), 100)
@@ -47,16 +47,20 @@ def test_encode_equals_the_scanned_file(spark, tmp_path):
     assert {(r["label"], r["features"]) for r in decoded.collect()} == {(r["label"], r["features"]) for r in scanned.collect()}
 
 
-def test_decode_grows(spark):
-    rows = [(" ".join([f"{i}.0"] + [f"{a + 1}:{float((a - 10) * a)}" for a in range(i)]),) for i in range(100)]
-    got = text.parse_libsvm(spark.createDataFrame(rows, ["value"]), 100).collect()
-    for row in got:
-        i = int(row["label"])
-        assert row["features"] == Vectors.sparse(100, list(range(i)), [float((a - 10) * a) for a in range(i)])
+def test_decode_of_lines_that_differ_in_length(spark):
+    held = {float(n): {k: (k + 0.5) * (-1) ** k for k in range(n % 7, 60, n + 1)} for n in range(40)}
+    rows = [(" ".join([str(label), *[f"{k + 1}:{v}" for k, v in entries.items()]]),) for label, entries in held.items()]
+    for row in text.parse_libsvm(spark.createDataFrame(rows, ["value"]), 60).collect():
+        assert row["features"] == Vectors.sparse(60, held[row["label"]])
 
 
-BAD = [("XXX 1:1", 5), ("1.0 1:Elizabeth", 5), ("1.0 BLAH:1.3421", 5), ("1.0 :1.3421", 5), ("1.0 1:", 5), ("1.0 3:2.0", 2),
-       ("1.0 2:1.0 1:1.0", 5), ("", 5)]
+def test_plus_signs(spark):
+    row = text.parse_libsvm(spark.createDataFrame([("+4 +2:+0.5 3:-1",)], ["value"]), 3, mode="PERMISSIVE").first()
+    assert (row["label"], row["features"], row["bad_row"]) == (4.0, Vectors.sparse(3, [1, 2], [0.5, -1.0]), None)
+
+
+BAD = [("label 2:7", 9), ("2.5 3:seven", 9), ("2.5 third:7", 9), ("2.5 :7", 9), ("2.5 3:", 9), ("2.5 4:1.0", 3), ("2.5 0:1.0", 3),
+       ("0.0 5:1.0 4:1.0", 9), ("0.0 4:1.0 4:2.0", 9), ("", 9)]
 
 
 @pytest.mark.parametrize("line,dim", BAD)
