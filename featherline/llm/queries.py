@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from featherline.llm import warc
 from featherline.llm.bpe import encode
 from featherline.llm.hamming import near_duplicates
 from featherline.llm.labelled import remainder
@@ -20,6 +21,9 @@ from featherline.llm.vptree import nearest
 from featherline.llm.warc import derivatives, responses
 from featherline.workspace import ship_package
 
+#: The capture date that the pages are given; the table has none.
+CAPTURED = "2024-01-01T00:00:00Z"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -40,11 +44,52 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 @query
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
-    made = derivatives(responses(table(spark, folder, "pages"), "2024-01-01T00:00:00Z"))
+    made = derivatives(responses(table(spark, folder, "pages"), CAPTURED))
     return made.select(F.col("source.page_id").alias("page_id"), F.col("source.record_id").alias("refers_to"), "warc_type", "record_id", "content_type",
                        "headers", "block")
 
 
+def _sql_id(kind: str, *of: str) -> str:
+    h = f"md5(concat_ws('|', '{kind}', {', '.join(of)}))"
+    parts = " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"('<urn:uuid:' || {parts} || '>')"
+
+
+def _sql_replaced(text: str) -> str:
+    for entity, character in warc.ENTITIES:
+        text = f"replace({text}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
+    return text
+
+
+def _sql_collapsed(text: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({text}, '{warc.BLANKS}', ' ', 'g'), '{warc.LINES}', chr(10), 'g'), ' ' || chr(10))"
+
+
+def _warc_sql() -> str:
+    """The same records in DuckDB's SQL, of the same expressions."""
+    plain = f"regexp_replace(regexp_replace(regexp_replace(html, '{warc.DROPPED}', ' ', 'g'), '{warc.BREAKS}', chr(10), 'g'), '{warc.TAGS}', ' ', 'g')"
+    title = f"replace({_sql_collapsed(_sql_replaced(f'regexp_extract(html, $${warc.TITLE}$$, 1)'))}, chr(10), ' ')"
+    links = f"list_transform(regexp_extract_all(html, $${warc.LINKS}$$, 1), lambda x: 'outlink: ' || {_sql_replaced('x')})"
+    line = "chr(13) || chr(10)"
+    names = (("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Date", "date"), ("WARC-Target-URI", "uri"), ("WARC-Refers-To", "refers_to"),
+             ("WARC-Refers-To-Target-URI", "uri"), ("WARC-Refers-To-Date", "date"), ("WARC-Source-Payload-Digest", "payload"),
+             ("WARC-Block-Digest", "'sha256:' || sha256(block)"), ("Content-Type", "content_type"), ("Content-Length", "strlen(block)"))
+    headers = f" || {line} || ".join(["'WARC/1.1'", *[f"'{name}: ' || {value}" for name, value in names]])
+    return f"""
+    WITH pages AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html, '{CAPTURED}' AS date FROM pages),
+    source AS (SELECT *, {_sql_id("response", "coalesce(page_id::VARCHAR, '')", "uri")} AS refers_to, 'sha256:' || sha256(html) AS payload FROM pages),
+    records AS (
+        SELECT *, 'metadata' AS warc_type, {_sql_id("metadata", "refers_to")} AS record_id, 'application/warc-fields' AS content_type,
+            array_to_string(list_concat(['source-record-id: ' || refers_to, 'source-payload-digest: ' || payload, 'status: 200', 'content-type: text/html',
+                'title: ' || {title}], {links}), {line}) || {line} AS block FROM source
+        UNION ALL
+        SELECT *, 'conversion', {_sql_id("conversion", "refers_to")}, 'text/plain; charset=UTF-8', {_sql_collapsed(_sql_replaced(plain))} FROM source)
+    SELECT page_id, refers_to, warc_type, record_id, content_type, {headers} AS headers, block FROM records"""
+
+
+ORACLES["op1_warc"] = _warc_sql()
+
+
 @query
 def op2_windows(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_windows(table(spark, folder, "documents"))
