@@ -39,7 +39,7 @@ from featherline.llm.spans import text_buffer
 from featherline.workspace import written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 1_000_000, 250
+BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 500_000, 250
 #: Words whose tokens every task gets.
 FREQUENT_WORDS = 400_000
 #: A character that stands for no byte, and more than any rank.
