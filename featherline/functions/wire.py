@@ -182,30 +182,46 @@ def frame_spans(data: np.ndarray, partial: bool = False) -> tuple[np.ndarray, np
     """
     starts: list[np.ndarray] = []
     lengths: list[np.ndarray] = []
+    single_starts: list[int] = []
+    single_lengths: list[int] = []
+
+    def flush() -> None:
+        if single_starts:
+            starts.append(np.array(single_starts, np.int64))
+            lengths.append(np.array(single_lengths, np.int64))
+            single_starts.clear()
+            single_lengths.clear()
+
     position, end = 0, len(data)
+    head = struct.Struct("<Ii").unpack_from
     previous, probe = -1, 1
     while end - position >= 8:
-        magic, size = struct.unpack_from("<Ii", data, position)
+        magic, size = head(data, position)
         if magic != MAGIC:
             raise ValueError("not a frame: wrong magic number")
         if size < 0:
             raise ValueError("not a frame: negative length")
         stride = 8 + size + -size % ALIGNMENT
-        whole = (end - position) // stride
-        if not whole:
+        if position + stride > end:
             break
+        if size != previous:
+            single_starts.append(position + 8)
+            single_lengths.append(size)
+            position += stride
+            previous, probe = size, 1
+            continue
         # Frames of one length often follow each other. While they do, look ever further ahead.
-        probe = min(probe * 4, 1 << 16) if size == previous else 1
-        run = min(whole, probe)
-        if run > 1:
-            heads = data[position : position + run * stride].reshape(run, stride)[:, :8]
-            differing = np.flatnonzero((heads != heads[0]).any(axis=1))
-            if len(differing):
-                run = int(differing[0])
+        probe = min(probe * 4, 1 << 16)
+        run = min((end - position) // stride, probe)
+        heads = data[position : position + run * stride].reshape(run, stride)[:, :8]
+        differing = np.flatnonzero((heads != heads[0]).any(axis=1))
+        if len(differing):
+            run = int(differing[0])
+        flush()
         starts.append(position + 8 + stride * np.arange(run, dtype=np.int64))
         lengths.append(np.full(run, size, np.int64))
         position += run * stride
-        previous = size
+    flush()
     if not partial and position != end:
         raise ValueError("truncated frame")
     if not starts:
@@ -285,23 +301,27 @@ def record_entries(data: bytes) -> dict:
 
 
 class Lists:
-    """A list per row, put together from blocks of rows whose lists are equally long."""
+    """A list per row, put together from groups of rows."""
 
     def __init__(self, rows: int, dtype):
         self.counts = np.zeros(rows, np.int64)
         self.dtype = dtype
-        self._blocks: list[tuple[np.ndarray, np.ndarray]] = []
+        self._groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def put(self, rows: np.ndarray, block: np.ndarray) -> None:
-        self.counts[rows] = block.shape[1]
-        if block.shape[1]:
-            self._blocks.append((rows, block))
+    def put(self, rows: np.ndarray, counts: np.ndarray, values: np.ndarray) -> None:
+        """The lists of ``rows``, end to end in ``values``."""
+        self.counts[rows] = counts
+        if len(values):
+            self._groups.append((rows, counts, values))
 
     def flat(self) -> np.ndarray:
+        if len(self._groups) == 1 and len(self._groups[0][2]) == self.counts.sum() and (np.diff(self._groups[0][0]) > 0).all():
+            return self._groups[0][2].astype(self.dtype, copy=False)
         out = np.empty(int(self.counts.sum()), self.dtype)
         begins = np.concatenate(([0], np.cumsum(self.counts)[:-1])).astype(np.int64)
-        for rows, block in self._blocks:
-            out[begins[rows][:, None] + np.arange(block.shape[1])] = block
+        for rows, counts, values in self._groups:
+            before = np.cumsum(counts) - counts
+            out[np.arange(len(values)) + np.repeat(begins[rows] - before, counts)] = values
         return out
 
 
@@ -312,30 +332,19 @@ class TensorBatch:
         self.present = np.zeros(rows, bool)
         self.values, self.keys, self.shapes = Lists(rows, np.float64), Lists(rows, np.int64), Lists(rows, np.int64)
 
-    def put(self, rows: np.ndarray, values: np.ndarray, keys: np.ndarray, shape: np.ndarray) -> None:
+    def put(self, rows: np.ndarray, values: Ragged, keys: Ragged, shape: Ragged) -> None:
+        """Tensors of ``rows`` from the bytes of their three fields."""
+        if (values.lengths % 4).any():
+            raise ValueError("truncated number")
         self.present[rows] = True
-        self.values.put(rows, values)
-        self.keys.put(rows, keys)
-        self.shapes.put(rows, shape)
-
-
-def _numbers_2d(block: np.ndarray) -> np.ndarray | None:
-    """Decode each line of packed varints; None when the lines hold different counts."""
-    rows, width = block.shape
-    if not width:
-        return np.empty((rows, 0), np.int64)
-    numbers, ends = decode_varints(np.ascontiguousarray(block).ravel())
-    per_line = np.bincount((ends - 1) // width, minlength=rows)
-    # A line must end where a number ends, and all lines must hold equally many numbers.
-    if (block[:, -1] >= 0x80).any() or (per_line != per_line[0]).any():
-        return None
-    return numbers.reshape(rows, -1)
-
-
-def _take(bodies: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
-    if not spans:
-        return bodies[:, :0]
-    return np.concatenate([bodies[:, a:b] for a, b in spans], axis=1)
+        self.values.put(rows, values.lengths // 4, np.ascontiguousarray(values.data).view("<f4").astype(np.float64))
+        for lists, packed in ((self.keys, keys), (self.shapes, shape)):
+            numbers, ends = decode_varints(packed.data)
+            bounds = np.cumsum(packed.lengths)
+            # A row must end where a number ends.
+            if not np.isin(bounds[packed.lengths > 0], ends).all():
+                raise ValueError("truncated number")
+            lists.put(rows, np.diff(np.concatenate([[0], np.searchsorted(ends, bounds, "right")])), numbers)
 
 
 def _find(raw: bytes, wanted: list[tuple[str, str]]) -> tuple[list, dict]:
@@ -354,60 +363,111 @@ def _find(raw: bytes, wanted: list[tuple[str, str]]) -> tuple[list, dict]:
     return found, entries
 
 
-def _block_tensor(block: np.ndarray, spans: dict) -> tuple | None:
-    """Values, keys and shape of one tensor for every line of a block of like records."""
-    raw = np.ascontiguousarray(_take(block, spans["values"]))
-    values = raw.view("<f4").astype(np.float64) if raw.shape[1] else np.empty((len(block), 0))
-    keys, shape = _numbers_2d(_take(block, spans["keys"])), _numbers_2d(_take(block, spans["shape"]))
-    return None if keys is None or shape is None else (values, keys, shape)
+def _varints_at(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number at every place, the place after it, and whether it is whole."""
+    number, shift = np.zeros(len(at), np.int64), 0
+    after, open_ = at.copy(), np.ones(len(at), bool)
+    while open_.any() and shift < 63:
+        open_ &= after < end
+        byte = data[np.minimum(after, len(data) - 1)].astype(np.int64)
+        number = np.where(open_, number | ((byte & 0x7F) << shift), number)
+        ended = open_ & (byte < 0x80)
+        after = np.where(open_, after + 1, after)
+        open_ &= ~ended
+        shift += 7
+        if (after >= end)[open_].any() or shift >= 63:
+            return number, after, ~open_
+    return number, after, ~open_
+
+
+def _walk(data: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """Fields of many messages at once: (message, tag, begin, end) of each, in order, and which messages are odd.
+
+    Only length-delimited fields are followed; a message with any other, or a broken one, is odd.
+    """
+    odd = np.zeros(len(begin), bool)
+    found: list[tuple[np.ndarray, ...]] = []
+    message, at = np.flatnonzero(begin < end), begin[begin < end]
+    while len(message):
+        tag = data[at].astype(np.int64)
+        size, first, whole = _varints_at(data, at + 1, end[message])
+        stop = first + size
+        good = (tag & 7 == 2) & (tag < 0x80) & whole & (stop <= end[message])
+        odd[message[~good]] = True
+        message, tag, first, stop = message[good], tag[good], first[good], stop[good]
+        found.append((message, tag, first, stop))
+        more = stop < end[message]
+        message, at = message[more], stop[more]
+    if not found:
+        empty = np.zeros(0, np.int64)
+        return empty, empty, empty, empty, odd
+    return (*(np.concatenate(part) for part in zip(*found)), odd)
+
+
+def _spans_of(message: np.ndarray, chosen: np.ndarray, begin: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """By message, the span of its last chosen field; an empty one without any."""
+    first, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    first[message[chosen]], last[message[chosen]] = begin[chosen], end[chosen]
+    return first, last
 
 
 def decode_tensors(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
                    wanted: list[tuple[str, str]], uids: Lists | None = None) -> list[TensorBatch]:
     """Float32 tensors of records, for each wanted (``features`` or ``label``, name).
 
-    Records of one length usually differ only in tensor contents. One of them is read as a
-    template; the others that agree with it outside the tensors are decoded as a block. Where
-    templates match too little, records are read one by one. The first entry of a name wins.
-    ``uids`` collects the bytes of the records' identifiers.
+    Messages are walked level by level, all records at once, whatever their lengths; the fields of a
+    tensor are then gathered as bytes. Records of a foreign layout (unpacked or repeated fields) are
+    read one by one. The first entry of a name wins. ``uids`` collects the bytes of the records' identifiers.
     """
-    batches = [TensorBatch(len(starts)) for _ in wanted]
-
-    def put(rows: np.ndarray, block: np.ndarray, tensors: list, entries: dict) -> None:
-        for batch, tensor in zip(batches, tensors):
-            if tensor is not None:
-                batch.put(rows, *tensor)
+    rows = len(starts)
+    batches = [TensorBatch(rows) for _ in wanted]
+    record, tag, begin, end, odd = _walk(data, starts, starts + lengths)
+    entry_of, entry_tag, entry_begin, entry_end = (x[np.isin(tag, (RECORD_FEATURES, RECORD_LABEL))] for x in (record, tag, begin, end))
+    inner, inner_tag, inner_begin, inner_end, bad = _walk(data, entry_begin, entry_end)
+    odd[entry_of[bad]] = True
+    key = _spans_of(inner, inner_tag == ENTRY_KEY, inner_begin, inner_end, len(entry_of))
+    value_message = inner[inner_tag == ENTRY_VALUE]
+    odd[entry_of[value_message[np.bincount(value_message, minlength=len(entry_of))[value_message] > 1]]] = True
+    value = _spans_of(inner, inner_tag == ENTRY_VALUE, inner_begin, inner_end, len(entry_of))
+    if uids is not None:
+        uid = _spans_of(record, tag == RECORD_UID, begin, end, rows)
+    followed = []
+    for batch, (side, name) in zip(batches, wanted):
+        text = np.frombuffer(name.encode(), np.uint8)
+        named = (entry_tag == (RECORD_FEATURES if side == "features" else RECORD_LABEL)) & (key[1] - key[0] == len(text))
+        at = np.flatnonzero(named)
+        if len(text):
+            at = at[(data[key[0][at][:, None] + np.arange(len(text))] == text).all(axis=1)]
+        at = at[np.argsort(entry_of[at], kind="stable")]
+        at = at[np.unique(entry_of[at], return_index=True)[1]]
+        arm, arm_tag, arm_begin, arm_end, bad = _walk(data, value[0][at], value[1][at])
+        odd[entry_of[at[bad]]] = True
+        known = np.isin(arm_tag, (VALUE_FLOAT32, VALUE_FLOAT64, VALUE_INT32, VALUE_BYTES))
+        odd[entry_of[at[arm[known][np.bincount(arm[known], minlength=len(at))[arm[known]] > 1]]]] = True
+        # Another kind of value reads as an empty float32 tensor.
+        tensor = _spans_of(arm, arm_tag == VALUE_FLOAT32, arm_begin, arm_end, len(at))
+        part, part_tag, part_begin, part_end, bad = _walk(data, *tensor)
+        odd[entry_of[at[bad]]] = True
+        again = np.bincount(part * 4 + np.minimum(part_tag >> 3, 3) if len(part) else part, minlength=1)
+        odd[entry_of[at[part[again[part * 4 + np.minimum(part_tag >> 3, 3)] > 1]]]] = True
+        fields = [_spans_of(part, part_tag == t, part_begin, part_end, len(at)) for t in (TENSOR_VALUES, TENSOR_KEYS, TENSOR_SHAPE)]
+        followed.append((batch, entry_of[at], fields))
+    for batch, of, fields in followed:
+        plain = ~odd[of]
+        batch.put(of[plain], *[gather(data, a[plain], (b - a)[plain]) for a, b in fields])
+    if uids is not None:
+        plain = np.flatnonzero(~odd & (uid[1] > uid[0]))
+        spans = gather(data, uid[0][plain], (uid[1] - uid[0])[plain])
+        uids.put(plain, spans.lengths, spans.data)
+    for row in np.flatnonzero(odd):
+        raw = data[starts[row]:starts[row] + lengths[row]].tobytes()
+        found, entries = _find(raw, wanted)
+        at = np.array([row])
+        for batch, spans in zip(batches, found):
+            if spans is not None:
+                held = [np.frombuffer(b"".join(raw[a:b] for a, b in spans[field]), np.uint8) for field in ("values", "keys", "shape")]
+                batch.put(at, *[Ragged(x, np.array([len(x)])) for x in held])
         if uids is not None and entries["uid"]:
-            uids.put(rows, block[:, slice(*entries["uid"])])
-
-    def put_singly(rows: np.ndarray, block: np.ndarray) -> None:
-        for at, row in enumerate(rows):
-            line = block[at : at + 1]
-            found, entries = _find(line.tobytes(), wanted)
-            put(np.array([row]), line, [f and _block_tensor(line, f) for f in found], entries)
-
-    order = np.argsort(lengths, kind="stable")
-    sizes, first = np.unique(lengths[order], return_index=True)
-    for size, rows in zip(sizes, np.split(order, first[1:])):
-        block = data[starts[rows][:, None] + np.arange(int(size))]
-        while len(rows):
-            found, entries = _find(block[0].tobytes(), wanted)
-            # The skeleton is all that must agree: everything but tensor contents and free text.
-            skeleton = np.ones(int(size), bool)
-            for spans in filter(None, found):
-                for begin, stop in spans["values"] + spans["keys"]:
-                    skeleton[begin:stop] = False
-            for name in ("uid", "metadata", "configuration"):
-                if entries[name]:
-                    skeleton[slice(*entries[name])] = False
-            alike = (block[:, skeleton] == block[0, skeleton]).all(axis=1)
-            if alike.sum() * 8 < len(rows):
-                put_singly(rows, block)
-                break
-            tensors = [spans and _block_tensor(block[alike], spans) for spans in found]
-            if any(spans and tensor is None for spans, tensor in zip(found, tensors)):
-                put_singly(rows[alike], block[alike])
-            else:
-                put(rows[alike], block[alike], tensors, entries)
-            rows, block = rows[~alike], block[~alike]
+            text = np.frombuffer(raw[slice(*entries["uid"])], np.uint8)
+            uids.put(at, np.array([len(text)]), text)
     return batches

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from featherline.algorithms import boosted, linear, pca
 from featherline.functions import keys, text, vectors
 from featherline.operators import curves, metrics
-from featherline.plans.encoding import KEYED
+from featherline.plans.encoding import KEYED, through_files
 from featherline.plans.models import OFF_TIE, one_hot
 from featherline.plans.registry import query, table
 
@@ -109,3 +109,20 @@ def libsvm_signs(spark, folder):
     line = F.concat(F.lit("+"), F.col("l_quantity").cast("double").cast("string"), F.lit(" +2:+"), F.col("l_tax").cast("double").cast("string"))
     parsed = text.parse_libsvm(table(spark, folder, "lineitem").select(*names, line.alias("value")), 3, mode="PERMISSIVE")
     return parsed.select(*names, "label", vectors.to_array("features")[1].alias("second"))
+
+
+@query("recordio_words", """
+    WITH words AS (SELECT doc_id, least(length(w), 99) AS position FROM (
+        SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents))
+    SELECT doc_id::VARCHAR AS doc_id, position - 1 AS position, count(*)::DOUBLE AS n FROM words GROUP BY ALL""")
+def recordio_words(spark, folder):
+    """Sparse rows of different lengths through files: how many words of each length a document has."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
+    lengths = table(spark, folder, "documents").select("doc_id", F.explode(words).alias("w")).select(
+        "doc_id", (F.least(F.length("w"), F.lit(99)) - 1).alias("position"))
+    entries = lengths.groupBy("doc_id", "position").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rows = entries.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("position", "n"))).alias("e")).select(
+        F.col("doc_id").cast("string").alias("doc_id"), vectors.from_struct(F.lit(99), F.col("e.position"), F.col("e.n")).alias("features"))
+    raw = F.unwrap_udt("features")
+    back = through_files(rows, "words", uidColumnName="doc_id")
+    return back.select("doc_id", F.inline(F.arrays_zip(raw["indices"].alias("position"), raw["values"].alias("n"))))
