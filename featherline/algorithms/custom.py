@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.cloudpickle import dumps, loads
 from pyspark.ml import Estimator, Model
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, types as T
 
 from featherline.algorithms.params import HyperParams
@@ -35,8 +37,12 @@ class CustomEstimator(Estimator, HyperParams):
         return CustomModel(scorer, self.encoder, self.decoder, self.keep_input, *self.bounds)
 
 
-class CustomModel(Model):
-    """Encodes, packs, scores and decodes inside tasks, and appends the answers."""
+class CustomModel(Model, MLReadable, MLWritable):
+    """Encodes, packs, scores and decodes inside tasks, and appends the answers.
+
+    It is saved as Spark sends functions to tasks, so whoever loads it needs the same libraries, and
+    should trust the folder.
+    """
 
     def __init__(self, scorer: Callable[[bytes], bytes], encoder: Any, decoder: Any, keep_input: bool = True,
                  max_bytes: int = packing.MAX_BYTES, max_records: int = packing.MAX_RECORDS) -> None:
@@ -45,6 +51,13 @@ class CustomModel(Model):
         self.scorer, self.encoder, self.decoder, self.keep_input = scorer, encoder, decoder, keep_input
         self.max_bytes, self.max_records = max_bytes, max_records
 
+    def write(self) -> MLWriter:
+        return _CustomWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _CustomReader()
+
     def transformSchema(self, schema: T.StructType) -> T.StructType:
         self.encoder.validate(schema)
         return T.StructType([*(schema.fields if self.keep_input else []), *self.decoder.schema])
@@ -52,3 +65,24 @@ class CustomModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         return packing.score_payloads(df, self.encoder, self.decoder, self.scorer, self.max_bytes, self.max_records,
                                       self.keep_input)
+
+
+class _CustomWriter(MLWriter):
+    def __init__(self, model: CustomModel) -> None:
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m, spark = self.model, self.sparkSession
+        DefaultParamsWriter.saveMetadata(m, path, spark)
+        parts = dumps((m.scorer, m.encoder, m.decoder, m.keep_input, m.max_bytes, m.max_records))
+        spark.createDataFrame([(parts,)], "parts binary").coalesce(1).write.parquet(f"{path}/parts")
+
+
+class _CustomReader(MLReader):
+    def load(self, path: str) -> CustomModel:
+        spark = self.sparkSession
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        model = CustomModel(*loads(bytes(spark.read.parquet(f"{path}/parts").first()["parts"])))
+        model._resetUid(metadata["uid"])
+        return model

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
@@ -46,15 +48,20 @@ class KMeansTable(TableEstimator):
 
     def _lloyd(self, df: DataFrame, k: int, init: str, trials: int, weight: str | None = None,
                passes: int | None = None) -> KMeansModel:
-        best = None
-        for trial in range(trials):
+        def fit(trial: int) -> KMeansModel:
             stage = KMeans(k=k, featuresCol=self.getOrDefault("featuresCol"), initMode=INIT_MODES[init],
                            maxIter=self.setting("local_lloyd_max_iter") if passes is None else passes, tol=self.setting("local_lloyd_tol"),
                            seed=self.setting("seed") + trial)
-            model = (stage.setWeightCol(weight) if weight else stage).fit(df)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-        return best
+            return (stage.setWeightCol(weight) if weight else stage).fit(df)
+
+        # Trials run side by side over one copy of the rows; the first of equals is kept.
+        df = df.persist()
+        try:
+            with ThreadPool(min(trials, 4)) as pool:
+                models = pool.map(fit, range(trials))
+        finally:
+            df.unpersist()
+        return min(models, key=lambda model: model.summary.trainingCost)
 
     def _train(self, df: DataFrame) -> KMeansTableModel:
         features = self.getOrDefault("featuresCol")

@@ -486,6 +486,36 @@ def custom_algorithm(spark, folder):
     return estimator.fit(df).transform(df).select(*names, F.round("prediction", 4).alias("prediction"))
 
 
+@query("custom_run", f"""
+    SELECT {KEYED}, round(m.mean + l.l_quantity, 4) AS prediction
+    FROM lineitem l, (SELECT avg(l_extendedprice) AS mean FROM lineitem) m""")
+def custom_run(spark, folder):
+    """A user's own algorithm with a user's own encoder, trained as a run, found again and applied."""
+    names = KEYED.split(", ")
+    df = table(spark, folder, "lineitem").select(
+        *names, F.col("l_extendedprice").alias("label"), vectors.vector_of("l_quantity").alias("features"))
+
+    class Halves:
+        """Half of the first feature as text, a line per row."""
+
+        content_type = "text/csv"
+
+        def validate(self, schema):
+            tables.require_columns(schema, "features")
+
+        def encode(self):
+            return F.concat((vectors.to_array("features")[0] / 2).cast("string"), F.lit("\n"))
+
+    def fit(training: DataFrame, params: dict[str, str]):
+        mean = training.agg(F.avg("label")).first()[0]
+        return lambda payload: ",".join(str(mean + 2 * float(line)) for line in payload.decode().splitlines()).encode()
+
+    registry = runs.RunTable(spark, new_path(spark, "runs"))
+    estimator = custom.CustomEstimator(fit, Halves(), codecs.CSVDecoder(), columns=["label", "features"], max_records=1000)
+    registry.fit(estimator, df, new_path(spark, "run-models"), "own")
+    return registry.attach("own").transform(df).select(*names, F.round("prediction", 4).alias("prediction"))
+
+
 @query("train_on_export", "SELECT count(*) AS n_rows, 4::BIGINT AS n_clusters, 0::BIGINT AS files_left FROM embeddings")
 def train_on_export(spark, folder):
     """Training from a written record export, removed afterwards."""

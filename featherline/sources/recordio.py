@@ -167,12 +167,13 @@ class RecordWriter(_Files, DataSourceArrowWriter):
         return self._stage(iterator)
 
     def commit(self, messages) -> None:
-        if self.overwrite:
-            store, root = files.open_store(self.path)
-            if store.get_file_info(root).type == fs.FileType.Directory:
-                for old, _ in files.data_files(self.path):
-                    store.delete_file(old)
+        # New files have names of their own and are in place before the old ones go.
+        store, root = files.open_store(self.path)
+        there = self.overwrite and store.get_file_info(root).type == fs.FileType.Directory
+        old = [path for path, _ in files.data_files(self.path)] if there else []
         self._publish(messages, f"{self.job[:8]}-")
+        for path in old:
+            store.delete_file(path)
 
     def abort(self, messages) -> None:
         self._discard()
@@ -187,10 +188,11 @@ class RecordStreamWriter(_Files, DataSourceStreamArrowWriter):
     def commit(self, messages, batchId: int) -> None:
         store, root = files.open_store(self.path)
         folder = f"{root}/batch-{batchId:010d}"
-        if store.get_file_info(folder).type == fs.FileType.Directory:
-            store.delete_dir(folder)
         store.create_dir(folder, recursive=True)
-        self._publish(messages, f"batch-{batchId:010d}/")
+        old = [info.path for info in store.get_file_info(fs.FileSelector(folder))]
+        self._publish(messages, f"batch-{batchId:010d}/{self.job[:8]}-")
+        for path in old:
+            store.delete_file(path)
 
     def abort(self, messages, batchId: int) -> None:
         self._discard()
