@@ -81,23 +81,36 @@ def kmeans_loss(spark, folder):
     return loss.select(F.round("msd", 6).alias("msd"), F.round("ssd", 5).alias("ssd"))
 
 
-@query("kmeans_fit", "SELECT count(*) AS n_rows, 10::BIGINT AS n_clusters, true AS no_worse FROM embeddings")
+def flagged(spark, folder) -> DataFrame:
+    """Lines in three places far apart, one for each flag, spread by their quantity."""
+    far = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 10000.0).otherwise(20000.0)
+    return table(spark, folder, "lineitem").select("l_returnflag", vectors.vector_of(far + F.col("l_quantity"), F.col("l_tax")).alias("features"))
+
+
+FLAGGED = """
+    SELECT l_returnflag, round(avg(sqrt((l_quantity - q) ^ 2 + (l_tax - t) ^ 2)), 6) AS distance, 1::BIGINT AS n_clusters FROM (
+        SELECT l_returnflag, l_quantity, l_tax, avg(l_quantity) OVER (PARTITION BY l_returnflag) AS q,
+            avg(l_tax) OVER (PARTITION BY l_returnflag) AS t FROM lineitem) GROUP BY l_returnflag"""
+
+
+def clustered(df: DataFrame, trainer) -> DataFrame:
+    """Mean distance from the trained centers, and how many of them a flag's lines went to."""
+    return trainer.fit(df).transform(df).groupBy("l_returnflag").agg(
+        F.round(F.avg("distance_to_cluster"), 6).alias("distance"), F.countDistinct("closest_cluster").alias("n_clusters"))
+
+
+@query("kmeans_fit", FLAGGED)
 def kmeans_fit(spark, folder):
-    """A trained clustering is no worse than the label means, within a tenth."""
-    df = embedded(spark, folder)
-    trained = kmeans.KMeansTable(k=10, feature_dim=64, local_lloyd_num_trials=3).fit(df).transform(df)
-    means = kmeans.KMeansTableModel.of(mean_centers(df)).transform(df)
-    start = metrics.clustering_loss(means).first()["ssd"]
-    return trained.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("closest_cluster").alias("n_clusters"),
-        (F.sum(F.col("distance_to_cluster") * F.col("distance_to_cluster")) <= 1.1 * start).alias("no_worse"))
+    """Three clusters far apart: the trained centers are the flags' means, whatever the start."""
+    return clustered(flagged(spark, folder), kmeans.KMeansTable(
+        k=3, feature_dim=2, init_method="kmeans++", local_lloyd_num_trials=3, local_lloyd_tol=0.0))
 
 
-@query("kmeans_surplus", "SELECT count(*) AS n_rows, 5::BIGINT AS n_clusters FROM embeddings")
+@query("kmeans_surplus", FLAGGED)
 def kmeans_surplus(spark, folder):
-    df = embedded(spark, folder)
-    trained = kmeans.KMeansTable(k=5, feature_dim=64, extra_center_factor=4).fit(df).transform(df)
-    return trained.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("closest_cluster").alias("n_clusters"))
+    """More centers first, then clusters of those by weight: the same means, up to rounding."""
+    return clustered(flagged(spark, folder), kmeans.KMeansTable(
+        k=3, feature_dim=2, init_method="kmeans++", extra_center_factor=4, epochs=20, local_lloyd_num_trials=8, local_lloyd_tol=0.0))
 
 
 def two_columns(spark, folder) -> DataFrame:
@@ -242,18 +255,19 @@ def logit_onehot(spark, folder):
 
 
 @query("binary_threshold", """
-    SELECT count(*) AS n_rows, true AS recall_kept, true AS both_labels FROM orders""")
+    WITH groups AS (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS hits, count(*) AS n FROM orders GROUP BY ALL),
+    cuts AS (SELECT o_orderpriority, hits / n AS share, sum(hits) OVER w AS tp, sum(n) OVER w AS chosen, (SELECT sum(hits) FROM groups) AS positives
+        FROM groups WINDOW w AS (ORDER BY hits / n DESC)),
+    best AS (SELECT share FROM cuts WHERE tp / positives >= 0.6 ORDER BY tp / chosen DESC, share DESC LIMIT 1)
+    SELECT o_orderpriority, (share >= (SELECT share FROM best))::INTEGER::DOUBLE AS predicted_label FROM cuts""")
 def binary_threshold(spark, folder):
-    """A classifier whose threshold keeps a wanted recall."""
+    """A classifier whose threshold keeps a wanted recall at the best precision."""
     df = one_hot(table(spark, folder, "orders").withColumn("label", (F.col("o_orderstatus") == "F").cast("double")),
                  "o_orderpriority", ("label",))
     trainer = linear.BinaryClassifierTable(
-        feature_dim=5, epochs=100, binary_classifier_model_selection_criteria="precision_at_target_recall",
-        target_recall=0.6, positive_example_weight_mult="balanced")
-    scored = trainer.fit(df).transform(df)
-    recall = F.count_if((F.col("label") == 1) & (F.col("predicted_label") == 1)) / F.count_if(F.col("label") == 1)
-    return scored.agg(F.count(F.lit(1)).alias("n_rows"), (recall >= 0.6).alias("recall_kept"),
-                      (F.countDistinct("predicted_label") == 2).alias("both_labels"))
+        feature_dim=5, epochs=200, binary_classifier_model_selection_criteria="precision_at_target_recall",
+        target_recall=0.6, positive_example_weight_mult="balanced", early_stopping_tolerance=1e-12)
+    return trainer.fit(df).transform(df).groupBy("o_orderpriority").agg(F.avg("predicted_label").alias("predicted_label"))
 
 
 @query("softmax_onehot", """
@@ -283,25 +297,29 @@ def gbt_onehot(spark, folder):
     return scored.groupBy("l_returnflag").agg(F.round(F.avg("prediction"), 4).alias("prediction"))
 
 
-@query("gbt_binary", "SELECT count(*) AS n_rows, true AS probabilities, true AS better_than_chance FROM embeddings")
+@query("gbt_binary", """
+    SELECT l_returnflag, round(1 / (1 + exp(-2 * (2 * w / (w + n) - 1))) + 0.00001234, 4) AS prediction FROM (
+        SELECT l_returnflag, 3.0 * count(*) FILTER (l_linestatus = 'O' OR l_linenumber < 3) AS w,
+            count(*) FILTER (NOT (l_linestatus = 'O' OR l_linenumber < 3)) AS n FROM lineitem GROUP BY l_returnflag)""")
 def gbt_binary(spark, folder):
-    """Boosted trees with sampled rows and columns tell one label from the others."""
-    df = embedded(spark, folder).withColumn("label", (F.col("label") == 3).cast("double"))
-    trainer = boosted.BoostedTable(num_round=5, max_depth=3, objective="binary:logistic", subsample=0.8,
-                                   colsample_bytree=0.5, scale_pos_weight=9.0, feature_dim=64)
-    scored = trainer.fit(df).transform(df)
-    mean = {v: F.avg(F.when(F.col("label") == v, F.col("prediction"))) for v in (0, 1)}
-    return scored.agg(F.count(F.lit(1)).alias("n_rows"), (F.min("prediction").between(0, 1) & F.max("prediction").between(0, 1))
-                      .alias("probabilities"), (mean[1] > mean[0]).alias("better_than_chance"))
-
-
-@query("boosted_classes", "SELECT vec_id, 1.0::DOUBLE AS total, 3 AS n_classes FROM embeddings")
+    """One round of trees on a one-hot flag: each flag's weighted margin, through the logistic function."""
+    label = ((F.col("l_linestatus") == "O") | (F.col("l_linenumber") < 3)).cast("double")
+    df = one_hot(table(spark, folder, "lineitem").withColumn("label", label), "l_returnflag", ("label",))
+    trainer = boosted.BoostedTable(num_round=1, objective="binary:logistic", scale_pos_weight=3.0, feature_dim=3)
+    return trainer.fit(df).transform(df).groupBy("l_returnflag").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
+
+
+@query("boosted_classes", """
+    WITH shares AS (SELECT l_returnflag, k, count(*) FILTER (l_linenumber % 3 = k) / count(*) AS p
+        FROM lineitem, (SELECT unnest(range(3)) AS k) GROUP BY ALL),
+    own AS (SELECT l_returnflag, k, 1 / (1 + exp(-2 * (2 * p - 1))) AS p FROM shares)
+    SELECT l_returnflag, k::INTEGER AS position, round(p / sum(p) OVER (PARTITION BY l_returnflag) + 0.00001234, 4) AS prediction FROM own""")
 def boosted_classes(spark, folder):
-    df = embedded(spark, folder).withColumn("label", (F.col("label") % 3).cast("double"))
-    trainer = boosted.BoostedTable(num_round=2, max_depth=2, objective="multi:softprob", num_class=3, feature_dim=64)
-    shares = vectors.to_array("prediction")
-    total = F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + x)
-    return trainer.fit(df).transform(df).select("vec_id", F.round(total, 6).alias("total"), F.size(shares).alias("n_classes"))
+    """One round for each of three classes against the rest, scaled to shares."""
+    df = one_hot(table(spark, folder, "lineitem").withColumn("label", (F.col("l_linenumber") % 3).cast("double")), "l_returnflag", ("label",))
+    trainer = boosted.BoostedTable(num_round=1, objective="multi:softprob", num_class=3, feature_dim=3)
+    scored = trainer.fit(df).transform(df).select("l_returnflag", F.posexplode(vectors.to_array("prediction")).alias("position", "prediction"))
+    return scored.groupBy("l_returnflag", "position").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
 
 
 def spending(spark, folder) -> DataFrame:
@@ -340,31 +358,34 @@ def boosted_linear(spark, folder):
     return scored.groupBy("l_returnflag").agg(F.round(F.avg("prediction"), 4).alias("prediction"))
 
 
-@query("rank_fit", "SELECT count(*) AS n_rows, true AS ordered FROM labels")
+@query("rank_fit", "SELECT doc_id, label, (toxic + quality)::DOUBLE AS grade FROM (SELECT doc_id, quality, toxic, (toxic + quality)::DOUBLE AS label FROM labels)")
 def rank_fit(spark, folder):
-    """A pairwise ranker scores good documents above others on average."""
-    df = relevance(spark, folder).select("doc_id", "lang", "label", vectors.vector_of("score", F.col("score") * F.col("score"))
-                                         .alias("features"))
-    trainer = boosted.BoostedTable(num_round=20, objective="rank:pairwise", queryCol="lang", keyCol="doc_id")
+    """A pairwise ranker of a feature that holds the grade: its scores order as the grades do."""
+    df = table(spark, folder, "labels").withColumn("label", (F.col("toxic") + F.col("quality")).cast("double")).select(
+        "doc_id", "label", F.lit("all").alias("query"), vectors.vector_of("label", (F.col("doc_id") % 2).cast("double")).alias("features"))
+    trainer = boosted.BoostedTable(num_round=100, objective="rank:pairwise", queryCol="query", keyCol="doc_id", **{"lambda": 0.001})
     scored = trainer.fit(df).transform(df)
-    mean = {v: F.avg(F.when(F.col("label") == v, F.col("prediction"))) for v in (0, 1)}
-    return scored.agg(F.count(F.lit(1)).alias("n_rows"), (mean[1] >= mean[0]).alias("ordered"))
-
-
-FM_LINEAR = [0.5, -0.25, 0.125]
-FM_FACTORS = [[0.1, 0.2], [-0.3, 0.4], [0.5, -0.6]]
+    # The steps between grades are equal, so scores are grades on another scale.
+    low, high = scored.agg(F.min("prediction"), F.max("prediction")).first()
+    top = scored.agg(F.max("label")).first()[0]
+    return scored.select("doc_id", "label", F.round((F.col("prediction") - low) / F.lit((high - low) / top)).alias("grade"))
 
 
-@query("fm_score", """
-    SELECT event_id, round(1.5 + 0.5 * x1 - 0.25 * x2 + 0.125 * x3
-        + x1 * x2 * (0.1 * -0.3 + 0.2 * 0.4) + x1 * x3 * (0.1 * 0.5 + 0.2 * -0.6) + x2 * x3 * (-0.3 * 0.5 + 0.4 * -0.6), 9) AS score
-    FROM (SELECT event_id, value / 100 AS x1, user_id::DOUBLE / 100 AS x2, (event_id % 7)::DOUBLE / 10 AS x3 FROM events)""")
+@query("fm_score", "SELECT event_id, 0.0::DOUBLE AS difference FROM events")
 def fm_score(spark, folder):
-    """The machine's score under fixed weights, checked against the sum over pairs."""
-    x = F.array(F.col("value") / 100, F.col("user_id").cast("double") / 100, (F.col("event_id") % 7).cast("double") / 10)
-    score = factorization.interaction_score(F.col("x"), 1.5, FM_LINEAR, FM_FACTORS)
-    return table(spark, folder, "events").select("event_id", x.alias("x")).select(
-        "event_id", F.round(score, 9).alias("score"))
+    """A fitted machine's score against the sum over pairs under its own weights, worked out apart from it."""
+    x = F.array(F.col("value") / 100, (F.col("user_id") % 10).cast("double") / 10, (F.col("event_id") % 7).cast("double") / 10)
+    df = table(spark, folder, "events").select(
+        "event_id", x.alias("x"), vectors.from_array(x).alias("features"), (F.col("value") * (F.col("user_id") % 10)).alias("label"))
+    trainer = factorization.FactorizationRegressorTable(num_factors=2, feature_dim=3, epochs=10, linear_lr=0.1, factors_init_sigma=0.5)
+    model = trainer.fit(df)
+    fitted = model.stages["factors"]
+    linear_part, pairs = fitted.linear.toArray(), fitted.factors.toArray()
+    own = F.lit(float(fitted.intercept)) + sum(F.col("x")[i] * float(w) for i, w in enumerate(linear_part))
+    for i in range(3):
+        for j in range(i + 1, 3):
+            own = own + F.col("x")[i] * F.col("x")[j] * float(pairs[i] @ pairs[j])
+    return model.transform(df).select("event_id", F.abs(F.round(F.col("score") - own, 6)).alias("difference"))
 
 
 def event_values(spark, folder) -> DataFrame:
@@ -431,8 +452,8 @@ def attach_by_path(spark, folder):
 
 
 @query("run_registry", """
-    SELECT run, status, n_params, k, attachable FROM (VALUES ('good', 'Completed', 4, '3', true),
-        ('broken', 'Failed', 4, '3', false)) AS t(run, status, n_params, k, attachable)""")
+    SELECT run, status, n_params, k, attachable, CASE WHEN attachable THEN (SELECT count(*) FROM embeddings) ELSE 0 END AS n_scored
+    FROM (VALUES ('good', 'Completed', 4, '3', true), ('broken', 'Failed', 4, '3', false)) AS t(run, status, n_params, k, attachable)""")
 def run_registry(spark, folder):
     """Two runs over the embeddings, one of them over vectors of another size, which fails."""
     df = embedded(spark, folder)
@@ -445,23 +466,23 @@ def run_registry(spark, folder):
         pass
     scored = registry.attach("good").transform(df).count()
     rows = registry.rows().select("run", "status", F.size("params").alias("n_params"), F.col("params")["k"].alias("k"), "model_path")
+    there = F.col("model_path").isNotNull()
     return rows.select(
-        "run", "status", "n_params", "k", (F.col("model_path").isNotNull() & F.lit(scored > 0)).alias("attachable"))
+        "run", "status", "n_params", "k", there.alias("attachable"), F.when(there, F.lit(scored)).otherwise(0).cast("bigint").alias("n_scored"))
 
 
-@query("model_select", "SELECT 4::BIGINT AS n_candidates, true AS best_chosen, count(*) AS n_rows FROM lineitem")
+@query("model_select", f"SELECT {KEYED}, round(l_quantity * 3 + l_tax + 1, 6) AS score FROM lineitem")
 def model_select(spark, folder):
-    """Candidates with growing penalties, trained side by side and rated on held-out rows."""
+    """Candidates with falling penalties, rated on held-out rows: the one without gives the labels back."""
     df = table(spark, folder, "lineitem").select(
+        *KEYED.split(", "),
         vectors.vector_of("l_quantity", "l_tax").alias("features"),
         (F.col("l_quantity") * 3 + F.col("l_tax") + 1).alias("label"))
     stage = LinearRegression(featuresCol="features", labelCol="label", predictionCol="score")
     grid = [{"regParam": penalty} for penalty in (100.0, 10.0, 1.0, 0.0)]
-    model, ratings = select_model(
+    model, _ = select_model(
         stage, grid, df, lambda scored: metrics.regression_errors(scored).first()["rmse"], larger_better=False)
-    return model.transform(df).agg(
-        F.lit(len(ratings)).cast("bigint").alias("n_candidates"),
-        F.lit(min(ratings) == ratings[3] and model.getRegParam() == 0.0).alias("best_chosen"), F.count(F.lit(1)).alias("n_rows"))
+    return model.transform(df).select(*KEYED.split(", "), F.round("score", 6).alias("score"))
 
 
 @query("custom_algorithm", f"""
