@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.algorithms.base import TableEstimator, TableModel, scratch_name
@@ -29,8 +29,9 @@ class BoostedTable(TableEstimator):
     """One prediction column under an objective.
 
     Trees serve the squared and logistic objectives, one against the rest for several classes.
-    Counts and positive amounts use generalized linear models with a log link, ``gblinear`` uses
-    linear models throughout, and ``rank:pairwise`` a linear model of differences within queries.
+    Counts, positive amounts and rankings grow one regression tree a round on the loss's slopes, each row
+    weighing by the curvature, so a leaf is a Newton step. ``gblinear`` uses linear models throughout:
+    generalized ones with a log link, and one of differences within queries for ``rank:pairwise``.
     """
 
     labeled = True
@@ -129,6 +130,8 @@ class BoostedTable(TableEstimator):
         elif objective in MULTI:
             inner = self._trees(GBTClassifier, slim, None) if trees else self._linear(LogisticRegression, None, **penalty)
             stage = OneVsRest(classifier=inner, featuresCol=features, labelCol=label, parallelism=4)
+        elif trees and (objective in FAMILIES or objective == "rank:pairwise"):
+            return self._newton(slim)
         elif objective in FAMILIES:
             family = FAMILIES[objective]
             # The variance power and the log link (link power 0) of a Tweedie model have their own names.
@@ -143,6 +146,52 @@ class BoostedTable(TableEstimator):
             model.facts["classes"] = self.getOrDefault("num_class")
         return model
 
+    def _slopes(self, df: DataFrame, objective: str) -> DataFrame:
+        """The rows with ``_g`` and ``_h``, the loss's slope and curvature at the margin ``_f``."""
+        y, mean = F.col(self.getOrDefault("labelCol")), F.exp("_f")
+        if objective == "count:poisson":
+            return df.withColumns({"_g": mean - y, "_h": mean})
+        if objective == "reg:gamma":
+            return df.withColumns({"_g": 1 - y / mean, "_h": y / mean})
+        if objective == "reg:tweedie":
+            p = self.setting("tweedie_variance_power")
+            a, b = y * F.exp((1 - p) * F.col("_f")), F.exp((2 - p) * F.col("_f"))
+            return df.withColumns({"_g": b - a, "_h": (2 - p) * b - (1 - p) * a})
+        query, key = self.getOrDefault("queryCol"), self.getOrDefault("keyCol")
+        pairs = training_pairs(df, query, self.getOrDefault("labelCol"), key, ["_f"])
+        p = 1 / (1 + F.exp(F.col("_f_high") - F.col("_f_low")))
+        sides = F.array(*[F.struct(F.col(f"{key}_{side}").alias("_key"), (sign * p).alias("_g"), F.greatest(p * (1 - p), F.lit(1e-16)).alias("_h"))
+                          for side, sign in (("high", -1), ("low", 1))])
+        sums = pairs.select(F.col(query).alias("_query"), F.inline(sides)).groupBy("_query", "_key").agg(F.sum("_g").alias("_g"), F.sum("_h").alias("_h"))
+        return df.join(sums, F.col(query).eqNullSafe(F.col("_query")) & (F.col(key) == F.col("_key")))
+
+    def _newton(self, df: DataFrame) -> BoostedModel:
+        """A regression tree per round, of -slope / curvature weighted by the curvature.
+
+        Margins start at 0, and at 0 a row without partners has no slope and takes no part in a round.
+        """
+        objective, features = self.setting("objective"), self.getOrDefault("featuresCol")
+        model = BoostedModel()
+        model.facts.update(prediction="prediction", objective=objective, eta=self.setting("eta"), rounds=0)
+        table = df.persist()
+        try:
+            for step in range(self.getOrDefault("num_round")):
+                sloped = self._slopes(model.margin(table, features, "_f"), objective).where("_h > 0")
+                share = self.setting("colsample_bytree") * self.setting("colsample_bylevel")
+                if share < 1:
+                    raise ValueError("columns are not sampled for this objective")
+                rows = sloped.select(features, (-F.col("_g") / F.col("_h")).alias("_step"), "_h")
+                if self.setting("subsample") < 1:
+                    rows = rows.sample(self.setting("subsample"), self.setting("seed") + step)
+                stage = DecisionTreeRegressor(
+                    featuresCol=features, labelCol="_step", weightCol="_h", maxDepth=self.setting("max_depth"), maxBins=self.setting("max_bin"),
+                    minInfoGain=self.setting("gamma"), seed=self.setting("seed") + step)
+                model.stages[f"tree{step}"] = stage.fit(rows)
+                model.facts["rounds"] = step + 1
+        finally:
+            table.unpersist()
+        return model
+
     def _ranker(self, df: DataFrame, penalty: dict) -> BoostedModel:
         """Logistic regression without intercept on differences of paired rows, both ways round."""
         features, label = self.getOrDefault("featuresCol"), self.getOrDefault("labelCol")
@@ -169,12 +218,25 @@ BoostedTable.getLambda = lambda self: self.getOrDefault("lambda")
 
 
 class BoostedModel(TableModel):
+    def margin(self, df: DataFrame, features: str, name: str) -> DataFrame:
+        """The rows with the sum of the trees' steps, times eta."""
+        total, helpers = F.lit(0.0), []
+        for step in range(self.facts["rounds"]):
+            helpers.append(scratch_name("step"))
+            df = self.stages[f"tree{step}"].copy().setFeaturesCol(features).setPredictionCol(helpers[-1]).transform(df)
+            total = total + F.lit(float(self.facts["eta"])) * F.col(helpers[-1])
+        return df.withColumn(name, total).drop(*helpers)
+
     def outputs(self) -> dict[str, T.DataType]:
         several = self.facts["objective"] == "multi:softprob"
         return {self.facts["prediction"]: VectorUDT() if several else T.DoubleType()}
 
     def predict(self, df: DataFrame):
         objective = self.facts["objective"]
+        if "rounds" in self.facts:
+            name = scratch_name("margin")
+            value = F.col(name) if objective == "rank:pairwise" else F.exp(name)
+            return self.margin(df, self.getOrDefault("featuresCol"), name), {self.facts["prediction"]: value}
         names = {n: scratch_name(n) for n in ("prediction", "probability", "raw")}
         stage = self.stages["boosted"].copy()
         if isinstance(stage, OneVsRestModel):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from featherline.algorithms.base import TableEstimator, TableModel, scratch_name
 from featherline.algorithms.params import choice, declare, flag, flag_or_auto, real, whole, words_or
 from featherline.algorithms.selection import choose
-from featherline.operators import curves, losses, weights
+from featherline.operators import curves, losses, metrics, weights
 from featherline.operators.curves import CRITERIA
 from featherline.operators.sampling import hash_sample
 
@@ -140,7 +140,7 @@ class BinaryClassifierTable(LinearParams):
             raise ValueError("the hinge loss has no absolute penalty")
         allowed = {p.name for p in stage.params}
         grid = [{k: v for k, v in candidate.items() if k in allowed} for candidate in self._candidates()]
-        fitted = choose(stage, grid, slim, lambda model, data: -_mean_log_loss(model, data, label), self.setting("seed"))
+        fitted = choose(stage, grid, slim, self._rating, self.setting("seed"))
         model = BinaryClassifierModel()
         model._set(featuresCol=features)
         model.stages.update({"scaler": scaler} if scaler else {})
@@ -159,6 +159,24 @@ class BinaryClassifierTable(LinearParams):
         return model
 
 
+    def _rating(self, model, held: DataFrame) -> float:
+        """What the criterion gives at its best threshold on held-out rows, or the negative loss."""
+        label, criterion = self.getOrDefault("labelCol"), self.setting("binary_classifier_model_selection_criteria")
+        if criterion in ("cross_entropy_loss", "loss_function"):
+            return -_mean_log_loss(model, held, label)
+        score = _score_column(model, "probability", "rawPrediction", "prediction")
+        sweep = curves.threshold_sweep(model.transform(held).select(label, score.alias("_score")), label, "_score", self.setting("f_beta"))
+        best = curves.best_threshold(sweep, criterion, self.setting("target_recall"), self.setting("target_precision")).first()
+        goal = {"precision_at_target_recall": "precision", "recall_at_target_precision": "recall"}.get(criterion, criterion)
+        return best[goal] if best is not None else float("-inf")
+
+    def evaluate(self, model: BinaryClassifierModel, df: DataFrame) -> dict[str, float]:
+        """Rates of the model's decisions, F-beta included, and the area under the curve."""
+        label, scored = self.getOrDefault("labelCol"), model.transform(df)
+        rates = metrics.binary_metrics(scored, label, model.facts["score"], model.facts["threshold"], self.setting("f_beta")).first().asDict()
+        return {**{k: float(v) for k, v in rates.items()}, "auc": curves.auc(scored, label, model.facts["score"]).first()["auc"]}
+
+
 def _score_column(stage, probability: str, raw: str, prediction: str) -> Column:
     kind = type(stage).__name__
     if kind == "LogisticRegressionModel":
@@ -254,6 +272,13 @@ class MulticlassClassifierTable(LinearParams):
         model.facts.update(score="score", label="predicted_label", classes=self.getOrDefault("num_classes"))
         return model
 
+    def evaluate(self, model: MulticlassClassifierModel, df: DataFrame) -> dict[str, float]:
+        """Accuracy, the share of rows whose class is among the ``accuracy_top_k`` best scores, and the error."""
+        label, scored = self.getOrDefault("labelCol"), model.transform(df)
+        top = metrics.top_k_accuracy(scored.withColumn("_scores", vector_to_array(model.facts["score"])), self.setting("accuracy_top_k"), label, "_scores")
+        merror = metrics.multiclass_metrics(scored, label, model.facts["label"]).first()["merror"]
+        return {"accuracy": 1.0 - merror, "accuracy_top_k": float(top.first()[0]), "merror": merror}
+
 
 class MulticlassClassifierModel(LinearModelBase):
     def outputs(self) -> dict[str, T.DataType]:
@@ -309,6 +334,10 @@ class RegressorTable(LinearParams):
         model.facts.update(score="score", center=center, scale=scale)
         return model
 
+    def evaluate(self, model: RegressorModel, df: DataFrame) -> dict[str, float]:
+        """The errors of the scores."""
+        return metrics.regression_errors(model.transform(df), self.getOrDefault("labelCol"), model.facts["score"]).first().asDict()
+
     def _label_moments(self, sample: DataFrame, label: str) -> tuple[float, float]:
         unbias, normalize = self.setting("unbias_label") == "True", self.setting("normalize_label") == "True"
         mean, deviation = sample.agg(F.avg(label), F.stddev_samp(label)).first()

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from featherline.algorithms import boosted, linear, pca
 from featherline.functions import keys, text, vectors
 from featherline.operators import curves, metrics
 from featherline.plans.encoding import KEYED, through_files
-from featherline.plans.models import OFF_TIE, one_hot
+from featherline.plans.models import OFF_TIE, one_hot, spending
 from featherline.plans.registry import query, table
 
 
@@ -68,6 +68,54 @@ def absent_boosted_classes(spark, folder):
     return trainer.fit(df).transform(df).select("vec_id", F.size(shares).alias("n_scores"), (shares[3] + shares[4]).alias("absent"))
 
 
+def newton_sql(value: str, slope: str, curve: str, rounds: int = 4) -> str:
+    """Group means of each round's -slope / curvature, added up from 0."""
+    steps = [f"f0 AS (SELECT c_mktsegment, {value}::DOUBLE AS y, 0.0::DOUBLE AS f FROM customer JOIN (SELECT o_custkey, count(*) AS n, "
+             "sum(o_totalprice) / 100000 AS amount FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey)"]
+    for k in range(rounds):
+        steps.append(f"f{k + 1} AS (SELECT c_mktsegment, y, f - sum({slope}) OVER w / sum({curve}) OVER w AS f FROM f{k} WINDOW w AS (PARTITION BY c_mktsegment))")
+    return f"WITH {', '.join(steps)} SELECT c_mktsegment, round(avg(exp(f)) + 0.00001234, 4) AS prediction FROM f{rounds} GROUP BY c_mktsegment"
+
+
+def newton_trees(objective: str, label: str):
+    def run(spark, folder):
+        df = spending(spark, folder)
+        trainer = boosted.BoostedTable(num_round=4, objective=objective, labelCol=label, eta=1.0)
+        return trainer.fit(df).transform(df).groupBy("c_mktsegment").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
+
+    return run
+
+
+for _name, _objective, _label, _slope, _curve in (
+        ("trees_poisson", "count:poisson", "n", "exp(f) - y", "exp(f)"),
+        ("trees_gamma", "reg:gamma", "amount", "1 - y / exp(f)", "y / exp(f)"),
+        ("trees_tweedie", "reg:tweedie", "amount", "exp(0.5 * f) - y * exp(-0.5 * f)", "0.5 * exp(0.5 * f) + 0.5 * y * exp(-0.5 * f)")):
+    query(_name, newton_sql(_label, _slope, _curve))(newton_trees(_objective, _label))
+
+
+@query("trees_rank", "SELECT doc_id, (quality + toxic)::DOUBLE AS label, dense_rank() OVER (ORDER BY quality + toxic) AS place FROM labels")
+def trees_rank(spark, folder):
+    """Trees of pairwise slopes on a feature that holds the grade: a place for every grade, in order."""
+    df = table(spark, folder, "labels").withColumn("label", (F.col("toxic") + F.col("quality")).cast("double")).select(
+        "doc_id", "label", F.lit("all").alias("query"), vectors.vector_of("label").alias("features"))
+    trainer = boosted.BoostedTable(num_round=3, objective="rank:pairwise", queryCol="query", keyCol="doc_id")
+    scored = trainer.fit(df).transform(df)
+    places = scored.groupBy("prediction").agg(F.max("label").alias("top")).withColumn("place", F.dense_rank().over(Window.orderBy("prediction")))
+    return scored.join(places, "prediction").select("doc_id", "label", F.col("place").cast("bigint").alias("place"))
+
+
+@query("linear_evaluate", """
+    WITH counts AS (SELECT l_returnflag, l_linenumber % 3 AS k, count(*) AS n FROM lineitem GROUP BY ALL),
+    shares AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY n DESC) AS place FROM counts)
+    SELECT round(sum(n) FILTER (place = 1) / sum(n), 6) AS accuracy, round(sum(n) FILTER (place <= 2) / sum(n), 6) AS accuracy_top_k FROM shares""")
+def linear_evaluate(spark, folder):
+    """What a classifier reports of itself: its accuracy, and that of its two best classes."""
+    df = one_hot(table(spark, folder, "lineitem").withColumn("label", (F.col("l_linenumber") % 3).cast("double")), "l_returnflag", ("label",))
+    trainer = linear.MulticlassClassifierTable(feature_dim=3, num_classes=3, accuracy_top_k=2, epochs=200, early_stopping_tolerance=1e-12)
+    found = trainer.evaluate(trainer.fit(df), df)
+    return df.agg(F.round(F.lit(found["accuracy"]), 6).alias("accuracy"), F.round(F.lit(found["accuracy_top_k"]), 6).alias("accuracy_top_k"))
+
+
 @query("one_class_auc", "SELECT NULL::DOUBLE AS auc, count(*) FILTER (event_id IS NULL) AS fp FROM events")
 def one_class_auc(spark, folder):
     """Only positives, some without a score: no area, and no false positive at any threshold."""

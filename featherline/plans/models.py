@@ -339,7 +339,7 @@ SPENDING = """
 def glm(objective, label):
     def run(spark, folder):
         df = spending(spark, folder)
-        trainer = boosted.BoostedTable(num_round=100, objective=objective, labelCol=label)
+        trainer = boosted.BoostedTable(num_round=100, objective=objective, labelCol=label, booster="gblinear")
         return trainer.fit(df).transform(df).groupBy("c_mktsegment").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
 
     return run
@@ -363,7 +363,8 @@ def rank_fit(spark, folder):
     """A pairwise ranker of a feature that holds the grade: its scores order as the grades do."""
     df = table(spark, folder, "labels").withColumn("label", (F.col("toxic") + F.col("quality")).cast("double")).select(
         "doc_id", "label", F.lit("all").alias("query"), vectors.vector_of("label", (F.col("doc_id") % 2).cast("double")).alias("features"))
-    trainer = boosted.BoostedTable(num_round=100, objective="rank:pairwise", queryCol="query", keyCol="doc_id", **{"lambda": 0.001})
+    trainer = boosted.BoostedTable(
+        num_round=100, objective="rank:pairwise", booster="gblinear", queryCol="query", keyCol="doc_id", **{"lambda": 0.001})
     scored = trainer.fit(df).transform(df)
     # The steps between grades are equal, so scores are grades on another scale.
     low, high = scored.agg(F.min("prediction"), F.max("prediction")).first()

@@ -248,6 +248,8 @@ class RecordReader(DataSourceReader):
         uids = wire.Lists(len(starts), np.uint8)
         features, label = wire.decode_tensors(
             data, starts, lengths, [("features", "values"), ("label", "values")], uids if self.uid else None)
+        if (features.shapes.counts > 1).any():
+            raise ValueError("the file holds matrices, whose shape a vector cannot keep: read it with layout records")
         columns = {self.features: lambda: records.vector_column(features), self.label: lambda: _labels(label)}
         if self.uid:
             columns[self.uid] = lambda: _texts(uids)
