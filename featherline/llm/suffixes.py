@@ -38,13 +38,39 @@ from featherline.llm.spans import Hashes, mix, row_hashes, text_buffer
 WINDOW, GRAM, BLOCK_BYTES, PIECE, PARTS_PER_PARTITION = 50, 16, 8 << 20, 512 << 10, 4
 _SPAN = WINDOW - GRAM + 1  # grams of a window
 _LAST = np.iinfo(np.int64).max
-#: Packed rows of pass one: gram, run (two hashes), least document.
+#: Rows of pass one: gram, run, least document.
 RUN = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8")])
-#: Packed rows of pass two: gram, run, least document, windows, and the bytes of the run.
+#: Rows of pass two: gram, run, least document, windows, and the bytes of the run.
 LONGEST = _SPAN + WINDOW - 1
 CONTEXT = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8"), ("windows", "u1"), ("bytes", "u1", LONGEST)])
-#: Packed answers: run, its least document (or what pass two says), windows of that document that go.
+#: Answers: run, its least document, windows of that document that go, and what kind of answer it is.
 ANSWER = np.dtype([("run", "<u8"), ("least", "<i8"), ("mask", "<u8"), ("open", "u1")])
+#: Bytes of a number that are sent: hashes have 48 bits, masks a bit per window.
+_SENT = {"gram": 6, "run": 6, "least": 8, "mask": -(-_SPAN // 8), "open": 1, "windows": 1}
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """Rows field by field, numbers byte by byte, so that what is alike lies together and compresses."""
+    return b"".join(
+        np.ascontiguousarray(rows[name]).tobytes() if name == "bytes" else
+        np.ascontiguousarray(np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), -1)[:, :_SENT[name]].T).tobytes()
+        for name in rows.dtype.names)
+
+
+def unpacked(data: np.ndarray, kind: np.dtype) -> np.ndarray:
+    widths = [LONGEST if name == "bytes" else _SENT[name] for name in kind.names]
+    n = len(data) // sum(widths)
+    rows, at = np.zeros(n, kind), 0
+    for name, width in zip(kind.names, widths):
+        held = data[at:at + n * width]
+        at += n * width
+        if name == "bytes":
+            rows[name] = held.reshape(n, width)
+            continue
+        number = np.zeros((n, kind[name].itemsize), np.uint8)
+        number[:, :width] = held.reshape(width, n).T
+        rows[name] = number.view(kind[name]).ravel()
+    return rows
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -74,9 +100,9 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(at)))
     start, at, row = window[first], at[first], row[first]
-    run = mix(hashes.of(start, start + count + WINDOW - 1) ^ mix((at - start + 1).astype(np.uint64)))
+    run = mix(hashes.of(start, start + count + WINDOW - 1) ^ mix((at - start + 1).astype(np.uint64))) >> np.uint64(16)
     # The least hashes are small numbers; spread again, their top bits deal out evenly.
-    return start, count, row, mix(grams[at] ^ np.uint64(0xD1B54A32D192ED03)), run
+    return start, count, row, mix(grams[at] ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(16), run
 
 
 def _pieces(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -100,13 +126,20 @@ def _least(gram: np.ndarray, run: np.ndarray, document: np.ndarray) -> np.ndarra
     return found
 
 
-def _dealt(packed: np.ndarray, block: int, parts: int) -> dict[str, pa.Array]:
-    """One row per part that the top bits of the gram name; ``packed`` is in the order of grams."""
-    part = ((packed["gram"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+def _dealt(rows: np.ndarray, block: int, parts: int) -> dict[str, pa.Array]:
+    """One row per part that the top bits of the gram name; ``rows`` are in the order of grams."""
+    part = ((rows["gram"] >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     bounds = np.searchsorted(part, np.arange(parts + 1))
     filled = np.flatnonzero(np.diff(bounds))
     return {"part": pa.array(filled, pa.int32()), "block": pa.array(np.full(len(filled), block), pa.int64()),
-            "packed": pa.array([packed[bounds[p]:bounds[p + 1]].tobytes() for p in filled], pa.binary())}
+            "packed": pa.array([packed(rows[bounds[p]:bounds[p + 1]]) for p in filled], pa.binary())}
+
+
+def _blobs(table: pa.Table, kind: np.dtype) -> tuple[np.ndarray, list[int]]:
+    """The rows of all packed values, and how many each has."""
+    data, offsets = text_buffer(table.column("packed"))
+    held = [unpacked(data[a:b], kind) for a, b in zip(offsets[:-1], offsets[1:])]
+    return (np.concatenate(held) if held else np.zeros(0, kind)), [len(h) for h in held]
 
 
 def _parts(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -115,8 +148,8 @@ def _parts(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[
         first = starts(table, ["part"])
         for a, b in zip(first, np.append(first[1:], table.num_rows)):
             some = table.slice(a, b - a)
-            data, offsets = text_buffer(some.column("packed"))
-            yield data.view(kind), np.repeat(some.column("block").to_numpy(), np.diff(offsets) // kind.itemsize)
+            rows, sizes = _blobs(some, kind)
+            yield rows, np.repeat(some.column("block").to_numpy(), sizes)
 
 
 def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
@@ -125,20 +158,20 @@ def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
     first = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else np.zeros(0, np.int64)
     bounds = np.append(first, len(blocks))
     return pa.RecordBatch.from_arrays([
-        pa.array(blocks[first], pa.int64()), pa.array([answer[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
+        pa.array(blocks[first], pa.int64()), pa.array([packed(answer[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
         names=["block", "packed"])
 
 
-def _first_pass(packed: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+def _first_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     """Order (gram, run) of one part; answer every block about runs that others hold or differ from."""
-    order = np.lexsort((packed["least"], packed["run"], packed["gram"]))
-    packed, block = packed[order], block[order]
-    new_gram = np.ones(len(packed), bool)
-    new_gram[1:] = packed["gram"][1:] != packed["gram"][:-1]
+    order = np.lexsort((rows["least"], rows["run"], rows["gram"]))
+    rows, block = rows[order], block[order]
+    new_gram = np.ones(len(rows), bool)
+    new_gram[1:] = rows["gram"][1:] != rows["gram"][:-1]
     new_run = new_gram.copy()
-    new_run[1:] |= packed["run"][1:] != packed["run"][:-1]
+    new_run[1:] |= rows["run"][1:] != rows["run"][:-1]
     run_at = np.cumsum(new_run) - 1
-    least = packed["least"][np.flatnonzero(new_run)][run_at]
+    least = rows["least"][np.flatnonzero(new_run)][run_at]
     gram_at = np.cumsum(new_gram) - 1
     runs_per_gram = np.bincount(gram_at[new_run])[gram_at]
     copies = np.bincount(run_at)[run_at]
@@ -146,22 +179,21 @@ def _first_pass(packed: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     holder = new_run & (runs_per_gram > 1)
     tell = holder | (copies > 1)
     answer = np.zeros(int(tell.sum()), ANSWER)
-    answer["run"], answer["least"], answer["open"] = packed["run"][tell], least[tell], holder[tell]
+    answer["run"], answer["least"], answer["open"] = rows["run"][tell], least[tell], holder[tell]
     return _answers(block[tell], answer)
 
 
-def _second_pass(packed: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+def _second_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     """Order the windows of one part; answer which windows of a run's least document start in a smaller one."""
-    masks = np.zeros(len(packed), np.uint64)
-    order = np.argsort(packed["gram"], kind="stable")
-    packed, block = packed[order], block[order]
-    new = np.concatenate([[True], packed["gram"][1:] != packed["gram"][:-1]])
-    bounds = np.append(np.flatnonzero(new), len(packed))
+    masks = np.zeros(len(rows), np.uint64)
+    order = np.argsort(rows["gram"], kind="stable")
+    rows, block = rows[order], block[order]
+    new = np.concatenate([[True], rows["gram"][1:] != rows["gram"][:-1]])
+    bounds = np.append(np.flatnonzero(new), len(rows))
     first = 0
     while first < len(bounds) - 1:  # some groups at a time, to hold few windows at once
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + 10_000, "right")) - 1)
-        rows = slice(bounds[first], bounds[last])
-        some = packed[rows]
+        some = rows[bounds[first]:bounds[last]]
         count = some["windows"].astype(np.int64)
         of = np.repeat(np.arange(len(some)), count)
         place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
@@ -176,15 +208,14 @@ def _second_pass(packed: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
         first = last
     some = masks != 0
     answer = np.zeros(int(some.sum()), ANSWER)
-    answer["run"], answer["least"], answer["mask"] = packed["run"][some], packed["least"][some], masks[some]
+    answer["run"], answer["least"], answer["mask"] = rows["run"][some], rows["least"][some], masks[some]
     answer["open"] = 2
     return _answers(block[some], answer)
 
 
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Answers of both passes about one block, each in the order of runs."""
-    data, _ = text_buffer(answers.column("packed"))
-    told = np.frombuffer(data.tobytes(), ANSWER)
+    told, _ = _blobs(answers, ANSWER)
     told = told[np.argsort(told["run"], kind="stable")]
     return told[told["open"] < 2], told[told["open"] == 2]
 
@@ -300,8 +331,8 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
 
     def ordered(rows: DataFrame, kind: np.dtype, judge_part) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for packed, block in _parts(batches, kind):
-                yield judge_part(packed, block)
+            for held, block in _parts(batches, kind):
+                yield judge_part(held, block)
 
         return rows.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(run, "block long, packed binary")
 
