@@ -11,7 +11,8 @@ window is read as digits in an order that lets many windows share the first ones
 Pass one orders (digit one, digit two) over the corpus. A gram in one document only ends there, and so does a
 run that is the same wherever its gram occurs: all its windows repeat together, and the least document is known. Only
 runs that differ around a shared gram (ends of passages, edits) go on to pass two, which orders their
-windows. Both passes are radix sorts of packed digits in tasks that Spark deals out by the top bits of
+windows. A gram that more than ``SPLIT_RUNS`` different runs share is no single group there: the 17 bytes
+before it are a further digit for windows that hold them, the 17 after it for the others. Both passes are radix sorts of packed digits in tasks that Spark deals out by the top bits of
 digit one, and blocks of documents send each distinct run once, with its least document, so a passage
 that a third of all documents share costs one row per block.
 
@@ -36,17 +37,19 @@ from featherline.llm.groups import starts, whole_groups
 from featherline.llm.spans import Hashes, mix, row_hashes, text_buffer
 
 WINDOW, GRAM, BLOCK_BYTES, PIECE, PARTS_PER_PARTITION = 50, 16, 8 << 20, 512 << 10, 4
+SPLIT_RUNS, BESIDE = 2000, (WINDOW - GRAM) // 2
 _SPAN = WINDOW - GRAM + 1  # grams of a window
 _LAST = np.iinfo(np.int64).max
 #: Rows of pass one: gram, run, least document.
 RUN = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8")])
-#: Rows of pass two: gram, run, least document, windows, and the bytes of the run.
+#: Rows of pass two: gram, run, least document, first window of the run, number of windows, and their bytes.
 LONGEST = _SPAN + WINDOW - 1
-CONTEXT = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8"), ("windows", "u1"), ("bytes", "u1", LONGEST)])
+CONTEXT = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8"), ("first", "u1"), ("windows", "u1"), ("bytes", "u1", LONGEST)])
 #: Answers: run, its least document, windows of that document that go, and what kind of answer it is.
+OPEN, MASKED, SPLIT = 1, 2, 3
 ANSWER = np.dtype([("run", "<u8"), ("least", "<i8"), ("mask", "<u8"), ("open", "u1")])
 #: Bytes of a number that are sent: hashes have 48 bits, masks a bit per window.
-_SENT = {"gram": 6, "run": 6, "least": 8, "mask": -(-_SPAN // 8), "open": 1, "windows": 1}
+_SENT = {"gram": 6, "run": 6, "least": 8, "mask": -(-_SPAN // 8), "open": 1, "first": 1, "windows": 1}
 
 
 def packed(rows: np.ndarray) -> bytes:
@@ -74,11 +77,11 @@ def unpacked(data: np.ndarray, kind: np.dtype) -> np.ndarray:
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First window, number of windows, row, gram hash and run hash of every run in the texts."""
+    """First window, number of windows, row, gram hash, run hash and place of the gram of every run in the texts."""
     n = len(data)
     empty = np.zeros(0, np.int64)
     if n < WINDOW:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty
     hashes = Hashes(data)
     grams = hashes.of_length(GRAM)
     low = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
@@ -102,7 +105,7 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     start, at, row = window[first], at[first], row[first]
     run = mix(hashes.of(start, start + count + WINDOW - 1) ^ mix((at - start + 1).astype(np.uint64))) >> np.uint64(16)
     # The least hashes are small numbers; spread again, their top bits deal out evenly.
-    return start, count, row, mix(grams[at] ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(16), run
+    return start, count, row, mix(grams[at] ^ np.uint64(0xD1B54A32D192ED03)) >> np.uint64(16), run, at
 
 
 def _pieces(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -162,7 +165,7 @@ def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
         names=["block", "packed"])
 
 
-def _first_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+def _first_pass(rows: np.ndarray, block: np.ndarray, split_runs: int) -> pa.RecordBatch:
     """Order (gram, run) of one part; answer every block about runs that others hold or differ from."""
     order = np.lexsort((rows["least"], rows["run"], rows["gram"]))
     rows, block = rows[order], block[order]
@@ -179,7 +182,7 @@ def _first_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     holder = new_run & (runs_per_gram > 1)
     tell = holder | (copies > 1)
     answer = np.zeros(int(tell.sum()), ANSWER)
-    answer["run"], answer["least"], answer["open"] = rows["run"][tell], least[tell], holder[tell]
+    answer["run"], answer["least"], answer["open"] = rows["run"][tell], least[tell], np.where(holder, np.where(runs_per_gram > split_runs, SPLIT, OPEN), 0)[tell]
     return _answers(block[tell], answer)
 
 
@@ -204,12 +207,12 @@ def _second_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
         again[1:] = (h[ranked][1:] != h[ranked][:-1]) | (g[ranked][1:] != g[ranked][:-1])
         least = document[ranked][np.flatnonzero(again)][np.cumsum(again) - 1]
         goes = ranked[least < document[ranked]]
-        np.bitwise_or.at(masks, of[goes] + bounds[first], np.uint64(1) << place[goes].astype(np.uint64))
+        np.bitwise_or.at(masks, of[goes] + bounds[first], np.uint64(1) << (place[goes] + some["first"][of[goes]]).astype(np.uint64))
         first = last
     some = masks != 0
     answer = np.zeros(int(some.sum()), ANSWER)
     answer["run"], answer["least"], answer["mask"] = rows["run"][some], rows["least"][some], masks[some]
-    answer["open"] = 2
+    answer["open"] = MASKED
     return _answers(block[some], answer)
 
 
@@ -217,7 +220,13 @@ def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Answers of both passes about one block, each in the order of runs."""
     told, _ = _blobs(answers, ANSWER)
     told = told[np.argsort(told["run"], kind="stable")]
-    return told[told["open"] < 2], told[told["open"] == 2]
+    masked = told[told["open"] == MASKED]
+    if len(masked):  # both halves of a run may have been told
+        first = np.concatenate([[True], masked["run"][1:] != masked["run"][:-1]])
+        whole = np.bitwise_or.reduceat(masked["mask"], np.flatnonzero(first))
+        masked = masked[first]
+        masked["mask"] = whole
+    return told[told["open"] != MASKED], masked
 
 
 def _look_up(told: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +243,7 @@ def _block_runs(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 
 
 def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int = BLOCK_BYTES,
-                     keep: list[str] | None = None) -> DataFrame:
+                     keep: list[str] | None = None, split_runs: int = SPLIT_RUNS) -> DataFrame:
     """The columns ``keep`` (doc_id alone by default) as struct ``row`` with ``n_bytes, n_removed, n_spans, kept_sha256``, ``kept``.
 
     The digest is that of the remaining bytes; ``kept`` is their text without what is left of characters
@@ -253,7 +262,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
 
     def send_runs(table: pa.Table) -> pa.Table:
         ids = documents(table)
-        held = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run) in _block_runs(table)]
+        held = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run, _) in _block_runs(table)]
         held = np.concatenate(held) if held else np.zeros(0, RUN)
         return pa.table(_dealt(_least(held["gram"], held["run"], held["least"]), table.column("block")[0].as_py(), parts))
 
@@ -261,21 +270,35 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         if not table.num_rows:
             return pa.table({"part": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "packed": pa.array([], pa.binary())})
         ids, (told, _) = documents(table), _told(answers)
-        told = told[told["open"] == 1]
+        told = told[(told["open"] == OPEN) | (told["open"] == SPLIT)]
         held = []
-        for first, data, _, (start, count, row, gram, run) in _block_runs(table):
+        for first, data, _, (start, count, row, gram, run, spot) in _block_runs(table):
             there, at = _look_up(told, run)
             there[there] = told["least"][at[there]] == ids[first + row[there]]
-            some = np.zeros(int(there.sum()), CONTEXT)
-            some["gram"], some["run"], some["least"], some["windows"] = gram[there], run[there], ids[first + row[there]], count[there]
-            place = start[there][:, None] + np.arange(LONGEST)
-            inside = np.arange(LONGEST) < (count[there] + WINDOW - 1)[:, None]
-            some["bytes"] = np.where(inside, data[np.minimum(place, len(data) - 1)], 0) if len(some) else 0
-            held.append(some)
+            if not there.any():
+                continue
+            split = told["open"][at[there]] == SPLIT
+            start, count, row, gram, run, spot = (x[there] for x in (start, count, row, gram, run, spot))
+            # Windows that begin early enough hold the bytes before the gram, the others those after it.
+            early = np.clip(spot - BESIDE + 1 - start, 0, count)
+            hashes = Hashes(data)
+            for chosen, skipped, windows, key in (
+                    (~split, np.zeros_like(count), count, None), (split & (early > 0), np.zeros_like(count), early, (-BESIDE, 0)),
+                    (split & (early < count), early, count - early, (GRAM, GRAM + BESIDE))):
+                if not chosen.any():
+                    continue
+                a, n, g = start[chosen] + skipped[chosen], windows[chosen], gram[chosen]
+                if key:
+                    g = mix(g ^ hashes.of(spot[chosen] + key[0], spot[chosen] + key[1])) >> np.uint64(16)
+                some = np.zeros(len(a), CONTEXT)
+                some["gram"], some["run"], some["least"], some["first"], some["windows"] = g, run[chosen], ids[first + row[chosen]], skipped[chosen], n
+                inside = np.arange(LONGEST) < (n + WINDOW - 1)[:, None]
+                some["bytes"] = np.where(inside, data[np.minimum(a[:, None] + np.arange(LONGEST), len(data) - 1)], 0)
+                held.append(some)
         held = np.concatenate(held) if held else np.zeros(0, CONTEXT)
-        held = held[np.lexsort((held["run"], held["gram"]))]
+        held = held[np.lexsort((held["first"], held["run"], held["gram"]))]
         if len(held):
-            held = held[np.concatenate([[True], (held["run"][1:] != held["run"][:-1]) | (held["gram"][1:] != held["gram"][:-1])])]
+            held = held[np.concatenate([[True], (held["run"][1:] != held["run"][:-1]) | (held["gram"][1:] != held["gram"][:-1]) | (held["first"][1:] != held["first"][:-1])])]
         return pa.table(_dealt(held, table.column("block")[0].as_py(), parts))
 
     def judge(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -284,11 +307,11 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         ids, (told, masked) = documents(table), _told(answers)
         found: dict[str, list] = {name: [] for name, _ in result}
         # Runs that this block alone holds are no answer: within it, the least document counts.
-        own = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run) in _block_runs(table)]
+        own = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run, _) in _block_runs(table)]
         own = np.concatenate(own) if own else np.zeros(0, RUN)
         own = own[np.lexsort((own["least"], own["run"]))]
         own = own[np.concatenate([[True], own["run"][1:] != own["run"][:-1]])] if len(own) else own
-        for first, data, offsets, (start, count, row, _, run) in _block_runs(table):
+        for first, data, offsets, (start, count, row, _, run, _) in _block_runs(table):
             document = ids[first + row]
             least = own["least"][_look_up(own, run)[1]] if len(own) else document
             there, at = _look_up(told, run)
@@ -336,7 +359,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
 
         return rows.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(run, "block long, packed binary")
 
-    first = ordered(dealt.groupBy("block").applyInArrow(send_runs, packed_rows), RUN, _first_pass)
+    first = ordered(dealt.groupBy("block").applyInArrow(send_runs, packed_rows), RUN, lambda rows, block: _first_pass(rows, block, split_runs))
     second = ordered(dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_windows, packed_rows), CONTEXT, _second_pass)
     return dealt.groupBy("block").cogroup(first.union(second).groupBy("block")).applyInArrow(
         judge, schema)

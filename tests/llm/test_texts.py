@@ -50,7 +50,8 @@ def test_windows_of_random_texts(spark):
             t = t[:100] + other[a:a + random.randint(30, 120)] + t[100:]
         texts.append((random.choice([k, k, 7, None]), t))
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
-    same(digests(suffixes.repeated_windows(docs, block_bytes=2000)), cases.windows(texts))
+    for split_runs in (suffixes.SPLIT_RUNS, 1):
+        same(digests(suffixes.repeated_windows(docs, block_bytes=2000, split_runs=split_runs)), cases.windows(texts))
 
 
 def test_windows_keep_rows_and_text(spark):
