@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.ml.linalg import VectorUDT
@@ -18,7 +17,7 @@ from featherline.functions import vectors
 
 # Passes that sharpen a random sketch.
 POWER_PASSES = 2
-# Tasks in which triangular factors meet before the driver gets as many.
+# Tasks in which what other tasks summed up meets before the driver gets as many.
 MEETINGS = 16
 
 
@@ -51,11 +50,13 @@ class PCATable(TableEstimator):
         mean = slim.agg(Summarizer.mean(F.col("x"))).first()[0].toArray() if centered else None
         mode = self.setting("algorithm_mode")
         if mode == "randomized":
-            directions = self._sketched(slim, mean, k, width)
-        elif mode == "regular" and centered:
-            directions = PCA(k=k, inputCol="x", outputCol="y").fit(slim).pc.toArray()
+            slim = slim.persist()
+            try:
+                directions = self._sketched(slim, mean, k, width)
+            finally:
+                slim.unpersist()
         elif mode == "regular":
-            directions = np.linalg.eigh(apply_gram(slim, np.eye(width), None))[1][:, ::-1][:, :k]
+            directions = np.linalg.eigh(apply_gram(slim, None, mean, width))[1][:, ::-1][:, :k]
         else:
             # All right singular vectors, so that rows of lower rank still have k directions.
             directions = np.linalg.svd(triangle(slim, width, mean), full_matrices=True)[2].T[:, :k]
@@ -67,8 +68,8 @@ class PCATable(TableEstimator):
         columns = min(width, k + (max(10, k) if extra < 0 else extra))
         basis = np.random.default_rng(self.setting("seed")).normal(size=(width, columns))
         for _ in range(POWER_PASSES):
-            basis, _ = np.linalg.qr(apply_gram(df, basis, mean))
-        image = apply_gram(df, basis, mean)
+            basis, _ = np.linalg.qr(apply_gram(df, basis, mean, width))
+        image = apply_gram(df, basis, mean, width)
         values, turns = np.linalg.eigh(basis.T @ image)
         return (basis @ turns)[:, ::-1][:, :k]
 
@@ -95,27 +96,31 @@ def triangle(df: DataFrame, width: int, mean: np.ndarray | None) -> np.ndarray:
     return np.linalg.qr(np.vstack([np.frombuffer(row["r"]).reshape(-1, width) for row in rows]), mode="r")
 
 
-def apply_gram(df: DataFrame, basis: np.ndarray, mean: np.ndarray | None) -> np.ndarray:
-    """``(X - mean)' (X - mean) basis``: each task sums its rows, and sums meet by matrix row."""
-    width, columns = basis.shape
-    basis = np.ascontiguousarray(basis)
-    shift = None if mean is None else mean @ basis
+def apply_gram(df: DataFrame, basis: np.ndarray | None, mean: np.ndarray | None, width: int) -> np.ndarray:
+    """``(X - mean)' (X - mean) basis``, or without a basis the matrix itself, in one pass.
+
+    Each task sums its rows; the sums meet in ``MEETINGS`` tasks before the driver adds up as many.
+    """
+    columns = width if basis is None else basis.shape[1]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, columns))
         for batch in batches:
             for block in geometry._blocks(batch.column(0), width):
-                image = block @ basis - (0 if shift is None else shift)
-                total += block.T @ image
-                if mean is not None:
-                    total -= np.outer(mean, image.sum(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(width)), pa.array(list(total), pa.list_(pa.float64()))], names=["row", "part"])
-
-    parts = df.select(vectors.lean(F.col("x")).alias("x")).mapInArrow(add, "row long, part array<double>")
-    sums = parts.groupBy("row").agg(*[F.sum(F.col("part")[j]).alias(f"c{j}") for j in range(columns)])
-    table = sums.orderBy("row").toArrow()
-    return np.column_stack([table.column(f"c{j}").to_numpy() for j in range(columns)])
+                block = block if mean is None else block - mean
+                total += block.T @ (block if basis is None else block @ basis)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width * columns)
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                total += np.frombuffer(part)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+
+    parts = df.select(vectors.lean(F.col("x")).alias("x")).mapInArrow(add, "part binary").repartition(MEETINGS)
+    rows = parts.mapInArrow(meet, "part binary").collect()
+    return sum(np.frombuffer(row["part"]) for row in rows).reshape(width, columns)
 
 
 def fixed_signs(directions: np.ndarray) -> np.ndarray:
