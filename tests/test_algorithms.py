@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from featherline.algorithms import base, boosted, custom, factorization, kmeans, lda, linear, pca, runs
 from featherline.functions import vectors
-from featherline.operators import codecs
+from featherline.operators import codecs, curves, metrics
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ ESTIMATORS = {
     linear.MulticlassClassifierTable: {"num_classes": [3, 1000000], "accuracy_top_k": [1]},
     factorization.FactorizationBinaryTable: {"num_factors": [1], "factors_wd": [0]},
     boosted.BoostedTable: {"num_round": [1], "eta": [0, 1], "subsample": [1], "objective": ["reg:linear", "binary:logitraw"],
-                           "tweedie_variance_power": [1.5], "lambda": [2.0], "eval_metric": ["auc,map@n-", "ndcg@5-,error@0.3"]},
+                           "tweedie_variance_power": [1.5], "lambda": [2.0], "eval_metric": ["auc,map-", "ndcg@5-,error@0.3"]},
 }
 REJECTED = {
     kmeans.KMeansTable: {"k": [1, 2.5, "x"], "feature_dim": [0], "init_method": ["other"], "local_lloyd_tol": [-0.1, 1.1],
@@ -40,7 +40,7 @@ REJECTED = {
     linear.MulticlassClassifierTable: {"num_classes": [2, 1000001], "accuracy_top_k": [0]},
     factorization.FactorizationBinaryTable: {"num_factors": [0], "factors_wd": [-1]},
     boosted.BoostedTable: {"num_round": [0], "eta": [-0.1, 1.1], "subsample": [0], "objective": ["rank:ndcg"],
-                           "tweedie_variance_power": [1, 2], "eval_metric": ["gini"]},
+                           "tweedie_variance_power": [1, 2], "eval_metric": ["gini", "map@n", "error@t", "auc@3"]},
 }
 
 
@@ -233,3 +233,43 @@ def test_recorded_metrics(spark, blobs, tmp_path):
     assert 0 < classes.evaluate(classes.fit(blobs), blobs)["mlogloss"] < 1.0
     with pytest.raises(ValueError, match="query"):
         boosted.evaluate(queried.withColumn("prediction", F.lit(1.0)), ["ndcg"])
+
+
+def test_settings_that_cannot_be_followed(blobs):
+    for params in ({"max_depth": 31}, {"max_bin": 1}, {"eta": 0.0}, {"min_child_weight": 1e9}):
+        with pytest.raises(ValueError):
+            boosted.BoostedTable(num_round=1, **params).fit(blobs)
+    for params in ({"linear_lr": 0.0}, {"factors_init_sigma": 0.0}, {"mini_batch_size": 1, "epochs": 1000}):
+        with pytest.raises(ValueError):
+            factorization.FactorizationRegressorTable(num_factors=2, feature_dim=4, **params).fit(blobs)
+
+
+def test_starts_differ(spark):
+    """Two equal rows far out: starting at random and at spread-out rows are different things."""
+    df = spark.createDataFrame([(Vectors.dense([float(k % 50), 0.0]),) for k in range(500)] + [(Vectors.dense([1e6, 1e6]),)] * 2, ["features"])
+    found = {m: kmeans.KMeansTable(k=2, feature_dim=2, init_method=m, local_lloyd_max_iter=1, seed=1).fit(df).arrays["centers"]
+             for m in ("random", "kmeans++")}
+    assert found["kmeans++"].max() == 1e6 and not np.allclose(found["random"], found["kmeans++"])
+
+
+def test_thresholds_agree(spark):
+    df = spark.createDataFrame([(1.0, 0.8), (1.0, 0.5), (0.0, 0.3), (0.0, 0.1)], ["label", "score"])
+    best = curves.best_threshold(curves.threshold_sweep(df)).first()
+    assert best["accuracy"] == 1.0 == metrics.binary_metrics(df, threshold=best["threshold"]).first()["accuracy"]
+
+
+def test_low_rank_directions(spark):
+    df = spark.createDataFrame([(Vectors.dense([float(k), 2.0 * k, 0.0]),) for k in range(40)], ["features"])
+    directions = pca.PCATable(num_components=3, feature_dim=3, algorithm_mode="stable").fit(df).arrays["directions"]
+    assert directions.shape == (3, 3) and np.allclose(directions.T @ directions, np.eye(3))
+    assert np.allclose(np.abs(directions[:, 0]), np.array([1, 2, 0]) / np.sqrt(5))
+
+
+def test_custom_model_is_saved(spark, tmp_path):
+    df = spark.createDataFrame([(Vectors.dense([float(k)]),) for k in range(20)], ["features"])
+    estimator = custom.CustomEstimator(lambda rows, params: (lambda payload: payload.replace(b"\n", b",").rstrip(b",")),
+                                       codecs.CSVEncoder(), codecs.CSVDecoder())
+    model = estimator.fit(df)
+    model.write().save(str(tmp_path / "m"))
+    again = base.attach(spark, str(tmp_path / "m"))
+    assert [r["prediction"] for r in again.transform(df).collect()] == [r["prediction"] for r in model.transform(df).collect()] == [float(k) for k in range(20)]
