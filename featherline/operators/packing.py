@@ -13,6 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from featherline.functions import vectors
 from featherline.operators.ordered import running
+from featherline.operators.tables import join_table
 
 MAX_BYTES = 5242880
 MAX_RECORDS = 2147483647
@@ -156,6 +157,12 @@ def pack_partitions(df: DataFrame, body: str = "body", max_bytes: int = MAX_BYTE
     return _pack(numbered, body, ["part"], max_bytes, max_records)
 
 
+def with_shards(df: DataFrame, group: Sequence[str], key: str, shard_rows: int, name: str = "shard_of") -> DataFrame:
+    """Number the rows of each group into as many shards as its size asks for, by an integer key modulo their number."""
+    sizes = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("_shards"))
+    return join_table(df, sizes, group).withColumn(name, F.pmod(F.col(key), F.col("_shards"))).drop("_shards")
+
+
 def pack_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], body: str = "body",
                 max_bytes: int = MAX_BYTES, max_records: int = MAX_RECORDS,
                 shards: Column | None = None, shard_rows: int | None = None) -> DataFrame:

@@ -334,20 +334,26 @@ def pack_ranges(spark, folder):
     return packed.select("lang", "shard", "batch_id", "n_rows", "n_bytes")
 
 
-@query("pack_bytes", greedy_sql(200000, "doc_id % 4"))
+def sharded(spark, folder) -> DataFrame:
+    """Documents with a shard of about 100 rows of their language."""
+    return packing.with_shards(table(spark, folder, "documents"), ["lang"], "doc_id", 100)
+
+
+SHARD = "doc_id % ceil(count(*) OVER (PARTITION BY lang) / 100.0)::BIGINT"
+
+
+@query("pack_bytes", greedy_sql(200000, SHARD))
 def pack_bytes(spark, folder):
-    packed = packing.pack_groups(table(spark, folder, "documents"), ["lang"], ["doc_id"], "text",
-                                 max_bytes=200000, shards=F.col("doc_id") % 4)
+    packed = packing.pack_groups(sharded(spark, folder), ["lang"], ["doc_id"], "text", max_bytes=200000, shards=F.col("shard_of"))
     return packed.select("lang", "shard", "batch_id", "n_rows", F.octet_length("payload").cast("bigint").alias("n_bytes"))
 
 
-@query("pack_records", """
+@query("pack_records", f"""
     SELECT lang, shard, (rn - 1) // 7 AS batch_id, count(*) AS n_rows, sum(bytes)::BIGINT AS n_bytes FROM (
-        SELECT lang, (doc_id % 4)::BIGINT AS shard, strlen(text) AS bytes,
-            row_number() OVER (PARTITION BY lang, doc_id % 4 ORDER BY doc_id) AS rn FROM documents) GROUP BY ALL""")
+        SELECT *, row_number() OVER (PARTITION BY lang, shard ORDER BY doc_id) AS rn FROM (
+            SELECT lang, doc_id, ({SHARD})::BIGINT AS shard, strlen(text) AS bytes FROM documents)) GROUP BY ALL""")
 def pack_records(spark, folder):
-    packed = packing.pack_groups(table(spark, folder, "documents"), ["lang"], ["doc_id"], "text",
-                                 max_records=7, shards=F.col("doc_id") % 4)
+    packed = packing.pack_groups(sharded(spark, folder), ["lang"], ["doc_id"], "text", max_records=7, shards=F.col("shard_of"))
     return packed.select("lang", "shard", "batch_id", "n_rows", "n_bytes")
 
 
