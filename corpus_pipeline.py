@@ -21,7 +21,8 @@ from featherline.llm.mixing import mixed_texts
 from featherline.llm.quality import quality
 from featherline.llm.rtree import jaccard_join
 from featherline.llm.suffixes import repeated_windows
-from featherline.workspace import ship_package, written
+from featherline.llm.tasks import prepare
+from featherline.workspace import written
 
 
 def _columns(docs: DataFrame, text=None) -> list:
@@ -31,18 +32,18 @@ def _columns(docs: DataFrame, text=None) -> list:
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("score >= 0.5").select(*_columns(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     copies = jaccard_join(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
     return docs.join(copies, docs["doc_id"] == F.col("_copy"), "left_anti")
 
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     left = repeated_windows(docs, digest_only=False, keep=docs.columns)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
     kept = left.where("n_removed < n_bytes OR n_bytes = 0")
@@ -50,13 +51,13 @@ def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     made = mixed_texts(docs)
     return made.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else made
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     made = encode(docs, digest_only=False, keep=["doc_id", "source"])
     ids = F.when(F.col("n_tokens") > 0, F.split("ids", ",").cast("array<int>")).otherwise(F.array().cast("array<int>"))
     return made.select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), "n_tokens", ids.alias("ids"), "ids_sha256", "decoded_sha256")
@@ -76,7 +77,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each result written and read again."""
-    ship_package(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -36,10 +36,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.llm.spans import text_buffer
+from featherline.llm.tasks import tidy
 from featherline.workspace import written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 500_000, 250
+#: Pieces that a task counts before it sends the counts on.
+COUNTED_WORDS = 4_000_000
 #: Words whose tokens every task gets.
 FREQUENT_WORDS = 400_000
 #: A character that stands for no byte, and more than any rank.
@@ -207,12 +210,22 @@ def _frequent(docs: DataFrame, path: str, pattern: str, most: int) -> pa.Table:
     """``word, ids, n, bytes`` of the words that occur most often, at most ``most`` of them, counted over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []
+
+        def counts() -> pa.RecordBatch:
+            some = pa.concat_arrays(held).dictionary_encode()
+            held.clear()
+            times = np.bincount(some.indices.to_numpy(), minlength=len(some.dictionary))
+            return pa.RecordBatch.from_arrays([some.dictionary, pa.array(times, pa.int64())], names=["word", "n"])
+
         for batch in batches:
-            for _, _, _, some in _distinct(batch, BLOCK_WORDS):
-                times = np.bincount(some.indices.to_numpy(), minlength=len(some.dictionary))
-                yield pa.RecordBatch.from_arrays([some.dictionary, pa.array(times, pa.int64())], names=["word", "n"])
+            held.append(batch.column("_pieces").flatten())
+            if sum(map(len, held)) >= COUNTED_WORDS:
+                yield counts()
+        if held:
+            yield counts()
 
-    counted = docs.select(_pieces(docs, pattern)).mapInArrow(count, "word string, n long").where(F.octet_length("word") <= FOLD_BYTES)
+    counted = docs.select(_pieces(docs, pattern)).mapInArrow(tidy(count), "word string, n long").where(F.octet_length("word") <= FOLD_BYTES)
     totals = written(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn(
         "step", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
     held, least = 0, 1 << 20
@@ -290,7 +303,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokeni
                     pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare.cast(pa.binary()))],
                     names=["rows", "counts", "places", "words"])
 
-    packed = read.mapInArrow(pack, T.StructType([
+    packed = read.mapInArrow(tidy(pack), T.StructType([
         T.StructField("rows", T.ArrayType(row)), T.StructField("counts", T.BinaryType()), T.StructField("places", T.BinaryType()),
         T.StructField("words", T.ArrayType(T.BinaryType()))]))
     # The characters 0 to 255 stand for bytes; a long word is left to the task.
@@ -307,4 +320,4 @@ def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokeni
             for k in range(batch.num_rows):
                 yield _unpack(batch.slice(k, 1), frequent, path, digest_only)
 
-    return packed.select("rows", "counts", "places", tokens.alias("tokens"), long.alias("long")).mapInArrow(unpack, schema)
+    return packed.select("rows", "counts", "places", tokens.alias("tokens"), long.alias("long")).mapInArrow(tidy(unpack), schema)

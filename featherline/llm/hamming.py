@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from featherline.llm.connected import components
 from featherline.llm.groups import first_reached, fixed, pairs, starts, whole_groups
+from featherline.llm.tasks import tidy
 from featherline.llm.vectors import cosine, matrix, packed, unit, usable
 from featherline.workspace import written
 
@@ -115,8 +116,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
                 pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(list(codes), pa.list_(pa.int32()))],
                 names=["id", "copies", "x", "length", "code", "parts"])
 
-    coded = written(classes.select("id", "copies", "v").mapInArrow(
-        encode, "id long, copies long, x binary, length int, code binary, parts array<int>"), "vector-codes")
+    coded = written(classes.select("id", "copies", "v").mapInArrow(tidy(encode), "id long, copies long, x binary, length int, code binary, parts array<int>"), "vector-codes")
     slots = coded.select("id", F.posexplode("parts").alias("t", "part"))
     shared = slots.groupBy("t", "part").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     shared = written(shared.select(
@@ -158,7 +158,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
             some = counts > 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(counts[some].astype(np.int64)), pa.array(to[some])], names=["id", "n", "to"])
 
-    found = written(blocks.mapInArrow(compare, "id long, n long, to long"), "vector-links")
+    found = written(blocks.mapInArrow(tidy(compare), "id long, n long, to long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     whole = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     facts = written(

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from featherline.llm.tasks import tidy
+
 #: Labelled rows that a fit reads at most.
 MAX_ROWS = 12_000
 
@@ -67,8 +69,8 @@ def fit_in_task(rows: DataFrame, featurize: Callable[[pa.RecordBatch], Iterator[
             pa.array(list(made), pa.string()), pa.array([v.tobytes() for v in made.values()], pa.binary()),
         ], names=["name", "held"])
 
-    shaped = rows.mapInArrow(features, "_order long, y int, i binary, x binary").repartition(1)
-    return {name: np.frombuffer(held, np.float32) for name, held in shaped.mapInArrow(fit, "name string, held binary").collect()}
+    shaped = rows.mapInArrow(tidy(features), "_order long, y int, i binary, x binary").repartition(1)
+    return {name: np.frombuffer(held, np.float32) for name, held in shaped.mapInArrow(tidy(fit), "name string, held binary").collect()}
 
 
 def scored(docs: DataFrame, columns: list[Column], score: Callable[[pa.RecordBatch], np.ndarray], keep: list[str] | None) -> DataFrame:
@@ -84,4 +86,4 @@ def scored(docs: DataFrame, columns: list[Column], score: Callable[[pa.RecordBat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score(batch), pa.float64())], names=["row", "score"])
 
     schema = read.select("row", F.lit(0.0).cast("double").alias("score")).schema
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from featherline.llm.spans import LOWER, PLAIN_WORDS, Hashes, per_row, pieces, text_buffer, words
+from featherline.llm.tasks import tidy
 
 #: Fixed phrases and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -202,4 +203,4 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([x[name] for x in found], kind) for name, kind in kinds.items()]], names=["row", *kinds])
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)

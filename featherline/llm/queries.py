@@ -16,10 +16,10 @@ from featherline.llm.mixing import mix
 from featherline.llm.quality import quality
 from featherline.llm.rtree import jaccard_join
 from featherline.llm.suffixes import repeated_windows
+from featherline.llm.tasks import prepare
 from featherline.llm.toxicity import toxicity
 from featherline.llm.vptree import nearest
 from featherline.llm.warc import derivatives, responses
-from featherline.workspace import ship_package
 
 #: The capture date that the pages are given; the table has none.
 CAPTURED = "2024-01-01T00:00:00Z"
@@ -35,7 +35,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(run)
     def prepared(spark: SparkSession, folder: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return run(spark, folder)
 
     QUERIES[run.__name__] = prepared

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from featherline.llm.connected import components
 from featherline.llm.groups import first_reached, fixed, pairs, starts, whole_groups
 from featherline.llm.spans import LOWER, SPACE_SEPARATED, Hashes, mix, pieces, shingles, text_buffer, words
+from featherline.llm.tasks import tidy
 from featherline.workspace import written
 
 SIZE, PERCENT, GROUPS, LEAF = 4, 85, 32, 32
@@ -196,7 +197,7 @@ def _facts(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n", "s1", "s2", "point", "names"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"))
-    return read.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, point binary, names array<long>")
+    return read.mapInArrow(tidy(run), "doc_id long, n long, s1 long, s2 long, point binary, names array<long>")
 
 
 def _cut(rows: DataFrame, key: str, weight, limit: int) -> DataFrame:
@@ -245,7 +246,7 @@ def _candidates(classes: DataFrame, groups: DataFrame) -> DataFrame:
             some = to != np.arange(len(nodes))
             yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(nodes[to[some]])], names=["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long")
+    return blocks.mapInArrow(tidy(run), "a long, b long")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
@@ -266,7 +267,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
                 held = [found[bounds[k]:bounds[k + 1]].tobytes() for k in np.flatnonzero(meant)]
                 yield pa.RecordBatch.from_arrays([pa.array(s1[meant]), pa.array(s2[meant]), pa.array(held, pa.binary())], names=["_s1", "_s2", "held"])
 
-    sets = texts.select("s1", "s2", "_text").mapInArrow(shingled, "_s1 long, _s2 long, held binary").dropDuplicates(["_s1", "_s2"])
+    sets = texts.select("s1", "s2", "_text").mapInArrow(tidy(shingled), "_s1 long, _s2 long, held binary").dropDuplicates(["_s1", "_s2"])
     keys = ["component", "a", "b"]
     rows = placed.join(sets, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))).select(*keys, "mine", "s1", "n", "held")
     blocks = rows.repartition(*keys).sortWithinPartitions(*keys, "s1")
@@ -303,7 +304,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
                         i, j = i[1:], j[1:]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return blocks.mapInArrow(compare, "a long, b long")
+    return blocks.mapInArrow(tidy(compare), "a long, b long")
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:

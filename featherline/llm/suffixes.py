@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from featherline.llm.groups import starts, whole_groups
 from featherline.llm.spans import Hashes, mix, row_hashes, text_buffer
+from featherline.llm.tasks import give_back, tidy
 
 WINDOW, GRAM, BLOCK_BYTES, PIECE, PARTS_PER_PARTITION = 50, 16, 8 << 20, 512 << 10, 4
 SPLIT_RUNS, BESIDE = 2000, (WINDOW - GRAM) // 2
@@ -264,6 +265,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         ids = documents(table)
         held = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run, _) in _block_runs(table)]
         held = np.concatenate(held) if held else np.zeros(0, RUN)
+        give_back()
         return pa.table(_dealt(_least(held["gram"], held["run"], held["least"]), table.column("block")[0].as_py(), parts))
 
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -299,6 +301,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         held = held[np.lexsort((held["first"], held["run"], held["gram"]))]
         if len(held):
             held = held[np.concatenate([[True], (held["run"][1:] != held["run"][:-1]) | (held["gram"][1:] != held["gram"][:-1]) | (held["first"][1:] != held["first"][:-1])])]
+        give_back()
         return pa.table(_dealt(held, table.column("block")[0].as_py(), parts))
 
     def judge(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -343,6 +346,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
                 found["n_spans"].append(int(spans[b] - spans[a]))
                 found["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 found["kept"].append(None if digest_only else kept.decode("utf-8", "ignore"))
+        give_back()
         return pa.table({"row": table.column("row"), **{name: pa.array(found[name], kind) for name, kind in result}})
 
     result = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -357,7 +361,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
             for held, block in _parts(batches, kind):
                 yield judge_part(held, block)
 
-        return rows.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(run, "block long, packed binary")
+        return rows.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(tidy(run), "block long, packed binary")
 
     first = ordered(dealt.groupBy("block").applyInArrow(send_runs, packed_rows), RUN, lambda rows, block: _first_pass(rows, block, split_runs))
     second = ordered(dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_windows, packed_rows), CONTEXT, _second_pass)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from featherline.llm.tasks import tidy
 from featherline.llm.vectors import cosine, matrix, packed, unit, usable
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS, FACTOR, SEED = 8192, 4096, 128, 1.0, 17
@@ -176,6 +177,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = FA
                                                  names=["query_id", "vec_id", "score"])
 
     pairs = trees.join(everywhere, ["shard", "width"])
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id", "score"])
+    found = pairs.mapInArrow(tidy(search), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id", "score"])
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
