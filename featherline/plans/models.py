@@ -14,7 +14,7 @@ from featherline.algorithms.selection import select_model
 from featherline.functions import vectors
 from featherline.operators import codecs, losses, metrics, tables
 from featherline.plans.encoding import KEYED
-from featherline.plans.quality import relevance, rounded
+from featherline.plans.quality import rounded
 from featherline.plans.registry import query, table
 from featherline.sources import export
 from featherline.workspace import new_path
