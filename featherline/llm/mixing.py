@@ -19,8 +19,6 @@ separate documents. Extra columns pass through untouched, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
