@@ -44,8 +44,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    left = repeated_windows(docs, digest_only=False, keep=docs.columns)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    # The text goes to the operator once; the other columns and whether there was a text ride along.
+    other = [c for c in docs.columns if c != "text"]
+    marked = docs.withColumn("_no_text", docs["text"].isNull())
+    left = repeated_windows(marked, digest_only=False, keep=[*other, "_no_text"])
+    text = F.when(~F.col("row._no_text"), F.col("kept"))
     kept = left.where("n_removed < n_bytes OR n_bytes = 0")
     return kept.select(*_columns(docs, text))
 
