@@ -5,8 +5,10 @@
    the rotation whose signs lose least, which makes every bit split the data about evenly. Several
    rotations give as many bits as the tables need.
 3. A code is cut into substrings, one per table. Their width follows the logarithm of the number of
-   classes, as is usual for multi-index hashing, and the number of tables keeps the chance that a pair at
-   the threshold meets in some table at ``RECALL`` whatever the size (a bit differs with chance angle / pi).
+   classes, as is usual for multi-index hashing. Rotations are of centered vectors, where a pair at the threshold
+   lies further apart the longer the mean is, so the number of tables is counted: sample vectors are paired with vectors
+   at the threshold from them (in any direction, and towards other sample vectors), and of both kinds ``RECALL``
+   has to meet in some table, and never fewer tables than angle / pi as the chance of a differing bit asks for. Where ``TABLES`` are too few for that, substrings get shorter.
 4. Classes that share a substring are compared with their original vectors in double precision, in blocks: a
    bucket of more than ``BLOCK`` classes is cut into parts, and every two parts are a block of their own. A
    pair counts in the first table in which it meets. A block gives one count per class and the links that
@@ -33,7 +35,9 @@ from featherline.llm.tasks import tidy
 from featherline.llm.vectors import cosine, matrix, packed, unit, usable
 from featherline.workspace import written
 
-SAMPLE, ROUNDS, BLOCK, RECALL, SEED = 8192, 30, 2048, 0.97, 5
+SAMPLE, ROUNDS, BLOCK, RECALL, SEED = 12288, 30, 2048, 0.97, 5
+#: Most tables; where more would be needed, substrings get shorter. Pairs at the threshold that the plan is tried on.
+TABLES, PROBES = 64, 4000
 #: Rows of a block whose pairs are listed with those of others; larger blocks are multiplied out.
 FEW = 48
 
@@ -57,11 +61,35 @@ def rotations(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.concatenate(found, axis=1)[:, :bits]
 
 
-def plan(classes: int, threshold: float, recall: float = RECALL) -> tuple[int, int]:
-    """Bits of a substring and number of tables."""
+def at_threshold(x: np.ndarray, threshold: float, other: np.ndarray | None = None) -> np.ndarray:
+    """For every unit vector one of that cosine with it, turned towards ``other`` or, by default, in any direction."""
+    off = np.random.default_rng(SEED).normal(size=x.shape) if other is None else other
+    off = off - (off * x).sum(axis=1, keepdims=True) * x
+    length = np.sqrt((off * off).sum(axis=1, keepdims=True))
+    flat = length < 1e-9  # nothing else to turn to
+    return np.where(flat, x, threshold * x + np.sqrt(1 - threshold * threshold) * off / np.where(flat, 1.0, length))
+
+
+def plan(x: np.ndarray, classes: int, threshold: float, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Mean and rotation of :func:`rotations`, bits of a substring and number of tables for ``classes``, seen on the unit vectors ``x``."""
     width = min(24, max(8, ceil(log2(max(classes, 2)))))
-    meets = (1 - acos(threshold) / pi) ** width
-    return width, max(1, ceil(log(1 - recall) / log(1 - meets)))
+    # Signs fit the vectors that they were learned on better than others, so it is tried on a third kept apart.
+    learned, apart = x[:max(1, len(x) * 2 // 3)], x[len(x) * 2 // 3:]
+    mean, turn = rotations(learned, width * TABLES)
+    a, b = np.random.default_rng(SEED).integers(0, len(apart), (2, PROBES))
+    probes, x = apart[a], apart
+    near = [(at_threshold(probes, threshold, other) - mean) @ turn >= 0 for other in (None, x[b])]
+    same = [n == ((probes - mean) @ turn >= 0) for n in near]
+    while width:
+        held = width * TABLES
+        met = [np.logical_or.accumulate(s[:, :held].reshape(PROBES, TABLES, width).all(axis=2), axis=1).mean(axis=0) for s in same]
+        enough = np.flatnonzero(np.minimum(*met) >= recall)
+        if len(enough):
+            meets = (1 - acos(threshold) / pi) ** width
+            tables = max(int(enough[0]) + 1, min(TABLES, ceil(log(1 - recall) / log(1 - meets))))
+            return mean, turn[:, :width * tables], width, tables
+        width -= 1
+    return mean, np.zeros((x.shape[1], 1)), 1, 1  # one bucket
 
 
 def substrings(x: np.ndarray, mean: np.ndarray, turn: np.ndarray, width: int) -> np.ndarray:
@@ -98,14 +126,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     longest, total = classes.agg(F.max(F.size("v")), F.count(F.lit(1))).first()
     if not total:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    width, tables = plan(total, threshold)
 
     def filled(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         x, lengths = matrix(column)
         return np.pad(x, ((0, 0), (0, longest - x.shape[1]))), lengths
 
     held = classes.select("v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
-    mean, turn = rotations(unit(filled(held.column("v"))[0]), width * tables)
+    mean, turn, width, tables = plan(unit(filled(held.column("v"))[0]), total, threshold)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

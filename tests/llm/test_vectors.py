@@ -59,6 +59,35 @@ def test_near_duplicates(spark, monkeypatch, seed):
     assert all(r.kept == (r.component_id == i) for i, r in got.items() if i is not None)
 
 
+def around_a_mean(n, squared, seed=0, d=64, cosine_of_pairs=0.953):
+    """Unit vectors whose mean has that squared norm, and for each one a vector at that cosine with the same share of the mean."""
+    random = np.random.default_rng(seed)
+    own, other = (random.normal(size=(n, d - 1)) for _ in range(2))
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    other -= (other * own).sum(1, keepdims=True) * own
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    c = 1 - (1 - cosine_of_pairs) / (1 - squared)
+    near = c * own + np.sqrt(1 - c * c) * other
+    return [np.column_stack([np.full(n, np.sqrt(squared)), np.sqrt(1 - squared) * x]) for x in (own, near)]
+
+
+@pytest.mark.parametrize("squared", [0.3, 0.6])
+def test_near_duplicates_around_a_mean(spark, squared):
+    x, y = around_a_mean(1500, squared)
+    got = {r.vec_id: r for r in hamming.near_duplicates(table(spark, enumerate(np.concatenate([x, y]).tolist()))).collect()}
+    assert sum(got[k].component_id == got[k + 1500].component_id for k in range(1500)) >= 0.94 * 1500
+
+
+@pytest.mark.parametrize("squared", [0.0, 0.3, 0.6, 0.8])
+@pytest.mark.parametrize("classes", [1 << 20, 3_000_000, 1 << 24])
+def test_recall_of_the_plan_at_production_width(squared, classes):
+    x, y = around_a_mean(8000, squared)
+    mean, turn, width, tables = hamming.plan(x[:6000], classes, 0.95)
+    assert 1 <= tables <= hamming.TABLES
+    met = (hamming.substrings(x[6000:], mean, turn, width) == hamming.substrings(y[6000:], mean, turn, width)).any(axis=1)
+    assert met.mean() >= 0.94
+
+
 def test_near_duplicates_of_nothing(spark):
     assert hamming.near_duplicates(table(spark, [])).count() == 0
     assert [tuple(r) for r in hamming.near_duplicates(table(spark, [(1, None)])).collect()] == [(1, 0, 1, True)]
