@@ -43,14 +43,15 @@ _SPAN = WINDOW - GRAM + 1  # grams of a window
 _LAST = np.iinfo(np.int64).max
 #: Rows of pass one: gram, run, least document.
 RUN = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8")])
-#: Rows of pass two: gram, run, least document, first window of the run, number of windows, and their bytes.
+#: Rows of pass two: gram (with the further digit, if any), what that digit changed in it, run, least document, first window of
+#: the run, number of windows, and their bytes.
 LONGEST = _SPAN + WINDOW - 1
-CONTEXT = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8"), ("first", "u1"), ("windows", "u1"), ("bytes", "u1", LONGEST)])
-#: Answers: run, its least document, windows of that document that go, and what kind of answer it is.
+CONTEXT = np.dtype([("gram", "<u8"), ("turned", "<u8"), ("run", "<u8"), ("least", "<i8"), ("first", "u1"), ("windows", "u1"), ("bytes", "u1", LONGEST)])
+#: Answers: gram and run, its least document, windows of that document that go, and what kind of answer it is.
 OPEN, MASKED, SPLIT = 1, 2, 3
-ANSWER = np.dtype([("run", "<u8"), ("least", "<i8"), ("mask", "<u8"), ("open", "u1")])
+ANSWER = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8"), ("mask", "<u8"), ("open", "u1")])
 #: Bytes of a number that are sent: hashes have 48 bits, masks a bit per window.
-_SENT = {"gram": 6, "run": 6, "least": 8, "mask": -(-_SPAN // 8), "open": 1, "first": 1, "windows": 1}
+_SENT = {"gram": 6, "turned": 6, "run": 6, "least": 8, "mask": -(-_SPAN // 8), "open": 1, "first": 1, "windows": 1}
 
 
 def packed(rows: np.ndarray) -> bytes:
@@ -157,7 +158,7 @@ def _parts(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[
 
 
 def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((answer["run"], blocks))
+    order = np.lexsort((answer["run"], answer["gram"], blocks))
     blocks, answer = blocks[order], answer[order]
     first = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else np.zeros(0, np.int64)
     bounds = np.append(first, len(blocks))
@@ -183,7 +184,7 @@ def _first_pass(rows: np.ndarray, block: np.ndarray, split_runs: int) -> pa.Reco
     holder = new_run & (runs_per_gram > 1)
     tell = holder | (copies > 1)
     answer = np.zeros(int(tell.sum()), ANSWER)
-    answer["run"], answer["least"], answer["open"] = rows["run"][tell], least[tell], np.where(holder, np.where(runs_per_gram > split_runs, SPLIT, OPEN), 0)[tell]
+    answer["gram"], answer["run"], answer["least"], answer["open"] = rows["gram"][tell], rows["run"][tell], least[tell], np.where(holder, np.where(runs_per_gram > split_runs, SPLIT, OPEN), 0)[tell]
     return _answers(block[tell], answer)
 
 
@@ -212,7 +213,7 @@ def _second_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
         first = last
     some = masks != 0
     answer = np.zeros(int(some.sum()), ANSWER)
-    answer["run"], answer["least"], answer["mask"] = rows["run"][some], rows["least"][some], masks[some]
+    answer["gram"], answer["run"], answer["least"], answer["mask"] = rows["gram"][some] ^ rows["turned"][some], rows["run"][some], rows["least"][some], masks[some]
     answer["open"] = MASKED
     return _answers(block[some], answer)
 
@@ -220,22 +221,27 @@ def _second_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Answers of both passes about one block, each in the order of runs."""
     told, _ = _blobs(answers, ANSWER)
-    told = told[np.argsort(told["run"], kind="stable")]
+    told = told[np.lexsort((told["gram"], told["run"]))]
     masked = told[told["open"] == MASKED]
     if len(masked):  # both halves of a run may have been told
-        first = np.concatenate([[True], masked["run"][1:] != masked["run"][:-1]])
+        first = np.concatenate([[True], (masked["run"][1:] != masked["run"][:-1]) | (masked["gram"][1:] != masked["gram"][:-1])])
         whole = np.bitwise_or.reduceat(masked["mask"], np.flatnonzero(first))
         masked = masked[first]
         masked["mask"] = whole
     return told[told["open"] != MASKED], masked
 
 
-def _look_up(told: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every run, whether there is an answer and where."""
+def _look_up(told: np.ndarray, gram: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every gram and run, whether there is an answer and where; ``told`` is in the order of runs, then grams."""
     if not len(told):
         return np.zeros(len(run), bool), np.zeros(len(run), np.int64)
     at = np.minimum(np.searchsorted(told["run"], run), len(told) - 1)
-    return told["run"][at] == run, at
+    while True:  # runs of one hash around different grams are few
+        other = (told["run"][at] == run) & (told["gram"][at] < gram) & (at < len(told) - 1)
+        if not other.any():
+            break
+        at = at + other
+    return (told["run"][at] == run) & (told["gram"][at] == gram), at
 
 
 def _block_runs(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]]:
@@ -275,7 +281,7 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         told = told[(told["open"] == OPEN) | (told["open"] == SPLIT)]
         held = []
         for first, data, _, (start, count, row, gram, run, spot) in _block_runs(table):
-            there, at = _look_up(told, run)
+            there, at = _look_up(told, gram, run)
             there[there] = told["least"][at[there]] == ids[first + row[there]]
             if not there.any():
                 continue
@@ -290,10 +296,11 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
                 if not chosen.any():
                     continue
                 a, n, g = start[chosen] + skipped[chosen], windows[chosen], gram[chosen]
+                whole = g
                 if key:
                     g = mix(g ^ hashes.of(spot[chosen] + key[0], spot[chosen] + key[1])) >> np.uint64(16)
                 some = np.zeros(len(a), CONTEXT)
-                some["gram"], some["run"], some["least"], some["first"], some["windows"] = g, run[chosen], ids[first + row[chosen]], skipped[chosen], n
+                some["gram"], some["turned"], some["run"], some["least"], some["first"], some["windows"] = g, g ^ whole, run[chosen], ids[first + row[chosen]], skipped[chosen], n
                 inside = np.arange(LONGEST) < (n + WINDOW - 1)[:, None]
                 some["bytes"] = np.where(inside, data[np.minimum(a[:, None] + np.arange(LONGEST), len(data) - 1)], 0)
                 held.append(some)
@@ -312,18 +319,18 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         # Runs that this block alone holds are no answer: within it, the least document counts.
         own = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run, _) in _block_runs(table)]
         own = np.concatenate(own) if own else np.zeros(0, RUN)
-        own = own[np.lexsort((own["least"], own["run"]))]
-        own = own[np.concatenate([[True], own["run"][1:] != own["run"][:-1]])] if len(own) else own
-        for first, data, offsets, (start, count, row, _, run, _) in _block_runs(table):
+        own = _least(own["gram"], own["run"], own["least"])
+        own = own[np.lexsort((own["gram"], own["run"]))]
+        for first, data, offsets, (start, count, row, gram, run, _) in _block_runs(table):
             document = ids[first + row]
-            least = own["least"][_look_up(own, run)[1]] if len(own) else document
-            there, at = _look_up(told, run)
+            least = own["least"][_look_up(own, gram, run)[1]] if len(own) else document
+            there, at = _look_up(told, gram, run)
             least = np.where(there, told["least"][at] if len(told) else least, least)
             change = np.zeros(len(data) + 1, np.int64)
             whole = least < document
             np.add.at(change, start[whole], 1)
             np.add.at(change, start[whole] + count[whole] + WINDOW - 1, -1)
-            there, at = _look_up(masked, run)
+            there, at = _look_up(masked, gram, run)
             there[there] = masked["least"][at[there]] == document[there]
             for place in range(_SPAN):
                 bit = there.copy()

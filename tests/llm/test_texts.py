@@ -54,6 +54,18 @@ def test_windows_of_random_texts(spark):
         same(digests(suffixes.repeated_windows(docs, block_bytes=2000, split_runs=split_runs)), cases.windows(texts))
 
 
+def test_windows_tell_runs_of_one_hash_by_the_gram():
+    rows = np.array([(1, 9, 3), (2, 9, 5), (2, 9, 6), (1, 9, 4)], suffixes.RUN)
+    answers = suffixes._first_pass(rows, np.array([0, 0, 1, 2]), 2000)
+    told, masked = suffixes._told(pa.Table.from_batches([answers]).slice(0, 1))
+    there, at = suffixes._look_up(told, np.array([1, 2, 3], np.uint64), np.array([9, 9, 9], np.uint64))
+    assert there.tolist() == [True, True, False] and told["least"][at[:2]].tolist() == [3, 5] and not len(masked)
+    marks = np.zeros(2, suffixes.ANSWER)
+    marks["gram"], marks["run"], marks["mask"], marks["open"] = [1, 2], 9, [1, 2], suffixes.MASKED
+    _, masked = suffixes._told(pa.Table.from_batches([suffixes._answers(np.zeros(2, np.int64), marks)]))
+    assert masked["mask"].tolist() == [1, 2]
+
+
 def test_windows_keep_rows_and_text(spark):
     docs = cases.documents(spark)
     kept = suffixes.repeated_windows(docs, digest_only=False, keep=docs.columns).where("row.doc_id = 9").first()
