@@ -180,8 +180,9 @@ def _first_pass(rows: np.ndarray, block: np.ndarray, split_runs: int) -> pa.Reco
     gram_at = np.cumsum(new_gram) - 1
     runs_per_gram = np.bincount(gram_at[new_run])[gram_at]
     copies = np.bincount(run_at)[run_at]
-    # The block that holds the least document of a run sends its windows on where runs differ.
-    holder = new_run & (runs_per_gram > 1)
+    # The block that holds the least document of a run sends its windows on where runs differ. Documents without an id
+    # lie in several blocks; where a run's least is one, each of them needs the answer.
+    holder = (new_run | (least == _LAST)) & (runs_per_gram > 1)
     tell = holder | (copies > 1)
     answer = np.zeros(int(tell.sum()), ANSWER)
     answer["gram"], answer["run"], answer["least"], answer["open"] = rows["gram"][tell], rows["run"][tell], least[tell], np.where(holder, np.where(runs_per_gram > split_runs, SPLIT, OPEN), 0)[tell]

@@ -54,6 +54,16 @@ def test_windows_of_random_texts(spark):
         same(digests(suffixes.repeated_windows(docs, block_bytes=2000, split_runs=split_runs)), cases.windows(texts))
 
 
+def test_windows_of_documents_without_an_id(spark):
+    """Runs that only such documents have whole, in several blocks, with windows that a numbered document has too."""
+    random.seed(11)
+    word = lambda n: "".join(random.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    shared = word(400)
+    texts = [(None, word(80) + shared + word(80)) for _ in range(8)] + [(k, word(60) + shared[a:a + 70] + word(60)) for k, a in enumerate((30, 140, 250))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    same(digests(suffixes.repeated_windows(docs, block_bytes=300)), cases.windows(texts))
+
+
 def test_windows_tell_runs_of_one_hash_by_the_gram():
     rows = np.array([(1, 9, 3), (2, 9, 5), (2, 9, 6), (1, 9, 4)], suffixes.RUN)
     answers = suffixes._first_pass(rows, np.array([0, 0, 1, 2]), 2000)
