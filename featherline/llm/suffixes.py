@@ -12,7 +12,10 @@ Pass one orders (digit one, digit two) over the corpus. A gram in one document o
 run that is the same wherever its gram occurs: all its windows repeat together, and the least document is known. Only
 runs that differ around a shared gram (ends of passages, edits) go on to pass two, which orders their
 windows. A gram that more than ``SPLIT_RUNS`` different runs share is no single group there: the 17 bytes
-before it are a further digit for windows that hold them, the 17 after it for the others. Both passes are radix sorts of packed digits in tasks that Spark deals out by the top bits of
+before it are a further digit for windows that hold them, the 17 after it for the others. That digit divides nothing where
+a phrase reaches over all of it, so of a gram with more than ``WIDE_RUNS`` runs no contexts are sent: each of their windows is a
+row by itself, dealt by its own hash, once per block with its least document there. No group of pass two grows with the
+frequency of a phrase. Both passes are radix sorts of packed digits in tasks that Spark deals out by the top bits of
 digit one, and blocks of documents send each distinct run once, with its least document, so a passage
 that a third of all documents share costs one row per block.
 
@@ -38,7 +41,7 @@ from featherline.llm.spans import Hashes, mix, row_hashes, text_buffer
 from featherline.llm.tasks import give_back, tidy
 
 WINDOW, GRAM, BLOCK_BYTES, PIECE, PARTS_PER_PARTITION = 50, 16, 8 << 20, 512 << 10, 4
-SPLIT_RUNS, BESIDE = 2000, (WINDOW - GRAM) // 2
+SPLIT_RUNS, WIDE_RUNS, BESIDE = 2000, 20_000, (WINDOW - GRAM) // 2
 _SPAN = WINDOW - GRAM + 1  # grams of a window
 _LAST = np.iinfo(np.int64).max
 #: Rows of pass one: gram, run, least document.
@@ -48,7 +51,7 @@ RUN = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8")])
 LONGEST = _SPAN + WINDOW - 1
 CONTEXT = np.dtype([("gram", "<u8"), ("turned", "<u8"), ("run", "<u8"), ("least", "<i8"), ("first", "u1"), ("windows", "u1"), ("bytes", "u1", LONGEST)])
 #: Answers: gram and run, its least document, windows of that document that go, and what kind of answer it is.
-OPEN, MASKED, SPLIT = 1, 2, 3
+OPEN, MASKED, SPLIT, WIDE, SEEN = 1, 2, 3, 4, 5
 ANSWER = np.dtype([("gram", "<u8"), ("run", "<u8"), ("least", "<i8"), ("mask", "<u8"), ("open", "u1")])
 #: Bytes of a number that are sent: hashes have 48 bits, masks a bit per window.
 _SENT = {"gram": 6, "turned": 6, "run": 6, "least": 8, "mask": -(-_SPAN // 8), "open": 1, "first": 1, "windows": 1}
@@ -131,12 +134,12 @@ def _least(gram: np.ndarray, run: np.ndarray, document: np.ndarray) -> np.ndarra
     return found
 
 
-def _dealt(rows: np.ndarray, block: int, parts: int) -> dict[str, pa.Array]:
-    """One row per part that the top bits of the gram name; ``rows`` are in the order of grams."""
+def _dealt(rows: np.ndarray, block: int, parts: int, first: int = 0) -> dict[str, pa.Array]:
+    """One row per part, from ``first`` on, that the top bits of the gram name; ``rows`` are in the order of grams."""
     part = ((rows["gram"] >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     bounds = np.searchsorted(part, np.arange(parts + 1))
     filled = np.flatnonzero(np.diff(bounds))
-    return {"part": pa.array(filled, pa.int32()), "block": pa.array(np.full(len(filled), block), pa.int64()),
+    return {"part": pa.array(filled + first, pa.int32()), "block": pa.array(np.full(len(filled), block), pa.int64()),
             "packed": pa.array([packed(rows[bounds[p]:bounds[p + 1]]) for p in filled], pa.binary())}
 
 
@@ -147,14 +150,15 @@ def _blobs(table: pa.Table, kind: np.dtype) -> tuple[np.ndarray, list[int]]:
     return (np.concatenate(held) if held else np.zeros(0, kind)), [len(h) for h in held]
 
 
-def _parts(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The packed rows of each part and the block that each came from; batches come in the order of parts."""
+def _parts(batches: Iterator[pa.RecordBatch], kind) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each part, its packed rows of type ``kind(part)`` and the block that each came from; batches come in the order of parts."""
     for table in whole_groups(batches, ["part"], 1):
         first = starts(table, ["part"])
         for a, b in zip(first, np.append(first[1:], table.num_rows)):
             some = table.slice(a, b - a)
-            rows, sizes = _blobs(some, kind)
-            yield rows, np.repeat(some.column("block").to_numpy(), sizes)
+            part = some.column("part")[0].as_py()
+            rows, sizes = _blobs(some, kind(part))
+            yield part, rows, np.repeat(some.column("block").to_numpy(), sizes)
 
 
 def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
@@ -167,7 +171,7 @@ def _answers(blocks: np.ndarray, answer: np.ndarray) -> pa.RecordBatch:
         names=["block", "packed"])
 
 
-def _first_pass(rows: np.ndarray, block: np.ndarray, split_runs: int) -> pa.RecordBatch:
+def _first_pass(rows: np.ndarray, block: np.ndarray, split_runs: int, wide_runs: int = WIDE_RUNS) -> pa.RecordBatch:
     """Order (gram, run) of one part; answer every block about runs that others hold or differ from."""
     order = np.lexsort((rows["least"], rows["run"], rows["gram"]))
     rows, block = rows[order], block[order]
@@ -183,9 +187,11 @@ def _first_pass(rows: np.ndarray, block: np.ndarray, split_runs: int) -> pa.Reco
     # The block that holds the least document of a run sends its windows on where runs differ. Documents without an id
     # lie in several blocks; where a run's least is one, each of them needs the answer.
     holder = (new_run | (least == _LAST)) & (runs_per_gram > 1)
+    sent = np.bincount(gram_at[holder], minlength=int(gram_at[-1]) + 1 if len(rows) else 0)[gram_at]
+    kind = np.where(sent > wide_runs, WIDE, np.where(sent > split_runs, SPLIT, OPEN))
     tell = holder | (copies > 1)
     answer = np.zeros(int(tell.sum()), ANSWER)
-    answer["gram"], answer["run"], answer["least"], answer["open"] = rows["gram"][tell], rows["run"][tell], least[tell], np.where(holder, np.where(runs_per_gram > split_runs, SPLIT, OPEN), 0)[tell]
+    answer["gram"], answer["run"], answer["least"], answer["open"] = rows["gram"][tell], rows["run"][tell], least[tell], np.where(holder, kind, 0)[tell]
     return _answers(block[tell], answer)
 
 
@@ -219,8 +225,29 @@ def _second_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
     return _answers(block[some], answer)
 
 
-def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Answers of both passes about one block, each in the order of runs."""
+def _third_pass(rows: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
+    """Order the windows (as gram and run) of one part; answer the blocks in which a window's least document is not the least."""
+    order = np.lexsort((rows["least"], rows["run"], rows["gram"]))
+    rows, block = rows[order], block[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["gram"][1:] != rows["gram"][:-1]) | (rows["run"][1:] != rows["run"][:-1])
+    least = rows["least"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    some = least < rows["least"]
+    answer = np.zeros(int(some.sum()), ANSWER)
+    answer["gram"], answer["run"], answer["least"], answer["open"] = rows["gram"][some], rows["run"][some], least[some], SEEN
+    return _answers(block[some], answer)
+
+
+def _windows(data: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Two hashes of every window of some runs, the run that it is of, and where it starts."""
+    of = np.repeat(np.arange(len(start)), count)
+    at = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    h, g = (Hashes(data, seed).of(at, at + WINDOW) >> np.uint64(16) for seed in (11, 12))
+    return h, g, of, at
+
+
+def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Answers of all passes about one block (runs, masks, single windows), each in the order of runs."""
     told, _ = _blobs(answers, ANSWER)
     told = told[np.lexsort((told["gram"], told["run"]))]
     masked = told[told["open"] == MASKED]
@@ -229,7 +256,7 @@ def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         whole = np.bitwise_or.reduceat(masked["mask"], np.flatnonzero(first))
         masked = masked[first]
         masked["mask"] = whole
-    return told[told["open"] != MASKED], masked
+    return told[(told["open"] != MASKED) & (told["open"] != SEEN)], masked, told[told["open"] == SEEN]
 
 
 def _look_up(told: np.ndarray, gram: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +278,8 @@ def _block_runs(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 
 
 def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int = BLOCK_BYTES,
-                     keep: list[str] | None = None, split_runs: int = SPLIT_RUNS) -> DataFrame:
+                     keep: list[str] | None = None, split_runs: int = SPLIT_RUNS,
+                     wide_runs: int = WIDE_RUNS) -> DataFrame:
     """The columns ``keep`` (doc_id alone by default) as struct ``row`` with ``n_bytes, n_removed, n_spans, kept_sha256``, ``kept``.
 
     The digest is that of the remaining bytes; ``kept`` is their text without what is left of characters
@@ -278,21 +306,24 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"part": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "packed": pa.array([], pa.binary())})
-        ids, (told, _) = documents(table), _told(answers)
-        told = told[(told["open"] == OPEN) | (told["open"] == SPLIT)]
-        held = []
+        ids, (told, _, _) = documents(table), _told(answers)
+        told = told[told["open"] != 0]
+        held, single = [], []
         for first, data, _, (start, count, row, gram, run, spot) in _block_runs(table):
             there, at = _look_up(told, gram, run)
             there[there] = told["least"][at[there]] == ids[first + row[there]]
             if not there.any():
                 continue
-            split = told["open"][at[there]] == SPLIT
+            split, wide = (told["open"][at[there]] == kind for kind in (SPLIT, WIDE))
             start, count, row, gram, run, spot = (x[there] for x in (start, count, row, gram, run, spot))
+            if wide.any():
+                h, g, of, _ = _windows(data, start[wide], count[wide])
+                single.append(_least(h, g, ids[first + row[wide]][of]))
             # Windows that begin early enough hold the bytes before the gram, the others those after it.
             early = np.clip(spot - BESIDE + 1 - start, 0, count)
             hashes = Hashes(data)
             for chosen, skipped, windows, key in (
-                    (~split, np.zeros_like(count), count, None), (split & (early > 0), np.zeros_like(count), early, (-BESIDE, 0)),
+                    (~split & ~wide, np.zeros_like(count), count, None), (split & (early > 0), np.zeros_like(count), early, (-BESIDE, 0)),
                     (split & (early < count), early, count - early, (GRAM, GRAM + BESIDE))):
                 if not chosen.any():
                     continue
@@ -309,16 +340,36 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
         held = held[np.lexsort((held["first"], held["run"], held["gram"]))]
         if len(held):
             held = held[np.concatenate([[True], (held["run"][1:] != held["run"][:-1]) | (held["gram"][1:] != held["gram"][:-1]) | (held["first"][1:] != held["first"][:-1])])]
+        single = np.concatenate(single) if single else np.zeros(0, RUN)
+        single = _least(single["gram"], single["run"], single["least"])
         give_back()
-        return pa.table(_dealt(held, table.column("block")[0].as_py(), parts))
+        block = table.column("block")[0].as_py()
+        return pa.concat_tables([pa.table(_dealt(held, block, parts)), pa.table(_dealt(single, block, parts, parts))])
 
     def judge(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"row": table.column("row"), **{name: pa.array([], kind) for name, kind in result}})
-        ids, (told, masked) = documents(table), _told(answers)
+        ids, (told, masked, seen) = documents(table), _told(answers)
+        wide = told[told["open"] == WIDE]
+
+        def single_windows(first: int, data: np.ndarray, start, count, row, gram, run) -> tuple[np.ndarray, ...]:
+            there, at = _look_up(wide, gram, run)
+            there[there] = wide["least"][at[there]] == ids[first + row[there]]
+            h, g, of, at = _windows(data, start[there], count[there])
+            return h, g, ids[first + row[there]][of], at
+
         found: dict[str, list] = {name: [] for name, _ in result}
         # Runs that this block alone holds are no answer: within it, the least document counts.
-        own = [_least(gram, run, ids[first + row]) for first, _, _, (_, _, row, gram, run, _) in _block_runs(table)]
+        own, single = [], []
+        for first, data, _, (start, count, row, gram, run, _) in _block_runs(table):
+            own.append(_least(gram, run, ids[first + row]))
+            if len(wide):
+                single.append(_least(*single_windows(first, data, start, count, row, gram, run)[:3]))
+        single = np.concatenate(single) if single else np.zeros(0, RUN)
+        single = _least(single["gram"], single["run"], single["least"])
+        single = single[np.lexsort((single["gram"], single["run"]))]
+        there, at = _look_up(seen, single["gram"], single["run"])
+        single["least"][there] = seen["least"][at[there]]
         own = np.concatenate(own) if own else np.zeros(0, RUN)
         own = _least(own["gram"], own["run"], own["least"])
         own = own[np.lexsort((own["gram"], own["run"]))]
@@ -339,6 +390,11 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
                 if bit.any():
                     np.add.at(change, start[bit] + place, 1)
                     np.add.at(change, start[bit] + place + WINDOW, -1)
+            if len(wide):
+                h, g, of, at = single_windows(first, data, start, count, row, gram, run)
+                at = at[single["least"][_look_up(single, h, g)[1]] < of] if len(of) else at
+                np.add.at(change, at, 1)
+                np.add.at(change, at + WINDOW, -1)
             gone = np.cumsum(change[:-1]) > 0
             edge = gone.copy()
             edge[1:] &= ~gone[:-1]
@@ -366,12 +422,13 @@ def repeated_windows(docs: DataFrame, digest_only: bool = True, block_bytes: int
 
     def ordered(rows: DataFrame, kind: np.dtype, judge_part) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for held, block in _parts(batches, kind):
-                yield judge_part(held, block)
+            # Parts from ``parts`` on are of single windows.
+            for part, held, block in _parts(batches, lambda part: kind if part < parts else RUN):
+                yield (judge_part if part < parts else _third_pass)(held, block)
 
         return rows.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(tidy(run), "block long, packed binary")
 
-    first = ordered(dealt.groupBy("block").applyInArrow(send_runs, packed_rows), RUN, lambda rows, block: _first_pass(rows, block, split_runs))
+    first = ordered(dealt.groupBy("block").applyInArrow(send_runs, packed_rows), RUN, lambda rows, block: _first_pass(rows, block, split_runs, wide_runs))
     second = ordered(dealt.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(send_windows, packed_rows), CONTEXT, _second_pass)
     return dealt.groupBy("block").cogroup(first.union(second).groupBy("block")).applyInArrow(
         judge, schema)

@@ -54,6 +54,29 @@ def test_windows_of_random_texts(spark):
         same(digests(suffixes.repeated_windows(docs, block_bytes=2000, split_runs=split_runs)), cases.windows(texts))
 
 
+@pytest.mark.parametrize("wide_runs", [1, 6])
+def test_windows_around_a_phrase(spark, wide_runs):
+    """One phrase of 33 to 49 bytes amid different texts, and passages and letters that meet in every way, window by window."""
+    random.seed(5)
+    word = lambda n: "".join(random.choices("ab ", k=n))
+    phrase, passage = "licensed under the terms of the usual licence", "".join(random.choices("abcdefgh ", k=150))
+    texts = [(random.choice([k, k, 7, None]), word(60) + random.choice(["", passage[:random.randint(40, 150)]]) + phrase + word(random.randint(0, 80)))
+             for k in range(100)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    same(digests(suffixes.repeated_windows(docs, block_bytes=2000, split_runs=1, wide_runs=wide_runs)), cases.windows(texts))
+
+
+def test_no_group_of_windows_grows_with_a_phrase():
+    """Runs of a gram that too many share are told to send their windows one by one, whatever stands beside it."""
+    n = suffixes.WIDE_RUNS + 1
+    rows = np.zeros(n, suffixes.RUN)
+    rows["gram"], rows["run"], rows["least"] = 77, np.arange(n), np.arange(n)
+    told, _, _ = suffixes._told(pa.Table.from_batches([suffixes._first_pass(rows, np.zeros(n, np.int64), suffixes.SPLIT_RUNS)]))
+    assert (told["open"] == suffixes.WIDE).all()
+    told, _, _ = suffixes._told(pa.Table.from_batches([suffixes._first_pass(rows[1:], np.zeros(n - 1, np.int64), suffixes.SPLIT_RUNS)]))
+    assert (told["open"] == suffixes.SPLIT).all()
+
+
 def test_windows_of_documents_without_an_id(spark):
     """Runs that only such documents have whole, in several blocks, with windows that a numbered document has too."""
     random.seed(11)
@@ -67,12 +90,12 @@ def test_windows_of_documents_without_an_id(spark):
 def test_windows_tell_runs_of_one_hash_by_the_gram():
     rows = np.array([(1, 9, 3), (2, 9, 5), (2, 9, 6), (1, 9, 4)], suffixes.RUN)
     answers = suffixes._first_pass(rows, np.array([0, 0, 1, 2]), 2000)
-    told, masked = suffixes._told(pa.Table.from_batches([answers]).slice(0, 1))
+    told, masked, _ = suffixes._told(pa.Table.from_batches([answers]).slice(0, 1))
     there, at = suffixes._look_up(told, np.array([1, 2, 3], np.uint64), np.array([9, 9, 9], np.uint64))
     assert there.tolist() == [True, True, False] and told["least"][at[:2]].tolist() == [3, 5] and not len(masked)
     marks = np.zeros(2, suffixes.ANSWER)
     marks["gram"], marks["run"], marks["mask"], marks["open"] = [1, 2], 9, [1, 2], suffixes.MASKED
-    _, masked = suffixes._told(pa.Table.from_batches([suffixes._answers(np.zeros(2, np.int64), marks)]))
+    _, masked, _ = suffixes._told(pa.Table.from_batches([suffixes._answers(np.zeros(2, np.int64), marks)]))
     assert masked["mask"].tolist() == [1, 2]
 
 
