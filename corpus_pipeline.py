@@ -38,8 +38,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    copies = jaccard_join(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
-    return docs.join(copies, docs["doc_id"] == F.col("_copy"), "left_anti")
+    # An id may come with several texts, of which only some are linked.
+    copies = jaccard_join(docs, digest=True).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy"), F.col("digest").alias("_digest"))
+    return docs.join(copies, (docs["doc_id"] == F.col("_copy")) & (F.md5(docs["text"].cast("binary")) == F.col("_digest")), "left_anti")
 
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

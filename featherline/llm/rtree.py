@@ -180,7 +180,9 @@ def bounded(points: np.ndarray, sizes: np.ndarray, begin: np.ndarray) -> Iterato
         yield int(first), RTree(points[first:end], sizes[first:end]).candidates()
 
 
-def _facts(docs: DataFrame) -> DataFrame:
+def _facts(docs: DataFrame, digest: bool = False) -> DataFrame:
+    told = ["digest"] if digest else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "_text"):
@@ -193,11 +195,12 @@ def _facts(docs: DataFrame) -> DataFrame:
                 bounds = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(s1), pa.array(s2),
-                    pa.array([p.tobytes() for p in points], pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(names.view(np.int64)))],
-                    names=["doc_id", "n", "s1", "s2", "point", "names"])
+                    pa.array([p.tobytes() for p in points], pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(names.view(np.int64))),
+                    *[piece.column(c) for c in told]], names=["doc_id", "n", "s1", "s2", "point", "names", *told])
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"))
-    return read.mapInArrow(tidy(run), "doc_id long, n long, s1 long, s2 long, point binary, names array<long>")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"),
+                       *[F.md5(F.col("text").cast("binary")).alias(c) for c in told])
+    return read.mapInArrow(tidy(run), "doc_id long, n long, s1 long, s2 long, point binary, names array<long>" + (", digest string" if told else ""))
 
 
 def _cut(rows: DataFrame, key: str, weight, limit: int) -> DataFrame:
@@ -307,9 +310,10 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     return blocks.mapInArrow(tidy(compare), "a long, b long")
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``doc_id, text``."""
-    facts = written(_facts(docs), "shingle-facts")
+def jaccard_join(docs: DataFrame, digest: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``doc_id, text``; with ``digest`` the MD5 of its text too."""
+    told = ["digest"] if digest else []
+    facts = written(_facts(docs, digest), "shingle-facts")
     classes = written(facts.where("n > 0").groupBy("s1", "s2", "n", "point").agg(F.min("doc_id").alias("rep")), "shingle-classes")
     named = facts.select("s1", F.explode("names").alias("name"))
     shared = written(named.groupBy("name").agg(F.min("s1").alias("least"), F.max("s1").alias("most")).where("least < most").select(
@@ -324,6 +328,6 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     smallest = of_class.groupBy("component").agg(F.min("rep").alias("smallest"))
     named_classes = written(of_class.join(smallest, "component").select(
         F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), F.col("n").alias("_n"), "smallest"), "shingle-components")
-    return facts.select("doc_id", "n", "s1", "s2").join(
+    return facts.select("doc_id", "n", "s1", "s2", *told).join(
         named_classes, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")) & (F.col("n") == F.col("_n")), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"), *told)

@@ -15,6 +15,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from featherline.llm import bpe, licenses, mixing, rtree, spans, suffixes
 from tests.llm import cases
 
@@ -133,6 +134,12 @@ def test_long_word_merges_are_those_of_the_fold():
         assert bpe.merged(text.encode(), rank) == tokens(text)
 
 
+def test_of_two_texts_of_one_id_only_the_linked_one_goes(spark):
+    texts = [(1, cases.sentence(1, 80)), (2, cases.sentence(1, 80)), (2, cases.sentence(9, 80)), (3, None), (None, cases.sentence(1, 80))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    same([tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()], [texts[0], *texts[2:]])
+
+
 def test_jaccard(spark):
     docs = cases.documents(spark)
     got = [tuple(r) for r in rtree.jaccard_join(docs).collect()]
