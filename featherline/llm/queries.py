@@ -13,6 +13,8 @@ from featherline.llm.hamming import near_duplicates
 from featherline.llm.labelled import remainder
 from featherline.llm.licenses import scan
 from featherline.llm.mixing import mix
+from featherline.llm.negatives import hard_negatives
+from featherline.llm.nsimplex import clusters
 from featherline.llm.quality import quality
 from featherline.llm.rtree import jaccard_join
 from featherline.llm.suffixes import repeated_windows
@@ -143,3 +145,64 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(table(spark, folder, "documents"))
+
+
+def _sql_usable(vector: str) -> str:
+    return f"({vector} IS NOT NULL AND list_bool_and(list_prepend(true, list_transform({vector}, lambda x: x IS NOT NULL AND isfinite(x)))))"
+
+
+@query
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return hard_negatives(table(spark, folder, "embeddings"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label), vec_id % 100 == 0)
+
+
+ORACLES["op11_negatives"] = f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE label IS NOT NULL AND {_sql_usable("embedding")}),
+    scored AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+            list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER best AS rank, other_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+    QUALIFY row_number() OVER best <= 10"""
+
+
+@query
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters(table(spark, folder, "embeddings"))
+
+
+def _clusters_sql() -> str:
+    """Every round of the clustering as a common table: assignments, then the floors of the means."""
+    distance = "list_sum(list_transform(list_zip(kept.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [f"""kept AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE len(embedding) = 64 AND {_sql_usable("embedding")}),
+    centers0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster, v FROM kept ORDER BY sha256('3:' || vec_id) LIMIT 8)"""]
+    for k in range(11):
+        steps.append(f"""near{k} AS MATERIALIZED (
+        SELECT vec_id, kept.v, cluster, {distance} AS distance FROM kept, centers{k} c
+        QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY {distance}, cluster) = 1)""")
+        if k < 10:
+            steps.append(f"""sums{k} AS (
+        SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{k}) GROUP BY cluster, i),
+    moved{k} AS (
+        SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sums{k} GROUP BY cluster),
+    centers{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.v, c.v) AS v FROM centers{k} c LEFT JOIN moved{k} m USING (cluster))""")
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+        (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM near10 JOIN centers10 c USING (cluster)"""
+
+
+ORACLES["op12_clusters"] = _clusters_sql()
