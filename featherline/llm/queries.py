@@ -15,6 +15,7 @@ from featherline.llm.licenses import scan
 from featherline.llm.mixing import mix
 from featherline.llm.negatives import hard_negatives
 from featherline.llm.nsimplex import clusters
+from featherline.llm.pieces import encode_pieces
 from featherline.llm.quality import quality
 from featherline.llm.rtree import jaccard_join
 from featherline.llm.suffixes import repeated_windows
@@ -206,3 +207,9 @@ def _clusters_sql() -> str:
 
 
 ORACLES["op12_clusters"] = _clusters_sql()
+
+
+@query
+def op13_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = encode_pieces(table(spark, folder, "documents"), keep=["doc_id"])
+    return tokens.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256", "covered")
