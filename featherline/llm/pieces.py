@@ -83,6 +83,7 @@ class PieceModel:
                 self.pieces.append(piece[1].decode())
                 scores.append(struct.unpack("<f", piece.get(2, bytes(4)))[0])
                 self.kinds.append(piece.get(3, NORMAL))
+        self.unused = UNUSED in self.kinds
         self.fallback, self.unknown_text = bool(trainer.get(35, 0)), trainer.get(44, " ⁇ ".encode()).decode()
         self.ids = {p: i for i, (p, kind) in enumerate(zip(self.pieces, self.kinds)) if kind in (NORMAL, USER_DEFINED, UNUSED)}
         self.unknown = self.kinds.index(UNKNOWN)
@@ -91,6 +92,9 @@ class PieceModel:
         place = {score: k for k, score in enumerate(sorted(set(scores), reverse=True))}
         self.level = {p: place[scores[i]] for p, i in self.ids.items()}
         self.longest = max(map(len, self.level), default=1) + 1
+        #: What each piece stands for; a byte stands for a part of a character.
+        self.spelled = [None if kind == BYTE else "" if kind == CONTROL else self.unknown_text if kind == UNKNOWN else p.replace(BLANK, " ")
+                        for p, kind in zip(self.pieces, self.kinds)]
         self.neighbours = {pair for p in self.level for pair in zip(p, p[1:])}
         self.by_blank = not any(b == BLANK and a != BLANK for a, b in self.neighbours)
         own = sorted((p for p, kind in zip(self.pieces, self.kinds) if kind == USER_DEFINED), key=len, reverse=True)
@@ -127,6 +131,23 @@ class PieceModel:
 
     def merged(self, word: str) -> list[str]:
         """The pieces of a word: neighbours joined best score first, the leftmost of equals."""
+        if len(word) > LONG_WORD or self.unused:
+            return self.merged_on_heap(word)
+        level, none = self.level.get, len(self.pieces)
+        held = list(word)
+        joined = [level(a + b, none) for a, b in zip(word, word[1:])]
+        while joined and (best := min(joined)) != none:
+            i = joined.index(best)
+            held[i] += held.pop(i + 1)
+            del joined[i]
+            if i < len(joined):
+                joined[i] = level(held[i] + held[i + 1], none)
+            if i:
+                joined[i - 1] = level(held[i - 1] + held[i], none)
+        return held
+
+    def merged_on_heap(self, word: str) -> list[str]:
+        """The same for words of any length, and for models with pieces that only lead to others."""
         n, width, level = len(word), self.longest, self.level
         held = list(word)
         after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
@@ -196,14 +217,15 @@ class PieceModel:
                     at += 1
             held.clear()
 
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
+        texts = [self.spelled[i] for i in ids]
+        if None not in texts:
+            return "".join(texts)
+        for i, text in zip(ids, texts):
+            if text is None:
                 held.append(self.byte_of[i])
                 continue
             flush()
-            if kind != CONTROL:
-                found.append(self.unknown_text if kind == UNKNOWN else self.pieces[i].replace(BLANK, " "))
+            found.append(text)
         flush()
         return "".join(found)
 
