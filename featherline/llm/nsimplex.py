@@ -176,7 +176,7 @@ def clusters(vectors: DataFrame, k: int = 8, rounds: int = 10, width: int = 64,
             nearest, best = assign(x, apexes, centers, simplex)
             for c in np.unique(nearest).tolist():
                 far[c] += sum(best[nearest == c].tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(far)), pa.int32()), _decimals(far)], names=["cluster", "total"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(far)), pa.int32()), _decimals([min(d, LONG) for d in far])], names=["cluster", "total"])  # no part need be more than the last long
 
     totals = {row.cluster: int(row.total) for row in packed.mapInArrow(tidy(measure), "cluster int, total decimal(38,0)").groupBy("cluster").agg(
         F.sum("total").alias("total")).collect()}

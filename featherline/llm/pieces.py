@@ -303,8 +303,8 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, digest_only: bool = True,
     model(path)  # refuse a model here, not in a task
     read = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("_text"))
     schema = T.StructType([T.StructField("row", read.schema["row"].dataType)])
-    for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string"), ("covered", "long"),
-                       ("ids", "array<int>"), ("begins", "array<long>"), ("ends", "array<long>"), ("decoded", "string")):
+    for name, kind in (("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()), ("covered", T.LongType()),
+                       ("ids", T.ArrayType(T.IntegerType())), ("begins", T.ArrayType(T.LongType())), ("ends", T.ArrayType(T.LongType())), ("decoded", T.StringType())):
         schema = schema.add(name, kind)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
