@@ -4,8 +4,8 @@
    (``charmap.py``), which tells for each normalised character the source character it comes from.
 2. The normalised text is cut where no piece of the vocabulary reaches across: before a blank that follows
    another character, and, in words over ``LONG_WORD`` characters, between any two neighbours that no piece holds. A word is
-   merged best score first, the leftmost of equals, on a heap of neighbours. Each distinct word of a task is
-   merged once; the table of known words is emptied when it has ``KNOWN_WORDS``, which changes no result.
+   merged best score first, the leftmost of equals. The distinct words of a batch are merged once, all together: numpy joins
+   one pair of neighbours in each at a step. What is left of a longer word is merged by itself on a heap.
 3. Lengths of pieces, added up, are places in the normalised text; the source places turn them into byte spans of the
    original text. The bytes of a character without a piece all begin at it and only the last one spans it.
 
@@ -23,19 +23,20 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from featherline.llm.charmap import BLANK, CharacterMap, Normalizer
 from featherline.llm.tasks import tidy
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-KNOWN_WORDS, LONG_WORD = 200_000, 200
+LONG_WORD = 200
 #: Kinds of pieces and the kind of model, as the format numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
@@ -83,7 +84,7 @@ class PieceModel:
                 self.pieces.append(piece[1].decode())
                 scores.append(struct.unpack("<f", piece.get(2, bytes(4)))[0])
                 self.kinds.append(piece.get(3, NORMAL))
-        self.unused = UNUSED in self.kinds
+        self.unused, self.symbols = UNUSED in self.kinds, 0
         self.fallback, self.unknown_text = bool(trainer.get(35, 0)), trainer.get(44, " ⁇ ".encode()).decode()
         self.ids = {p: i for i, (p, kind) in enumerate(zip(self.pieces, self.kinds)) if kind in (NORMAL, USER_DEFINED, UNUSED)}
         self.unknown = self.kinds.index(UNKNOWN)
@@ -97,8 +98,8 @@ class PieceModel:
                         for p, kind in zip(self.pieces, self.kinds)]
         self.neighbours = {pair for p in self.level for pair in zip(p, p[1:])}
         self.by_blank = not any(b == BLANK and a != BLANK for a, b in self.neighbours)
-        own = sorted((p for p, kind in zip(self.pieces, self.kinds) if kind == USER_DEFINED), key=len, reverse=True)
-        self.literal = re.compile("|".join(map(re.escape, own))) if own else None
+        self.own = {p for p, kind in zip(self.pieces, self.kinds) if kind == USER_DEFINED}
+        self.literal = re.compile("|".join(map(re.escape, sorted(self.own, key=len, reverse=True)))) if self.own else None
         self.prefix = bool(norm.get(3, 1))
         self.normalize = Normalizer(CharacterMap(norm.get(2, b"")), self.prefix, bool(norm.get(4, 1)), bool(norm.get(5, 1)), bool(trainer.get(24, 0)), self.literal)
         self.strips = self.prefix or bool(norm.get(4, 1))
@@ -118,7 +119,7 @@ class PieceModel:
                 return parts
         words = []
         for part in parts:
-            if len(part) <= LONG_WORD or (self.literal is not None and part in self.ids):
+            if len(part) <= LONG_WORD or part in self.own:
                 words.append(part)
                 continue
             begin = 0
@@ -129,25 +130,72 @@ class PieceModel:
             words.append(part[begin:])
         return [w for w in words if w]
 
-    def merged(self, word: str) -> list[str]:
-        """The pieces of a word: neighbours joined best score first, the leftmost of equals."""
-        if len(word) > LONG_WORD or self.unused:
-            return self.merged_on_heap(word)
-        level, none = self.level.get, len(self.pieces)
-        held = list(word)
-        joined = [level(a + b, none) for a, b in zip(word, word[1:])]
-        while joined and (best := min(joined)) != none:
-            i = joined.index(best)
-            held[i] += held.pop(i + 1)
-            del joined[i]
-            if i < len(joined):
-                joined[i] = level(held[i] + held[i + 1], none)
-            if i:
-                joined[i - 1] = level(held[i - 1] + held[i], none)
-        return held
+    @cached_property
+    def joins(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Code points with a symbol, ascending; pairs of symbols that make a piece, ascending; the pieces' merge levels and symbols.
+
+        A symbol is a piece's id or, for a character that only stands in longer pieces, a number after those.
+        """
+        symbol = dict(self.ids)
+        for piece in self.ids:
+            for character in piece:
+                symbol.setdefault(character, len(self.pieces) + len(symbol))
+        self.symbols = max(symbol.values(), default=0) + 1
+        points = sorted((ord(c), k) for c, k in symbol.items() if len(c) == 1)
+        pairs = sorted((symbol[p[:k]] * self.symbols + symbol[p[k:]], self.level[p], i) for p, i in self.ids.items() for k in range(1, len(p))
+                       if p[:k] in symbol and p[k:] in symbol)
+        return np.array(points, np.int64).reshape(-1, 2), *np.array(pairs, np.int64).reshape(-1, 3).T
+
+    def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, symbol or -1, characters) of every piece of many words, in order.
+
+        All words go on together: a step joins in each the neighbours of the best score, the leftmost of equals. A word without any is done.
+        """
+        points, keys, levels, made = self.joins
+        none = np.int64(len(self.pieces))
+        held = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        at = np.minimum(np.searchsorted(points[:, 0], held), len(points) - 1)
+        symbol = np.where(points[at, 0] == held, points[at, 1], -1)
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        size = np.ones(len(word), np.int64)
+
+        def joined(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Level and symbol of what the symbols at these places make with the next ones."""
+            right = np.minimum(left + 1, len(symbol) - 1)
+            key = symbol[left] * self.symbols + symbol[right]
+            k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            fits = (keys[k] == key) & (word[left] == word[right]) & (right > left) & (symbol[left] >= 0) & (symbol[right] >= 0)
+            return np.where(fits, levels[k], none), made[k]
+
+        level, result = joined(np.arange(len(symbol)))
+        done = []
+        while len(word):
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            counts = np.diff(np.append(first, len(word)))
+            best = np.minimum.reduceat(level, first)
+            going = np.repeat(best < none, counts)
+            if not going.all():
+                done.append((word[~going], symbol[~going], size[~going]))
+                word, symbol, size, level, result = (x[going] for x in (word, symbol, size, level, result))
+                best, counts = best[best < none], counts[best < none]
+                if not len(word):
+                    break
+            places = np.flatnonzero(level == np.repeat(best, counts))
+            left = places[np.append(True, word[places[1:]] != word[places[:-1]])]
+            symbol[left] = result[left]
+            size[left] += size[left + 1]
+            stays = np.ones(len(word), bool)
+            stays[left + 1] = False
+            left = left - np.arange(len(left))  # one symbol less for each word before
+            word, symbol, size, level, result = (x[stays] for x in (word, symbol, size, level, result))
+            for changed in (left, left[left > 0] - 1):
+                level[changed], result[changed] = joined(changed)
+        parts = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*done)] or [np.zeros(0, np.int64)] * 3
+        order = np.argsort(parts[0], kind="stable")
+        return tuple(x[order] for x in parts)
 
     def merged_on_heap(self, word: str) -> list[str]:
-        """The same for words of any length, and for models with pieces that only lead to others."""
+        """The pieces of a word of any length, by the same rule; also for models with pieces that only lead to others."""
         n, width, level = len(word), self.longest, self.level
         held = list(word)
         after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
@@ -187,7 +235,7 @@ class PieceModel:
     def encode_word(self, word: str) -> tuple[list[int], list[int]]:
         """(ids, characters that each of them spans) of a word."""
         ids, spans = [], []
-        for piece in [word] if self.literal is not None and self.literal.fullmatch(word) else self.merged(word):
+        for piece in [word] if word in self.own else self.merged_on_heap(word):
             known = self.ids.get(piece)
             if known is None and self.fallback:
                 some = [self.bytes[b] for b in piece.encode()]
@@ -198,6 +246,30 @@ class PieceModel:
                 spans.append(len(piece))
         return ids, spans
 
+    def encode_words(self, words: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
+        """Ids of many words, and the characters that each of them spans."""
+        singly = np.array([len(w) > LONG_WORD or self.unused or w in self.own for w in words], bool)
+        together = [w for w, one in zip(words, singly) if not one]
+        word, symbol, size = self.merge_words(together)
+        known = (symbol >= 0) & (symbol < len(self.pieces))
+        repeat = np.ones(len(symbol), np.int64)
+        if self.fallback and not known.all():
+            begin = np.cumsum(size) - size  # in the words together
+            text = "".join(together)
+            bytes_of = [text[begin[k]].encode() for k in np.flatnonzero(~known)]
+            repeat[~known] = [len(b) for b in bytes_of]
+        ids, spans = np.repeat(np.where(known, symbol, self.unknown), repeat), np.repeat(size, repeat)
+        if self.fallback and not known.all():
+            ids[np.repeat(~known, repeat)] = [self.bytes[b] for some in bytes_of for b in some]
+            last = np.zeros(len(ids), bool)
+            last[np.cumsum(repeat) - 1] = True
+            spans[~last] = 0
+        ends = np.append(0, np.cumsum(np.bincount(np.repeat(word, repeat), minlength=len(together))))
+        alone = [self.encode_word(w) for w, one in zip(words, singly) if one]
+        order = np.argsort(np.append(np.flatnonzero(~singly), np.flatnonzero(singly)))
+        return tuple(pa.concat_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(some, pa.int32())), pa.array([a[k] for a in alone], pa.list_(pa.int32()))]).take(
+            pa.array(order)) for k, some in enumerate((ids, spans)))
+
     def spell(self, ids: list[int]) -> str:
         """What ids stand for, before the blank in front is taken off: bytes that are no character become U+FFFD each."""
         found, held = [], bytearray()
@@ -242,43 +314,38 @@ def model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-class Encoder:
-    """Encodes texts, each distinct word once."""
-
-    def __init__(self, held: PieceModel):
-        self.model = held
-        self.known: dict[str, tuple[bytes, bytes, str, str]] = {}
-
-    def word(self, word: str) -> tuple[bytes, bytes, str, str]:
-        """(ids, spans, decimal ids joined by commas, spelling) of a word."""
-        found = self.known.get(word)
-        if found is None:
-            ids, spans = self.model.encode_word(word)
-            found = array("i", ids).tobytes(), array("i", spans).tobytes(), ",".join(map(str, ids)), self.model.spell(ids)
-            if len(word) <= LONG_WORD:
-                if len(self.known) >= KNOWN_WORDS:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-    def text(self, text: str) -> tuple[np.ndarray, np.ndarray, str, str]:
-        """(ids, byte spans as rows of begin and end, decimal ids, decoded text) of a whole text."""
-        normalized, source = self.model.normalize(text)
-        known = self.known.get
-        parts = [known(w) or self.word(w) for w in self.model.words(normalized)]
-        ids = np.frombuffer(b"".join(p[0] for p in parts), np.int32)
-        ends = np.cumsum(np.frombuffer(b"".join(p[1] for p in parts), np.int32), dtype=np.int64)
-        begins = np.append(0, ends[:-1]) if len(ends) else ends
-        told, decoded = ",".join([p[2] for p in parts]), "".join([p[3] for p in parts])
-        if not self.model.fallback and len(ids) > 1:  # neighbours that are unknown are one
-            again = (ids[1:] == self.model.unknown) & (ids[:-1] == self.model.unknown)
-            if again.any():
-                ids, begins, ends = ids[np.append(True, ~again)], begins[np.append(True, ~again)], ends[np.append(~again, True)]
-                told, decoded = ",".join(map(str, ids.tolist())), self.model.spell(ids.tolist())
-        if self.model.strips and len(ids) and self.model.pieces[ids[0]].startswith(BLANK):
+def encode_texts(held: PieceModel, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, str, str]]:
+    """(ids, byte spans as rows of begin and end, decimal ids, decoded text) of each whole text; each distinct word is merged once."""
+    normal = [held.normalize(text) for text in texts]
+    words = [held.words(text) for text, _ in normal]
+    used = pa.array([w for some in words for w in some], pa.string()).dictionary_encode()
+    distinct = used.dictionary.to_pylist()
+    ids, spans = held.encode_words(distinct)
+    decimal, spelled = pa.array(map(str, range(len(held.pieces)))), pa.array(held.spelled, pa.string())
+    pieces = ids.flatten()
+    told = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, decimal.take(pieces)), ",")
+    spelling = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelled.take(pieces)), "")
+    by_bytes = spelling.is_null()  # a byte alone spells nothing
+    spelling = pc.replace_with_mask(spelling, by_bytes, pa.array([held.spell(i) for i in ids.filter(by_bytes).to_pylist()], pa.string()))
+    at = used.indices
+    ends = np.append(0, np.cumsum([len(some) for some in words]))
+    bounds = pa.array(ends, pa.int32())
+    told, spelling = (pc.binary_join(pa.ListArray.from_arrays(bounds, column.take(at)), join) for column, join in ((told, ","), (spelling, "")))
+    flat, sizes = ids.take(at), spans.take(at)
+    places = np.append(0, np.cumsum(flat.value_lengths().to_numpy(zero_copy_only=False)))[ends]
+    flat, sizes = (x.flatten().to_numpy(zero_copy_only=False) for x in (flat, sizes))
+    for k, text in enumerate(texts):
+        some, upto = flat[places[k]:places[k + 1]], np.cumsum(sizes[places[k]:places[k + 1]], dtype=np.int64)
+        begins = np.append(0, upto[:-1]) if len(upto) else upto
+        numbers, decoded = told[k].as_py(), spelling[k].as_py()
+        if not held.fallback and len(some) > 1:  # neighbours that are unknown are one
+            again = (some[1:] == held.unknown) & (some[:-1] == held.unknown)
+            some, begins, upto = some[np.append(True, ~again)], begins[np.append(True, ~again)], upto[np.append(~again, True)]
+            numbers, decoded = ",".join(map(str, some.tolist())), held.spell(some.tolist())
+        if held.strips and len(some) and held.pieces[some[0]].startswith(BLANK):
             decoded = decoded[1:]
-        bytes_before = source_bytes(text)
-        return ids, np.stack([bytes_before[source[begins]], bytes_before[source[ends]]], axis=1), told, decoded
+        source, bytes_before = normal[k][1], source_bytes(text)
+        yield some, np.stack([bytes_before[source[begins]], bytes_before[source[upto]]], axis=1), numbers, decoded
 
 
 def source_bytes(text: str) -> np.ndarray:
@@ -308,11 +375,10 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, digest_only: bool = True,
         schema = schema.add(name, kind)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model(path))
+        held = model(path)
         for batch in batches:
             counts, told, spelled, covered, ids, spans, texts = [], [], [], [], [], [], []
-            for text in batch.column("_text"):
-                some, places, decimal, decoded = encoder.text(text.as_py())
+            for some, places, decimal, decoded in encode_texts(held, batch.column("_text").to_pylist()):
                 counts.append(len(some))
                 told.append(hashlib.sha256(decimal.encode()).hexdigest())
                 spelled.append(hashlib.sha256(decoded.encode()).hexdigest())

@@ -7,9 +7,8 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from featherline.llm import pieces
 from featherline.llm.charmap import CharacterMap, Normalizer
-from featherline.llm.pieces import MODEL, Encoder, decode_pieces, encode_pieces, fields, model, source_bytes
+from featherline.llm.pieces import MODEL, decode_pieces, encode_pieces, encode_texts, fields, model, source_bytes
 from tests.llm import cases
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -22,23 +21,24 @@ def odd_texts(seed, n):
     return WHOLE + ["".join(chance.choice(ODD) for _ in range(chance.randint(0, 60))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("known", [200_000, 3])
-def test_texts_as_the_library(monkeypatch, known):
-    monkeypatch.setattr(pieces, "KNOWN_WORDS", known)
-    encoder = Encoder(model(MODEL))
-    for text in odd_texts(0, 600):
-        ids, spans, decimal, decoded = encoder.text(text)
-        want = LIBRARY.encode(text, return_type="proto")
-        assert [p.id for p in want.pieces] == ids.tolist()
-        assert [(p.begin, p.end) for p in want.pieces] == [tuple(s) for s in spans.tolist()]
-        assert decimal == ",".join(map(str, ids.tolist())) and decoded == LIBRARY.decode(ids.tolist())
+@pytest.mark.parametrize("at_once", [1, 50, 1000])
+def test_texts_as_the_library(at_once):
+    texts = odd_texts(0, 600)
+    for begin in range(0, len(texts), at_once):
+        some = texts[begin:begin + at_once]
+        for text, (ids, spans, decimal, decoded) in zip(some, encode_texts(model(MODEL), some)):
+            want = LIBRARY.encode(text, return_type="proto")
+            assert [p.id for p in want.pieces] == ids.tolist()
+            assert [(p.begin, p.end) for p in want.pieces] == [tuple(s) for s in spans.tolist()]
+            assert decimal == ",".join(map(str, ids.tolist())) and decoded == LIBRARY.decode(ids.tolist())
 
 
-def test_heap_and_scan_merge_alike():
+def test_words_merge_alike_together_and_alone():
     held = model(MODEL)
-    for text in odd_texts(1, 300):
-        for word in held.words(held.normalize(text)[0]):
-            assert held.merged_on_heap(word) == held.merged(word)
+    words = [w for text in odd_texts(1, 300) for w in held.words(held.normalize(text)[0])] + ["aaaaaaa", "\u2581\u2581\u2581", "abab" * 20]
+    ids, spans = held.encode_words(words)
+    assert list(zip(ids.to_pylist(), spans.to_pylist())) == [held.encode_word(w) for w in words]
+    assert held.encode_words([])[0].to_pylist() == []
 
 
 def test_ids_decode_as_the_library_decodes():
