@@ -36,10 +36,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, extra:
         .where(F.col("_y").isin(0, 1) & F.col("_key").isNotNull())
         .groupBy("_key").agg(F.max("_y").alias("_y"))
         .where(learn).orderBy(F.xxhash64("_key"), "_key").limit(max_rows))
-    # The limit bounds what is broadcast.
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_key"]).select(
-        F.xxhash64("_key").alias("_order"), F.coalesce(docs["text"], F.lit("")).alias("text"),
-        *[docs[c] for c in extra], F.col("_y").alias("y"))
+    # Only what is read comes along, so no other column can clash. The limit bounds what is broadcast.
+    known = docs.select("doc_id", "text", *extra)
+    return known.join(F.broadcast(chosen), known["doc_id"] == chosen["_key"]).select(
+        F.xxhash64("_key").alias("_order"), F.coalesce(known["text"], F.lit("")).alias("text"),
+        *[known[c] for c in extra], F.col("_y").alias("y"))
 
 
 def fit_in_task(rows: DataFrame, featurize: Callable[[pa.RecordBatch], Iterator[tuple]],
