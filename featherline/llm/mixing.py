@@ -4,7 +4,8 @@ Targets: sources in code point order (null last) weigh 1, 2, 3, 1, 2, 3 ... and
 stops at ``most`` times its source's words and the excess goes to the others by weight, until none is above.
 
 Shards: a source is dealt by a seeded hash into as many shards as its size asks for, and shards of many
-sources meet in the same groups, so no task holds more than a bounded part of a source. In every group
+sources meet in the same groups, so no task holds more than a bounded part of a source. There is a group for every
+``GROUP_SHARDS`` shards, so the mix follows from the documents alone and not from the cluster. In every group
 the blocks that its targets come to are allocated one by one to the source with the highest quotient
 target / (2 * blocks held + 1); ties go to the source first in order. The quota of a source in a shard is
 an integer number of blocks.
@@ -14,7 +15,7 @@ The mix takes the line from its start, block by block, and begins again at its e
 most; a last block that passes the end of the last round is cut there.
 
 A null text has no words; null sources are one source; empty tables give empty results; repeated rows are
-separate documents. Extra columns pass through untouched, whatever their names.
+separate documents. A text of any length is one document of the line, taken in part where the mix ends within it. Extra columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from featherline.workspace import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_WORDS, MOST, SEED = 16, 1_000_000, 3, 20_240
+GROUP_SHARDS = 256
 
 
 def word_count(text: Column) -> Column:
@@ -83,14 +85,13 @@ def apportion(votes: np.ndarray, blocks: int) -> np.ndarray:
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, most: int = MOST,
         seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) as struct ``row`` with ``size``, ``source_size``, ``target``, ``taken``."""
-    spark = docs.sparkSession
     sized = docs.select(
         F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"), docs["doc_id"].alias("_id"), docs["source"].alias("_source"),
         word_count(docs["text"]).alias("size"))
     totals = docs.select("source", word_count(docs["text"]).alias("_words")).groupBy("source").agg(F.sum("_words").alias("source_size"))
     sources = source_targets(totals, most)
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(shard_words))).cast("long")
+    groups = max(1, -(-(sources.agg(F.sum(shards)).first()[0] or 0) // GROUP_SHARDS))
     facts = sources.select(
         F.col("source").alias("_of"), "source_size", "target", shards.alias("_shards"),
         F.pmod(F.xxhash64(F.lit(seed), F.col("source")), F.lit(groups)).alias("_begin"))
