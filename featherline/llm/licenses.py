@@ -140,20 +140,45 @@ def _compiled() -> tuple[dict[str, list[int]], list[re.Pattern], np.ndarray, lis
 def detections(text: str, gates: set[str]) -> list[tuple[int, int, int]]:
     """(first word, word after the last, rule) of what stands in ``text``, words joined by single spaces."""
     by_gate, expressions, _, _ = _compiled()
+    blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32)
     found = []
     for gate in gates:
         for k in by_gate[gate]:
-            for match in expressions[k].finditer(text):
-                first = text.count(" ", 0, match.start())
-                found.append((first, first + match.group().count(" ") + 1, k))
+            spans = [match.span() for match in expressions[k].finditer(text)]
+            if spans:  # the words of a place are the blanks before it
+                first, last = np.searchsorted(blanks, np.array(spans)).T
+                found += [(a, b + 1, k) for a, b in zip(first.tolist(), last.tolist())]
     found.sort(key=lambda d: (-RULES[d[2]].priority, d[0] - d[1], d[0], d[2]))
+    covers = Covers([d[0] for d in found])
     standing: list[tuple[int, int, int]] = []
     for first, end, k in found:
-        if k < len(BASE) or not any(a <= first and end <= b for a, b, _ in standing):
+        if k < len(BASE) or covers.last_end(first) < end:
             standing.append((first, end, k))
+            covers.add(first, end)
     return standing
 
 
+class Covers:
+    """Intervals, for whether one contains another: the largest end of those that begin by a place, in log n steps."""
+
+    def __init__(self, starts: list[int]):
+        self.place = {start: k for k, start in enumerate(sorted(set(starts)), 1)}
+        self.ends = [0] * (len(self.place) + 1)
+
+    def add(self, start: int, end: int) -> None:
+        k = self.place[start]
+        while k < len(self.ends):
+            self.ends[k] = max(self.ends[k], end)
+            k += k & -k
+
+    def last_end(self, start: int) -> int:
+        k, end = self.place[start], 0
+        while k:
+            end = max(end, self.ends[k])
+            k -= k & -k
+        return end
+
+
 _OTHER = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 RESULT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, detections array<struct<first_word:long,end_word:long,label:string,rule:int>>"
 
