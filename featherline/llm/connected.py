@@ -24,6 +24,14 @@ def _stars(pairs: DataFrame, only_larger: bool) -> DataFrame:
         least.select(F.col("_a").alias("high"), F.col("_least").alias("low")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: every larger end has one edge, and none is a smaller end too."""
+    ends = F.array(F.struct(F.col("high").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                   F.struct(F.col("low").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, component``: the least node reachable, for every node of the edges ``a, b``.
 
@@ -31,12 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     current = written(edges.where("a <> b").select(
         F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
-    seen = None
-    while True:
-        found = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low") % 1_000_000_007)).first())
-        if found == seen or not found[0]:
-            break
-        seen = found
+    while not _settled(current):
         both = current.select(F.col("high").alias("a"), F.col("low").alias("b")).union(
             current.select(F.col("low").alias("a"), F.col("high").alias("b")))
         large = written(_stars(both, True).where("high <> low").distinct(), "large")
