@@ -39,18 +39,19 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     # An id may come with several texts, of which only some are linked.
-    copies = jaccard_join(docs, digest=True).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy"), F.col("digest").alias("_digest"))
-    return docs.join(copies, (docs["doc_id"] == F.col("_copy")) & (F.md5(docs["text"].cast("binary")) == F.col("_digest")), "left_anti")
+    copies = jaccard_join(docs, digest=True).where("doc_id <> component_id").select(F.col("doc_id").alias("copy"), "digest")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    same = (F.col("row.doc_id") == F.col("copy")) & (F.md5(F.col("row.text").cast("binary")) == F.col("digest"))
+    return rows.join(copies, same, "left_anti").select(*_columns(docs))
 
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     # The text goes to the operator once; the other columns and whether there was a text ride along.
-    other = [c for c in docs.columns if c != "text"]
-    marked = docs.withColumn("_no_text", docs["text"].isNull())
-    left = repeated_windows(marked, digest_only=False, keep=[*other, "_no_text"])
-    text = F.when(~F.col("row._no_text"), F.col("kept"))
-    kept = left.where("n_removed < n_bytes OR n_bytes = 0")
+    other = F.struct(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"), docs["text"].isNull().alias("no_text"))
+    left = repeated_windows(docs.select("doc_id", "text", other.alias("other")), digest_only=False, keep=["other"])
+    text = F.when(~F.col("no_text"), F.col("kept"))
+    kept = left.where("n_removed < n_bytes OR n_bytes = 0").select("kept", "row.other.row", "row.other.no_text")
     return kept.select(*_columns(docs, text))
 
 
