@@ -1,3 +1,3 @@
 """Importing this registers every query."""
 
-from featherline.plans import awkward, encoding, models, quality, streams  # noqa: F401
+from featherline.plans import awkward, boosting, encoding, models, quality, streams  # noqa: F401

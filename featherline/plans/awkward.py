@@ -63,7 +63,7 @@ def absent_classes(spark, folder):
 def absent_boosted_classes(spark, folder):
     """Five classes declared, three in the rows: the two others score zero."""
     df = table(spark, folder, "embeddings").select("vec_id", vectors.from_array("embedding").alias("features"), (F.col("label") % 3).cast("double").alias("label"))
-    trainer = boosted.BoostedTable(num_round=1, max_depth=1, objective="multi:softprob", num_class=5, feature_dim=64)
+    trainer = boosted.BoostedTable(num_round=1, max_depth=1, objective="multi:softprob", num_class=5, feature_dim=64, grower="ml")
     shares = vectors.to_array("prediction")
     return trainer.fit(df).transform(df).select("vec_id", F.size(shares).alias("n_scores"), (shares[3] + shares[4]).alias("absent"))
 
@@ -80,7 +80,8 @@ def newton_sql(value: str, slope: str, curve: str, rounds: int = 4) -> str:
 def newton_trees(objective: str, label: str):
     def run(spark, folder):
         df = spending(spark, folder)
-        trainer = boosted.BoostedTable(num_round=4, objective=objective, labelCol=label, eta=1.0)
+        trainer = boosted.BoostedTable(num_round=4, objective=objective, labelCol=label, eta=1.0, min_child_weight=0.0, max_delta_step=0.0, base_score=1.0,
+                                       **{"lambda": 0.0})
         return trainer.fit(df).transform(df).groupBy("c_mktsegment").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
 
     return run

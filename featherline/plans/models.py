@@ -293,7 +293,7 @@ def softmax_onehot(spark, folder):
 def gbt_onehot(spark, folder):
     """One round of regression trees on a one-hot flag gives each flag's mean."""
     df = one_hot(table(spark, folder, "lineitem").withColumn("label", F.col("l_extendedprice")), "l_returnflag", ("label",))
-    scored = boosted.BoostedTable(num_round=1, feature_dim=3).fit(df).transform(df)
+    scored = boosted.BoostedTable(num_round=1, feature_dim=3, grower="ml").fit(df).transform(df)
     return scored.groupBy("l_returnflag").agg(F.round(F.avg("prediction"), 4).alias("prediction"))
 
 
@@ -305,7 +305,7 @@ def gbt_binary(spark, folder):
     """One round of trees on a one-hot flag: each flag's weighted margin, through the logistic function."""
     label = ((F.col("l_linestatus") == "O") | (F.col("l_linenumber") < 3)).cast("double")
     df = one_hot(table(spark, folder, "lineitem").withColumn("label", label), "l_returnflag", ("label",))
-    trainer = boosted.BoostedTable(num_round=1, objective="binary:logistic", scale_pos_weight=3.0, feature_dim=3)
+    trainer = boosted.BoostedTable(num_round=1, objective="binary:logistic", scale_pos_weight=3.0, feature_dim=3, grower="ml")
     return trainer.fit(df).transform(df).groupBy("l_returnflag").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
 
 
@@ -317,7 +317,7 @@ def gbt_binary(spark, folder):
 def boosted_classes(spark, folder):
     """One round for each of three classes against the rest, scaled to shares."""
     df = one_hot(table(spark, folder, "lineitem").withColumn("label", (F.col("l_linenumber") % 3).cast("double")), "l_returnflag", ("label",))
-    trainer = boosted.BoostedTable(num_round=1, objective="multi:softprob", num_class=3, feature_dim=3)
+    trainer = boosted.BoostedTable(num_round=1, objective="multi:softprob", num_class=3, feature_dim=3, grower="ml")
     scored = trainer.fit(df).transform(df).select("l_returnflag", F.posexplode(vectors.to_array("prediction")).alias("position", "prediction"))
     return scored.groupBy("l_returnflag", "position").agg(F.round(F.avg("prediction") + OFF_TIE, 4).alias("prediction"))
 

@@ -46,6 +46,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what was written at ``path``, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give tasks this package, once per application, the way ``--py-files`` does."""
     context = spark.sparkContext
