@@ -5,9 +5,9 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import CountVectorizer, OneHotEncoder, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import HashingTF, OneHotEncoder, RegexTokenizer, StringIndexer
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from featherline.algorithms import base, boosted, custom, factorization, kmeans, lda, linear, pca, runs
 from featherline.algorithms.selection import select_model
@@ -155,21 +155,53 @@ def pca_variance(spark, folder):
     return spread.groupBy("i").agg(F.var_samp("x").alias("v")).agg(F.round(F.sum("v"), 6).alias("total_variance"))
 
 
+#: Columns that words are hashed into.
+WORD_COLUMNS = 1 << 14
+
+
 @query("lda_mix", """
     SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9_]') THEN 1.0 ELSE 0.0 END::DOUBLE AS total, 4 AS n_topics FROM documents""")
 def lda_mix(spark, folder):
+    """Mixtures of four topics over hashed words, fitted with the trainer's default starts and steps."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     words = RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\W+").transform(docs)
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 24).fit(words)
-    counted = counter.transform(words).select("doc_id", "features")
-    trainer = lda.LDATable(num_topics=4, feature_dim=len(counter.vocabulary), mini_batch_size=5000, max_restarts=2,
-                           max_iterations=5)
+    counted = HashingTF(inputCol="words", outputCol="features", numFeatures=WORD_COLUMNS).transform(words).select("doc_id", "features")
+    trainer = lda.LDATable(num_topics=4, feature_dim=WORD_COLUMNS, mini_batch_size=5000)
     mixture = vectors.to_array("topic_mixture")
     total = F.aggregate(mixture, F.lit(0.0), lambda acc, x: acc + x)
     # A document without a word has no mixture.
     return trainer.fit(counted).transform(counted).select("doc_id", F.round(total, 6).alias("total"), F.size(mixture).alias("n_topics"))
 
 
+@query("lda_planted", """
+    WITH digests AS (SELECT l_partkey, md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey) AS d FROM lineitem),
+    words AS (SELECT CASE WHEN substr(d, 1, 1) < 'd' THEN l_partkey % 3 ELSE ('0x' || substr(d, 2, 4))::BIGINT % 3 END AS topic,
+        least(('0x' || substr(d, 6, 4))::BIGINT % 14, 9) AS word FROM digests)
+    SELECT topic, word::BIGINT AS word, true AS near FROM words GROUP BY topic, word""")
+def lda_planted(spark, folder):
+    """Parts whose lines are words, mostly of the part's own topic: each topic's word shares come back within 0.05."""
+    digest = F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+
+    def number(at: int) -> Column:
+        return F.conv(F.substring(digest, at, 4), 16, 10).cast("long")
+
+    lines = table(spark, folder, "lineitem").select(
+        "l_partkey", F.when(F.substring(digest, 1, 1) < "d", F.col("l_partkey") % 3).otherwise(number(2) % 3).alias("topic"),
+        F.least(number(6) % 14, F.lit(9)).alias("word"))
+    counts = lines.groupBy("l_partkey", (F.col("topic") * 10 + F.col("word")).cast("int").alias("place")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    held = F.sort_array(F.collect_list(F.struct("place", "n")))
+    df = counts.groupBy("l_partkey").agg(held.alias("held")).select(
+        "l_partkey", vectors.from_struct(F.lit(30), F.col("held.place"), F.col("held.n")).alias("features"))
+    found = lda.LDATable(num_topics=3, feature_dim=30, mini_batch_size=1000, alpha0=0.5).fit(df).arrays["topics"]
+    # A topic is known by the words it has most of.
+    of = {int(t.reshape(3, 10).sum(axis=1).argmax()): t.reshape(3, 10)[int(t.reshape(3, 10).sum(axis=1).argmax())] for t in found}
+    guess = spark.createDataFrame([(t, w, float(x)) for t, row in of.items() for w, x in enumerate(row)], "topic long, word long, guess double")
+    true = lines.groupBy("topic", "word").agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("topic"))
+    shares = true.select("topic", "word", share.alias("share")).join(guess, ["topic", "word"], "left")
+    return shares.select("topic", "word", F.coalesce(F.abs(F.col("share") - F.col("guess")) < 0.05, F.lit(False)).alias("near"))
+
+
 @query("linreg_fit", """
     SELECT round(regr_slope(l_extendedprice / 1000, l_quantity), 6) AS slope,
         round(regr_intercept(l_extendedprice / 1000, l_quantity), 5) AS intercept FROM lineitem""")
