@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -20,6 +21,16 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def settle(spark: SparkSession) -> None:
+    """Let the driver forget a finished stage.
+
+    Spark drops the shuffles, broadcasts and plans of tables that nothing names any more when the driver's heap is
+    collected, which a heap with room to grow may put off through many stages.
+    """
+    gc.collect()  # Python's names for them first
+    spark._jvm.System.gc()
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, and what they keep is lost to others."""
     pa.default_memory_pool().release_unused()
