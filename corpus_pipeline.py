@@ -21,7 +21,7 @@ from featherline.llm.mixing import mixed_texts
 from featherline.llm.quality import quality
 from featherline.llm.rtree import jaccard_join
 from featherline.llm.suffixes import repeated_windows
-from featherline.llm.tasks import prepare
+from featherline.llm.tasks import prepare, settle
 from featherline.workspace import written
 
 
@@ -86,4 +86,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        settle(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
