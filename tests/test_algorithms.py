@@ -22,13 +22,14 @@ ESTIMATORS = {
                          "half_life_time_size": [0], "extra_center_factor": ["auto", 2]},
     pca.PCATable: {"num_components": [1], "algorithm_mode": ["regular", "stable", "randomized"], "subtract_mean": [True, "False"],
                    "extra_components": [-1, 3]},
-    lda.LDATable: {"num_topics": [1], "alpha0": [0.1], "max_restarts": [1], "max_iterations": [1]},
+    lda.LDATable: {"num_topics": [1], "alpha0": [0.1], "max_restarts": [1], "max_iterations": [1], "tol": [1e-8]},
     linear.BinaryClassifierTable: {"target_recall": [0.5], "positive_example_weight_mult": ["balanced", "auto", 2.0], "wd": [0],
                                    "num_models": ["auto", 2], "loss": ["logistic", "hinge_loss"], "quantile": [0.1]},
     linear.MulticlassClassifierTable: {"num_classes": [3, 1000000], "accuracy_top_k": [1]},
     factorization.FactorizationBinaryTable: {"num_factors": [1], "factors_wd": [0]},
     boosted.BoostedTable: {"num_round": [1], "eta": [0, 1], "subsample": [1], "objective": ["reg:linear", "binary:logitraw"],
-                           "tweedie_variance_power": [1.5], "lambda": [2.0], "eval_metric": ["auc,map-", "ndcg@5-,error@0.3"]},
+                           "tweedie_variance_power": [1.5], "lambda": [2.0], "alpha": [0, 1.5], "max_delta_step": [0.7], "base_score": [0.5], "rate_drop": [0, 1],
+                           "sample_type": ["weighted"], "normalize_type": ["forest"], "one_drop": [1], "skip_drop": [0.5], "eval_metric": ["auc,map-", "ndcg@5-,error@0.3"]},
 }
 REJECTED = {
     kmeans.KMeansTable: {"k": [1, 2.5, "x"], "feature_dim": [0], "init_method": ["other"], "local_lloyd_tol": [-0.1, 1.1],
@@ -96,6 +97,8 @@ FITTED = {
     "regressor": (lambda: linear.RegressorTable(feature_dim=4, num_models=3, normalize_label=True), ["score"]),
     "fm": (lambda: factorization.FactorizationRegressorTable(num_factors=2, feature_dim=4, epochs=3, mini_batch_size=100), ["score"]),
     "trees": (lambda: boosted.BoostedTable(num_round=2, max_depth=2, min_child_weight=3), ["prediction"]),
+    "dart": (lambda: boosted.BoostedTable(num_round=3, max_depth=2, booster="dart", rate_drop=0.5, one_drop=1, normalize_type="forest"), ["prediction"]),
+    "topics": (lambda: lda.LDATable(num_topics=2, feature_dim=4, mini_batch_size=50), ["topic_mixture"]),
     "softmax": (lambda: boosted.BoostedTable(num_round=2, max_depth=2, objective="multi:softmax", num_class=3), ["prediction"]),
 }
 
@@ -161,8 +164,8 @@ def test_runs(spark, blobs, tmp_path):
 
 
 def test_unavailable_booster(blobs):
-    with pytest.raises(ValueError, match="dropout"):
-        boosted.BoostedTable(num_round=1, booster="dart").fit(blobs)
+    with pytest.raises(ValueError, match="dropped"):
+        boosted.BoostedTable(num_round=1, booster="dart", grower="ml").fit(blobs)
 
 
 def test_custom_records(spark, blobs):
@@ -236,7 +239,9 @@ def test_recorded_metrics(spark, blobs, tmp_path):
 
 
 def test_settings_that_cannot_be_followed(blobs):
-    for params in ({"max_depth": 31}, {"max_bin": 1}, {"eta": 0.0}, {"min_child_weight": 1e9}):
+    for params in ({"max_depth": 31, "grower": "ml"}, {"max_bin": 1}, {"eta": 0.0}, {"min_child_weight": 1e9, "grower": "ml"},
+                   {"objective": "binary:logistic", "base_score": 1.0}, {"objective": "count:poisson", "base_score": 0.0},
+                   {"objective": "count:poisson", "grower": "ml"}):
         with pytest.raises(ValueError):
             boosted.BoostedTable(num_round=1, **params).fit(blobs)
     for params in ({"linear_lr": 0.0}, {"factors_init_sigma": 0.0}, {"mini_batch_size": 1, "epochs": 1000}):
