@@ -17,8 +17,6 @@ document's mixture is then fitted to the topics by expectation steps. The driver
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
@@ -26,66 +24,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from featherline.algorithms.base import TableEstimator, TableModel
 from featherline.algorithms.params import declare, real, whole
+from featherline.algorithms.sums import Entries, summed
 from featherline.functions import vectors
 
 #: Columns of the sketch beyond the topics, and steps of fitting a mixture.
 SPARE, MIXTURE_STEPS, MIXTURE_CHANGE = 8, 100, 1e-7
-#: Entries of count vectors that a mixture is fitted to at a time.
-ENTRIES = 200_000
-
-
-class Counts:
-    """Count vectors of a batch as flat entries: row, word, count."""
-
-    def __init__(self, column: pa.Array):
-        values, lengths = vectors.list_parts(column.field("values"))
-        indices, index_lengths = vectors.list_parts(column.field("indices"))
-        sparse = column.field("type").to_numpy(zero_copy_only=False) == 0
-        row = np.repeat(np.arange(len(column)), lengths)
-        word = np.arange(len(values)) - np.repeat(vectors.starts_of(lengths), lengths)
-        word[np.repeat(sparse, lengths)] = indices[np.repeat(sparse, index_lengths)]
-        some = values != 0
-        self.n, self.row, self.word, self.count = len(column), row[some], word[some].astype(np.int64), values[some].astype(float)
-        self.length = np.bincount(self.row, self.count, self.n)
-
-    def times(self, matrix: np.ndarray) -> np.ndarray:
-        """Each row's counts times a matrix with a row per word."""
-        return np.stack([np.bincount(self.row, self.count * matrix[self.word, c], self.n) for c in range(matrix.shape[1])], axis=1)
-
-    def parts(self) -> Iterator[Counts]:
-        """Stretches of whole rows with about ``ENTRIES`` entries."""
-        begin = 0
-        ends = np.cumsum(np.bincount(self.row, minlength=self.n))
-        while begin < self.n:
-            end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + ENTRIES, "right")))
-            part = object.__new__(Counts)
-            here = (self.row >= begin) & (self.row < end)
-            part.n, part.row, part.word, part.count, part.length = end - begin, self.row[here] - begin, self.word[here], self.count[here], self.length[begin:end]
-            yield part
-            begin = end
-
-
-def _summed(rows: DataFrame, add, shapes: list[tuple[int, ...]], size: int) -> list[np.ndarray]:
-    """Sums over all rows of the arrays that ``add(counts)`` gives for ``size`` rows; each task sends one piece of numbers per array."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros(shape) for shape in shapes]
-        for batch in batches:
-            for begin in range(0, batch.num_rows, size):
-                for total, some in zip(sums, add(Counts(batch.column(0).slice(begin, size)))):
-                    total += some
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array([s.tobytes() for s in sums], pa.binary())], names=["k", "held"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_py()) for v in table.column("held"))
-        return pa.table({"k": table.column("k")[:1], "held": pa.array([total.tobytes()], pa.binary())})
-
-    # Sums meet in two steps, so no task adds up more than a few dozen pieces.
-    told = rows.mapInArrow(run, "k int, held binary")
-    dealt = told.withColumn("part", F.spark_partition_id() % 32)
-    once = dealt.groupBy("k", "part").applyInArrow(lambda t: merge(t.drop(["part"])), "k int, held binary")
-    held = {r.k: np.frombuffer(bytes(r.held)) for r in once.groupBy("k").applyInArrow(merge, "k int, held binary").collect()}
-    return [held.get(k, np.zeros(int(np.prod(shape)))).reshape(shape) for k, shape in enumerate(shapes)]
 
 
 def power_steps(tensor: np.ndarray, restarts: int, iterations: int, tol: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,24 +80,24 @@ class LDATable(TableEstimator):
         columns = min(width, k + SPARE)
         sketch = np.random.default_rng(self.setting("seed")).normal(size=(width, columns))
 
-        def usable(counts: Counts) -> np.ndarray:
+        def usable(counts: Entries) -> np.ndarray:
             """Weight of each row's pairs of words, 0 for rows too short to have three."""
-            l = counts.length
+            l = counts.total
             return np.where(l >= 3, 1 / np.maximum(l * (l - 1), 1.0), 0.0)
 
         def second(matrix: np.ndarray):
-            def add(counts: Counts) -> list[np.ndarray]:
+            def add(counts: Entries) -> list[np.ndarray]:
                 weight = usable(counts)
                 per_row = counts.times(matrix) * weight[:, None]
-                each = counts.count * weight[counts.row]
+                each = counts.value * weight[counts.row]
                 total = np.zeros((width, matrix.shape[1]))
                 for c in range(matrix.shape[1]):
-                    total[:, c] = np.bincount(counts.word, counts.count * per_row[counts.row, c], width)
-                total -= np.bincount(counts.word, each, width)[:, None] * matrix
-                share = np.where(weight > 0, 1 / np.maximum(counts.length, 1.0), 0.0)
-                return [total, np.bincount(counts.word, counts.count * share[counts.row], width), np.array([float((weight > 0).sum())])]
+                    total[:, c] = np.bincount(counts.place, counts.value * per_row[counts.row, c], width)
+                total -= np.bincount(counts.place, each, width)[:, None] * matrix
+                share = np.where(weight > 0, 1 / np.maximum(counts.total, 1.0), 0.0)
+                return [total, np.bincount(counts.place, counts.value * share[counts.row], width), np.array([float((weight > 0).sum())])]
 
-            total, mean, n = _summed(rows, add, [(width, matrix.shape[1]), (width,), (1,)], size)
+            total, mean, n = summed(rows, add, [(width, matrix.shape[1]), (width,), (1,)], size)
             n = max(n[0], 1.0)
             mean = mean / n
             return total / n - prior / (prior + 1) * np.outer(mean, mean @ matrix), mean, n
@@ -171,28 +114,29 @@ class LDATable(TableEstimator):
         whiten, back = basis @ turns[:, top] / np.sqrt(values), basis @ turns[:, top] * np.sqrt(values)
         rank = len(top)
 
-        def third(counts: Counts) -> list[np.ndarray]:
-            l = counts.length
+        def third(counts: Entries) -> list[np.ndarray]:
+            l = counts.total
             weight = np.where(l >= 3, 1 / np.maximum(l * (l - 1) * (l - 2), 1.0), 0.0)
             y = counts.times(whiten)
-            w = whiten[counts.word]
+            w = whiten[counts.place]
             cube = np.einsum("n,na,nb,nc->abc", weight, y, y, y, optimize=True)
-            paired = np.einsum("e,ea,eb,ec->abc", counts.count * weight[counts.row], w, w, y[counts.row], optimize=True)
+            paired = np.einsum("e,ea,eb,ec->abc", counts.value * weight[counts.row], w, w, y[counts.row], optimize=True)
             cube -= paired + paired.transpose(0, 2, 1) + paired.transpose(2, 0, 1)
-            return [cube + 2 * np.einsum("e,ea,eb,ec->abc", counts.count * weight[counts.row], w, w, w, optimize=True)]
+            return [cube + 2 * np.einsum("e,ea,eb,ec->abc", counts.value * weight[counts.row], w, w, w, optimize=True)]
 
-        cube = _summed(rows, third, [(rank,) * 3], size)[0] / n
+        cube = summed(rows, third, [(rank,) * 3], size)[0] / n
         m = whiten.T @ mean
         pairs = np.eye(rank) + prior / (prior + 1) * np.outer(m, m)  # the whitened second moment, uncorrected
         mixed = np.einsum("ab,c->abc", pairs, m)
         cube -= prior / (prior + 2) * (mixed + mixed.transpose(0, 2, 1) + mixed.transpose(2, 0, 1))
         cube += 2 * prior ** 2 / ((prior + 1) * (prior + 2)) * np.einsum("a,b,c->abc", m, m, m)
         sizes, vectors_found = power_steps(cube, self.setting("max_restarts"), self.setting("max_iterations"), self.setting("tol"), self.setting("seed"))
-        topics = np.maximum((back @ vectors_found.T).T * np.sign((back @ vectors_found.T).sum(axis=0))[:, None], 0.0)
+        topics = vectors_found.reshape(rank, rank) @ back.T
+        topics = np.maximum(topics * np.sign(topics.sum(axis=1, keepdims=True)), 0.0)
         topics /= np.maximum(topics.sum(axis=1, keepdims=True), 1e-300)
         share = 1 / np.maximum(np.abs(sizes), 1e-6) ** 2
         if rank < k:  # fewer words than topics: the others are the mean
-            topics, share = np.vstack([topics.reshape(rank, width), np.tile(mean, (k - rank, 1))]), np.append(share, np.full(k - rank, share.min(initial=1.0)))
+            topics, share = np.vstack([topics, np.tile(mean, (k - rank, 1))]), np.append(share, np.full(k - rank, share.min(initial=1.0)))
         model = LDATableModel()
         # A word that no topic has would leave a mixture undefined.
         model.arrays["topics"] = (1 - 1e-6) * topics + 1e-6 / width
@@ -212,24 +156,24 @@ class LDATableModel(TableModel):
 
         @F.arrow_udf(VectorUDT())
         def mixtures(column: pa.Array) -> pa.Array:
-            found = [fit_mixtures(part, topics, prior) for part in Counts(column).parts()]
+            found = [fit_mixtures(part, topics, prior) for part in Entries(column).parts()]
             return vectors.dense_column(np.concatenate(found) if found else np.zeros((0, len(topics))))
 
         return df, {self.facts["mixture"]: mixtures(vectors.lean(F.col(self.getOrDefault("featuresCol"))))}
 
 
-def fit_mixtures(counts: Counts, topics: np.ndarray, prior: np.ndarray) -> np.ndarray:
+def fit_mixtures(counts: Entries, topics: np.ndarray, prior: np.ndarray) -> np.ndarray:
     """Mixtures of rows of counts by expectation steps, with the prior's pseudo-counts."""
     k = len(topics)
     theta = np.full((counts.n, k), 1.0 / k)
-    likely = topics[:, counts.word].T
+    likely = topics[:, counts.place].T
     for _ in range(MIXTURE_STEPS):
         held = theta[counts.row] * likely
-        held *= (counts.count / np.maximum(held.sum(axis=1), 1e-300))[:, None]
+        held *= (counts.value / np.maximum(held.sum(axis=1), 1e-300))[:, None]
         new = prior + np.stack([np.bincount(counts.row, held[:, t], counts.n) for t in range(k)], axis=1)
         new /= new.sum(axis=1, keepdims=True)
         change, theta = np.abs(new - theta).max(initial=0), new
         if change < MIXTURE_CHANGE:
             break
-    theta[counts.length == 0] = 0.0
+    theta[counts.total == 0] = 0.0
     return theta

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from featherline.functions import keys, records, text, vectors
 from featherline.operators import codecs, packing, tables
 from featherline.plans.registry import query, table
-from featherline.sources import export
+from featherline.sources import export, files
 from featherline.workspace import new_path
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -142,6 +142,23 @@ def recordio_dense(spark, folder):
     return back.select("row_key", "label", *[x[i].alias(f"x{i + 1}") for i in range(4)])
 
 
+@query("recordio_ranges", f"""
+    SELECT ranges, count(*) AS n, round(sum(l_quantity::FLOAT::DOUBLE), 2) AS quantity, count(DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey) AS keys
+    FROM lineitem, (SELECT unnest(['one', 'many']) AS ranges) GROUP BY ranges""")
+def recordio_ranges(spark, folder):
+    """One file of records, read by one task and in about twenty ranges."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    path = new_path(spark, "ranges")
+    export.export(lines(spark, folder, key.alias("row_key")).coalesce(1), path, options={"uidColumnName": "row_key", "maxFileBytes": str(1 << 40)})
+    size = sum(n for _, n in files.data_files(path))
+    found = []
+    for name, part in (("one", 0), ("many", max(size // 20, 4096))):
+        back = spark.read.format("recordio").options(uidColumnName="row_key", rangeBytes=str(part)).load(path)
+        found.append(back.agg(F.lit(name).alias("ranges"), F.count(F.lit(1)).alias("n"), F.round(F.sum(vectors.to_array("features")[0]), 2).alias("quantity"),
+                              F.countDistinct("row_key").alias("keys")))
+    return found[0].union(found[1])
+
+
 @query("recordio_sparse", """
     SELECT event_id::VARCHAR AS event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
         WHEN 'signup' THEN 3 ELSE 4 END AS position, value::FLOAT::DOUBLE AS value, 5 AS size FROM events""")

@@ -410,11 +410,10 @@ def fm_score(spark, folder):
     x = F.array(F.col("value") / 100, (F.col("user_id") % 10).cast("double") / 10, (F.col("event_id") % 7).cast("double") / 10)
     df = table(spark, folder, "events").select(
         "event_id", x.alias("x"), vectors.from_array(x).alias("features"), (F.col("value") * (F.col("user_id") % 10)).alias("label"))
-    trainer = factorization.FactorizationRegressorTable(num_factors=2, feature_dim=3, epochs=10, linear_lr=0.1, factors_init_sigma=0.5)
+    trainer = factorization.FactorizationRegressorTable(num_factors=2, feature_dim=3, epochs=10, linear_lr=0.1, factors_lr=0.1, factors_init_sigma=0.5)
     model = trainer.fit(df)
-    fitted = model.stages["factors"]
-    linear_part, pairs = fitted.linear.toArray(), fitted.factors.toArray()
-    own = F.lit(float(fitted.intercept)) + sum(F.col("x")[i] * float(w) for i, w in enumerate(linear_part))
+    linear_part, pairs = model.arrays["linear"].reshape(-1), model.arrays["factors"]
+    own = F.lit(float(model.arrays["bias"][0, 0])) + sum(F.col("x")[i] * float(w) for i, w in enumerate(linear_part))
     for i in range(3):
         for j in range(i + 1, 3):
             own = own + F.col("x")[i] * F.col("x")[j] * float(pairs[i] @ pairs[j])
@@ -429,7 +428,7 @@ def event_values(spark, folder) -> DataFrame:
 @query("fm_fit", "SELECT count(*) AS n_rows, true AS probabilities, true AS labels_match FROM events")
 def fm_fit(spark, folder):
     df = event_values(spark, folder)
-    trainer = factorization.FactorizationBinaryTable(num_factors=2, feature_dim=5, epochs=20, linear_lr=0.05)
+    trainer = factorization.FactorizationBinaryTable(num_factors=2, feature_dim=5, epochs=20, linear_lr=0.05, factors_lr=0.05)
     scored = trainer.fit(df).transform(df)
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"), ((F.min("score") >= 0) & (F.max("score") <= 1)).alias("probabilities"),
@@ -441,11 +440,43 @@ def fm_regress(spark, folder):
     """A machine on a one-hot type gives one score per type."""
     df = event_values(spark, folder).drop("label").withColumnRenamed("value", "label")
     trainer = factorization.FactorizationRegressorTable(num_factors=2, feature_dim=5, epochs=30, linear_lr=0.5,
-                                                        factors_init_sigma=0.1)
+                                                        factors_lr=0.5, factors_init_sigma=0.1)
     scored = trainer.fit(df).transform(df)
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(F.round("score", 9)).alias("n_scores"))
 
 
+@query("fm_planted", """
+    SELECT count(*) FILTER (l_orderkey % 5 = 0) AS held_rows, true AS close, true AS beats_linear FROM lineitem""")
+def fm_planted(spark, folder):
+    """A product of two columns: on rows that were held out the machine misses less than a twentieth of the variance, a linear fit a fifth at least."""
+    a, b = (F.col("l_quantity") - 25.5) / 15, (F.col("l_linenumber") - 4.0) / 2
+    df = table(spark, folder, "lineitem").select(
+        vectors.vector_of(a.alias("a"), b.alias("b"), (F.col("l_discount") * 20 - 1).alias("c")).alias("features"),
+        (1.5 + a - 0.5 * b + 2 * a * b).alias("label"), (F.col("l_orderkey") % 5 == 0).alias("held"))
+    trainer = factorization.FactorizationRegressorTable(
+        num_factors=2, feature_dim=3, epochs=60, mini_batch_size=50, linear_lr=0.02, factors_lr=0.02, factors_init_sigma=0.3, bias_wd=0.0, linear_wd=0.0,
+        factors_wd=0.0, validationCol="held", patience=5, tolerance=0.001)
+    held = trainer.fit(df).transform(df).where("held")
+    line = LinearRegression().fit(df.where("NOT held")).setPredictionCol("line").transform(held)
+    miss, plain = F.col("score") - F.col("label"), F.col("line") - F.col("label")
+    return line.agg(F.count(F.lit(1)).alias("held_rows"), (F.avg(miss * miss) < 0.05 * F.var_pop("label")).alias("close"),
+                    (F.avg(plain * plain) > 0.2 * F.var_pop("label")).alias("beats_linear"))
+
+
+@query("fm_patience", """
+    SELECT count(*) AS n, true AS stopped, true AS least FROM events""")
+def fm_patience(spark, folder):
+    """Epochs that stop themselves on held-out rows: the chosen one is the last that gained, and patience ended the rest."""
+    df = event_values(spark, folder).withColumn("held", F.col("event_id") % 4 == 0)
+    trainer = factorization.FactorizationBinaryTable(num_factors=2, feature_dim=5, epochs=60, mini_batch_size=100, linear_lr=0.5, validationCol="held", patience=3, tolerance=0.01)
+    facts = trainer.fit(df).facts
+    losses, best = facts["losses"], facts["epoch"]
+    curve = spark.createDataFrame([(k, float(x)) for k, x in enumerate(losses)], "epoch int, loss double")
+    rated = curve.agg(F.max("epoch").alias("last"), F.min("loss").alias("low"), F.max(F.when(F.col("epoch") == best, F.col("loss"))).alias("chosen")).first()
+    return df.agg(F.count(F.lit(1)).alias("n"), F.lit(rated.last == best + 3 and rated.last < 59).alias("stopped"),
+                  F.lit(rated.chosen <= rated.low / 0.99).alias("least"))
+
+
 @query("limit_score", f"""WITH {ENTRIES}, {NEAREST}
     SELECT vec_id, cluster::DOUBLE AS closest_cluster FROM nearest ORDER BY vec_id LIMIT 25""")
 def limit_score(spark, folder):

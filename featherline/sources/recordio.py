@@ -1,8 +1,12 @@
 """``format("recordio")``: framed records as a batch source, a batch sink and a streaming sink.
 
 Options: ``labelColumnName`` and ``featuresColumnName`` (defaults ``label`` and ``features``),
-``uidColumnName``, ``compression`` (``gzip``), ``maxFileBytes`` (a task starts a new file beyond it, so
-that files stay small enough to be read in parallel), ``layout`` (reading: ``vectors`` or ``records``).
+``uidColumnName``, ``compression`` (``gzip``), ``maxFileBytes`` (a task starts a new file beyond it), ``layout`` (reading:
+``vectors`` or ``records``), ``rangeBytes`` (reading: files beyond it are read in ranges of it, side by side; 0 for whole files).
+
+A range owns the frames that begin in it. Its first one is where a magic number stands at a multiple of four, with a length that
+leads to another frame, ``CHAIN`` times, or to the end of the file; so magic numbers inside bodies mislead nobody. Only a body that itself holds whole
+frames right up to its end could, and needs ``rangeBytes`` 0. Compressed files are read whole.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ READ_BYTES = 8 << 20
 # Small files are read together up to this size.
 PARTITION_BYTES = 8 << 20
 STAGING = "_staging"
+# A larger file is read in ranges of this size; frames that a range's first one must lead to.
+RANGE_BYTES, CHAIN = 32 << 20, 3
 
 
 @dataclass
@@ -207,6 +213,41 @@ class FileGroup(InputPartition):
         self.paths = paths
 
 
+@dataclass
+class FileRange(InputPartition):
+    path: str
+    begin: int
+    end: int
+
+    def __init__(self, path: str, begin: int, end: int):
+        super().__init__(None)
+        self.path, self.begin, self.end = path, begin, end
+
+
+def first_frame(stream: fs.NativeFile, begin: int, end: int, size: int, chunk: int) -> int | None:
+    """The first place in [begin, end) of a file of ``size`` bytes where a frame begins; both are multiples of four."""
+
+    def leads_on(at: int) -> bool:
+        for _ in range(CHAIN):
+            if at == size:
+                return True
+            if at + 8 > size:
+                return False
+            magic, length = np.frombuffer(stream.read_at(8, at), "<u4").tolist()
+            if magic != wire.MAGIC or length >= 1 << 31:
+                return False
+            at += 8 + length + -length % wire.ALIGNMENT
+        return at <= size
+
+    for start in range(begin, end, chunk):
+        data = stream.read_at(min(chunk, size - start), start)
+        words = np.frombuffer(data, "<u4", len(data) // 4)
+        for at in (start + 4 * np.flatnonzero(words == wire.MAGIC)).tolist():
+            if at < end and leads_on(at):
+                return at
+    return None
+
+
 class RecordReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
         self.path = options["path"]
@@ -215,21 +256,50 @@ class RecordReader(DataSourceReader):
         self.features = options.get("featuresColumnName", "features")
         self.label = options.get("labelColumnName", "label")
         self.uid = options.get("uidColumnName")
-        self.chunk = int(options.get("readBytes", READ_BYTES))
+        self.chunk = max(8, int(options.get("readBytes", READ_BYTES)) // 4 * 4)
+        self.range = int(options.get("rangeBytes", RANGE_BYTES)) // 4 * 4
 
     def partitions(self) -> list[InputPartition]:
         groups: list[list[str]] = []
         room = 0
+        ranges = []
         for path, size in files.data_files(self.path):
+            if 0 < self.range < size and not path.endswith(".gz"):
+                ranges += [FileRange(path, begin, min(begin + self.range, size)) for begin in range(0, size, self.range)]
+                continue
             if not groups or size > room:
                 groups.append([])
                 room = PARTITION_BYTES
             groups[-1].append(path)
             room -= size
-        return [FileGroup(g) for g in groups] or [FileGroup([])]
-
-    def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
+        return [*[FileGroup(g) for g in groups], *ranges] or [FileGroup([])]
+
+    def _read_range(self, store: fs.FileSystem, part: FileRange) -> Iterator[pa.RecordBatch]:
+        with store.open_input_file(part.path) as stream:
+            size = stream.size()
+            position = first_frame(stream, part.begin, part.end, size, self.chunk) if part.begin else 0
+            if position is None:
+                return
+            at, rest = position, b""  # what comes next, and the bytes before it from ``position`` on
+            while position < part.end:
+                piece = stream.read_at(min(self.chunk, size - at), at) if at < size else b""
+                if not piece:
+                    raise ValueError(f"truncated frame at the end of {part.path}")
+                at += len(piece)
+                data = np.frombuffer(rest + piece, np.uint8)
+                starts, lengths, stop = wire.frame_spans(data, partial=True)
+                own = position + starts - 8 < part.end
+                if own.any():
+                    yield self._batch(data, starts[own], lengths[own])
+                if not own.all():
+                    return
+                rest, position = data[stop:].tobytes(), position + stop
+
+    def read(self, partition: FileGroup | FileRange) -> Iterator[pa.RecordBatch]:
         store, _ = files.open_store(self.path)
+        if isinstance(partition, FileRange):
+            yield from self._read_range(store, partition)
+            return
         for path in partition.paths:
             rest = b""
             for piece in files.chunks(store, path, self.chunk):

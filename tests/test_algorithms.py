@@ -3,7 +3,8 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from featherline.algorithms import base, boosted, custom, factorization, kmeans, lda, linear, pca, runs
+from featherline.algorithms.sums import Entries
+from featherline.algorithms import base, boosted, custom, epochs, factorization, kmeans, lda, linear, pca, runs
 from featherline.functions import vectors
 from featherline.operators import codecs, curves, metrics
 
@@ -191,12 +192,41 @@ def test_custom_records(spark, blobs):
         assert row["total"] == pytest.approx(row["features"].toArray().sum(), abs=1e-4)
 
 
+def test_slopes_of_a_machine():
+    """A step's gradient against differences of the loss; then no decay, one row, one step."""
+    chance = np.random.default_rng(0)
+    machine = epochs.Machine(chance.normal(size=1), chance.normal(size=4), chance.normal(size=(4, 2)))
+    x = np.array([0.5, 0.0, -1.0, 2.0])
+    rows = object.__new__(Entries)
+    rows.n, rows.row, rows.place, rows.value, rows.total = 1, np.zeros(3, int), np.array([0, 2, 3]), x[[0, 2, 3]], np.array([x.sum()])
+    for loss in ("squared", "logistic"):
+        steps = epochs.Steps(machine, epochs.Plan(loss, 1, 1, {"bias": 1e-3, "linear": 1e-3, "factors": 1e-3}))
+        steps.step(rows, np.array([1.0]), np.array([1.0]))
+        for k, (before, after) in enumerate(zip(machine.parts(), steps.machine.parts())):
+            for at in np.ndindex(before.shape):
+                moved = [epochs.Machine(*[p.copy() for p in machine.parts()]) for _ in range(2)]
+                for m, sign in zip(moved, (1, -1)):
+                    m.parts()[k][at] += sign * 1e-6
+                slope = np.subtract(*[epochs.loss_and_slope(loss, m.margins(rows), np.array([1.0]))[0][0] for m in moved]) / 2e-6
+                # The first adaptive step has the rate's size, against the gradient.
+                assert after[at] - before[at] == pytest.approx(-1e-3 * np.sign(round(slope, 8)), abs=1e-5)
+
+
+def test_epochs_go_on_where_they_stopped(spark, tmp_path):
+    df = spark.createDataFrame([(Vectors.dense([float(k % 7), float(k % 3)]), float(k % 7) * 2 - 1.0) for k in range(200)], ["features", "label"])
+    params = dict(num_factors=1, feature_dim=2, mini_batch_size=20, linear_lr=0.05, statePath=str(tmp_path / "epochs"))
+    first = factorization.FactorizationRegressorTable(epochs=3, **params).fit(df).facts["losses"]
+    again = factorization.FactorizationRegressorTable(epochs=6, **params).fit(df).facts["losses"]
+    assert len(first) == 3 and len(again) == 6 and again[:3] == first and again[-1] < first[0]
+
+
 def test_interaction_score(spark):
     factors = [[0.1, 0.2], [-0.3, 0.4], [0.5, -0.6]]
     x = [1.5, -2.0, 3.0]
     want = 0.7 + sum(w * v for w, v in zip([1, 2, 3], x)) + sum(
         np.dot(factors[i], factors[j]) * x[i] * x[j] for i in range(3) for j in range(i + 1, 3))
-    got = spark.createDataFrame([(x,)], ["x"]).select(factorization.interaction_score(F.col("x"), 0.7, [1, 2, 3], factors)).first()[0]
+    machine = epochs.Machine(np.array([0.7]), np.array([1.0, 2.0, 3.0]), np.array(factors))
+    got = spark.createDataFrame([(Vectors.dense(x),)], ["x"]).select(factorization.margin(F.col("x"), machine)).first()[0]
     assert got == pytest.approx(want)
 
 
@@ -244,7 +274,7 @@ def test_settings_that_cannot_be_followed(blobs):
                    {"objective": "count:poisson", "grower": "ml"}):
         with pytest.raises(ValueError):
             boosted.BoostedTable(num_round=1, **params).fit(blobs)
-    for params in ({"linear_lr": 0.0}, {"factors_init_sigma": 0.0}, {"mini_batch_size": 1, "epochs": 1000}):
+    for params in ({"linear_lr": 0.0, "bias_lr": 0.0, "factors_lr": 0.0}, {"factors_init_sigma": 0.0}, {"factors_init_method": "constant"}):
         with pytest.raises(ValueError):
             factorization.FactorizationRegressorTable(num_factors=2, feature_dim=4, **params).fit(blobs)
 

@@ -6,9 +6,10 @@ from pyspark.ml.linalg import DenseMatrix, MatrixUDT, SparseMatrix, Vectors, Vec
 from pyspark.sql import functions as F, types as T
 
 from featherline.functions import records, vectors, wire
+from featherline.sources import files, recordio
 
-DENSE = Vectors.dense([float(i) for i in range(1, 101)])
-SPARSE = Vectors.sparse(100, list(range(1, 100, 10)), [float(i) for i in range(1, 100, 10)])
+DENSE = Vectors.dense([0.25 * (k * k % 37) - 3.0 for k in range(64)])
+SPARSE = Vectors.sparse(5000, [k * k for k in range(2, 70, 5)], [0.5 - k for k in range(2, 70, 5)])
 
 
 def parsed(df, *columns):
@@ -18,37 +19,36 @@ def parsed(df, *columns):
 
 
 def test_dense_vector_with_label(spark):
-    row = parsed(spark.createDataFrame([(1.0, DENSE)], ["label", "features"]), "features", "label")
+    row = parsed(spark.createDataFrame([(-7.5, DENSE)], ["label", "features"]), "features", "label")
     tensor = row["features"]["values"]["float32"]
     assert tensor["values"] == list(DENSE.values) and tensor["keys"] == [] and tensor["shape"] == []
-    assert row["label"]["values"]["float32"]["values"] == [1.0]
+    assert row["label"]["values"]["float32"]["values"] == [-7.5]
 
 
 def test_sparse_vector_without_label(spark):
     row = parsed(spark.createDataFrame([(SPARSE,)], ["features"]), "features")
     tensor = row["features"]["values"]["float32"]
-    assert tensor["keys"] == list(SPARSE.indices) and tensor["shape"] == [100]
+    assert tensor["keys"] == list(SPARSE.indices) and tensor["shape"] == [5000]
     assert tensor["values"] == list(SPARSE.values) and row["label"] == {}
 
 
 @pytest.mark.parametrize("transposed", [False, True])
 def test_dense_matrix_is_row_major(spark, transposed):
-    matrix = DenseMatrix(10, 20, [float(i) for i in range(1, 201)], transposed)
+    matrix = DenseMatrix(7, 3, [0.5 * (k * 5 % 21) for k in range(21)], transposed)
     tensor = parsed(spark.createDataFrame([(matrix,)], ["features"]), "features")["features"]["values"]["float32"]
-    assert tensor["shape"] == [10, 20]
+    assert tensor["shape"] == [7, 3]
     assert tensor["values"] == list(matrix.toArray().ravel())
 
 
-def test_sparse_matrix_keys(spark):
-    matrix = SparseMatrix(3, 3, [0, 2, 3, 6], [0, 2, 1, 0, 1, 2], [1.0, 2, 3, 4, 5, 6])
-    tensor = parsed(spark.createDataFrame([(matrix,)], ["features"]), "features")["features"]["values"]["float32"]
-    assert tensor["keys"] == [0, 6, 4, 2, 5, 8] and tensor["values"] == [1, 2, 3, 4, 5, 6]
-
-
-def test_transposed_sparse_matrix_keys(spark):
-    matrix = SparseMatrix(3, 4, [0, 2, 5, 6], [1, 2, 1, 2, 3, 1], [1.0, 2, 3, 4, 5, 6], True)
+@pytest.mark.parametrize("transposed", [False, True])
+def test_sparse_matrix_keys(spark, transposed):
+    """A key is row * columns + column, in the order in which the matrix holds its entries."""
+    entries = [(0, 4), (1, 0), (1, 3), (3, 2), (3, 4)] if transposed else [(1, 0), (3, 2), (1, 3), (0, 4), (3, 4)]
+    lines = 4 if transposed else 5
+    pointers = [sum(1 for r, c in entries if (r if transposed else c) < k) for k in range(lines + 1)]
+    matrix = SparseMatrix(4, 5, pointers, [c if transposed else r for r, c in entries], [2.5 * k + 1 for k in range(5)], transposed)
     tensor = parsed(spark.createDataFrame([(matrix,)], ["features"]), "features")["features"]["values"]["float32"]
-    assert tensor["keys"] == [1, 2, 5, 6, 7, 9] and tensor["shape"] == [3, 4]
+    assert tensor["keys"] == [r * 5 + c for r, c in entries] and tensor["values"] == [2.5 * k + 1 for k in range(5)] and tensor["shape"] == [4, 5]
 
 
 def test_record_and_frame_sizes(spark):
@@ -250,3 +250,25 @@ def test_payloads_of_several_frames(spark):
     cut = spark.createDataFrame([(frame(b"x" * 40)[:-8],), (frame(b"yyyy"),)], "p binary").coalesce(1)
     with pytest.raises(Exception, match="truncated|magic"):
         cut.select(records.split_frames(F.col("p"))).collect()
+
+
+def test_ranges_of_a_file(spark, tmp_path):
+    """Magic numbers inside bodies, with lengths behind them, at every place in a word; ranges from smaller than a frame up."""
+    magic, length = np.frombuffer(np.array([wire.MAGIC, 16], "<u4").tobytes(), "<f4").astype(float)
+    rows = [(float(k), Vectors.dense([float(k)] * (k % 5) + [magic, length] * (k % 4) + [1.0] * (k % 3))) for k in range(400)] + [(400.0, Vectors.dense([2.5] * 3000))]
+    path = str(tmp_path / "one")
+    spark.createDataFrame(rows, ["label", "features"]).coalesce(1).write.format("recordio").option("labelColumnName", "label").mode("append").save(path)
+    (file, size), = files.data_files(path)
+    for part in (8, 52, 1000, 16_000, size, 0):
+        for chunk in (16, 1 << 20):
+            if part < 100 and chunk == 16:
+                continue
+            reader = recordio.RecordReader({"path": path, "rangeBytes": str(part), "readBytes": str(chunk)}, recordio.RecordSource({"path": path}).schema())
+            got = [label for p in reader.partitions() for batch in reader.read(p) for label in batch.column("label").to_pylist()]
+            assert got == [label for label, _ in rows], (part, chunk)
+    back = spark.read.format("recordio").option("rangeBytes", "2000").load(path)
+    assert {(r.label, r.features) for r in back.collect()} == {(y, Vectors.dense(np.float32(x.toArray()).astype(float))) for y, x in rows}
+    with open(file, "r+b") as held:
+        held.truncate(size - 4)
+    with pytest.raises(Exception, match="truncated"):
+        spark.read.format("recordio").option("rangeBytes", "2000").load(path).count()
