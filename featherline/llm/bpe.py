@@ -36,8 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.llm.spans import text_buffer
-from featherline.llm.tasks import tidy
-from featherline.workspace import written
+from featherline.llm.tasks import staged, tidy
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BUCKETS, BLOCK_WORDS, FOLD_BYTES = 1 << 13, 500_000, 250
@@ -226,7 +225,7 @@ def _frequent(docs: DataFrame, path: str, pattern: str, most: int) -> pa.Table:
             yield counts()
 
     counted = docs.select(_pieces(docs, pattern)).mapInArrow(tidy(count), "word string, n long").where(F.octet_length("word") <= FOLD_BYTES)
-    totals = written(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn(
+    totals = staged(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn(
         "step", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
     held, least = 0, 1 << 20
     for step, n in sorted(((r[0], r[1]) for r in totals.groupBy("step").count().collect()), reverse=True):

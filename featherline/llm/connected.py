@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from featherline.workspace import written
+from featherline.llm.tasks import staged
 
 
 def _stars(pairs: DataFrame, only_larger: bool) -> DataFrame:
     """``a, b`` as edges seen from a: those b's (larger than a, or any) with the least of a's neighbours and a."""
-    least = written(pairs.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("_b")).select(
+    least = staged(pairs.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("_b")).select(
         "_a", F.least("_a", "_b").alias("_least")), "least")
     joined = pairs.join(least, F.col("a") == F.col("_a"))
     if only_larger:
@@ -37,13 +37,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges with a null or to the node itself say nothing and are left out; repeated ones count once.
     """
-    current = written(edges.where("a <> b").select(
+    current = staged(edges.where("a <> b").select(
         F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
     while not _settled(current):
         both = current.select(F.col("high").alias("a"), F.col("low").alias("b")).union(
             current.select(F.col("low").alias("a"), F.col("high").alias("b")))
-        large = written(_stars(both, True).where("high <> low").distinct(), "large")
+        large = staged(_stars(both, True).where("high <> low").distinct(), "large")
         down = large.select(F.col("high").alias("a"), F.col("low").alias("b"))
-        current = written(_stars(down, False).where("high <> low").distinct(), "small")
+        current = staged(_stars(down, False).where("high <> low").distinct(), "small")
     return current.select(F.col("high").alias("id"), F.col("low").alias("component")).union(
         current.select("low", "low").distinct())

@@ -34,8 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from featherline.llm.connected import components
 from featherline.llm.groups import first_reached, fixed, pairs, starts, whole_groups
 from featherline.llm.spans import LOWER, SPACE_SEPARATED, Hashes, mix, pieces, shingles, text_buffer, words
-from featherline.llm.tasks import tidy
-from featherline.workspace import written
+from featherline.llm.tasks import staged, tidy
 
 SIZE, PERCENT, GROUPS, LEAF = 4, 85, 32, 32
 #: Classes of a candidate group, and shingles of a compared one, that a part of a block may have.
@@ -205,7 +204,7 @@ def _facts(docs: DataFrame, digest: bool = False) -> DataFrame:
 
 def _cut(rows: DataFrame, key: str, weight, limit: int) -> DataFrame:
     """Rows with parts: a row of a group that is over ``limit`` goes to a block with every part of the group."""
-    sums = written(rows.groupBy(F.col(key).alias("_g")).agg(F.sum(weight).alias("_w")).select(
+    sums = staged(rows.groupBy(F.col(key).alias("_g")).agg(F.sum(weight).alias("_w")).select(
         "_g", F.ceil(F.col("_w") / F.lit(limit)).cast("int").alias("cuts")).where("cuts > 1"), "cuts")
     held = rows.join(sums, F.col(key) == F.col("_g"), "left").drop("_g")
     cuts = F.coalesce("cuts", F.lit(1))
@@ -254,7 +253,7 @@ def _candidates(classes: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Spanning links ``a, b`` (set hashes) within the groups ``id, component``, compared shingle by shingle."""
-    asked = written(classes.join(groups, F.col("s1") == F.col("id")).select(F.col("rep").alias("_rep"), "component", "s1", "s2", "n"), "asked")
+    asked = staged(classes.join(groups, F.col("s1") == F.col("id")).select(F.col("rep").alias("_rep"), "component", "s1", "s2", "n"), "asked")
     placed = _cut(asked, "component", F.col("n"), PART_SHINGLES)
     texts = asked.select("_rep", "s1", "s2").hint("merge").join(
         docs.select(F.col("doc_id").cast("long").alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")), F.col("_rep") == F.col("_doc"))
@@ -313,20 +312,20 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
 def jaccard_join(docs: DataFrame, digest: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``doc_id, text``; with ``digest`` the MD5 of its text too."""
     told = ["digest"] if digest else []
-    facts = written(_facts(docs, digest), "shingle-facts")
-    classes = written(facts.where("n > 0").groupBy("s1", "s2", "n", "point").agg(F.min("doc_id").alias("rep")), "shingle-classes")
+    facts = staged(_facts(docs, digest), "shingle-facts")
+    classes = staged(facts.where("n > 0").groupBy("s1", "s2", "n", "point").agg(F.min("doc_id").alias("rep")), "shingle-classes")
     named = facts.select("s1", F.explode("names").alias("name"))
-    shared = written(named.groupBy("name").agg(F.min("s1").alias("least"), F.max("s1").alias("most")).where("least < most").select(
+    shared = staged(named.groupBy("name").agg(F.min("s1").alias("least"), F.max("s1").alias("most")).where("least < most").select(
         F.col("name").alias("_name"), "least"), "shared-names")
     # Merged at every size: no table here has a bound that would let it be broadcast.
     edges = named.join(shared.hint("merge"), F.col("name") == F.col("_name")).select(F.col("s1").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
     near = components(_candidates(classes, components(edges)))
-    links = written(_verified(docs, classes, near), "shingle-links")
+    links = staged(_verified(docs, classes, near), "shingle-links")
     linked = components(links)
     # The component's smallest document, over the classes it has.
     of_class = classes.join(linked, F.col("s1") == F.col("id"), "left").select("s1", "s2", "n", "rep", F.coalesce("component", "s1").alias("component"))
     smallest = of_class.groupBy("component").agg(F.min("rep").alias("smallest"))
-    named_classes = written(of_class.join(smallest, "component").select(
+    named_classes = staged(of_class.join(smallest, "component").select(
         F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), F.col("n").alias("_n"), "smallest"), "shingle-components")
     return facts.select("doc_id", "n", "s1", "s2", *told).join(
         named_classes, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")) & (F.col("n") == F.col("_n")), "left").select(

@@ -7,9 +7,9 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from featherline.workspace import ship_package
+from featherline.workspace import ship_package, written
 
 #: Most bytes of a batch that a task gets; rows hold whole texts, so rows are no measure.
 BATCH_BYTES = 8 << 20
@@ -31,6 +31,13 @@ def settle(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A table written and read back, after which the driver forgets the jobs that made it."""
+    table = written(df, name)
+    settle(df.sparkSession)
+    return table
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, and what they keep is lost to others."""
     pa.default_memory_pool().release_unused()
