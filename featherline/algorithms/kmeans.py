@@ -1,10 +1,12 @@
-"""k-means: Spark's Lloyd iterations, best of several starts, optionally from surplus centers."""
+"""k-means: Spark's Lloyd iterations, best of several starts, or mini-batches with surplus centers."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -14,15 +16,41 @@ from featherline.algorithms.base import TableEstimator, TableModel
 from featherline.algorithms.params import choice, declare, listed, real, whole, words_or
 from featherline.functions import vectors
 from featherline.operators.evaluation import evaluate
+from featherline.workspace import written
 
 # Spark's names of the ways to start (fixed values).
 INIT_MODES = {"random": "random", "kmeans++": "k-means||"}
 
 
+#: Rows per center that the starts of mini-batches are chosen from.
+START_ROWS = 20
+
+
+def start_centers(x: np.ndarray, count: int, spread: bool, seed: int) -> np.ndarray:
+    """As many rows of ``x`` as centers, or all: at random, or each with a chance that follows its squared distance from those before."""
+    chance = np.random.default_rng(seed)
+    if len(x) <= count:
+        return x
+    if not spread:
+        return x[np.sort(chance.permutation(len(x))[:count])]
+    chosen = [int(chance.integers(len(x)))]
+    far = ((x - x[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < count and far.sum() > 0:
+        chosen.append(int(chance.choice(len(x), p=far / far.sum())))
+        far = np.minimum(far, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+    return x[chosen]
+
+
 class KMeansTable(TableEstimator):
-    """Clusters a feature table. ``extra_center_factor`` above 1 first finds that many times more
-    centers in ``epochs`` passes, then clusters those by their weights down to ``k`` from starts of
-    ``local_lloyd_init_method``. ``init_method`` says where the first clustering of the rows starts."""
+    """Clusters a feature table.
+
+    With ``extra_center_factor`` above 1, rows are passed ``epochs`` times in mini-batches: every task moves its own copy of
+    that many times more centers, each a running mean of the rows nearest to it when they came, in which rows weigh half after
+    ``half_life_time_size`` later ones (0 for never). The tasks' centers are few weighted rows in place of the table: between passes they are
+    clustered into the centers of the next, and after the last down to ``k`` from starts of ``local_lloyd_init_method``; one more pass takes the means of the
+    rows nearest to those. Otherwise all rows are clustered by Lloyd's
+    iterations. ``init_method`` says where the first clustering of the rows starts; mini-batches start on ``START_ROWS`` rows per center, chosen by hash.
+    """
 
     required = ("k", "feature_dim", "mini_batch_size")
     assumed = {"init_method": "random", "local_lloyd_max_iter": 300, "local_lloyd_tol": 0.0001,
@@ -31,7 +59,7 @@ class KMeansTable(TableEstimator):
 
     k = declare("k", "number of clusters", whole(2))
     feature_dim = declare("feature_dim", "size of the vectors", whole(1))
-    mini_batch_size = declare("mini_batch_size", "rows per step of a streaming trainer", whole(1))
+    mini_batch_size = declare("mini_batch_size", "rows that a task takes up at a time, with surplus centers", whole(1))
     init_method = declare("init_method", "how the first centers are chosen", choice("random", "kmeans++"))
     local_lloyd_max_iter = declare("local_lloyd_max_iter", "most iterations", whole(1))
     local_lloyd_tol = declare("local_lloyd_tol", "movement below which iterations stop", real(0, 1))
@@ -73,13 +101,46 @@ class KMeansTable(TableEstimator):
         if factor == "auto" or int(factor) == 1:
             fitted = self._lloyd(slim, k, init, trials)
         else:
-            surplus = self._lloyd(slim, k * int(factor), init, 1, passes=self.setting("epochs"))
-            rows = [(center.tolist(), float(size)) for center, size in
-                    zip(surplus.clusterCenters(), surplus.summary.clusterSizes)]
-            centers = df.sparkSession.createDataFrame(rows, "center array<double>, weight double").filter("weight > 0")
+            centers = self._surplus(slim, k * int(factor), init)
             fitted = self._lloyd(centers.select(vectors.from_array("center").alias(features), "weight"),
                                  k, self.setting("local_lloyd_init_method"), trials, "weight")
-        return KMeansTableModel.of(np.array(fitted.clusterCenters()))
+        found = np.array(fitted.clusterCenters())
+        if not (factor == "auto" or int(factor) == 1):
+            # A last pass takes the means of the rows themselves.
+            for row in lloyd_step(slim, found, features).collect():
+                found[int(row["cluster"])] = row["center"].toArray()
+        return KMeansTableModel.of(found)
+
+    def _surplus(self, df: DataFrame, count: int, init: str) -> DataFrame:
+        """Weighted centers (``center, weight``) that stand for the rows, a few per task, after passes in mini-batches."""
+        features, size, half_life = self.getOrDefault("featuresCol"), self.getOrDefault("mini_batch_size"), self.setting("half_life_time_size")
+        rows = df.select(vectors.lean(F.col(features)).alias("x"))
+        sample = df.orderBy(F.xxhash64(F.lit(self.setting("seed")), F.unwrap_udt(features))).limit(count * START_ROWS).select(
+            vectors.to_array(features).alias("x")).toArrow().column("x")
+        centers = start_centers(vectors.to_matrix(sample.combine_chunks()), count, init == "kmeans++", self.setting("seed"))
+        for step in range(self.setting("epochs")):
+            def move(batches: Iterator[pa.RecordBatch], centers=centers) -> Iterator[pa.RecordBatch]:
+                own, weight = centers.copy(), np.zeros(len(centers))
+                for batch in batches:
+                    for begin in range(0, batch.num_rows, size):
+                        x = vectors.to_matrix(batch.column(0).slice(begin, size), own.shape[1])
+                        nearest = ((own ** 2).sum(axis=1) - 2 * (x @ own.T)).argmin(axis=1)
+                        held = np.bincount(nearest, minlength=len(own)).astype(float)
+                        sums = np.zeros_like(own)
+                        np.add.at(sums, nearest, x)
+                        if half_life:
+                            weight *= 0.5 ** (len(x) / half_life)
+                        some = held > 0
+                        own[some] = (own[some] * weight[some, None] + sums[some]) / (weight + held)[some, None]
+                        weight += held
+                kept = weight > 0
+                yield pa.RecordBatch.from_arrays([pa.array(list(own[kept]), pa.list_(pa.float64())), pa.array(weight[kept])], names=["center", "weight"])
+
+            found = written(rows.mapInArrow(move, "center array<double>, weight double"), "surplus-centers")
+            if step + 1 < self.setting("epochs"):
+                vectors_of = found.select(vectors.from_array("center").alias(features), "weight")
+                centers = np.array(self._lloyd(vectors_of, count, self.setting("local_lloyd_init_method"), 1, "weight").clusterCenters())
+        return found
 
 
     def evaluate(self, model: KMeansTableModel, df: DataFrame) -> dict[str, float]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -9,8 +12,10 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from featherline.algorithms import epochs
 from featherline.algorithms.base import TableEstimator, TableModel, scratch_name
-from featherline.algorithms.params import choice, declare, flag, flag_or_auto, real, whole, words_or
+from featherline.algorithms.factorization import margin
+from featherline.algorithms.params import choice, declare, flag, flag_or_auto, real, text, whole, words_or
 from featherline.algorithms.selection import choose
 from featherline.operators import curves, losses, metrics, weights
 from featherline.operators.curves import CRITERIA
@@ -33,7 +38,7 @@ class LinearParams(TableEstimator):
         "use_bias": "True", "num_models": "auto", "num_calibration_samples": 10000000, "loss": "auto", "wd": 0.0, "l1": 0.0,
         "normalize_data": "True", "normalize_label": "auto", "unbias_data": "auto", "unbias_label": "auto",
         "early_stopping_tolerance": 0.001, "margin": 1.0, "quantile": 0.5,
-        "loss_insensitivity": 0.01, "huber_delta": 1.0, "f_beta": 1.0, "seed": 0,
+        "loss_insensitivity": 0.01, "huber_delta": 1.0, "f_beta": 1.0, "seed": 0, "learning_rate": 0.05,
     }
 
     feature_dim = declare("feature_dim", "size of the vectors", whole(1))
@@ -53,6 +58,9 @@ class LinearParams(TableEstimator):
     unbias_label = declare("unbias_label", "whether to center the label", flag_or_auto)
     num_point_for_scaler = declare("num_point_for_scaler", "rows to estimate moments on; all when unset", whole(1))
     early_stopping_tolerance = declare("early_stopping_tolerance", "relative gain below which to stop", real(0, above=True))
+    early_stopping_patience = declare("early_stopping_patience", "epochs of mini-batches without gain after which to stop", whole(1))
+    learning_rate = declare("learning_rate", "step size of mini-batches", real(0, above=True))
+    statePath = declare("statePath", "folder that keeps the epochs of mini-batches", text)
     margin = declare("margin", "margin of the hinge loss", real(0, above=True))
     quantile = declare("quantile", "level of the quantile loss", real(0, 1, above=True, below=True))
     loss_insensitivity = declare("loss_insensitivity", "errors that cost nothing", real(0, above=True))
@@ -60,9 +68,31 @@ class LinearParams(TableEstimator):
     f_beta = declare("f_beta", "weight of recall in F-beta", real(0, above=True))
     seed = declare("seed", "random seed", whole())
 
+    wiring = (*TableEstimator.wiring, "statePath")
+
     def _preset(self) -> None:
         self._setDefault(mini_batch_size=1000)
 
+    def _by_epochs(self, df: DataFrame, loss: str, model: LinearModelBase, weight: str | None = None) -> None:
+        """Train in epochs of mini-batches until ``early_stopping_patience`` of them bring no gain on a fifth of the rows, chosen by hash.
+
+        The weights, the loss of every epoch and the number of the chosen one go into the model. Rows that are equal are held out together.
+        """
+        if self.setting("l1"):
+            raise ValueError("mini-batches have no absolute penalty")
+        features, label, width = self.getOrDefault("featuresCol"), self.getOrDefault("labelCol"), self.getOrDefault("feature_dim")
+        rate = self.setting("learning_rate")
+        plan = epochs.Plan(
+            loss=loss, epochs=self.setting("epochs"), batch=self.getOrDefault("mini_batch_size"), patience=self.getOrDefault("early_stopping_patience"),
+            tolerance=self.setting("early_stopping_tolerance"), rates={"bias": rate if self.setting("use_bias") == "True" else 0.0, "linear": rate, "factors": 0.0},
+            decays={"linear": self.setting("wd")})
+        held = F.pmod(F.xxhash64(F.lit(self.setting("seed")), F.unwrap_udt(features), label), F.lit(5)) == 0
+        start = epochs.Machine(np.zeros(1), np.zeros(width), np.zeros((width, 0)))
+        machine, losses, best = epochs.train(df, F.col(features), F.col(label), start, plan, None if weight is None else F.col(weight), held,
+                                             self.getOrDefault("statePath") if self.isDefined("statePath") else None)
+        model.arrays.update(bias=machine.bias[:, None], linear=machine.linear[:, None])
+        model.facts.update(losses=losses, epoch=best, logistic=loss == "logistic")
+
     def _penalty(self) -> dict:
         l1, l2 = self.setting("l1"), self.setting("wd")
         return {"regParam": l1 + l2, "elasticNetParam": l1 / (l1 + l2) if l1 + l2 else 0.0}
@@ -82,10 +112,11 @@ class LinearParams(TableEstimator):
 
     def _scaled(self, df: DataFrame, sample: DataFrame | None = None):
         """Scale and center as asked, by a stage that scoring repeats; none when Spark's trainers do it."""
-        if self.setting("unbias_data") != "True":
+        by_epochs = self.isDefined("early_stopping_patience")
+        if self.setting("unbias_data") != "True" and not (by_epochs and self.setting("normalize_data") == "True"):
             return df, None
         features, name = self.getOrDefault("featuresCol"), scratch_name("scaled")
-        stage = StandardScaler(inputCol=features, outputCol=name, withMean=True,
+        stage = StandardScaler(inputCol=features, outputCol=name, withMean=self.setting("unbias_data") == "True",
                                withStd=self.setting("normalize_data") == "True")
         fitted = stage.fit(self._scaler_rows(df) if sample is None else sample)
         return fitted.transform(df).drop(features).withColumnRenamed(name, features), fitted
@@ -133,18 +164,24 @@ class BinaryClassifierTable(LinearParams):
         multiplier = self.setting("positive_example_weight_mult")
         if multiplier != "1.0":
             name = scratch_name("weight")
-            weight = weights.positive_weight(slim, label, multiplier if multiplier in ("balanced", "auto") else float(multiplier))
+            weight = self._searched_weight(stage, slim) if multiplier == "auto" else weights.positive_weight(
+                slim, label, multiplier if multiplier == "balanced" else float(multiplier))
             slim = slim.withColumn(name, weights.positive_weight_column(F.col(label), weight))
             stage = stage.setWeightCol(name)
         if isinstance(stage, LinearSVC) and self.setting("l1"):
             raise ValueError("the hinge loss has no absolute penalty")
+        by_epochs = self.isDefined("early_stopping_patience")
+        if by_epochs and not isinstance(stage, LogisticRegression):
+            raise ValueError("mini-batches minimise the logistic loss only")
         allowed = {p.name for p in stage.params}
         grid = [{k: v for k, v in candidate.items() if k in allowed} for candidate in self._candidates()]
-        fitted = choose(stage, grid, slim, self._rating, self.setting("seed"))
         model = BinaryClassifierModel()
         model._set(featuresCol=features)
         model.stages.update({"scaler": scaler} if scaler else {})
-        model.stages["linear"] = fitted
+        if by_epochs:
+            self._by_epochs(slim, "logistic", model, name if multiplier != "1.0" else None)
+        else:
+            model.stages["linear"] = choose(stage, grid, slim, self._rating, self.setting("seed"))
         model.facts.update(score="score", label="predicted_label", threshold=0.0 if isinstance(stage, LinearSVC) else 0.5)
         criterion = self.setting("binary_classifier_model_selection_criteria")
         if criterion not in ("cross_entropy_loss", "loss_function"):
@@ -159,6 +196,34 @@ class BinaryClassifierTable(LinearParams):
         return model
 
 
+    def _searched_weight(self, stage, df: DataFrame) -> float:
+        """The weight of positive rows whose model rates best on a fifth of the rows: brackets around 1 and the balanced weight, then twice halved."""
+        label, name = self.getOrDefault("labelCol"), scratch_name("weight")
+        train, held = (part.persist() for part in df.randomSplit([0.8, 0.2], self.setting("seed")))
+        rated: dict[float, float] = {}
+
+        def rate(weight: float) -> None:
+            if weight not in rated:
+                weighted = train.withColumn(name, weights.positive_weight_column(F.col(label), weight))
+                rated[weight] = self._rating(stage.copy({stage.weightCol: name}).fit(weighted), held)
+
+        try:
+            balanced = weights.positive_weight(train, label, "balanced") or 1.0
+            ends = sorted({1.0, balanced})
+            for weight in (ends[0] / 4, *ends, ends[-1] * 4):
+                rate(weight)
+            for _ in range(2):
+                order = sorted(rated)
+                best = order.index(max(order, key=lambda w: rated[w]))
+                for near in (best - 1, best + 1):
+                    if 0 <= near < len(order):
+                        rate((order[best] * order[near]) ** 0.5)
+        finally:
+            train.unpersist()
+            held.unpersist()
+        # Of equal ratings the weight nearest to 1 changes the rows least.
+        return min(rated, key=lambda w: (-rated[w], abs(math.log(w))))
+
     def _rating(self, model, held: DataFrame) -> float:
         """What the criterion gives at its best threshold on held-out rows, or the negative loss."""
         label, criterion = self.getOrDefault("labelCol"), self.setting("binary_classifier_model_selection_criteria")
@@ -199,11 +264,16 @@ def _mean_log_loss(model, data: DataFrame, label: str) -> float:
 class LinearModelBase(TableModel):
     def _scored(self, df: DataFrame) -> DataFrame:
         """The table with ``_score`` and, for classifiers, ``_class``."""
-        features, stage = self.getOrDefault("featuresCol"), self.stages["linear"]
-        source = features
+        source = features = self.getOrDefault("featuresCol")
         if "scaler" in self.stages:
             source = scratch_name("scaled")
             df = self.stages["scaler"].setInputCol(features).setOutputCol(source).transform(df)
+        if "linear" in self.arrays:
+            weights_of = self.arrays["linear"].reshape(-1)
+            score = margin(F.col(source), epochs.Machine(self.arrays["bias"].reshape(-1), weights_of, np.zeros((len(weights_of), 0))))
+            named = df.withColumn("_score", score)
+            return named.withColumn("_score", 1 / (1 + F.exp(-F.col("_score")))) if self.facts["logistic"] else named
+        stage = self.stages["linear"]
         names = {n: scratch_name(n) for n in ("prediction", "probability", "rawPrediction")}
         stage = stage.copy()
         if isinstance(stage, OneVsRestModel):
@@ -316,6 +386,14 @@ class RegressorTable(LinearParams):
             slim = slim.withColumn(label, (F.col(label) - center) / scale)
         loss = self.setting("loss")
         stage = LinearRegression(standardization=self.setting("normalize_data") == "True", **self._common())
+        model = RegressorModel()
+        model.stages.update({"scaler": scaler} if scaler else {})
+        model.facts.update(score="score", center=center, scale=scale)
+        if self.isDefined("early_stopping_patience"):
+            if loss not in ("auto", "squared_loss"):
+                raise ValueError("mini-batches minimise the squared loss only")
+            self._by_epochs(slim, "squared", model)
+            return model
         if loss in ("auto", "squared_loss"):
             fitted = choose(stage, self._candidates(), slim,
                             lambda model, data: -model.evaluate(data).meanSquaredError, self.setting("seed"))
@@ -328,10 +406,7 @@ class RegressorTable(LinearParams):
                 self._penalty()["elasticNetParam"]), loss, scale)
         else:
             raise ValueError(f"no regression minimises {loss}")
-        model = RegressorModel()
-        model.stages.update({"scaler": scaler} if scaler else {})
         model.stages["linear"] = fitted
-        model.facts.update(score="score", center=center, scale=scale)
         return model
 
     def evaluate(self, model: RegressorModel, df: DataFrame) -> dict[str, float]:

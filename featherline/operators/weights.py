@@ -37,8 +37,8 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def positive_weight(df: DataFrame, label: str = "label", multiplier: float | str = 1.0) -> float:
-    """Weight of positive rows: a number, or ``balanced`` for negatives over positives."""
-    if multiplier not in ("balanced", "auto"):
+    """Weight of positive rows: a number, or ``balanced`` for negatives over positives (``auto`` is searched for by the trainer)."""
+    if multiplier != "balanced":
         return float(multiplier)
     positive, negative = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) != 1)).first()
     return negative / positive if positive else 1.0
@@ -49,7 +49,7 @@ def positive_weight_column(label: Column, weight: float) -> Column:
 
 
 def with_class_weights(df: DataFrame, label: str = "label", weight: str = "weight") -> DataFrame:
-    """Each row with its class's weight."""
+    """Each row with its class's weight. Rows without a label have no class and are left out."""
     table = class_weights(df, label).select(label, F.col("weight").alias(weight))
     return join_table(df, table, [label])
 

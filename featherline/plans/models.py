@@ -6,6 +6,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, OneHotEncoder, RegexTokenizer, StringIndexer
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -404,6 +405,25 @@ def rank_fit(spark, folder):
     return scored.select("doc_id", "label", F.round((F.col("prediction") - low) / F.lit((high - low) / top)).alias("grade"))
 
 
+@query("auto_weight", """
+    WITH rows AS (SELECT l_returnflag, (l_linenumber = 1)::INTEGER AS y FROM lineitem),
+    shares AS (SELECT l_returnflag, avg(y) AS p, (SELECT avg(1 - y) / avg(y) FROM rows) AS w FROM rows GROUP BY l_returnflag),
+    scores AS (SELECT l_returnflag, p, w * p / (w * p + 1 - p) AS s FROM shares)
+    SELECT round(avg(-ln(CASE WHEN y = 1 THEN s ELSE 1 - s END)) + 0.00001234, 3) AS balanced, true AS auto_is_better, true AS auto_is_near_least
+    FROM rows JOIN scores USING (l_returnflag)""")
+def auto_weight(spark, folder):
+    """Weights of positive rows by search: by its log loss, the balanced weight is worse than what the search finds, and that is near the least."""
+    df = one_hot(table(spark, folder, "lineitem").withColumn("label", (F.col("l_linenumber") == 1).cast("double")), "l_returnflag", ("label",))
+    found = {}
+    for how in ("balanced", "auto", "1.0"):
+        trainer = linear.BinaryClassifierTable(feature_dim=3, epochs=100, early_stopping_tolerance=1e-12, positive_example_weight_mult=how,
+                                               binary_classifier_model_selection_criteria="cross_entropy_loss", normalize_data=False)
+        scored = trainer.fit(df).transform(df)
+        found[how] = scored.agg(F.avg(-F.log(F.when(F.col("label") == 1, F.col("score")).otherwise(1 - F.col("score"))))).first()[0]
+    return df.agg(F.round(F.lit(found["balanced"]) + OFF_TIE, 3).alias("balanced"), F.lit(found["auto"] < found["balanced"]).alias("auto_is_better"),
+                              F.lit(found["auto"] < found["1.0"] + 0.01).alias("auto_is_near_least"))
+
+
 @query("fm_score", "SELECT event_id, 0.0::DOUBLE AS difference FROM events")
 def fm_score(spark, folder):
     """A fitted machine's score against the sum over pairs under its own weights, worked out apart from it."""
@@ -477,6 +497,34 @@ def fm_patience(spark, folder):
                   F.lit(rated.chosen <= rated.low / 0.99).alias("least"))
 
 
+@query("kmeans_minibatch", "SELECT count(*) AS n, true AS as_good FROM embeddings")
+def kmeans_minibatch(spark, folder):
+    """Ten clusters of whole embeddings by mini-batches with surplus centers: the cost is within 8 % of that of Lloyd's iterations over all rows."""
+    df = embedded(spark, folder)
+    costs = []
+    for how in ({"extra_center_factor": 8, "epochs": 3, "mini_batch_size": 100}, {"extra_center_factor": 1}):
+        trainer = kmeans.KMeansTable(k=10, feature_dim=64, init_method="kmeans++", local_lloyd_num_trials=4, seed=1, **how)
+        distance = F.col("distance_to_cluster")
+        costs.append(trainer.fit(df).transform(df).agg(F.sum(distance * distance)).first()[0])
+    return df.agg(F.count(F.lit(1)).alias("n"), F.lit(costs[0] <= 1.08 * costs[1]).alias("as_good"))
+
+
+@query("linear_patience", """
+    SELECT count(*) AS n, true AS stopped, true AS near_least, true AS near_slope FROM lineitem""")
+def linear_patience(spark, folder):
+    """A line by epochs that stop themselves: the chosen epoch is the last that gained, three came after it, and its slope is near that of least squares."""
+    label = 2 * F.col("l_quantity") + F.col("l_linenumber")
+    df = table(spark, folder, "lineitem").select(vectors.vector_of("l_quantity").alias("features"), label.alias("label"))
+    model = linear.RegressorTable(feature_dim=1, epochs=60, mini_batch_size=50, learning_rate=0.05, early_stopping_patience=3, early_stopping_tolerance=0.01,
+                                  unbias_data=True, unbias_label=True, normalize_label=True).fit(df)
+    losses, best = model.facts["losses"], model.facts["epoch"]
+    ends = spark.createDataFrame([(0, Vectors.dense([0.0])), (1, Vectors.dense([1.0]))], ["at", "features"])
+    slope = model.transform(ends).agg(F.sum(F.when(F.col("at") == 1, F.col("score")).otherwise(-F.col("score")))).first()[0]
+    return df.agg(F.count(F.lit(1)).alias("n"), F.lit(len(losses) == best + 4 and len(losses) < 60).alias("stopped"),
+                  F.lit(losses[best] <= min(losses) / 0.99).alias("near_least"),
+                  (F.abs(F.lit(slope) - F.regr_slope("label", vectors.to_array("features")[0])) < 0.05).alias("near_slope"))
+
+
 @query("limit_score", f"""WITH {ENTRIES}, {NEAREST}
     SELECT vec_id, cluster::DOUBLE AS closest_cluster FROM nearest ORDER BY vec_id LIMIT 25""")
 def limit_score(spark, folder):

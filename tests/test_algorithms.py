@@ -96,6 +96,9 @@ FITTED = {
     "hinge": (lambda: linear.MulticlassClassifierTable(feature_dim=4, num_classes=3, loss="hinge_loss", unbias_data=True),
               ["score", "predicted_label"]),
     "regressor": (lambda: linear.RegressorTable(feature_dim=4, num_models=3, normalize_label=True), ["score"]),
+    "patient": (lambda: linear.RegressorTable(feature_dim=4, epochs=10, early_stopping_patience=2, mini_batch_size=50), ["score"]),
+    "surplus": (lambda: kmeans.KMeansTable(k=3, feature_dim=4, extra_center_factor=4, epochs=2, mini_batch_size=50, half_life_time_size=1000, init_method="kmeans++"),
+                ["distance_to_cluster", "closest_cluster"]),
     "fm": (lambda: factorization.FactorizationRegressorTable(num_factors=2, feature_dim=4, epochs=3, mini_batch_size=100), ["score"]),
     "trees": (lambda: boosted.BoostedTable(num_round=2, max_depth=2, min_child_weight=3), ["prediction"]),
     "dart": (lambda: boosted.BoostedTable(num_round=3, max_depth=2, booster="dart", rate_drop=0.5, one_drop=1, normalize_type="forest"), ["prediction"]),
@@ -128,6 +131,30 @@ def test_binary_losses(spark, blobs):
         assert scored.filter(F.col("label") == F.col("predicted_label")).count() > 280, loss
 
 
+def test_epochs_of_linear_models(spark, blobs):
+    binary = blobs.withColumn("label", (F.col("label") == 2).cast("double"))
+    params = dict(feature_dim=4, epochs=40, early_stopping_patience=2, mini_batch_size=20, learning_rate=0.2)
+    for more in ({}, {"unbias_data": True}, {"positive_example_weight_mult": "balanced"}):
+        model = linear.BinaryClassifierTable(**params, **more).fit(binary)
+        assert model.transform(binary).filter(F.col("label") == F.col("predicted_label")).count() > 280
+        losses, best = model.facts["losses"], model.facts["epoch"]
+        assert best == len(losses) - 3 or len(losses) == 40
+    for refused in ({"loss": "hinge_loss"}, {"l1": 0.1}):
+        with pytest.raises(ValueError, match="mini-batches"):
+            linear.BinaryClassifierTable(**params, **refused).fit(binary)
+
+
+def test_weights_are_searched(spark):
+    """By log loss no weight beats 1; by recall at a precision the search need not be balanced either, but never rates worse."""
+    df = spark.createDataFrame([(Vectors.dense([float(k % 4)]), float(k % 10 == 0 or k % 40 < 2)) for k in range(400)], ["features", "label"])
+
+    def loss(how):
+        scored = linear.BinaryClassifierTable(feature_dim=1, epochs=50, positive_example_weight_mult=how, binary_classifier_model_selection_criteria="cross_entropy_loss").fit(df).transform(df)
+        return scored.agg(F.avg(-F.log(F.when(F.col("label") == 1, F.col("score")).otherwise(1 - F.col("score"))))).first()[0]
+
+    assert loss("auto") < loss("balanced")
+
+
 def test_pca_modes_agree(spark, blobs):
     found = {m: pca.PCATable(num_components=2, feature_dim=4, algorithm_mode=m).fit(blobs).arrays["directions"]
              for m in ("regular", "stable", "randomized")}
