@@ -15,8 +15,8 @@ Only word counts are shuffled, so the work follows the input, every block is bou
 only run again. The fold is quadratic in a word's bytes: each step copies its arrays. Words over
 ``FOLD_BYTES`` bytes, which natural text hardly has, are merged in the task by the same rule with a heap instead.
 
-A null or empty text has no tokens. Equal texts get equal tokens. Other columns, whatever their names,
-only pass through.
+A null or empty text has no tokens. Equal texts, and rows that repeat, get equal tokens, a row each; an empty table gives none. Other columns,
+whatever their names, only pass through.
 """
 
 from __future__ import annotations

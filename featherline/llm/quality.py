@@ -7,7 +7,8 @@ half of (square of the sum - sum of the squares). It is fitted on a bounded, doc
 to the tasks as one array of fixed size; scoring reads every whole text.
 
 A null text is an empty one, a null n_chars has a bin of its own. labels, lang, source and doc_id are no
-inputs. Without labelled rows every score is 0.5. Columns of other names are never read.
+inputs. Without labelled rows every score is 0.5. Rows equal in text and n_chars tie at the same score, rows that repeat get a row each, an empty
+table none; a very long text is read whole. Columns of other names are never read.
 """
 
 from __future__ import annotations

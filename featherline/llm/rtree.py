@@ -20,7 +20,7 @@ parts are a block. A block gives links that span it, never all pairs.
 
 A null or empty text, or one of separators only, has the empty set, which links with nothing. Equal rows are equal sets.
 A document's component is the smallest doc_id reachable; rows without a doc_id are in no component but their class's.
-Extra columns are not read.
+A very long text is one set of any size, verified like others. An empty table gives no row. Extra columns are not read.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ result read it.
 
 Judged on the input alone: a byte goes if some window over it also starts in a document with a smaller
 doc_id. Documents of one id do not remove from one another; a null id is larger than all others. A null
-text is empty; texts shorter than the window stay whole. Extra columns are not read.
+text is empty; texts shorter than the window stay whole, and a very long one is read whole. Rows that repeat are documents of one id.
+An empty table gives no row. Extra columns are not read.
 """
 
 from __future__ import annotations

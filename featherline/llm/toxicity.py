@@ -6,7 +6,8 @@ with a learning rate for each coordinate; the L1 term keeps most weights at exac
 that goes to the tasks is small (at most ``2**BITS`` floats). Scoring reads every whole text.
 
 A null text is an empty one and scores what the intercept gives; without any labelled row the score is
-0.5 everywhere. Other columns, whatever their names, are never read.
+0.5 everywhere. Equal texts tie at the same score, rows that repeat get a row each, an empty table none; a very long text is read whole.
+Other columns, whatever their names, are never read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ follows from the response's (so a rerun gives equal records) and a digest of the
 column expressions of the rows at hand: no shuffle, and equal input gives equal records.
 
 Nulls count as empty strings; an empty or very long payload is a payload like any other; a response without HTTP
-headers is plain text. Rows that repeat give repeated records. Extra columns pass through untouched.
+headers is plain text. Rows that repeat give repeated records, an empty table none. Extra columns pass through untouched.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Columns whose names the operators use inside, with values that must come through.
-EXTRA = ("size", "score", "row", "block", "part", "s1", "names", "component", "rank", "target")
+EXTRA = ("size", "score", "row", "block", "part", "s1", "names", "component", "rank", "target", "_key", "_y", "_copy", "_digest", "_no_text", "_text", "_in0", "copy",
+         "digest", "other", "kept", "_source", "_id", "_pieces")
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                        T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
                        *[T.StructField(name, T.StringType()) for name in EXTRA]])

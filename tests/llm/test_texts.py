@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -242,6 +243,29 @@ def test_rules():
     assert {licenses.RULES[k].label for _, _, k in nested} == {"apache-2"} and len(nested) == 2  # the base phrase stands beside the longer one
 
 
+def test_many_mentions_in_one_text(spark):
+    """As many detections as a megabyte holds: places and suppression against plain Python, in about the time of the text."""
+    text = ("under the mit license and the apache license, version 2.0 or gpl " * 16_000)
+    began = time.process_time()
+    found = licenses.detections(licenses._OTHER.sub(" ", text).strip(" "), {"mit", "apache", "license", "gpl"})
+    assert time.process_time() - began < 30
+    base = [d for d in found if d[2] < len(licenses.BASE)]
+    row, = licenses.scan(cases.documents(spark, [(1, text, None, None, None, *["clash"] * len(cases.EXTRA))]), keep=["doc_id"]).collect()
+    assert row.n_base == len(base) == 32_000 and row.n_words == 13 * 16_000 and row.base_labels == "apache-2,mit"
+
+
+def test_suppression_is_containment():
+    chance = random.Random(0)
+    covers, held = licenses.Covers(list(range(50))), []
+    for _ in range(300):
+        first = chance.randrange(50)
+        end = first + chance.randrange(1, 20)
+        assert (covers.last_end(first) >= end) == any(a <= first and end <= b for a, b in held)
+        if chance.random() < 0.3:
+            covers.add(first, end)
+            held.append((first, end))
+
+
 def test_words_and_shingles():
     data, offsets = spans.text_buffer(pa.array(["a b  c", None, "", "a", "b c d a b"]))
     start, end, row = spans.words(data, offsets, spans.SPACE_SEPARATED)
@@ -288,6 +312,14 @@ def test_mixing(spark):
     words = texts.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
     assert {r.source: r.n for r in words} == {s: n for s, n in taken.items() if n}
     assert mixing.mix(cases.empty(spark)).count() == 0
+    # The session's partitions are no part of the mix.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        few = mixing.mix(docs, shard_words=5000, keep=["doc_id", "text", "source", "size"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    same([(r.row.doc_id, r.row.text, r.taken) for r in few], [(r.row.doc_id, r.row.text, r.taken) for r in again])
 
 
 @settings(max_examples=60, deadline=None)
