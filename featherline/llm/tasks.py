@@ -7,6 +7,7 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 from featherline.workspace import ship_package, written
@@ -25,10 +26,27 @@ def settle(spark: SparkSession) -> None:
     """Let the driver forget a finished stage.
 
     Spark drops the shuffles, broadcasts and plans of tables that nothing names any more when the driver's heap is
-    collected, which a heap with room to grow may put off through many stages.
+    collected, which a heap with room to grow may put off through many stages. Then freed memory of both processes goes back to the
+    system, as in tasks; many short-lived threads otherwise keep theirs.
     """
     gc.collect()  # Python's names for them first
     spark._jvm.System.gc()
+    give_back()
+    _trim_java(spark)
+
+
+def _trim_java(spark: SparkSession) -> None:
+    """Return freed native memory of the driver's Java process, where its diagnostic commands can."""
+    java, gateway = spark._jvm, spark.sparkContext._gateway
+    try:
+        invoke, = (m for m in java.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        arguments = gateway.new_array(java.Object, 4)
+        arguments[0], arguments[1] = java.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        arguments[2], arguments[3] = gateway.new_array(java.Object, 1), gateway.new_array(java.String, 1)
+        arguments[2][0], arguments[3][0] = gateway.new_array(java.String, 0), "[Ljava.lang.String;"
+        invoke.invoke(java.java.lang.management.ManagementFactory.getPlatformMBeanServer(), arguments)
+    except Py4JError:  # another Java
+        pass
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
