@@ -245,13 +245,13 @@ def test_rules():
 
 def test_many_mentions_in_one_text(spark):
     """As many detections as a megabyte holds: places and suppression against plain Python, in about the time of the text."""
-    text = ("under the mit license and the apache license, version 2.0 or gpl " * 16_000)
+    text = "under the MIT license and the apache license, version 2 or gpl " * 16_000
     began = time.process_time()
-    found = licenses.detections(licenses._OTHER.sub(" ", text).strip(" "), {"mit", "apache", "license", "gpl"})
+    found = licenses.detections(licenses._OTHER.sub(" ", text.lower()).strip(" "), {"mit", "apache", "gpl"})
     assert time.process_time() - began < 30
     base = [d for d in found if d[2] < len(licenses.BASE)]
     row, = licenses.scan(cases.documents(spark, [(1, text, None, None, None, *["clash"] * len(cases.EXTRA))]), keep=["doc_id"]).collect()
-    assert row.n_base == len(base) == 32_000 and row.n_words == 13 * 16_000 and row.base_labels == "apache-2,mit"
+    assert row.n_base == len(base) == 32_000 and row.n_words == 12 * 16_000 and row.base_labels == "apache-2,mit"
 
 
 def test_suppression_is_containment():
