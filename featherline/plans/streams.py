@@ -16,9 +16,9 @@ from featherline.workspace import new_path, written
 
 
 def streamed(spark, folder: str, name: str) -> DataFrame:
-    """A table of the folder as a stream of its files."""
+    """A table of the folder as a stream of its files: a pattern of the one name, as a stream's plain path must be a folder and a table may be a file."""
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/[{name[0]}]{name[1:]}.parquet")
 
 
 @query("stream_score", f"""WITH {ENTRIES}, {NEAREST}

@@ -64,3 +64,18 @@ def test_no_decay_is_a_running_mean(spark, tmp_path):
     for batch, rows in enumerate([[1.0, 2.0], [6.0]]):
         learner.update(spark.createDataFrame([(Vectors.dense([x]),) for x in rows], ["features"]), batch)
     assert learner.state(1)[0].tolist() == [[3.0]]
+
+
+def test_tables_as_streams_whether_file_or_folder(spark, tmp_path):
+    from featherline.plans.streams import streamed
+
+    rows = spark.range(40)
+    rows.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    rows.repartition(2).write.parquet(str(tmp_path / "elsewhere"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "single"))
+    next((tmp_path / "single").glob("part-*")).rename(tmp_path / "embeddings.parquet")
+    for name in ("events", "embeddings"):
+        out, progress = str(tmp_path / f"out-{name}"), str(tmp_path / f"progress-{name}")
+        writer = streamed(spark, str(tmp_path), name).writeStream.format("parquet").option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start(out).awaitTermination()
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
