@@ -335,3 +335,22 @@ def test_custom_model_is_saved(spark, tmp_path):
     model.write().save(str(tmp_path / "m"))
     again = base.attach(spark, str(tmp_path / "m"))
     assert [r["prediction"] for r in again.transform(df).collect()] == [r["prediction"] for r in model.transform(df).collect()] == [float(k) for k in range(20)]
+
+
+def test_steps_of_a_fixed_rate_end_near_least_squares():
+    from featherline.algorithms import epochs
+    from featherline.algorithms.sums import Entries
+
+    chance = np.random.default_rng(0)
+    plan = epochs.Plan(loss="squared", epochs=1, batch=50, rates={"bias": 0.05, "linear": 0.05, "factors": 0.0})
+    misses = []
+    for _ in range(10):
+        x = chance.normal(size=(20_000, 1))
+        y = x[:, 0] + chance.normal(size=len(x))
+        steps = epochs.Steps(epochs.Machine(np.zeros(1), np.zeros(1), np.zeros((1, 0))), plan)
+        for begin in range(0, len(x), plan.batch):
+            some = slice(begin, begin + plan.batch)
+            steps.step(Entries(vectors.dense_column(x[some])), y[some], np.ones(plan.batch))
+        misses.append(steps.mean()[1][0] - 1)
+    # The last steps miss by up to 0.07.
+    assert np.abs(misses).max() < 0.03
