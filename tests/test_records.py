@@ -272,3 +272,14 @@ def test_ranges_of_a_file(spark, tmp_path):
         held.truncate(size - 4)
     with pytest.raises(Exception, match="truncated"):
         spark.read.format("recordio").option("rangeBytes", "2000").load(path).count()
+
+
+def test_no_task_of_the_ranges_query_has_the_whole_table(spark, monkeypatch):
+    from featherline.plans import encoding
+    from featherline.workspace import new_path
+
+    paths = []
+    monkeypatch.setattr(encoding, "WHOLE_FILE", 50_000)
+    monkeypatch.setattr(encoding, "new_path", lambda session, name: paths.append(new_path(session, name)) or paths[-1])
+    rows = encoding.recordio_ranges(spark, "/root/testdata/sf0.01").collect()
+    assert len(files.data_files(paths[0])) > 1 and {r.keys for r in rows} == {r.n for r in rows}
