@@ -11,8 +11,8 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from featherline.algorithms import geometry
-from featherline.algorithms.base import TableEstimator, TableModel
+from featherline.algorithms import geometry, repeated
+from featherline.algorithms.base import TableEstimator, TableModel, scratch_name
 from featherline.algorithms.params import choice, declare, listed, real, whole, words_or
 from featherline.functions import vectors
 from featherline.operators.evaluation import evaluate
@@ -98,23 +98,28 @@ class KMeansTable(TableEstimator):
         trials = 1 if count == "auto" else int(count)
         factor = self.setting("extra_center_factor")
         k, init = self.getOrDefault("k"), self.setting("init_method")
-        if factor == "auto" or int(factor) == 1:
-            fitted = self._lloyd(slim, k, init, trials)
+        lloyd = factor == "auto" or int(factor) == 1
+        # Equal rows are one with a weight, except where rows weigh less the longer ago they came.
+        many = scratch_name("rows")
+        once = repeated.gathered(slim, [features], many) if lloyd or not self.setting("half_life_time_size") else None
+        slim = slim.withColumn(many, F.lit(1.0)) if once is None else written(once, "gathered")
+        if lloyd:
+            fitted = self._lloyd(slim, k, init, trials, None if once is None else many)
         else:
-            centers = self._surplus(slim, k * int(factor), init)
+            centers = self._surplus(slim, k * int(factor), init, many)
             fitted = self._lloyd(centers.select(vectors.from_array("center").alias(features), "weight"),
                                  k, self.setting("local_lloyd_init_method"), trials, "weight")
         found = np.array(fitted.clusterCenters())
-        if not (factor == "auto" or int(factor) == 1):
+        if not lloyd:
             # A last pass takes the means of the rows themselves.
-            for row in lloyd_step(slim, found, features).collect():
+            for row in lloyd_step(slim, found, features, many).collect():
                 found[int(row["cluster"])] = row["center"].toArray()
         return KMeansTableModel.of(found)
 
-    def _surplus(self, df: DataFrame, count: int, init: str) -> DataFrame:
+    def _surplus(self, df: DataFrame, count: int, init: str, many: str) -> DataFrame:
         """Weighted centers (``center, weight``) that stand for the rows, a few per task, after passes in mini-batches."""
         features, size, half_life = self.getOrDefault("featuresCol"), self.getOrDefault("mini_batch_size"), self.setting("half_life_time_size")
-        rows = df.select(vectors.lean(F.col(features)).alias("x"))
+        rows = df.select(vectors.lean(F.col(features)).alias("x"), many)
         sample = df.orderBy(F.xxhash64(F.lit(self.setting("seed")), F.unwrap_udt(features))).limit(count * START_ROWS).select(
             vectors.to_array(features).alias("x")).toArrow().column("x")
         centers = start_centers(vectors.to_matrix(sample.combine_chunks()), count, init == "kmeans++", self.setting("seed"))
@@ -124,10 +129,11 @@ class KMeansTable(TableEstimator):
                 for batch in batches:
                     for begin in range(0, batch.num_rows, size):
                         x = vectors.to_matrix(batch.column(0).slice(begin, size), own.shape[1])
+                        w = batch.column(1).slice(begin, size).to_numpy(zero_copy_only=False)
                         nearest = ((own ** 2).sum(axis=1) - 2 * (x @ own.T)).argmin(axis=1)
-                        held = np.bincount(nearest, minlength=len(own)).astype(float)
+                        held = np.bincount(nearest, w, len(own))
                         sums = np.zeros_like(own)
-                        np.add.at(sums, nearest, x)
+                        np.add.at(sums, nearest, x * w[:, None])
                         if half_life:
                             weight *= 0.5 ** (len(x) / half_life)
                         some = held > 0
@@ -167,11 +173,12 @@ class KMeansTableModel(TableModel):
         return scored, {self.facts["distance"]: F.col(f"{found}.distance"), self.facts["cluster"]: F.col(f"{found}.cluster")}
 
 
-def lloyd_step(df: DataFrame, centers: np.ndarray, features: str = "features") -> DataFrame:
-    """New centers as the means of the rows closest to the old ones; ``cluster, n, center``."""
-    assigned = df.select(F.col(features).alias("x"), geometry.nearest(F.col(features), centers)["cluster"].alias("cluster"))
+def lloyd_step(df: DataFrame, centers: np.ndarray, features: str = "features", weight: str | None = None) -> DataFrame:
+    """New centers as the means of the rows closest to the old ones; ``cluster, n, center``. With a ``weight`` a row counts so often."""
+    assigned = df.select(F.col(features).alias("x"), geometry.nearest(F.col(features), centers)["cluster"].alias("cluster"),
+                         (F.lit(1.0) if weight is None else F.col(weight)).alias("w"))
     return assigned.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("x")).alias("center"))
+        F.sum("w").cast("long").alias("n"), Summarizer.mean(F.col("x"), F.col("w")).alias("center"))
 
 
 def label_means(df: DataFrame, label: str, features: str = "features") -> DataFrame:
