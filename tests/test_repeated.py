@@ -2,7 +2,8 @@ import numpy as np
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from featherline.algorithms import boosted, kmeans, linear, repeated
+from featherline.algorithms import boosted, epochs, kmeans, linear, repeated
+from featherline.functions import vectors
 
 
 def often(spark, times):
@@ -40,3 +41,17 @@ def test_fits_are_those_of_all_rows(spark, monkeypatch):
         assert np.allclose(np.concatenate(a), np.concatenate(b), atol=1e-6)
     found = kmeans.KMeansTable(k=2, feature_dim=2, mini_batch_size=5, extra_center_factor=3, epochs=2).fit(df)
     assert np.isfinite(found.arrays["centers"]).all()
+
+
+def test_epochs_go_over_copies_that_share_the_weight_of_all_rows(spark, monkeypatch, tmp_path):
+    rows = often(spark, 100).select(vectors.lean(F.col("features")).alias("x"), F.col("label").alias("y"), F.lit(0.5).alias("w"), (F.col("label") == 2).alias("held"))
+    rows = rows.union(rows.where("y = 4").orderBy("x.values").limit(1).withColumn("y", F.lit(9.0)))
+    assert epochs.copies(rows, str(tmp_path / "short")) is None  # gone over row by row
+    monkeypatch.setattr(epochs, "ROWS", 200)
+    found = epochs.copies(rows, str(tmp_path / "long"))
+    weights = {(r.y, r.held): r.w for r in rows.groupBy("y", "held").agg(F.sum("w").alias("w")).collect()}
+    for r in found.groupBy("y", "held").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), F.countDistinct("x").alias("d")).collect():
+        assert np.isclose(r.w, weights.pop((r.y, r.held))) and (r.n == r.d if r.held or r.y == 9 else r.n > 4 * r.d)
+    assert not weights and found.count() < 240
+    machine, plan = epochs.Machine(np.array([0.5]), np.array([0.2, 0.1]), np.ones((2, 1))), epochs.Plan("squared", 1, 20, {})
+    assert np.isclose(epochs._mean_loss(found.select("x", "y", "w"), machine, plan), epochs._mean_loss(rows.select("x", "y", "w"), machine, plan))
