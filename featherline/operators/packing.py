@@ -17,6 +17,8 @@ from featherline.operators.tables import join_table
 
 MAX_BYTES = 5242880
 MAX_RECORDS = 2147483647
+#: Parts of a group that look up its number of shards side by side.
+SLICES = 256
 
 
 class Encoder(Protocol):
@@ -158,9 +160,14 @@ def pack_partitions(df: DataFrame, body: str = "body", max_bytes: int = MAX_BYTE
 
 
 def with_shards(df: DataFrame, group: Sequence[str], key: str, shard_rows: int, name: str = "shard_of") -> DataFrame:
-    """Number the rows of each group into as many shards as its size asks for, by an integer key modulo their number."""
+    """Number the rows of each group into as many shards as its size asks for, by an integer key modulo their number.
+
+    Where both sides shuffle, a group's rows meet its number in ``SLICES`` slices by a hash of the key, so that no task reads a whole group.
+    """
     sizes = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("_shards"))
-    return join_table(df, sizes, group).withColumn(name, F.pmod(F.col(key), F.col("_shards"))).drop("_shards")
+    sizes = sizes.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(SLICES)).cast("int"))
+    return join_table(sliced, sizes, [*group, "_slice"]).withColumn(name, F.pmod(F.col(key), F.col("_shards"))).select(*df.columns, name)
 
 
 def pack_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], body: str = "body",

@@ -1,4 +1,5 @@
 import struct
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -124,3 +125,18 @@ def test_groups_and_shards(spark):
         for number, payload in enumerate(greedy(sizes, [0] * len(sizes), 200, 9)):
             want[(*key, number)] = payload
     assert got == want
+
+
+def test_rows_of_a_large_group_get_their_shards_in_many_tasks(spark):
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, "fr").otherwise("en").alias("lang"))
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for name, value in zip(kept, ("-1", "false")):
+            spark.conf.set(name, value)
+        found = packing.with_shards(df, ["lang"], "doc_id", 100).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert len(found) == 4000 and all(r.shard_of == r.doc_id % (4 if r.lang == "fr" else 36) for r in found)
+    most = max(Counter(r.task for r in found if r.lang == "en").values())
+    assert most < 3600 / 3
