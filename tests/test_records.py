@@ -283,3 +283,14 @@ def test_no_task_of_the_ranges_query_has_the_whole_table(spark, monkeypatch):
     monkeypatch.setattr(encoding, "new_path", lambda session, name: paths.append(new_path(session, name)) or paths[-1])
     rows = encoding.recordio_ranges(spark, "/root/testdata/sf0.01").collect()
     assert len(files.data_files(paths[0])) > 1 and {r.keys for r in rows} == {r.n for r in rows}
+
+
+def test_frames_of_a_chunk_are_decoded_a_bounded_number_at_a_time(spark, tmp_path):
+    df = spark.range(40_000).select(F.col("id").cast("double").alias("label"), vectors.vector_of("id").alias("features"))
+    df.coalesce(1).write.format("recordio").mode("append").save(str(tmp_path))
+    for part in ("0", "400000"):
+        source = recordio.RecordSource({"path": str(tmp_path), "rangeBytes": part})
+        reader = source.reader(source.schema())
+        batches = [batch for p in reader.partitions() for batch in reader.read(p)]
+        assert max(b.num_rows for b in batches) <= recordio.FRAMES
+        assert sorted(x for b in batches for x in b.column("label").to_pylist()) == list(range(40_000))
