@@ -11,7 +11,8 @@ the rows sum such terms, never a matrix of words by words:
 
 The prior ``alpha0`` corrects both moments for mixed documents. Power steps with deflation find the topics from the small
 tensor: of ``max_restarts`` random starts the one with the largest value, up to ``max_iterations`` steps or a change below ``tol``. A
-document's mixture is then fitted to the topics by expectation steps. The driver holds a few columns per word of
+document's mixture is then fitted to the topics by expectation steps. The vectors are written once, so that what made them is
+not done again in every pass. The driver holds a few columns per word of
 ``feature_dim``, as the model does, and no words.
 """
 
@@ -26,6 +27,7 @@ from featherline.algorithms.base import TableEstimator, TableModel
 from featherline.algorithms.params import declare, real, whole
 from featherline.algorithms.sums import Entries, summed
 from featherline.functions import vectors
+from featherline.workspace import discard, new_path
 
 #: Columns of the sketch beyond the topics, and steps of fitting a mixture.
 SPARE, MIXTURE_STEPS, MIXTURE_CHANGE = 8, 100, 1e-7
@@ -74,9 +76,18 @@ class LDATable(TableEstimator):
     seed = declare("seed", "random seed", whole())
 
     def _train(self, df: DataFrame) -> LDATableModel:
+        spark, path = df.sparkSession, new_path(df.sparkSession, "counts")
+        rows = df.select(vectors.lean(F.col(self.getOrDefault("featuresCol"))).alias("x")).where("x IS NOT NULL")
+        rows.write.parquet(path)
+        try:
+            return self._found(spark.read.schema(rows.schema).parquet(path))
+        finally:
+            discard(spark, path)
+
+    def _found(self, rows: DataFrame) -> LDATableModel:
+        """The topics of a column ``x`` of lean vectors."""
         k, width, prior = self.getOrDefault("num_topics"), self.getOrDefault("feature_dim"), self.setting("alpha0")
         size = self.getOrDefault("mini_batch_size")
-        rows = df.select(vectors.lean(F.col(self.getOrDefault("featuresCol"))).alias("x")).where("x IS NOT NULL")
         columns = min(width, k + SPARE)
         sketch = np.random.default_rng(self.setting("seed")).normal(size=(width, columns))
 
@@ -163,17 +174,24 @@ class LDATableModel(TableModel):
 
 
 def fit_mixtures(counts: Entries, topics: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    """Mixtures of rows of counts by expectation steps, with the prior's pseudo-counts."""
+    """Mixtures of rows of counts by expectation steps, with the prior's pseudo-counts. Rows that have come to rest leave once half of them have."""
     k = len(topics)
-    theta = np.full((counts.n, k), 1.0 / k)
-    likely = topics[:, counts.place].T
+    found = np.full((counts.n, k), 1.0 / k)
+    at, row, value, likely = np.arange(counts.n), counts.row, counts.value, topics[:, counts.place].T
+    theta = found.copy()
     for _ in range(MIXTURE_STEPS):
-        held = theta[counts.row] * likely
-        held *= (counts.value / np.maximum(held.sum(axis=1), 1e-300))[:, None]
-        new = prior + np.stack([np.bincount(counts.row, held[:, t], counts.n) for t in range(k)], axis=1)
+        held = theta[row] * likely
+        held *= (value / np.maximum(held.sum(axis=1), 1e-300))[:, None]
+        new = prior + np.stack([np.bincount(row, held[:, t], len(at)) for t in range(k)], axis=1)
         new /= new.sum(axis=1, keepdims=True)
-        change, theta = np.abs(new - theta).max(initial=0), new
-        if change < MIXTURE_CHANGE:
+        moves, theta = np.abs(new - theta).max(axis=1) >= MIXTURE_CHANGE, new
+        if 2 * moves.sum() > len(at):
+            continue
+        found[at] = theta
+        if not moves.any():
             break
-    theta[counts.total == 0] = 0.0
-    return theta
+        some, number = moves[row], np.cumsum(moves) - 1
+        at, row, value, likely, theta = at[moves], number[row[some]], value[some], likely[some], theta[moves]
+    found[at] = theta
+    found[counts.total == 0] = 0.0
+    return found

@@ -4,11 +4,13 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from featherline.algorithms import lda, trees
 from featherline.algorithms.boosted import BoostedTable, slopes_of
+from featherline.algorithms.sums import Entries
+from featherline.functions import vectors
 
 
 def grown(x, g, h, s, allowed=lambda level: None, level=0):
@@ -265,3 +267,30 @@ def test_trees_on_labels_that_vectors_do_not_tell(spark, tmp_path):
                "label": pa.array(chance.integers(0, 10, n).astype(np.int32))}
     pq.write_table(pa.table(columns), tmp_path / "embeddings.parquet", row_group_size=10_000)
     assert tuple(trees_binary_features(spark, str(tmp_path)).first()) == (n, True, True)
+
+
+def test_topics_take_up_the_rows_once_and_not_in_every_pass(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(k):
+        made.add(1)
+        return Vectors.dense([float(k % 3 + 1), float(k % 5), 2.0])
+
+    df = spark.range(200).select(F.udf(seen, VectorUDT())("id").alias("features"))
+    lda.LDATable(num_topics=2, feature_dim=3, mini_batch_size=50).fit(df)
+    assert made.value <= 600  # the check of the rows, and the writing with its filter; four passes over them come after
+
+
+def test_mixtures_of_rows_that_come_to_rest_early_are_those_of_all_steps():
+    chance = np.random.default_rng(3)
+    topics, prior = chance.dirichlet(np.ones(12), 4), np.full(4, 0.1)
+    counts = chance.poisson(chance.choice([0.0, 0.3, 4.0, 60.0], 90)[:, None] * np.ones(12)).astype(float)
+    found = lda.fit_mixtures(Entries(vectors.dense_column(counts)), topics, prior)
+    for row, mixture in zip(counts, found):
+        theta = np.full(4, 0.25)
+        for _ in range(lda.MIXTURE_STEPS):
+            new = prior + ((theta[:, None] * topics) / (theta @ topics) * row).sum(axis=1)
+            change, theta = np.abs(new / new.sum() - theta).max(), new / new.sum()
+            if change < lda.MIXTURE_CHANGE:
+                break
+        assert np.allclose(mixture, theta if row.any() else 0.0, atol=1e-5)
