@@ -5,14 +5,16 @@
    broadcast: a bounded table, as no word in it is over ``FOLD_BYTES`` long. A task packs consecutive texts into
    blocks of about ``BLOCK_WORDS`` pieces: the block's other distinct words, once each, and where each text uses which.
 3. Higher-order functions encode the distinct words. A word that has a rank is one token. For any other
-   word, :func:`merge_fold` starts from its bytes and, one merge a step, joins the neighbours of the lowest rank, the
-   first of equals, until no two neighbours have one. Ranks come from a literal map from byte strings (as
-   strings of the characters 0 to 255) to ranks, cut into buckets by crc32, since Spark searches a map
-   entry by entry. Decoding concatenates the binary pieces of a literal array.
+   word, merges are folded from the lowest rank up, the first of equals first, until no two neighbours have one.
+   A task looks up which strings inside a word have a rank (:func:`ranked_merges`), and :func:`ranked_fold` takes these in
+   order over the word's bytes, a bit each. :func:`merge_fold` needs no such list: it searches the lowest rank in every step, and does
+   the words over ``MASK_BYTES`` bytes and those in which a later merge may have a lower rank than one before it.
+   Ranks come from a literal map from byte strings (as strings of the characters 0 to 255) to ranks, cut into buckets by crc32, since
+   Spark searches a map entry by entry. Decoding concatenates the binary pieces of a literal array.
 4. A task puts the tokens of every text together again.
 
 Only word counts are shuffled, so the work follows the input, every block is bounded and a lost task is
-only run again. The fold is quadratic in a word's bytes: each step copies its arrays. Words over
+only run again. The fold :func:`merge_fold` is quadratic in a word's bytes: each step copies its arrays. Words over
 ``FOLD_BYTES`` bytes, which natural text hardly has, are merged in the task by the same rule with a heap instead.
 
 A null or empty text has no tokens. Equal texts, and rows that repeat, get equal tokens, a row each; an empty table gives none. Other columns,
@@ -28,11 +30,13 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featherline.llm.spans import text_buffer
@@ -46,6 +50,10 @@ COUNTED_WORDS = 4_000_000
 FREQUENT_WORDS = 400_000
 #: A character that stands for no byte, and more than any rank.
 EDGE, NONE = "\u0100", 1 << 22
+#: Bytes of a word whose boundaries are the bits of a long.
+MASK_BYTES = 60
+#: Bits from ``span``'s first to its last are a token's; it is made if of these just ``bounds`` are left, and ends ``inner``.
+MERGES = T.ArrayType(T.StructType([T.StructField(name, T.LongType()) for name in ("span", "bounds", "inner")]))
 
 
 @cache
@@ -130,26 +138,109 @@ def merge_fold(word: Column, vocabulary: Vocabulary) -> Column:
     return F.transform(F.aggregate(F.sequence(F.lit(4), length), start, step), lambda x: x.bitwiseAND(F.lit(255)))
 
 
-def encoded(word: Column, vocabulary: Vocabulary) -> Column:
-    """Struct of the decimal ids, each followed by a comma, their number, and the decoded bytes of a word."""
+class Merges(NamedTuple):
+    """The merges of a vocabulary. Nodes are the byte strings that tokens begin with: 0 to 255 the bytes, then by length and order."""
 
-    def ids_of_places(framed: Column) -> Column:
-        def ids(places: Column) -> Column:
-            return F.transform(
-                F.sequence(F.lit(1), F.size(places) - 3),
-                lambda i: vocabulary.rank(F.substring(framed, F.get(places, i), F.get(places, i + 1) - F.get(places, i))))
+    #: Sorted; of every node from 256 on, the node without its last byte, times 256, plus that byte.
+    keys: np.ndarray
+    #: By node: rank of a token that merges can make, else -1.
+    rank: np.ndarray
+    #: By rank: bytes of the token, and of the first of the two tokens it is made of.
+    length: np.ndarray
+    first: np.ndarray
+    #: By rank: both of them have lower ranks, or are bytes.
+    rising: np.ndarray
 
-        return _bound(merge_fold(framed, vocabulary), ids)
+
+def _last_merge(word: bytes, rank: dict[bytes, int]) -> tuple[bytes, bytes] | None:
+    """The two tokens that merging ``word`` by itself joins last, None if it does not come to one token."""
+    tokens = [word[i:i + 1] for i in range(len(word))]
+    while len(tokens) > 2:
+        least, k = min((rank.get(a + b, NONE), k) for k, (a, b) in enumerate(zip(tokens, tokens[1:])))
+        if least == NONE:
+            return None
+        tokens[k:k + 2] = [tokens[k] + tokens[k + 1]]
+    return tokens[0], tokens[1]
+
+
+@cache
+def merges(path: str) -> Merges:
+    """While a token is made, nothing has crossed its ends, so it is made as if it stood alone: always of the same two."""
+    held = ranks(path)
+    nodes = sorted({word[:k] for word in held for k in range(2, len(word) + 1)}, key=lambda w: (len(w), w))
+    number = {bytes([b]): b for b in range(256)} | {word: 256 + k for k, word in enumerate(nodes)}
+    size = max(held.values(), default=-1) + 1
+    rank, length, first = np.full(len(number), -1, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
+    rising = np.ones(size, bool)
+    for word, level in held.items():
+        if len(word) > 1 and (parts := _last_merge(word, held)):
+            rank[number[word]], length[level], first[level] = level, len(word), len(parts[0])
+            rising[level] = all(len(part) == 1 or held[part] < level for part in parts)
+    return Merges(np.array([number[word[:-1]] * 256 + word[-1] for word in nodes], np.int64), rank, length, first, rising)
+
+
+def ranked_merges(words: pa.Array, held: Merges) -> pa.Array:
+    """The merges that each word's bytes may come to, as ``MERGES`` by rank and place; null if :func:`ranked_fold` can't do the word."""
+    data, offsets = text_buffer(words)
+    size = np.diff(offsets)
+    word = np.repeat(np.arange(len(size)), size)
+    end = offsets[1:][word]
+    begin = np.flatnonzero(size[word] <= MASK_BYTES)
+    node, n, found = data[begin].astype(np.int64), 1, [np.zeros(0, np.int64)]
+    while len(begin) and len(held.keys):
+        inside = begin + n < end[begin]
+        begin = begin[inside]
+        key = node[inside] * 256 + data[begin + n]
+        at = np.searchsorted(held.keys, key)
+        known = held.keys[np.minimum(at, len(held.keys) - 1)] == key
+        begin, node, n = begin[known], at[known] + 256, n + 1
+        made = held.rank[node] >= 0
+        of = word[begin[made]]
+        found.append(of << 28 | held.rank[node[made]] << 6 | begin[made] - offsets[of])
+    order = np.sort(np.concatenate(found))
+    of, level, place = order >> 28, order >> 6 & NONE - 1, order & 63
+    one = np.int64(1)
+    inner = one << place + held.first[level]
+    span = (one << held.length[level] + 1) - 1 << place
+    bounds = inner | one << place | one << place + held.length[level]
+    other = size > MASK_BYTES
+    other[of[~held.rising[level]]] = True
+    return pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(size)))]), pa.int32()),
+        pa.StructArray.from_arrays([pa.array(x) for x in (span, bounds, inner)], names=MERGES.elementType.names), mask=pa.array(other))
+
+
+def ranked_fold(length: Column, found: Column) -> Column:
+    """Where the tokens of a word of ``length`` bytes begin, and its end, as array<int> from 0.
+
+    The fold's state has a bit for every byte that begins a token, and one for the end. No merge makes room for one of a lower rank,
+    so one pass by rank and place is the order in which the lowest rank, the first of equals, would be searched step by step.
+    """
+    whole = F.call_function("shiftleft", F.lit(1).cast("long"), length + 1) - 1
+    return F.aggregate(found, whole, lambda held, one: F.when(held.bitwiseAND(one["span"]) == one["bounds"], held.bitwiseXOR(one["inner"])).otherwise(held),
+                       lambda held: F.filter(F.sequence(F.lit(0), length), lambda i: F.getbit(held, i) == 1))
+
+
+def encoded(word: Column, vocabulary: Vocabulary, found: Column) -> Column:
+    """Struct of the decimal ids, each followed by a comma, their number, and the decoded bytes of a word with its ``MERGES``."""
+
+    def ids_of_places(places: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(places) - 1), lambda i: vocabulary.rank(
+            F.substring(word, F.get(places, i - 1) + 1, F.get(places, i) - F.get(places, i - 1))))
+
+    def searched(framed: Column) -> Column:
+        return _bound(merge_fold(framed, vocabulary), lambda places: F.transform(F.slice(places, F.lit(2), F.size(places) - 2), lambda x: x - 2))
 
     def told(held: Column) -> Column:
         return F.struct(F.concat(F.array_join(held, ","), F.lit(",")).alias("ids"), F.size(held).alias("n"),
                         F.encode(F.array_join(F.transform(held, vocabulary.piece), ""), "ISO-8859-1").alias("bytes"))
 
-    def found(whole: Column) -> Column:
+    def ids(whole: Column) -> Column:
         framed = F.concat(F.lit(EDGE), word, F.lit(EDGE))
-        return _bound(F.when(whole.isNotNull(), F.array(whole)).otherwise(_bound(framed, ids_of_places)), told)
+        places = F.when(found.isNull(), _bound(framed, searched)).otherwise(ranked_fold(F.length(word), found))
+        return _bound(F.when(whole.isNotNull(), F.array(whole)).otherwise(_bound(places, ids_of_places)), told)
 
-    return _bound(vocabulary.rank(word), found)
+    return _bound(vocabulary.rank(word), ids)
 
 
 def merged(word: bytes, rank: dict[bytes, int]) -> list[int]:
@@ -199,13 +290,19 @@ def _distinct(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, np.
         first = last
 
 
-def _encoded_rows(words: DataFrame, path: str) -> DataFrame:
-    """``word`` with the struct ``tokens``, by the fold."""
-    return words.select("word", _bound(literals(path), lambda held: _bound(
-        F.decode(F.col("word").cast("binary"), "ISO-8859-1"), lambda c: encoded(c, Vocabulary(held)))).alias("tokens"))
+def _encoded_rows(words: DataFrame, path: str, shared: Broadcast) -> DataFrame:
+    """``word`` with the struct ``tokens``, by the fold; ``shared`` are the vocabulary's merges."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("word"), ranked_merges(batch.column("word"), shared.value)], names=["word", "merges"])
+
+    listed = words.select("word").mapInArrow(tidy(look_up), T.StructType([T.StructField("word", T.StringType()), T.StructField("merges", MERGES)]))
+    return listed.select("word", _bound(literals(path), lambda held: _bound(
+        F.decode(F.col("word").cast("binary"), "ISO-8859-1"), lambda c: encoded(c, Vocabulary(held), F.col("merges")))).alias("tokens"))
 
 
-def _frequent(docs: DataFrame, path: str, pattern: str, most: int) -> pa.Table:
+def _frequent(docs: DataFrame, path: str, pattern: str, most: int, shared: Broadcast) -> pa.Table:
     """``word, ids, n, bytes`` of the words that occur most often, at most ``most`` of them, counted over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +330,7 @@ def _frequent(docs: DataFrame, path: str, pattern: str, most: int) -> pa.Table:
         if held > most:
             break
         least = step
-    rows = _encoded_rows(totals.where(F.col("step") >= least), path)
+    rows = _encoded_rows(totals.where(F.col("step") >= least), path, shared)
     return rows.select("word", "tokens.ids", "tokens.n", "tokens.bytes").toArrow()
 
 
@@ -278,7 +375,8 @@ def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokeni
 
     ``ids`` (decimal, joined by commas) and ``decoded`` bytes are null with ``digest_only``.
     """
-    known = _frequent(docs, path, pattern, frequent_words)
+    shared_merges = docs.sparkSession.sparkContext.broadcast(merges(path))
+    known = _frequent(docs, path, pattern, frequent_words, shared_merges)
     # Words up to FOLD_BYTES, so many at most: a broadcast of bounded size.
     columns = [known.column(k).combine_chunks() for k in range(4)]
     shared = docs.sparkSession.sparkContext.broadcast([c.cast(pa.string()) if k == 0 else c for k, c in enumerate(columns)])
@@ -286,29 +384,30 @@ def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokeni
     row = read.schema["row"].dataType
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks: rows, pieces of each row, which word every piece is, and the words that aren't frequent."""
+        """Blocks: rows, pieces of each row, which word every piece is, and the words that aren't frequent with their merges."""
         frequent = shared.value[0]
         for batch in batches:
             for first, last, counts, some in _distinct(batch, BLOCK_WORDS):
                 held = batch.column("row").slice(first, last - first)
                 at = pc.index_in(some.dictionary, value_set=frequent)
-                rare = some.dictionary.filter(at.is_null())
+                rare = some.dictionary.filter(at.is_null()).cast(pa.binary())
                 new = at.is_null().to_numpy(zero_copy_only=False)
                 place = at.fill_null(0).to_numpy().astype(np.int32)
                 place[new] = len(frequent) + np.arange(len(rare), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
                     pa.array([counts.tobytes()], pa.binary()), pa.array([place[some.indices.to_numpy()].tobytes()], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare.cast(pa.binary()))],
+                    pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), pa.StructArray.from_arrays(
+                        [rare, ranked_merges(rare, shared_merges.value)], names=["word", "merges"]))],
                     names=["rows", "counts", "places", "words"])
 
     packed = read.mapInArrow(tidy(pack), T.StructType([
         T.StructField("rows", T.ArrayType(row)), T.StructField("counts", T.BinaryType()), T.StructField("places", T.BinaryType()),
-        T.StructField("words", T.ArrayType(T.BinaryType()))]))
+        T.StructField("words", T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("merges", MERGES)])))]))
     # The characters 0 to 255 stand for bytes; a long word is left to the task.
     tokens = _bound(literals(path), lambda held: F.transform("words", lambda w: F.when(
-        F.octet_length(w) <= FOLD_BYTES, _bound(F.decode(w, "ISO-8859-1"), lambda c: encoded(c, Vocabulary(held))))))
-    long = F.transform("words", lambda w: F.when(F.octet_length(w) > FOLD_BYTES, w))
+        F.octet_length(w["word"]) <= FOLD_BYTES, _bound(F.decode(w["word"], "ISO-8859-1"), lambda c: encoded(c, Vocabulary(held), w["merges"])))))
+    long = F.transform("words", lambda w: F.when(F.octet_length(w["word"]) > FOLD_BYTES, w["word"]))
     schema = T.StructType([T.StructField("row", row)])
     for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string"), ("ids", "string"), ("decoded", "binary")):
         schema = schema.add(name, kind)

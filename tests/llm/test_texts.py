@@ -135,6 +135,35 @@ def test_long_word_merges_are_those_of_the_fold():
         assert bpe.merged(text.encode(), rank) == tokens(text)
 
 
+def test_rare_words_are_folded_in_one_pass():
+    words = ["unbelievably", " ofhehaanwh", "ñandú", "x", "z" * 60, "z" * 61, "漢字", "Lacióndocoie"]
+    found = bpe.ranked_merges(pa.array([w.encode() for w in words]), bpe.merges(bpe.VOCABULARY))
+    assert [w for w, one in zip(words, found.to_pylist()) if one is None] == ["z" * 61]
+    for word, one in zip(words, found.to_pylist()):
+        size = len(word.encode())
+        held = (1 << size + 1) - 1
+        for merge in one or []:
+            held ^= merge["inner"] if held & merge["span"] == merge["bounds"] else 0
+        assert one is None or held.bit_count() - 1 == len(tokens(word)) and len(one) <= size * (size - 1) // 2
+
+
+@pytest.mark.parametrize("frequent", [0, 400_000])
+def test_bpe_of_vocabularies_whose_merges_do_not_rise(spark, tmp_path, frequent):
+    # "abc" comes of "ab" and has the lower rank; the other tokens are strings whose merges follow no order.
+    rng = np.random.default_rng(7)
+    spelled = ["abc", "ab", *dict.fromkeys("".join(rng.choice(list("bcde"), rng.integers(2, 6))) for _ in range(80))]
+    ranks = {bytes([b]): b for b in range(256)} | {w.encode(): 256 + k for k, w in enumerate(spelled)}
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(w) + b" %d\n" % r for w, r in ranks.items()))
+    held = bpe.merges(str(path))
+    assert not held.rising[256] and held.rising[257] and (~held.rising).sum() > 1 and held.rising[256:].sum() > 10
+    own = tiktoken.Encoding("other", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["abcab", *(" ".join("".join(rng.choice(list("abcde"), n)) for n in rng.integers(1, 75, 30)) for _ in range(20))]
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string")
+    for r in bpe.encode(docs, path=str(path), digest_only=False, frequent_words=frequent).collect():
+        assert r.ids == ",".join(map(str, own.encode_ordinary(r.row.text)))
+
+
 def test_of_two_texts_of_one_id_only_the_linked_one_goes(spark):
     texts = [(1, cases.sentence(1, 80)), (2, cases.sentence(1, 80)), (2, cases.sentence(9, 80)), (3, None), (None, cases.sentence(1, 80))]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
