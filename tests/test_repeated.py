@@ -3,6 +3,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from featherline.algorithms import boosted, epochs, kmeans, linear, repeated
+from featherline.algorithms.sums import Entries
 from featherline.functions import vectors
 
 
@@ -55,3 +56,25 @@ def test_epochs_go_over_copies_that_share_the_weight_of_all_rows(spark, monkeypa
     assert not weights and found.count() < 240
     machine, plan = epochs.Machine(np.array([0.5]), np.array([0.2, 0.1]), np.ones((2, 1))), epochs.Plan("squared", 1, 20, {})
     assert np.isclose(epochs._mean_loss(found.select("x", "y", "w"), machine, plan), epochs._mean_loss(rows.select("x", "y", "w"), machine, plan))
+
+
+def test_epochs_go_over_every_row_of_a_long_table(spark, monkeypatch):
+    rows = often(spark, 10)
+    plan, seen, real = epochs.Plan("squared", 2, 20, dict.fromkeys(epochs.TERMS, 0.05)), [], epochs._epoch
+    monkeypatch.setattr(epochs, "ROWS", 100)
+    monkeypatch.setattr(epochs, "_epoch", lambda rows, *how: seen.append(rows.agg(F.count(F.lit(1)), F.sum("w")).first()[:]) or real(rows, *how))
+    epochs.train(rows, F.col("features"), F.col("label"), epochs.Machine(np.zeros(1), np.zeros(2), np.zeros((2, 0))), plan)
+    assert seen == [(420, 420.0)] * 2
+
+
+def test_steps_touch_the_same_places_in_short_and_long_vectors():
+    chance = np.random.default_rng(0)
+    x, y = chance.normal(size=(60, 3)) * (chance.random((60, 3)) < 0.6), chance.normal(size=60)
+    factors, found = chance.normal(size=(3, 2)), []
+    for width in (3, 500):  # places count themselves in the first, and are sorted in the second
+        machine = epochs.Machine(np.zeros(1), np.zeros(width), np.concatenate([factors, np.zeros((width - 3, 2))]))
+        steps = epochs.Steps(machine, epochs.Plan("squared", 1, 20, dict.fromkeys(epochs.TERMS, 0.05), {"linear": 0.01}))
+        for begin in range(0, 60, 20):
+            steps.step(Entries(vectors.dense_column(x[begin:begin + 20])), y[begin:begin + 20], np.ones(20))
+        found.append([p[:3] for p in steps.mean()])
+    assert all(np.array_equal(a, b) for a, b in zip(*found))
