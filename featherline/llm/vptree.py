@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: a vantage-point tree per shard.
 
-Vectors are hashed into shards of about ``SHARD_ROWS``; each shard's tree is built by one task and is a row.
-The queries are cut into blocks, and every block meets every shard's tree. The metric is the chord
+Vectors are hashed into shards of about ``SHARD_ROWS``; each shard's tree is built by one task and is a row of a written table.
+The queries are cut into blocks, and every block meets every shard's tree in a Cartesian product of partitions: tasks read the trees
+where they were written, no block is copied for each of them, and a task carries a block's k best from tree to tree and tells them once. The metric is the chord
 between unit vectors, which orders as the cosine does. A subtree is left out when the triangle
 inequality puts it beyond the k-th distance found so far, divided by ``factor``: one is exact search,
 more visits less. What is found is scored by the cosine of the original vectors in double precision.
@@ -21,8 +22,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from featherline.llm.tasks import tidy
 from featherline.llm.vectors import cosine, matrix, packed, unit, usable
+from featherline.workspace import written
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS, FACTOR, SEED = 8192, 4096, 128, 1.0, 17
+#: Blocks of queries that a task searches its trees for.
+QUERY_BLOCKS = 16
 #: What rounding may add to a chord that is compared with a bound.
 SLACK = 1e-7
 
@@ -56,15 +60,14 @@ def build(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Search:
-    """The k nearest of a shard's rows for a block of queries."""
+    """The k nearest of a shard's rows for a block of queries, or of them and what an ``earlier`` search of the block found."""
 
-    def __init__(self, ids, raw, nodes, radii, query_ids, query_raw, k, factor):
-        self.ids, self.raw, self.x = ids, raw, unit(raw)
+    def __init__(self, ids, raw, nodes, radii, query_ids, query_raw, k, factor, x=None, earlier=None):
+        self.ids, self.raw, self.x = ids, raw, unit(raw) if x is None else x
         self.nodes, self.radii, self.k, self.factor = nodes, radii, k, factor
         self.query_ids, self.query_raw, self.q = query_ids, query_raw, unit(query_raw)
         n = len(query_ids)
-        self.best = np.full((n, k), -np.inf)
-        self.best_ids = np.full((n, k), np.iinfo(np.int64).max)
+        self.best, self.best_ids = earlier or (np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max))
         self.visited = 0
 
     def offer(self, queries: np.ndarray, begin: int, end: int) -> None:
@@ -132,6 +135,18 @@ class Search:
             self.visit(child, queries[~((bound > reach + SLACK) & np.isfinite(worst))], first)
 
 
+def lean(x: np.ndarray) -> bytes:
+    """The components as floats where these hold them exactly, else as doubles."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return (short if np.array_equal(short, x) else x).tobytes()
+
+
+def full(held: pa.Buffer, rows: int, width: int) -> np.ndarray:
+    """What :func:`lean` packed, as doubles."""
+    return np.frombuffer(held, np.float32 if held.size == 4 * rows * width else np.float64).reshape(rows, width).astype(np.float64)
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = FACTOR, shard_rows: int = SHARD_ROWS,
             query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest rows of ``vec_id, embedding`` to those where ``is_query``."""
@@ -147,36 +162,41 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = FA
         order, nodes, radii = build(unit(raw))
         ids = table.column("id").to_numpy()[order]
         return pa.table({"shard": table.column("shard")[:1], "width": table.column("width")[:1],
-                         "ids": pa.array([ids.tobytes()], pa.binary()), "raw": pa.array([raw[order].tobytes()], pa.binary()),
+                         "ids": pa.array([ids.tobytes()], pa.binary()), "raw": pa.array([lean(raw[order])], pa.binary()),
                          "nodes": pa.array([nodes.tobytes()], pa.binary()), "radii": pa.array([radii.tobytes()], pa.binary())})
 
     def blocked(table: pa.Table) -> pa.Table:
         raw, _ = matrix(table.column("v"))
-        return pa.table({"block": table.column("block")[:1], "width": table.column("width")[:1],
+        return pa.table({"block": table.column("block")[:1], "query_width": table.column("width")[:1],
                          "query_ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
-                         "queries": pa.array([raw.tobytes()], pa.binary())})
+                         "queries": pa.array([lean(raw)], pa.binary())})
 
-    trees = rows.select("id", "v", F.size("v").alias("width"), F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")).groupBy(
-        "shard", "width").applyInArrow(planted, "shard int, width int, ids binary, raw binary, nodes binary, radii binary")
+    trees = written(rows.select("id", "v", F.size("v").alias("width"), F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")).groupBy(
+        "shard", "width").applyInArrow(planted, "shard int, width int, ids binary, raw binary, nodes binary, radii binary"), "trees")
     asked = rows.where("asks").select("id", "v", F.size("v").alias("width"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")).groupBy(
-        "block", "width").applyInArrow(blocked, "block int, width int, query_ids binary, queries binary")
-    everywhere = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        "block", "width").applyInArrow(blocked, "block int, query_width int, query_ids binary, queries binary")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, tree, best = None, None, {}
         for batch in batches:
             for row in range(batch.num_rows):
-                held = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                width = held["width"]
-                found = Search(
-                    np.frombuffer(held["ids"], np.int64), np.frombuffer(held["raw"]).reshape(-1, width),
-                    np.frombuffer(held["nodes"], np.int64).reshape(-1, 4), np.frombuffer(held["radii"]).reshape(-1, 4),
-                    np.frombuffer(held["query_ids"], np.int64), np.frombuffer(held["queries"]).reshape(-1, width), k, factor)
+                shard, width, block = (batch.column(name)[row].as_py() for name in ("shard", "width", "block"))
+                held = {name: batch.column(name)[row].as_buffer() for name in ("ids", "raw", "nodes", "radii", "query_ids", "queries")}
+                if at != (shard, width):
+                    ids = np.frombuffer(held["ids"], np.int64).copy()
+                    raw = full(held["raw"], len(ids), width)
+                    at, tree = (shard, width), (ids, raw, np.frombuffer(held["nodes"], np.int64).reshape(-1, 4).copy(),
+                                                np.frombuffer(held["radii"]).reshape(-1, 4).copy(), unit(raw))
+                *parts, x = tree
+                query_ids = np.frombuffer(held["query_ids"], np.int64)
+                found = Search(*parts, query_ids, full(held["queries"], len(query_ids), width), k, factor, x, best.get((block, width), [None])[1:])
                 found.run()
-                q, j = np.nonzero(np.isfinite(found.best))
-                yield pa.RecordBatch.from_arrays([pa.array(found.query_ids[q]), pa.array(found.best_ids[q, j]), pa.array(found.best[q, j])],
-                                                 names=["query_id", "vec_id", "score"])
+                best[block, width] = query_ids.copy(), found.best, found.best_ids
+        for query_ids, scores, ids in best.values():
+            q, j = np.nonzero(np.isfinite(scores))
+            yield pa.RecordBatch.from_arrays([pa.array(query_ids[q]), pa.array(ids[q, j]), pa.array(scores[q, j])], names=["query_id", "vec_id", "score"])
 
-    pairs = trees.join(everywhere, ["shard", "width"])
+    pairs = trees.join(asked.repartition(-(-blocks // QUERY_BLOCKS)).hint("shuffle_replicate_nl"), F.col("width") == F.col("query_width"))
     found = pairs.mapInArrow(tidy(search), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id", "score"])
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 """Vector operators against brute force in double precision."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,31 @@ def test_components(spark):
     got = {r.id: r.component for r in connected.components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
     assert got == {x: find(x) for x in label}
     assert connected.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_searches_carry_the_best_of_a_block_from_tree_to_tree():
+    random = np.random.default_rng(2)
+    raw, asked = random.normal(size=(900, 6)), random.normal(size=(30, 6))
+    found = None
+    for ids in np.array_split(np.arange(900), 3):
+        order, nodes, radii = vptree.build(vptree.unit(raw[ids]))
+        search = vptree.Search(ids[order], raw[ids][order], nodes, radii, np.arange(30) + 10**6, asked, 5, 1.0, earlier=found)
+        search.run()
+        found = search.best, search.best_ids
+    scores = cosine(np.repeat(asked, 900, 0), np.tile(raw, (30, 1))).reshape(30, 900)
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :5]
+    assert np.array_equal(found[1], want) and np.array_equal(found[0], np.take_along_axis(scores, want, 1))
+
+
+def test_blocks_of_queries_are_neither_broadcast_nor_copied_for_every_tree(spark):
+    vectors = cases(3)
+    found = vptree.nearest(table(spark, vectors), F.col("vec_id") % 50 == 0, shard_rows=40, query_rows=4)
+    assert sorted(map(tuple, found.collect())) == sorted(brute_nearest(vectors))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "explode" not in plan
+
+
+@pytest.mark.parametrize("x", [[[0.5, -2.0]], [[0.1, 3.0]], [[1e300, 0.0]], [[5e-324, 1.0]]])
+def test_lean_vectors(x):
+    held = vptree.lean(np.array(x))
+    assert len(held) == (8 if x[0][0] == 0.5 else 16) and vptree.full(pa.py_buffer(held), 1, 2).tolist() == x
