@@ -2,8 +2,9 @@
 
 1. Every usable vector becomes integers; rows are packed into blocks of ``BLOCK_ROWS`` and written once, with a row
    number. Anchors are packed into blocks of ``ANCHOR_ROWS``, and every block of anchors meets every block of rows: one
-   integer matrix product, of which a task keeps, anchor by anchor, only the first rows that could count. So what is
-   shuffled follows the anchors and the number of blocks, not the pairs.
+   integer matrix product, of which a task keeps, anchor by anchor, only the first rows that could count of all the
+   blocks it reads. Blocks meet in a Cartesian product of partitions: tasks read them where they were written, and neither the
+   shuffle nor the driver holds a copy for each meeting. What is shuffled follows the anchors and the number of tasks, not the pairs.
 2. Each kept pair is packed into one sortable binary key: anchor, falling score, kind (positives before negatives of
    the same score), rising id, row. Keys are repartitioned by anchor and sorted within their partition, which is a
    secondary sort; a task reads its partition as a stream. It holds the open windows of one anchor only, at most as
@@ -11,8 +12,8 @@
 3. A first stream takes each anchor's first positives. They open the windows ``[low% of score, high% of score]``;
    the blocks meet once more and keep the first negatives of each window. A second stream reads positives and
    negatives together: a positive opens its window, a negative goes to the windows it falls in, a window
-   that is full or passed is closed. Within one block the first rows of a window are all that the window can take
-   from it, so nothing is lost.
+   that is full or passed is closed. Of the blocks of one task the first rows of a window are all that the window can take
+   from them, so nothing is lost.
 
 Rows whose label or vector is null or that have a null or non-finite component take no part. A vector that is shorter
 than another counts as filled up with zeros (an empty one scores 0 with all). Scores are exact; components beyond
@@ -36,6 +37,8 @@ from featherline.llm.tasks import tidy
 from featherline.workspace import written
 
 BLOCK_ROWS, ANCHOR_ROWS, TILE = 4096, 1024, 128
+#: Blocks of anchors that a task meets its rows with, and holds the first rows of.
+ANCHOR_BLOCKS = 16
 #: Anchor, falling score, kind, whether the id is missing, id, row: fixed width, big-endian, so that bytes sort as the values do.
 KEY = struct.Struct(">QQBBQQ")
 POSITIVE, NEGATIVE = 0, 1
@@ -71,15 +74,16 @@ def bounds(score: int, low: int, high: int) -> tuple[int, int]:
 
 def first_of(scores: np.ndarray, fits: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """Mask of the first ``most`` fitting columns of every row: by falling score, then by ``order``."""
-    n = scores.shape[1]
-    lowest = np.iinfo(np.int64).min
-    held = np.where(fits, scores, lowest)
-    last = np.partition(held, n - most, axis=1)[:, n - most] if n > most else np.full(len(held), lowest)
-    chosen = fits & (held >= last[:, None])
-    crowded = np.flatnonzero(chosen.sum(axis=1) > most)  # several rows tie for the last place
-    for row in crowded:
+    chosen, n = fits.copy(), scores.shape[1]
+    many = np.flatnonzero(fits.sum(axis=1) > most)
+    if not len(many):
+        return chosen
+    held = np.where(fits[many], scores[many], np.iinfo(np.int64).min)
+    last = np.partition(held, n - most, axis=1)[:, n - most]
+    chosen[many] &= held >= last[:, None]
+    for row in many[chosen[many].sum(axis=1) > most]:  # several columns tie for the last place
         at = np.flatnonzero(chosen[row])
-        ranked = at[np.lexsort((order[at], -held[row, at]))]
+        ranked = at[np.lexsort((order[at], -scores[row, at]))]
         chosen[row, ranked[most:]] = False
     return chosen
 
@@ -89,18 +93,25 @@ def _longs(values: pa.Array) -> np.ndarray:
 
 
 class Meeting:
-    """A block of anchors and a block of rows, from one joined record."""
+    """A block of anchors and a block of rows, from one joined record; the block of rows may be that of the ``last`` meeting."""
 
-    def __init__(self, batch: pa.RecordBatch, at: int):
+    def __init__(self, batch: pa.RecordBatch, at: int, last: Meeting | None = None):
         def array(name: str) -> pa.Array:
             return batch.column(name)[at].values
 
-        self.rows, self.labels, self.ids = _longs(array("rows")), _longs(array("labels")), _longs(array("ids"))
-        self.missing = array("ids").is_null().to_numpy(zero_copy_only=False)
+        def vectors(prefix: str, rows: int) -> np.ndarray:
+            kind, width = (batch.column(prefix + name)[at].as_py() for name in ("kind", "width"))
+            return wide(batch.column(f"{prefix}v")[at].as_buffer(), kind, width, rows)
+
         self.anchors, self.anchor_labels = _longs(array("anchors")), _longs(array("anchor_labels"))
-        value = {name: batch.column(name)[at].as_py() for name in ("kind", "width", "v", "anchor_kind", "anchor_width", "anchor_v")}
-        self.x = wide(value["v"], value["kind"], value["width"], len(self.rows))
-        self.a = wide(value["anchor_v"], value["anchor_kind"], value["anchor_width"], len(self.anchors))
+        self.a = vectors("anchor_", len(self.anchors))
+        self.rows = _longs(array("rows"))
+        if last is not None and last.rows[0] == self.rows[0]:  # a row number is in one block only
+            self.labels, self.ids, self.missing, self.x, self.order = last.labels, last.ids, last.missing, last.x, last.order
+            return
+        self.labels, self.ids = _longs(array("labels")), _longs(array("ids"))
+        self.missing = array("ids").is_null().to_numpy(zero_copy_only=False)
+        self.x = vectors("", len(self.rows))
         ranked = np.lexsort((self.rows, self.ids, self.missing))
         self.order = np.empty(len(ranked), np.int64)  # of equal scores: smaller id, then row
         self.order[ranked] = np.arange(len(ranked))
@@ -111,10 +122,59 @@ class Meeting:
             some = slice(begin, begin + TILE)
             yield some, products(self.a[some], self.x), self.anchor_labels[some, None] == self.labels
 
-    def told(self, some: slice, scores: np.ndarray, chosen: np.ndarray, kind: int) -> pa.RecordBatch:
-        i, j = np.nonzero(chosen)
-        anchor = self.anchors[some][i]
-        return pa.RecordBatch.from_arrays([pa.array(anchor), keys(anchor, scores[i, j], kind, self.ids[j], self.missing[j], self.rows[j])],
+
+def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Meeting, pa.RecordBatch, int]]:
+    """The meetings of a task, each with the batch and the row it is from."""
+    met = None
+    for batch in batches:
+        for at in range(batch.num_rows):
+            met = Meeting(batch, at, met)
+            yield met, batch, at
+
+
+class First:
+    """The first ``most`` rows met so far of each of an anchor's ``windows``, for a block of anchors."""
+
+    def __init__(self, anchors: np.ndarray, windows: int, most: int):
+        self.anchors, self.windows, self.most = anchors, windows, most
+        #: Scores below which a row cannot count any more.
+        self.floor = np.full((len(anchors), windows), np.iinfo(np.int64).min)
+        empty = np.zeros(0, np.int64)
+        self.held, self.waiting = [(empty, empty, empty.astype(bool), empty, empty)], 0
+
+    def add(self, met: Meeting, some: slice, window: int, scores: np.ndarray, fits: np.ndarray) -> None:
+        """The rows of a tile that fit a window."""
+        i, j = np.nonzero(first_of(scores, fits, met.order, self.most))
+        if len(i):
+            self.held.append(((some.start + i) * self.windows + window, scores[i, j], met.missing[j], met.ids[j], met.rows[j]))
+            self.waiting += len(i)
+
+    def rest(self) -> None:
+        """Leave out what cannot count, where much waits for it."""
+        if self.waiting > 1000 + len(self.held[0][0]) // 4:
+            self.cut()
+
+    def cut(self) -> None:
+        """Keep the first rows only."""
+        place, score, missing, ids, rows = held = [np.concatenate(some) for some in zip(*self.held)]
+        ranked = np.lexsort((rows, ids, missing, -score, place))
+        of = place[ranked]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        full = rank == self.most - 1
+        self.floor.reshape(-1)[of[full]] = score[ranked[full]]
+        kept = ranked[rank < self.most]
+        self.held, self.waiting = [tuple(some[kept] for some in held)], 0
+
+    def told(self, kind: int) -> pa.RecordBatch:
+        """The keys of the rows, each once for an anchor."""
+        self.cut()
+        place, score, missing, ids, rows = self.held[0]
+        anchor = self.anchors[place // self.windows]
+        ranked = np.lexsort((rows, anchor))
+        new = np.ones(len(ranked), bool)
+        new[1:] = (anchor[ranked][1:] != anchor[ranked][:-1]) | (rows[ranked][1:] != rows[ranked][:-1])
+        once = ranked[new]
+        return pa.RecordBatch.from_arrays([pa.array(anchor[once]), keys(anchor[once], score[once], kind, ids[once], missing[once], rows[once])],
                                           names=["anchor", "key"])
 
 
@@ -183,20 +243,24 @@ def hard_negatives(vectors: DataFrame, label: Column, is_anchor: Column, positiv
     if not 0 <= low <= high <= 100:
         raise ValueError("a window lies between 0 and 100 percent of its positive's score")
     packed = blocks(vectors, label, is_anchor, scale)
-    n_blocks, n_anchors = packed.agg(F.count(F.lit(1)), F.sum(F.size(F.filter("asks", lambda x: x)))).first()
-    n_anchors = n_anchors or 0
-    asked = anchor_blocks(packed, max(1, -(-n_anchors // ANCHOR_ROWS)))
-    stretches = max(1, n_blocks)
-    rows = packed.select(F.pmod(F.xxhash64(F.get("rows", F.lit(0))), F.lit(stretches)).cast("int").alias("stretch"), "rows", "ids", "labels", "kind", "width", "v")
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(stretches - 1))).alias("stretch")
+    n_anchors = packed.agg(F.sum(F.size(F.filter("asks", lambda x: x)))).first()[0] or 0
+    n = max(1, -(-n_anchors // ANCHOR_ROWS))
+    asked = anchor_blocks(packed, n)
+    rows = packed.select("rows", "ids", "labels", "kind", "width", "v")
+
+    def everywhere(asking: DataFrame) -> DataFrame:
+        """Every block of rows beside every block of anchors, of which a task meets few."""
+        return rows.crossJoin(asking.repartition(-(-n // ANCHOR_BLOCKS)).hint("shuffle_replicate_nl"))
 
     def nearest_same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                met = Meeting(batch, at)
-                for some, scores, same in met.tiles():
-                    others = same & (met.anchors[some, None] != met.rows)
-                    yield met.told(some, scores, first_of(scores, others, met.order, positives), POSITIVE)
+        first: dict[int, First] = {}
+        for met, _, _ in meetings(batches):
+            held = first.setdefault(int(met.anchors[0]), First(met.anchors, 1, positives))
+            for some, scores, same in met.tiles():
+                held.add(met, some, 0, scores, same & (met.anchors[some, None] != met.rows) & (scores >= held.floor[some]))
+            held.rest()
+        for held in first.values():
+            yield held.told(POSITIVE)
 
     def first_positives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, taken = None, 0
@@ -213,30 +277,32 @@ def hard_negatives(vectors: DataFrame, label: Column, is_anchor: Column, positiv
                                              names=["anchor", "score", "key"])
 
     pairs = "anchor long, key binary"
-    met = rows.join(asked.select("*", everywhere), "stretch")
-    leading = written(_sorted(met.mapInArrow(tidy(nearest_same), pairs)).mapInArrow(tidy(first_positives), "anchor long, score long, key binary"), "positives")
+    leading = written(_sorted(everywhere(asked).mapInArrow(tidy(nearest_same), pairs)).mapInArrow(tidy(first_positives), "anchor long, score long, key binary"), "positives")
 
     # The windows of an anchor go into its block: an anchor has at most as many as it has positives.
     windows = leading.groupBy("anchor").agg(F.sort_array(F.collect_list("score"), False).alias("scores"))
-    of_anchor = asked.select("block", F.explode("anchors").alias("anchor")).join(windows, "anchor")
+    of_anchor = asked.select("block", F.explode("anchors").alias("anchor")).join(windows.hint("merge"), "anchor")
     of_block = of_anchor.groupBy("block").agg(F.collect_list(F.struct("anchor", "scores")).alias("windows"))
-    opened = rows.join(asked.join(of_block, "block").select("*", everywhere), "stretch")
+    opened = everywhere(written(asked.join(of_block.hint("merge"), "block"), "windows"))
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                met = Meeting(batch, at)
+        first: dict[int, tuple[First, np.ndarray]] = {}
+        for met, batch, at in meetings(batches):
+            if int(met.anchors[0]) not in first:
                 scores_of = {w["anchor"]: w["scores"] for w in batch.column("windows")[at].as_py()}
                 limits = np.tile(np.array([1, 0], np.int64), (len(met.anchors), positives, 1))  # empty windows
                 for k, anchor in enumerate(met.anchors.tolist()):
                     for w, score in enumerate(scores_of.get(anchor, [])):
                         limits[k, w] = bounds(score, low, high)
-                for some, scores, same in met.tiles():
-                    chosen = np.zeros(scores.shape, bool)
-                    for w in range(positives):
-                        least, most = limits[some, w, 0, None], limits[some, w, 1, None]
-                        chosen |= first_of(scores, ~same & (scores >= least) & (scores <= most), met.order, negatives)
-                    yield met.told(some, scores, chosen, NEGATIVE)
+                first[int(met.anchors[0])] = First(met.anchors, positives, negatives), limits
+            held, limits = first[int(met.anchors[0])]
+            for some, scores, same in met.tiles():
+                for w in range(positives):
+                    least, most = np.maximum(limits[some, w, 0], held.floor[some, w])[:, None], limits[some, w, 1, None]
+                    held.add(met, some, w, scores, ~same & (scores >= least) & (scores <= most))
+            held.rest()
+        for held, _ in first.values():
+            yield held.told(NEGATIVE)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, open_windows = None, []
@@ -261,4 +327,4 @@ def hard_negatives(vectors: DataFrame, label: Column, is_anchor: Column, positiv
     mined = _sorted(leading.select("anchor", "key").union(opened.mapInArrow(tidy(inside), pairs))).mapInArrow(
         tidy(emit), "anchor long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
     names = asked.select(F.explode(F.arrays_zip("anchors", "anchor_ids")).alias("of")).select(F.col("of.anchors").alias("anchor"), F.col("of.anchor_ids").alias("anchor_id"))
-    return mined.join(names, "anchor").select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    return mined.join(names.hint("merge"), "anchor").select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -156,3 +156,41 @@ def test_bounds_of_apexes_hold_and_filter(spread):
     assert left[np.arange(2000), exact.argmin(axis=1)].all()
     if spread < 1:
         assert left.mean() < 0.3
+
+
+def test_meetings_are_neither_broadcast_nor_shuffled_for_each_pair_of_blocks(spark, monkeypatch):
+    seen, real = [], negatives._sorted
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(negatives, "_sorted", lambda pairs: seen.append(pairs) or real(pairs))
+    vectors = cases(5)
+    got = hard_negatives(table(spark, vectors, 1), label(), F.col("vec_id") % 100 == 0).collect()
+    assert told(got) == told(brute_negatives(vectors))
+    assert len(seen) == 2
+    for pairs, most in zip(seen, (5, 5 + 5 * 10)):
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Broadcast" not in plan and "explode" not in plan
+        # One file of blocks is one task: it tells an anchor's first rows once.
+        assert 0 < pairs.groupBy("anchor").count().agg(F.max("count")).first()[0] <= most
+
+
+def test_first_rows_of_several_blocks():
+    random = np.random.default_rng(0)
+    scores, fits = random.integers(-5, 6, (3, 4000)), random.random((3, 4000)) < 0.7
+    fits[2] = False
+    missing, ids, rows = random.random(4000) < 0.1, random.integers(0, 300, 4000), random.permutation(4000)
+    ids[missing] = 0
+    first = negatives.First(np.array([7, 8, 9]), 1, 6)
+    for some in np.array_split(np.arange(4000), 9):
+        met = type("Met", (), {"missing": missing[some], "ids": ids[some], "rows": rows[some]})
+        ranked = np.lexsort((met.rows, met.ids, met.missing))
+        met.order = np.argsort(ranked)
+        for begin in (0, 2):
+            part = slice(begin, begin + 2)
+            first.add(met, part, 0, scores[part][:, some], fits[part][:, some] & (scores[part][:, some] >= first.floor[part]))
+        first.waiting += 1000
+        first.rest()
+    want = [(a, -scores[a, b], missing[b], ids[b], rows[b]) for a in range(3) for b in np.flatnonzero(fits[a])]
+    want = [sorted(w for w in want if w[0] == a)[:6] for a in range(3)]
+    assert first.floor[:, 0].tolist()[:2] == [-w[5][1] for w in want[:2]]
+    got = sorted(unpacked(key)[::4] for key in first.told(1).column("key").to_pylist())
+    assert got == sorted((int(w[0]) + 7, int(w[4])) for some in want for w in some)
