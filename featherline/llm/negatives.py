@@ -38,7 +38,7 @@ from featherline.workspace import written
 
 BLOCK_ROWS, ANCHOR_ROWS, TILE = 4096, 1024, 128
 #: Blocks of anchors that a task meets its rows with, and holds the first rows of.
-ANCHOR_BLOCKS = 16
+ANCHOR_BLOCKS = 4
 #: Anchor, falling score, kind, whether the id is missing, id, row: fixed width, big-endian, so that bytes sort as the values do.
 KEY = struct.Struct(">QQBBQQ")
 POSITIVE, NEGATIVE = 0, 1

@@ -26,7 +26,7 @@ from featherline.workspace import written
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS, FACTOR, SEED = 8192, 4096, 128, 1.0, 17
 #: Blocks of queries that a task searches its trees for.
-QUERY_BLOCKS = 16
+QUERY_BLOCKS = 4
 #: What rounding may add to a chord that is compared with a bound.
 SLACK = 1e-7
 
